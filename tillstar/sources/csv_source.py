@@ -15,13 +15,14 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .scan import spread
 from .schemas import RAW_LENGTHS, SOURCE_FILES
 
 LOAD_SEQ = "load_seq"
 
 
 def read_csv(spark: SparkSession, path: str, multiline: bool = False,
-             with_load_seq: bool = False) -> DataFrame:
+             with_load_seq: bool = False, spread_scan: bool = True) -> DataFrame:
     """Read one CSV source as all-text columns.
 
     ``multiline`` is needed only when quoted fields contain line breaks; it
@@ -41,7 +42,8 @@ def read_csv(spark: SparkSession, path: str, multiline: bool = False,
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("pos")))
-    return df
+    # After load_seq is fixed: spreading reorders rows across tasks.
+    return spread(df) if spread_scan else df
 
 
 def align_to_schema(df: DataFrame, columns: list[str], keep: list[str] = ()) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import re
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +34,22 @@ def materialize(df: DataFrame, path: str, partition_by: list[str] | None = None,
     return df.sparkSession.read.parquet(path)
 
 
+def stage_table(df: DataFrame, name: str, fallback_dir: str = "/tmp/tillstar-checkpoints") -> DataFrame:
+    """Write an intermediate table as parquet under the cluster's shared
+    folder (``spark.checkpoint.dir``) and read it back.
+
+    Used for tables that later steps read several times (staged lines, the
+    fact).  The write cuts the lineage: a lost executor costs a re-read of
+    the table, not a recomputation of the joins that built it.  A fresh
+    folder is taken per call, so concurrent runs never collide.
+    """
+    from ..session import shared_dir
+
+    base = shared_dir(df.sparkSession, fallback=fallback_dir)
+    path = f"{base.rstrip('/')}/tillstar-tables/{uuid.uuid4().hex}/{name}"
+    return materialize(df, path)
+
+
 def append(df: DataFrame, path: str) -> None:
     """INSERT rows into a table."""
     df.write.mode("append").parquet(path)

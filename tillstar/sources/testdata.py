@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import OUT_DATE_FMT
+from .scan import read_parquet
 
 # Fixed values of the fixture derivation (mirrored in plans/oracle.py).
 ONLINE_STORE_SLOT = 110          # o_orderkey % 120 == 110 -> store '9999'
@@ -39,8 +40,13 @@ DELTA_AS_OF = _dt.date(2024, 6, 1)   # day of the SCD2 delta run
 PROMO_AS_OF = _dt.date(1997, 6, 1)   # day for the "promo active now" flag
 
 
+# Tables large enough that an unsplit file would serialise the derivation.
+_FACT_TABLES = {"lineitem", "orders"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return read_parquet(spark, os.path.join(sf_dir, f"{name}.parquet"),
+                        spread_scan=name in _FACT_TABLES)
 
 
 def _s(c: Column) -> Column:
