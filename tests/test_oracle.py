@@ -40,3 +40,30 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert df.columns == ["year", "category", "city", "n_lines", "total_qty", "total_amount"]
+
+
+def test_flagship_large_dimension_path_equal(spark):
+    """The pre-aggregated plan for a customer dimension above the broadcast
+    bound gives the same answer as the broadcast plan."""
+    from tillstar.operators import mart
+    from tillstar.plans.queries import Warehouse
+
+    w = Warehouse(spark, SF)
+    a = mart.sales_by_city_at_sale(w.fct_sales, w.dim_date, w.dim_products, w.dim_customers)
+    b = mart.sales_by_city_at_sale(w.fct_sales, w.dim_date, w.dim_products, w.dim_customers, max_rows=0)
+    assert digest(a.columns, [tuple(r) for r in a.collect()])[0] == \
+        digest(b.columns, [tuple(r) for r in b.collect()])[0]
+
+
+def test_fact_shuffle_path_equal(spark):
+    """The fact build with every dimension above the bound (shuffle joins,
+    spread NULL customer ids) equals the broadcast build."""
+    from tillstar.operators import mart
+    from tillstar.plans.queries import Warehouse
+
+    w = Warehouse(spark, SF)
+    args = (w.txn, w.dim_date, w.dim_products, w.dim_stores, w.dim_customers)
+    a = mart.build_fct_sales(*args)
+    b = mart.build_fct_sales(*args, max_rows=0)
+    assert digest(a.columns, [tuple(r) for r in a.collect()])[0] == \
+        digest(b.columns, [tuple(r) for r in b.collect()])[0]

@@ -13,10 +13,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from ..functions import amounts as A
 from ..functions.clean import blank_to_null
+from .sweep import running_max_before
 from .temporal import promo_at
 
 RULE_SCHEMA = "rule string, n_bad bigint"
@@ -77,17 +77,17 @@ def audit_rejects(raw: DataFrame, typed: dict[str, Column], table: str) -> DataF
 
 
 def audit_overlap(df: DataFrame, key: str, start: str, end: str, order: str,
-                  rule: str) -> DataFrame:
+                  rule: str, num_partitions: int | None = None) -> DataFrame:
     """Intervals that start on or before the end of an earlier interval of
     the same key (Q6), in (start, end, order) order.
 
     Contained intervals are caught because the running maximum of earlier
-    ends is compared, not only the previous end.
+    ends is compared, not only the previous end.  The running maximum is a
+    range-partitioned sweep, so a key with many intervals is spread over
+    many tasks instead of one.
     """
-    w = (Window.partitionBy(key).orderBy(start, end, order)
-         .rowsBetween(Window.unboundedPreceding, -1))
-    x = df.where(F.col(key).isNotNull()).select(
-        start, F.max(end).over(w).alias("_prev_end"))
+    x = running_max_before(df.where(F.col(key).isNotNull()).select(key, start, end, order),
+                           key, [start, end, order], end, "_prev_end", num_partitions)
     return _one(x, rule, F.sum(F.when(F.col("_prev_end") >= F.col(start), 1).otherwise(0)))
 
 

@@ -74,17 +74,27 @@ def sales_by_city_at_sale(fct: DataFrame, dim_date: DataFrame, dim_products: Dat
     """Mart query (D17): lines, quantity and revenue by year, product
     category and the customer's city *at the time of the sale*.
 
-    Dimensions join on their unique surrogate keys; the aggregate is
-    partial per task before the (small) shuffle of group keys.
+    Dimensions join on their unique surrogate keys.  Calendar and products
+    are broadcast.  A customer dimension under the bound is broadcast too
+    and one partial aggregate finishes the job; above it, the fact is
+    first aggregated per (year, category, customer_key) - partial per task,
+    then shuffled as aggregates - so the customer join shuffles sums, not
+    sales lines.
     """
     dd = sized_broadcast(dim_date.select("date_key", "year"), max_rows)
     dp = sized_broadcast(dim_products.select("product_key", "category"), max_rows)
     dc = dim_customers.select("customer_key", "city")
-    dc = sized_broadcast(dc, max_rows)
-    x = (fct.join(dd, "date_key", "left").join(dp, "product_key", "left")
-         .join(dc, "customer_key", "left"))
-    return x.groupBy("year", "category", "city").agg(
-        F.count(F.lit(1)).alias("n_lines"),
-        F.sum("quantity").cast("decimal(38,4)").alias("total_qty"),
-        F.sum("total_amount").cast("decimal(38,4)").alias("total_amount"),
-    )
+    small = dc.count() <= max_rows
+    x = fct.join(dd, "date_key", "left").join(dp, "product_key", "left")
+    aggs = [F.count(F.lit(1)).alias("n_lines"), F.sum("quantity").alias("total_qty"),
+            F.sum("total_amount").alias("total_amount")]
+    if small:
+        y = x.join(F.broadcast(dc), "customer_key", "left").groupBy("year", "category", "city").agg(*aggs)
+    else:
+        pre = x.groupBy("year", "category", "customer_key").agg(*aggs)
+        y = (pre.join(dc, "customer_key", "left").groupBy("year", "category", "city")
+             .agg(F.sum("n_lines").alias("n_lines"), F.sum("total_qty").alias("total_qty"),
+                  F.sum("total_amount").alias("total_amount")))
+    return y.select("year", "category", "city", F.col("n_lines").cast("bigint").alias("n_lines"),
+                    F.col("total_qty").cast("decimal(38,4)").alias("total_qty"),
+                    F.col("total_amount").cast("decimal(38,4)").alias("total_amount"))

@@ -100,13 +100,23 @@ def flatten_receipts(headers: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def stage_transactions(raw_summary: DataFrame, raw_details: DataFrame) -> DataFrame:
-    j = flatten_receipts(raw_summary, raw_details)
-    return j.select(
-        C.to_int(F.col("_hid"), "bigint").alias("check_id"),
+    """Typed receipt lines with their header (J1 + T1-T12).
+
+    Each side is parsed to typed columns *before* the join, so the shuffle
+    carries decimals, dates and integers instead of their text; only the
+    join key stays raw text, because the source matches receipts on the
+    text as loaded.  Parsing is row-local, so the result is the same as
+    typing after the join.
+    """
+    h = raw_summary.select(
+        F.col("check_id").alias("_hid"),
         C.to_int("store_id").alias("store_id"),
         C.opt_int("cashier_id").alias("cashier_id"),
         C.opt_int("customer_id", "bigint").alias("customer_id"),
         D.to_datetime_dmy("datetime").alias("transaction_datetime"),
+    )
+    d = raw_details.select(
+        F.col("check_id").alias("_lid"),
         C.to_int("product_id").alias("product_id"),
         C.nonneg_decimal("unit_price").alias("unit_price"),
         C.nonneg_decimal("quantity").alias("quantity"),
@@ -115,6 +125,12 @@ def stage_transactions(raw_summary: DataFrame, raw_details: DataFrame) -> DataFr
         C.nonneg_int("discount_pct").alias("discount_pct"),
         C.int_or_zero("discount_type").alias("discount_type"),
     )
+    j = d.join(h, d["_lid"] == h["_hid"], "inner")
+    return j.select(
+        C.to_int(F.col("_hid"), "bigint").alias("check_id"),
+        "store_id", "cashier_id", "customer_id", "transaction_datetime", "product_id",
+        "unit_price", "quantity", "total_amount", "discount_abs", "discount_pct", "discount_type",
+    )
 
 
 def stage_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
