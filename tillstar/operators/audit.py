@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import amounts as A
 from ..functions.clean import blank_to_null
+from .lookups import BROADCAST_MAX_ROWS, sized_broadcast
 from .sweep import running_max_before
 from .temporal import promo_at
 
@@ -47,10 +48,16 @@ def audit_not_null(df: DataFrame, cols: list[str], table: str) -> DataFrame:
     return _per_column(df, f"{table}.not_null:", {c: F.col(c).isNull() for c in cols})
 
 
-def audit_fk(fact: DataFrame, fk: str, dim: DataFrame, pk: str, rule: str) -> DataFrame:
-    """Fact rows whose non-NULL foreign key has no dimension row (Q3)."""
+def audit_fk(fact: DataFrame, fk: str, dim: DataFrame, pk: str, rule: str,
+             max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Fact rows whose non-NULL foreign key has no dimension row (Q3).
+
+    With the dimension's keys broadcast (after a row-count check) the anti
+    join runs in the scan stage and only a count is shuffled; otherwise the
+    fact is first reduced to one row per key value.
+    """
     per_key = fact.where(F.col(fk).isNotNull()).groupBy(fk).count()
-    keys = dim.select(F.col(pk).alias("_pk"))
+    keys = sized_broadcast(dim.select(F.col(pk).alias("_pk")), max_rows)
     dangling = per_key.join(keys, per_key[fk] == keys["_pk"], "left_anti")
     return _one(dangling, rule, F.sum("count"))
 

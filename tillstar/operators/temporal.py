@@ -11,8 +11,9 @@ interval that covers the day, optionally falling back to the last listed
 row of the key.  It never needs a row id: it resolves the distinct
 ``(key, day)`` pairs of the facts first (a map-side reduced set, bounded by
 keys x days), picks the winner per pair with ``min_by`` on the load order,
-and then joins the facts to the resolved pairs with a plain equi-join that
-matches at most once.  A hot key is spread over its days in both joins.
+writes the resolved pairs, and then joins the facts to them with a plain
+equi-join that matches at most once - broadcast when their measured count
+is under the bound.  A hot key is spread over its days in both joins.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clean import col
+from ..sources.sinks import stage_table
 from .lookups import BROADCAST_MAX_ROWS, sized_broadcast
 
 NULL_SPREAD = 1024
@@ -49,10 +51,16 @@ def lookup_scd2(facts: DataFrame, dim: DataFrame, fact_id: str, at, key_col: str
 def first_effective(facts: DataFrame, table: DataFrame, fact_key: str, at: Column | str,
                     values: list[str], table_key: str | None = None,
                     start: str = "start_date", end: str = "end_date", seq: str = "load_seq",
-                    fallback_last: bool = False, prefix: str = "") -> DataFrame:
+                    fallback_last: bool = False, prefix: str = "",
+                    max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Per fact row, the values of the first listed row of ``table`` whose
     ``[start, end]`` covers ``at``; NULL when none does, or, with
-    ``fallback_last``, the values of the key's last listed row."""
+    ``fallback_last``, the values of the key's last listed row.
+
+    The resolved ``(key, day)`` pairs are written to the shared folder; their
+    exact row count then decides between a broadcast join (no shuffle of the
+    facts) and a shuffle join on ``(key, day)``.
+    """
     table_key = table_key or fact_key
     at_c = col(at)
     probes = (facts.select(F.col(fact_key).alias("_k"), at_c.alias("_d"))
@@ -60,17 +68,15 @@ def first_effective(facts: DataFrame, table: DataFrame, fact_key: str, at: Colum
     t = table.select(F.col(table_key).alias("_tk"), F.col(start).alias("_s"),
                      F.col(end).alias("_e"), F.col(seq).alias("_q"),
                      F.struct(*[F.col(v) for v in values]).alias("_v"))
-    hits = (probes.join(t, (probes["_k"] == t["_tk"]) & probes["_d"].between(t["_s"], t["_e"]))
-            .groupBy("_k", "_d").agg(F.min_by("_v", "_q").alias("_v")))
+    cover = (probes["_k"] == t["_tk"]) & probes["_d"].between(t["_s"], t["_e"])
+    # min_by skips the NULL order of a probe without a covering row.
+    resolved = (probes.join(t, cover, "left" if fallback_last else "inner")
+                .groupBy("_k", "_d").agg(F.min_by("_v", "_q").alias("_v")))
     if fallback_last:
         last = t.groupBy("_tk").agg(F.max_by("_v", "_q").alias("_last"))
-        resolved = (probes.join(hits, ["_k", "_d"], "left")
-                    .join(last, F.col("_k") == last["_tk"], "left")
+        resolved = (resolved.join(last, resolved["_k"] == last["_tk"], "left")
                     .select("_k", "_d", F.coalesce("_v", "_last").alias("_v")))
-    else:
-        resolved = hits
-    # No count here: the resolved pairs come out of a shuffle, so AQE knows
-    # their exact size and broadcasts them when that size is small.
+    resolved = sized_broadcast(stage_table(resolved, "effective_pairs"), max_rows)
     f = facts.withColumn("_at", at_c)
     out = f.join(resolved, (f[fact_key] == resolved["_k"]) & (f["_at"] == resolved["_d"]), "left")
     return out.select(*[F.col(c) for c in facts.columns],
