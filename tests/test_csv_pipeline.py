@@ -118,3 +118,29 @@ def test_golden_pipeline(spark, tmp_dir):
     assert moved == [("Kyiv", False), ("Odesa", True)]
     assert [r.valid_from for r in v2 if r.customer_id == 10000004] == [dt.date(2024, 6, 1)]
     assert max(r.customer_key for r in v2) == len(v2) - 1
+
+
+def test_load_seq_follows_file_order_across_splits(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "pricing.csv")
+    n = 20000
+    with open(p, "w", encoding="utf-8") as f:
+        f.write("product_id,price,start_date,end_date,is_active\n")
+        for i in range(n):
+            f.write(f"{i},1.00,01-01-2024,31-12-2024,0\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        df = read_csv(spark, p, with_load_seq=True, spread_scan=False)
+        assert df.rdd.getNumPartitions() > 3
+        rows = df.select("product_id", "load_seq").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    in_order = [int(r.product_id) for r in sorted(rows, key=lambda r: (r.load_seq.file, r.load_seq.block,
+                                                                       r.load_seq.pos))]
+    assert in_order == list(range(n))
+
+
+def test_pipeline_reports_rows_loaded(spark, tmp_dir):
+    d = write_files(os.path.join(tmp_dir, "raw"))
+    res = run_pipeline(spark, d, os.path.join(tmp_dir, "wh"), as_of=dt.date(2024, 1, 1))
+    assert res.rows["raw_check_details"] == 6 and res.rows["raw_stores"] == 2

@@ -308,6 +308,7 @@ def _rejected(c: str, typed: str) -> str:
 
 ORACLE: dict[str, str] = {
     **{name: _q(f"SELECT {cols} FROM {name}") for name, cols in _STG_COLS.items()},
+    "stg_transactions_csv": _q(f"SELECT {_STG_COLS['stg_transactions']} FROM stg_transactions"),
     "dim_date": _q("SELECT * FROM dim_date"),
     "dim_products": _q("SELECT * FROM dim_products"),
     "dim_stores": _q("SELECT * FROM dim_stores"),

@@ -57,7 +57,9 @@ def stage_layer(spark: SparkSession, raw_dir: str, out_dir: str, res: RunResult)
     """
     rep = load_all(spark, raw_dir)
     res.skipped_sources = rep.skipped
-    raw = rep.loaded
+    raw, observed = {}, {}
+    for name, df in rep.loaded.items():
+        raw[name], observed[name] = sinks.with_metrics(df, name)
     out: dict[str, DataFrame] = {}
     builders = {
         "stg_stores": lambda: staging.stage_stores(raw["raw_stores"]),
@@ -79,6 +81,9 @@ def stage_layer(spark: SparkSession, raw_dir: str, out_dir: str, res: RunResult)
             missing = [s for s in STG_SOURCES[name] if s not in raw]
             raise FileNotFoundError(f"{name}: no source {missing} and no earlier table")
         res.tables[name] = path
+    # Rows loaded per raw feed, counted while the staging tables were written.
+    for name, obs in observed.items():
+        res.rows[name] = obs.get.get("rows", 0)
     return out
 
 

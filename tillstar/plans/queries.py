@@ -91,6 +91,26 @@ def _stg(name: str):
     return q
 
 
+def q_stg_transactions_csv(spark, sf_dir):
+    """Receipts through the CSV connector: the derived raw feeds are written
+    as CSV files (S8) in the shared folder, read back bound by header name
+    (S1, S2) and staged (J1).  Same result as staging the feeds directly."""
+    import os
+    import uuid
+
+    from ..session import shared_dir
+    from ..sources.csv_source import align_to_schema, export_csv, read_csv
+
+    w = Warehouse(spark, sf_dir)
+    base = f"{shared_dir(spark, fallback='/tmp/tillstar-checkpoints').rstrip('/')}/tillstar-csv/{uuid.uuid4().hex}"
+    feeds = {}
+    for name in ("raw_check_summary", "raw_check_details"):
+        path = os.path.join(base, name)
+        export_csv(w.raw[name], path)
+        feeds[name] = align_to_schema(read_csv(spark, path), list(RAW_LENGTHS[name]))
+    return staging.stage_transactions(feeds["raw_check_summary"], feeds["raw_check_details"])
+
+
 def q_dim_date(spark, sf_dir):
     return Warehouse(spark, sf_dir).dim_date
 
@@ -295,6 +315,7 @@ def q_flagship_sales(spark, sf_dir):
 
 QUERIES = {
     "stg_transactions": _stg("stg_transactions"),
+    "stg_transactions_csv": q_stg_transactions_csv,
     "stg_products": _stg("stg_products"),
     "stg_stores": _stg("stg_stores"),
     "stg_customers": _stg("stg_customers"),
