@@ -57,10 +57,14 @@ raw_pricing AS (
     r.a AS start_date, r.b AS end_date,
     CASE WHEN (r.seq = 4 AND p_partkey % 7 <> 0) OR r.seq = 5 THEN '1' ELSE '0' END AS is_active,
     r.seq AS load_seq
-  FROM part CROSS JOIN (VALUES (1, '01-01-1995', '30-06-1996'), (2, '01-07-1996', '31-12-1997'),
-                               (3, '01-01-1998', '30-06-1999'), (4, '01-07-1999', '31-12-2000'),
-                               (5, '01-06-2000', '31-12-2001')) r(seq, a, b)
-  WHERE p_partkey % 50 <> 0 AND (r.seq < 5 OR p_partkey % 11 = 0)),
+  FROM (SELECT p_partkey, p_retailprice,
+               unnest([{'seq': 1, 'a': '01-01-1995', 'b': '30-06-1996'},
+                       {'seq': 2, 'a': '01-07-1996', 'b': '31-12-1997'},
+                       {'seq': 3, 'a': '01-01-1998', 'b': '30-06-1999'},
+                       {'seq': 4, 'a': '01-07-1999', 'b': '31-12-2000'},
+                       {'seq': 5, 'a': '01-06-2000', 'b': '31-12-2001'}]) AS r
+        FROM part WHERE p_partkey % 50 <> 0)
+  WHERE r.seq < 5 OR p_partkey % 11 = 0),
 raw_promo AS (
   SELECT r.t AS promo_type, CAST(p_partkey AS VARCHAR) AS product_id,
     CASE WHEN r.seq = 1 THEN CAST(10 + p_partkey % 41 AS VARCHAR)
@@ -69,9 +73,10 @@ raw_promo AS (
     r.a AS start_date, r.b AS end_date,
     CASE WHEN r.seq = 2 AND p_partkey % 2 = 0 THEN '1' ELSE '0' END AS is_active,
     r.d AS description, r.seq AS load_seq
-  FROM part CROSS JOIN (VALUES (1, '10', '01-01-1996', '01-01-1998', ' Price of the week '),
-                               (2, '11', '01-01-1997', '01-01-1999', ' Black Friday ')) r(seq, t, a, b, d)
-  WHERE p_partkey % 5 = 0),
+  FROM (SELECT p_partkey,
+               unnest([{'seq': 1, 't': '10', 'a': '01-01-1996', 'b': '01-01-1998', 'd': ' Price of the week '},
+                       {'seq': 2, 't': '11', 'a': '01-01-1997', 'b': '01-01-1999', 'd': ' Black Friday '}]) AS r
+        FROM part WHERE p_partkey % 5 = 0)),
 raw_stores AS (
   SELECT CAST(s_suppkey AS VARCHAR) AS store_id,
     CASE s_suppkey % 3 WHEN 0 THEN 'hyper' WHEN 1 THEN 'super' ELSE 'to go' END AS format,
