@@ -85,3 +85,16 @@ def test_seed_member_fills_nulls(spark):
     t = spark.createDataFrame([(1, 10, "x")], "k int, id int, name string")
     out = keys.seed_member(t, {"k": -1, "id": -1}).orderBy("k").collect()
     assert tuple(out[0]) == (-1, -1, None)
+
+
+def test_assign_keys_spreads_copies(spark):
+    """A third of the rows are copies of one row: they still spread over
+    several partitions, and keys stay dense."""
+    df = spark.range(0, 3000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("nk"))
+    out = keys.assign_keys(df, "k", ["nk"], num_partitions=6)
+    per_part = out.where("nk = -1").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(per_part) >= 2
+    ks = sorted(r.k for r in out.collect())
+    assert ks == list(range(1, 3001))
+    first = [r.nk for r in out.orderBy("k").limit(1000).collect()]
+    assert first == [-1] * 1000

@@ -2,8 +2,9 @@
 
 ``assign_keys`` numbers rows 1..N (or from ``start``) in a total order
 without moving all rows into one task: the rows are range-partitioned on
-the order, sorted inside each partition, checkpointed so that every later
-read sees the same partitions, and then numbered as
+the order (copies of one row are spread by a tie-breaker), sorted inside
+each partition, checkpointed so that every later read sees the same
+partitions, and then numbered as
 
     key = start + (rows in earlier partitions) + (position in partition).
 
@@ -30,6 +31,23 @@ def _order(c) -> Column:
     return F.col(c).asc_nulls_last()
 
 
+def stable_ranges(df: DataFrame, order: list[Column], num_partitions: int) -> DataFrame:
+    """Range-partition and sort ``df`` on ``order`` with reliable checkpoints.
+
+    Rows equal in every ``order`` column (copies) cannot be separated by
+    range bounds, so a group of copies would land in one partition.  Each
+    row is therefore first tagged with a tie-breaker id, fixed by a
+    checkpoint, and the range partitioning uses ``order + [tie]``; copies
+    then spread over partitions like any other rows.  The second checkpoint
+    fixes the partitions themselves.  Returns the rows with column ``_tie``.
+    """
+    shared_dir(df.sparkSession, fallback="/tmp/tillstar-checkpoints")
+    tagged = df.withColumn("_tie", F.monotonically_increasing_id()).checkpoint(eager=True)
+    full = order + [F.col("_tie")]
+    return tagged.repartitionByRange(num_partitions, *full).sortWithinPartitions(*full) \
+                 .checkpoint(eager=True)
+
+
 def assign_keys(df: DataFrame, key_col: str, order_by: list, start: int = 1,
                 dtype: str = "bigint", num_partitions: int | None = None) -> DataFrame:
     """Dense keys ``start .. start+N-1`` following ``order_by``.
@@ -39,13 +57,11 @@ def assign_keys(df: DataFrame, key_col: str, order_by: list, start: int = 1,
     arbitrary.  The key column is placed first.
     """
     spark = df.sparkSession
-    shared_dir(spark, fallback="/tmp/tillstar-checkpoints")
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [_order(c) for c in order_by]
-    # Reliable checkpoint: the numbering below reads the partitions twice
-    # (counts, then keys); both reads must see identical partitions even if
-    # an executor is lost and upstream shuffles are recomputed.
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
+    # The numbering reads the partitions twice (counts, then keys); both
+    # reads see identical partitions, even after an executor loss.
+    ranged = stable_ranges(df, order, n)
     mid = F.monotonically_increasing_id()
     counts = dict(ranged.select(F.shiftright(mid, _POS_BITS).alias("p"))
                   .groupBy("p").count().collect())

@@ -5,7 +5,8 @@ holding a third of the table would then run in a single task.  Here the rows
 are range-partitioned on ``(key, order...)`` instead, so a hot key is cut
 into pieces across partitions:
 
-1. range-partition + sort + reliable checkpoint (stable partitions);
+1. range-partition + sort + reliable checkpoint (stable partitions; copies
+   of one row are spread by a tie-breaker, see ``keys.stable_ranges``);
 2. inside each partition, a window over ``(partition, key)`` gives the
    running maximum within the piece;
 3. one aggregate per partition - first key, and last key with the maximum
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import shared_dir
+from .keys import stable_ranges
 
 
 def running_max_before(df: DataFrame, key: str, order_cols: list[str], value: str,
@@ -29,10 +30,9 @@ def running_max_before(df: DataFrame, key: str, order_cols: list[str], value: st
     """Add ``out_col`` = max(``value``) over rows of the same ``key`` that come
     earlier in ``order_cols`` order (NULL for the first row of a key)."""
     spark = df.sparkSession
-    shared_dir(spark, fallback="/tmp/tillstar-checkpoints")
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(key).asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in order_cols]
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
+    ranged = stable_ranges(df, order, n)
     r = ranged.withColumn("_p", F.spark_partition_id())
 
     summary = (r.groupBy("_p").agg(
@@ -50,11 +50,12 @@ def running_max_before(df: DataFrame, key: str, order_cols: list[str], value: st
         else:
             run_key, run_max = lk, lv
 
-    w = (Window.partitionBy("_p", key).orderBy(*[F.col(c).asc_nulls_last() for c in order_cols])
+    w = (Window.partitionBy("_p", key)
+         .orderBy(*[F.col(c).asc_nulls_last() for c in order_cols], F.col("_tie"))
          .rowsBetween(Window.unboundedPreceding, -1))
     local = r.withColumn("_local", F.max(value).over(w))
     if not carries:
-        return local.withColumnRenamed("_local", out_col).drop("_p")
+        return local.withColumnRenamed("_local", out_col).drop("_p", "_tie")
     ktype = df.schema[key].dataType
     vtype = df.schema[value].dataType
     schema = T.StructType([T.StructField("_cp", T.IntegerType()), T.StructField("_ck", ktype),
@@ -62,4 +63,4 @@ def running_max_before(df: DataFrame, key: str, order_cols: list[str], value: st
     carry = F.broadcast(spark.createDataFrame(carries, schema))
     x = local.join(carry, (local["_p"] == carry["_cp"]) & (local[key] == carry["_ck"]), "left")
     return (x.withColumn(out_col, F.greatest(F.col("_local"), F.col("_cv")))
-            .drop("_p", "_local", "_cp", "_ck", "_cv"))
+            .drop("_p", "_tie", "_local", "_cp", "_ck", "_cv"))
