@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64m",
@@ -43,13 +44,18 @@ def shared_dir(spark: SparkSession, fallback: str | None = None) -> str:
     Read from ``spark.checkpoint.dir``; only when the cluster names none
     (local tests) is ``fallback`` installed as the checkpoint folder.
     """
-    d = spark.sparkContext.getCheckpointDir()
-    if d:
-        return d
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         if fallback is None:
             raise RuntimeError("spark.checkpoint.dir is not set and no fallback was given")
         d = fallback
-    spark.sparkContext.setCheckpointDir(d)
-    return spark.sparkContext.getCheckpointDir() or d
+    if sc is not None:
+        sc.setCheckpointDir(d)
+        return sc.getCheckpointDir() or d
+    return d
