@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clean as C
 from ..functions import dates as D
+from ..session import shared_dir
 from .keys import assign_keys, max_key, seed_member
 
 ID = "customer_id"
@@ -163,7 +164,10 @@ def scd2_apply(dim: DataFrame, stg: DataFrame, as_of, tracked: list[str] = ("cit
     New keys continue after the largest key in use: changed ids first, then
     new ids, each in id order.
     """
-    changed = scd2_changed(stg, dim, list(tracked), collation)
+    # Read by two steps (close, new versions): written once, like the
+    # source's temporary table, so the comparison join runs once.
+    shared_dir(dim.sparkSession, fallback="/tmp/tillstar-checkpoints")
+    changed = scd2_changed(stg, dim, list(tracked), collation).checkpoint(eager=True)
     closed = scd2_close(dim, changed, as_of)
     fresh = (scd2_versions(changed, as_of).withColumn("_batch", F.lit(0))
              .unionByName(scd2_new(stg, dim, as_of).withColumn("_batch", F.lit(1))))

@@ -74,8 +74,8 @@ raw_promo AS (
     CASE WHEN r.seq = 2 AND p_partkey % 2 = 0 THEN '1' ELSE '0' END AS is_active,
     r.d AS description, r.seq AS load_seq
   FROM (SELECT p_partkey,
-               unnest([{'seq': 1, 't': '10', 'a': '01-01-1996', 'b': '01-01-1998', 'd': ' Price of the week '},
-                       {'seq': 2, 't': '11', 'a': '01-01-1997', 'b': '01-01-1999', 'd': ' Black Friday '}]) AS r
+               unnest([{'seq': 1, 't': '10', 'a': '01-01-1996', 'b': '01-01-1998', 'd': ' Weekly deal '},
+                       {'seq': 2, 't': '11', 'a': '01-01-1997', 'b': '01-01-1999', 'd': ' Clearance '}]) AS r
         FROM part WHERE p_partkey % 5 = 0)),
 raw_stores AS (
   SELECT CAST(s_suppkey AS VARCHAR) AS store_id,

@@ -30,8 +30,8 @@ PRICE_PERIODS = [                # (seq, start, end) of the four price rows
 ]
 OVERLAP_PERIOD = (5, "01-06-2000", "31-12-2001")
 PROMO_ROWS = [                   # (seq, type, start, end, description)
-    (1, "10", "01-01-1996", "01-01-1998", " Price of the week "),
-    (2, "11", "01-01-1997", "01-01-1999", " Black Friday "),
+    (1, "10", "01-01-1996", "01-01-1998", " Weekly deal "),
+    (2, "11", "01-01-1997", "01-01-1999", " Clearance "),
 ]
 STORE_FORMATS = ["hyper", "super", "to go"]
 CHANGE_DATE = _dt.date(1998, 1, 1)   # day of the simulated past city change
