@@ -59,3 +59,22 @@ def shared_dir(spark: SparkSession, fallback: str | None = None) -> str:
         sc.setCheckpointDir(d)
         return sc.getCheckpointDir() or d
     return d
+
+
+def scale_conf(input_bytes: int, target_partition_bytes: int = 128 << 20,
+               max_partitions: int = 400_000) -> dict[str, str]:
+    """Partition settings for a run over ``input_bytes`` of raw input.
+
+    AQE coalesces shuffle partitions that are too small but does not split
+    ones that are too large (except skewed join partitions), so the initial
+    number must be sized from the input: ~``input / target`` partitions, of
+    which AQE merges the small ones toward the advisory size.  Scans use
+    256 MB splits.  Apply with ``spark.conf.set`` before building the plan.
+    """
+    n = max(200, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+    }
