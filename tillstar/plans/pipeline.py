@@ -94,20 +94,28 @@ def run_pipeline(spark: SparkSession, raw_dir: str, out_dir: str, as_of,
     stg = stage_layer(spark, raw_dir, out_dir, res)
     txn = stg["stg_transactions"]
 
-    dims = {
-        "dim_date": calendar.build_dim_date(txn),
-        "dim_products": mart.build_dim_products(stg["stg_products"]),
-        "dim_stores": mart.build_dim_stores(stg["stg_stores"]),
+    base = _p(out_dir, "mart", "dim_customers")
+    v = (latest_version(base) or 0) + 1
+    builders = {
+        "dim_date": lambda: calendar.build_dim_date(txn),
+        "dim_products": lambda: mart.build_dim_products(stg["stg_products"]),
+        "dim_stores": lambda: mart.build_dim_stores(stg["stg_stores"]),
     }
-    for name, df in dims.items():
-        dims[name] = sinks.materialize(df, _p(out_dir, "mart", name))
+
+    def build(name: str) -> DataFrame:
+        if name == "dim_customers":
+            cust = scd2.build_dim_customers(stg["stg_customers"], txn, as_of, changes)
+            res.tables[name] = write_version(cust, base, v)
+            return spark.read.parquet(res.tables[name])
         res.tables[name] = _p(out_dir, "mart", name)
+        return sinks.materialize(builders[name](), res.tables[name])
 
-    cust = scd2.build_dim_customers(stg["stg_customers"], txn, as_of, changes)
-    base = _p(out_dir, "mart", "dim_customers")
-    v = (latest_version(base) or 0) + 1
-    res.tables["dim_customers"] = write_version(cust, base, v)
-    dims["dim_customers"] = spark.read.parquet(res.tables["dim_customers"])
+    # The four dimensions are independent: build them as concurrent jobs.
+    from concurrent.futures import ThreadPoolExecutor
+
+    names = [*builders, "dim_customers"]
+    with ThreadPoolExecutor(len(names)) as pool:
+        dims = dict(zip(names, pool.map(build, names)))
 
     fct = mart.build_fct_sales(txn, dims["dim_date"], dims["dim_products"], dims["dim_stores"],
                                dims["dim_customers"])

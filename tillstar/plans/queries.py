@@ -74,8 +74,24 @@ class Warehouse:
     def stg_delta(self) -> DataFrame:
         return staging.stage_customers(TD.raw_customers_delta(self.spark, self.sf_dir))
 
+    def build_dims(self) -> None:
+        """Build the four dimensions as concurrent Spark jobs.
+
+        They are independent and each is a chain of small jobs (checkpoints,
+        counts); submitting them from a thread pool lets the scheduler run
+        them side by side instead of one after another.
+        """
+        from concurrent.futures import ThreadPoolExecutor
+
+        _ = self.stg, self.txn, self.changes          # built once, before the threads
+        names = ["dim_date", "dim_products", "dim_stores", "dim_customers"]
+        with ThreadPoolExecutor(len(names)) as pool:
+            for f in [pool.submit(getattr, self, n) for n in names]:
+                f.result()
+
     @cached_property
     def fct_sales(self) -> DataFrame:
+        self.build_dims()
         return mart.build_fct_sales(self.txn, self.dim_date, self.dim_products,
                                     self.dim_stores, self.dim_customers)
 
