@@ -90,3 +90,23 @@ def test_active_on(spark):
     df = spark.createDataFrame([(dt.date(2024, 1, 1), dt.date(2024, 1, 31))], "s date, e date")
     assert df.select(D.active_on("s", "e", dt.date(2024, 1, 31))).first()[0] is True
     assert df.select(D.active_on("s", "e", "2024-02-01")).first()[0] is False
+
+
+def test_strict_cast_raises(spark):
+    import pytest
+
+    if spark.conf.get("spark.sql.ansi.enabled") != "true":
+        pytest.skip("strict casts raise only in ANSI mode")
+    df = text_df(spark, ["x"], [("12",), ("x",)])
+    with pytest.raises(Exception):
+        df.select(C.to_int("x", on_error="fail")).collect()
+    assert df.where("x = '12'").select(C.to_int("x", on_error="fail")).first()[0] == 12
+
+
+def test_to_flag(spark):
+    assert one_col(spark, ["1", "0", " 1 ", "", None, "x"], C.to_flag("x")) == [True, False, True, None, None, None]
+
+
+def test_nan_to_null(spark):
+    df = spark.createDataFrame([(float("nan"),), (1.5,)], "v double")
+    assert [r[0] for r in df.select(C.nan_to_null("v")).collect()] == [None, 1.5]
