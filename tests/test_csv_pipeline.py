@@ -144,3 +144,20 @@ def test_pipeline_reports_rows_loaded(spark, tmp_dir):
     d = write_files(os.path.join(tmp_dir, "raw"))
     res = run_pipeline(spark, d, os.path.join(tmp_dir, "wh"), as_of=dt.date(2024, 1, 1))
     assert res.rows["raw_check_details"] == 6 and res.rows["raw_stores"] == 2
+
+
+def test_command_line(spark, tmp_dir, capsys):
+    import json
+
+    from tillstar.__main__ import main
+
+    d = write_files(os.path.join(tmp_dir, "raw"))
+    out = os.path.join(tmp_dir, "wh")
+    assert main(["run", "--raw", d, "--out", out, "--as-of", "2024-01-01"]) == 0
+    res = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert set(res["tables"]) >= {"fct_sales", "dim_customers", "stg_transactions"}
+    upd = write_files(os.path.join(tmp_dir, "upd"), {"customers.csv": "customer_id,city,birthday\n10000001,Odesa,\n"})
+    assert main(["delta", "--customers", os.path.join(upd, "customers.csv"), "--out", out,
+                 "--as-of", "2024-06-01"]) == 0
+    path = json.loads(capsys.readouterr().out.strip().splitlines()[-1])["dim_customers"]
+    assert path.endswith("v000002")
