@@ -36,3 +36,19 @@ def test_stream_applies_each_batch(spark, tmp_dir):
                    (dt.date(2024, 6, 1), dt.date(2024, 6, 30), "Kyiv", False),
                    (dt.date(2024, 7, 1), OPEN, "Kharkiv", True)]
     assert [r.customer_key for r in rows if r.customer_id == 2] == [3]
+
+
+def test_stream_feed_without_name_column(spark, tmp_dir):
+    base = os.path.join(tmp_dir, "dim_customers")
+    dim = spark.createDataFrame([
+        (0, None, "Guest Customer", "Unknown", None, dt.date(1900, 1, 1), OPEN, True)], DIM)
+    write_version(dim, base, 1)
+    landing = os.path.join(tmp_dir, "landing")
+    os.makedirs(landing)
+    with open(os.path.join(landing, "c.csv"), "w", encoding="utf-8") as f:
+        f.write("customer_id,city,birthday\n10000001,9999,\n")
+    q = start_customer_stream(spark, landing, base, os.path.join(tmp_dir, "ckpt"),
+                              lambda b: dt.date(2024, 6, 1), columns=("customer_id", "city", "birthday"))
+    q.awaitTermination(120)
+    rows = [r for r in spark.read.parquet(version_path(base, 2)).collect() if r.customer_id == 10000001]
+    assert [(r.name, r.city, r.customer_key) for r in rows] == [(None, "Online", 1)]

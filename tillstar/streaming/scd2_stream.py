@@ -19,9 +19,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import types as T
+
 from ..operators.scd2 import scd2_apply
 from ..operators.staging import stage_customers
-from ..sources.schemas import raw_schema
+from ..sources.csv_source import align_to_schema
+from ..sources.schemas import RAW_LENGTHS
 from ..sources.sinks import latest_version, version_path, write_version
 
 
@@ -41,7 +44,8 @@ def scd2_batch_writer(base: str, as_of_fn: Callable[[int], _dt.date] | None = No
             raise FileNotFoundError(f"no customer dimension under {base}")
         dim = spark.read.parquet(version_path(base, v))
         as_of = as_of_fn(batch_id) if as_of_fn else started
-        new = scd2_apply(dim, stage_customers(batch), as_of, tracked, collation)
+        raw = align_to_schema(batch, list(RAW_LENGTHS["raw_customers"]))
+        new = scd2_apply(dim, stage_customers(raw), as_of, tracked, collation)
         write_version(new, base, v + 1)
 
     return apply
@@ -50,10 +54,14 @@ def scd2_batch_writer(base: str, as_of_fn: Callable[[int], _dt.date] | None = No
 def start_customer_stream(spark: SparkSession, landing_dir: str, base: str,
                           checkpoint_location: str,
                           as_of_fn: Callable[[int], _dt.date] | None = None,
-                          available_now: bool = True):
-    """Watch ``landing_dir`` for customer CSV files (full raw header
-    ``customer_id,name,city,birthday``) and apply each batch."""
-    stream = (spark.readStream.schema(raw_schema("raw_customers"))
+                          available_now: bool = True,
+                          columns: tuple[str, ...] = ("customer_id", "name", "city", "birthday")):
+    """Watch ``landing_dir`` for customer CSV files whose header is
+    ``columns`` and apply each batch.  A streaming source needs its schema up
+    front; the feed's own layout (e.g. without ``name``) is given here and
+    each batch is bound to the table by column name, missing ones NULL."""
+    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
+    stream = (spark.readStream.schema(schema)
               .option("header", True).option("enforceSchema", False)
               .option("quote", '"').option("escape", '"').csv(landing_dir))
     w = (stream.writeStream.foreachBatch(scd2_batch_writer(base, as_of_fn))
