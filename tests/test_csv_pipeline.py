@@ -161,3 +161,20 @@ def test_command_line(spark, tmp_dir, capsys):
                  "--as-of", "2024-06-01"]) == 0
     path = json.loads(capsys.readouterr().out.strip().splitlines()[-1])["dim_customers"]
     assert path.endswith("v000002")
+
+
+def test_missing_source_keeps_previous_table(spark, tmp_dir):
+    out = os.path.join(tmp_dir, "wh")
+    first = write_files(os.path.join(tmp_dir, "raw1"))
+    run_pipeline(spark, first, out, as_of=dt.date(2024, 1, 1))
+    files = dict(FILES)
+    files.pop("promo.csv")
+    second = write_files(os.path.join(tmp_dir, "raw2"), files)
+    res = run_pipeline(spark, second, out, as_of=dt.date(2024, 1, 1))
+    assert res.skipped_sources == ["raw_promo"] and res.kept_tables == ["stg_promo"]
+    assert spark.read.parquet(res.tables["stg_promo"]).count() == 2
+    assert res.tables["dim_customers"].endswith("v000002")
+    files.pop("stores.csv")
+    third = write_files(os.path.join(tmp_dir, "raw3"), files)
+    with pytest.raises(FileNotFoundError):
+        run_pipeline(spark, third, os.path.join(tmp_dir, "fresh"), as_of=dt.date(2024, 1, 1))
