@@ -178,3 +178,16 @@ def test_missing_source_keeps_previous_table(spark, tmp_dir):
     third = write_files(os.path.join(tmp_dir, "raw3"), files)
     with pytest.raises(FileNotFoundError):
         run_pipeline(spark, third, os.path.join(tmp_dir, "fresh"), as_of=dt.date(2024, 1, 1))
+
+
+def test_latest_version_through_spark(spark, tmp_dir):
+    from tillstar.sources.sinks import latest_version, write_version
+
+    base = os.path.join(tmp_dir, "dim")
+    assert latest_version("file:" + base, spark) is None
+    df = spark.createDataFrame([(1,)], "a int")
+    write_version(df, base, 1)
+    write_version(df, base, 3)
+    os.makedirs(os.path.join(base, "v000007"))          # not committed: no _SUCCESS
+    assert latest_version("file:" + base, spark) == 3
+    assert latest_version(base, spark) == 3 and latest_version(base) == 3

@@ -44,8 +44,8 @@ def _p(out_dir: str, layer: str, name: str) -> str:
     return os.path.join(out_dir, layer, name)
 
 
-def _exists(path: str) -> bool:
-    return os.path.exists(os.path.join(path, "_SUCCESS"))
+def _exists(spark: SparkSession, path: str) -> bool:
+    return sinks.table_exists(spark, path)
 
 
 def stage_layer(spark: SparkSession, raw_dir: str, out_dir: str, res: RunResult) -> dict[str, DataFrame]:
@@ -74,7 +74,7 @@ def stage_layer(spark: SparkSession, raw_dir: str, out_dir: str, res: RunResult)
         path = _p(out_dir, "stg", name)
         if all(s in raw for s in STG_SOURCES[name]):
             out[name] = sinks.materialize(fn(), path)
-        elif _exists(path):
+        elif _exists(spark, path):
             out[name] = spark.read.parquet(path)
             res.kept_tables.append(name)
         else:
@@ -95,7 +95,7 @@ def run_pipeline(spark: SparkSession, raw_dir: str, out_dir: str, as_of,
     txn = stg["stg_transactions"]
 
     base = _p(out_dir, "mart", "dim_customers")
-    v = (latest_version(base) or 0) + 1
+    v = (latest_version(base, spark) or 0) + 1
     builders = {
         "dim_date": lambda: calendar.build_dim_date(txn),
         "dim_products": lambda: mart.build_dim_products(stg["stg_products"]),
@@ -133,7 +133,7 @@ def run_scd2_delta(spark: SparkSession, customers_csv: str, out_dir: str, as_of,
     raw = align_to_schema(read_csv(spark, customers_csv), list(RAW_LENGTHS["raw_customers"]))
     stg = staging.stage_customers(raw)
     base = _p(out_dir, "mart", "dim_customers")
-    v = latest_version(base)
+    v = latest_version(base, spark)
     if v is None:
         raise FileNotFoundError(f"no customer dimension under {base}")
     dim = spark.read.parquet(version_path(base, v))

@@ -39,7 +39,7 @@ def scd2_batch_writer(base: str, as_of_fn: Callable[[int], _dt.date] | None = No
         if batch.isEmpty():
             return
         spark = batch.sparkSession
-        v = latest_version(base)
+        v = latest_version(base, spark)
         if v is None:
             raise FileNotFoundError(f"no customer dimension under {base}")
         dim = spark.read.parquet(version_path(base, v))

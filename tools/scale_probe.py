@@ -14,6 +14,7 @@ import os
 import sys
 import tempfile
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -30,9 +31,10 @@ def main() -> None:
 
     spark = get_session("tillstar-scale", master="local[8]", shuffle_partitions=32,
                         extra={"spark.driver.memory": "16g"})
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tillstar-scale-ckpt-"))
-    out = tempfile.mkdtemp(prefix="tillstar-scale-")
+    from tillstar.session import shared_dir
+
+    base = shared_dir(spark, fallback=tempfile.mkdtemp(prefix="tillstar-scale-ckpt-"))
+    out = f"{base.rstrip('/')}/scale-{uuid.uuid4().hex}"
     feeds = TD.raw_feeds(spark, sf_dir)
     rep = F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("_r")
 
