@@ -191,3 +191,22 @@ def test_latest_version_through_spark(spark, tmp_dir):
     os.makedirs(os.path.join(base, "v000007"))          # not committed: no _SUCCESS
     assert latest_version("file:" + base, spark) == 3
     assert latest_version(base, spark) == 3 and latest_version(base) == 3
+
+
+def test_clustered_fact_layout(spark):
+    from pyspark.sql import functions as F
+
+    from tillstar.operators.mart import fact_layout
+
+    days = 60
+    fct = spark.range(30000).select(
+        # a third of the sales on one day
+        F.when(F.col("id") % 3 == 0, F.lit(20240101))
+         .otherwise(F.lit(20240101) + F.col("id") % days).cast("int").alias("date_key"),
+        F.col("id").alias("check_id"))
+    out = fact_layout(fct, clustered=True, num_partitions=6)
+    per_part = out.groupBy(F.spark_partition_id().alias("p")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("date_key").alias("lo"), F.max("date_key").alias("hi")).collect()
+    assert sum(r.n for r in per_part) == 30000
+    assert max(r.n for r in per_part) < 30000 / 3          # the hot day is split
+    assert len([r for r in per_part if r.lo == r.hi == 20240101]) >= 2

@@ -25,6 +25,8 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--raw", required=True)
     r.add_argument("--out", required=True)
     r.add_argument("--as-of", type=dt.date.fromisoformat, default=dt.date.today())
+    r.add_argument("--cluster-fact", action="store_true",
+                   help="range-partition the fact by date before writing")
     d = sub.add_parser("delta", help="apply a customer feed as an SCD2 delta")
     d.add_argument("--customers", required=True)
     d.add_argument("--out", required=True)
@@ -39,7 +41,7 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = get_session("tillstar", master=a.master)
     if a.cmd == "run":
-        res = run_pipeline(spark, a.raw, a.out, a.as_of)
+        res = run_pipeline(spark, a.raw, a.out, a.as_of, cluster_fact=a.cluster_fact)
         print(json.dumps({"tables": res.tables, "skipped_sources": res.skipped_sources,
                           "kept_tables": res.kept_tables, "rows": res.rows}))
     else:
