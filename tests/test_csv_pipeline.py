@@ -209,4 +209,4 @@ def test_clustered_fact_layout(spark):
         F.count(F.lit(1)).alias("n"), F.min("date_key").alias("lo"), F.max("date_key").alias("hi")).collect()
     assert sum(r.n for r in per_part) == 30000
     assert max(r.n for r in per_part) < 30000 / 3          # the hot day is split
-    assert len([r for r in per_part if r.lo == r.hi == 20240101]) >= 2
+    assert len([r for r in per_part if r.lo <= 20240101 <= r.hi]) >= 2   # hot day in several files
