@@ -79,3 +79,28 @@ def test_scd2_lookup_hot_customer_shuffle_equals_broadcast(spark):
     ra = sorted((r.line, r.customer_key) for r in a.collect())
     assert ra == sorted((r.line, r.customer_key) for r in b.collect())
     assert all(k == 0 for line, k in ra if line % 5 == 1 and line % 3 != 0)
+
+
+def test_bucketed_range_join_equals_plain(spark):
+    """A product holding most of the intervals: the bucketed range join gives
+    the same winners as the plain one, with and without fallback."""
+    import random
+
+    rnd = random.Random(3)
+    rows = []
+    for q in range(1500):
+        p = 7 if q % 3 else rnd.randint(0, 30)
+        s = dt.date(2023, 1, 1) + dt.timedelta(days=rnd.randint(0, 700))
+        e = s + dt.timedelta(days=rnd.choice([0, 1, 5, 40, 400]))
+        rows.append((p, Decimal(q), s, e, q))
+    pricing = spark.createDataFrame(rows, "product_id int, price decimal(10,2), start_date date, "
+                                          "end_date date, load_seq int")
+    lines = hot_lines(spark).withColumn("d", F.date_add(F.col("d"), F.col("line") % 600))
+    for fallback in (True, False):
+        a = temporal.first_effective(lines, pricing, "product_id", "d", ["price"], fallback_last=fallback,
+                                     max_intervals_per_key=10**9)          # plain range join
+        b = temporal.first_effective(lines, pricing, "product_id", "d", ["price"], fallback_last=fallback,
+                                     max_intervals_per_key=0, bucket_days=17)
+        ra = sorted((r.line, r.price) for r in a.collect())
+        assert ra == sorted((r.line, r.price) for r in b.collect())
+        assert any(p is not None for _, p in ra)

@@ -48,11 +48,50 @@ def lookup_scd2(facts: DataFrame, dim: DataFrame, fact_id: str, at, key_col: str
     return out.withColumn(key_col, key).drop("_probe", "_vid", "_vf", "_vt", "_vkey")
 
 
+# Above this many intervals on one key, the range join is bucketed by time.
+MAX_INTERVALS_PER_KEY = 64
+BUCKET_DAYS = 30
+
+
+def _covering(probes: DataFrame, t: DataFrame, how: str, max_per_key: int,
+              bucket_days: int) -> DataFrame:
+    """Join probe days ``(_k, _d)`` with the intervals ``[_s, _e]`` of their key.
+
+    A plain equi-join on the key compares every probe day of a key with every
+    interval of that key.  When some key holds more than ``max_per_key``
+    intervals (measured: one aggregate over the interval table), intervals are
+    clipped to the probes' date range and exploded into ``bucket_days``-wide
+    buckets; the equi-key becomes ``(key, bucket)``, so a probe day meets only
+    the intervals that touch its bucket.  A covering interval always contains
+    the probe's bucket, so each matching pair is produced exactly once.
+    """
+    cover = probes["_d"].between(t["_s"], t["_e"])
+    worst = t.groupBy("_tk").count().agg(F.max("count")).first()[0] or 0
+    if worst <= max_per_key:
+        return probes.join(t, (probes["_k"] == t["_tk"]) & cover, how)
+    lo, hi = probes.agg(F.min("_d"), F.max("_d")).first()
+    if lo is None:
+        return probes.join(t, (probes["_k"] == t["_tk"]) & cover, how)
+    lo_c, hi_c = F.lit(lo).cast("date"), F.lit(hi).cast("date")
+
+    def bucket(d):
+        return F.floor(F.datediff(d, lo_c) / bucket_days).cast("int")
+
+    tb = (t.where((t["_e"] >= lo_c) & (t["_s"] <= hi_c))
+          .withColumn("_b", F.explode(F.sequence(bucket(F.greatest("_s", lo_c)),
+                                                 bucket(F.least("_e", hi_c))))))
+    pb = probes.withColumn("_pb", bucket(F.col("_d")))
+    cond = (pb["_k"] == tb["_tk"]) & (pb["_pb"] == tb["_b"]) & pb["_d"].between(tb["_s"], tb["_e"])
+    return pb.join(tb, cond, how).drop("_pb", "_b")
+
+
 def first_effective(facts: DataFrame, table: DataFrame, fact_key: str, at: Column | str,
                     values: list[str], table_key: str | None = None,
                     start: str = "start_date", end: str = "end_date", seq: str = "load_seq",
                     fallback_last: bool = False, prefix: str = "",
-                    max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                    max_rows: int = BROADCAST_MAX_ROWS,
+                    max_intervals_per_key: int = MAX_INTERVALS_PER_KEY,
+                    bucket_days: int = BUCKET_DAYS) -> DataFrame:
     """Per fact row, the values of the first listed row of ``table`` whose
     ``[start, end]`` covers ``at``; NULL when none does, or, with
     ``fallback_last``, the values of the key's last listed row.
@@ -68,10 +107,10 @@ def first_effective(facts: DataFrame, table: DataFrame, fact_key: str, at: Colum
     t = table.select(F.col(table_key).alias("_tk"), F.col(start).alias("_s"),
                      F.col(end).alias("_e"), F.col(seq).alias("_q"),
                      F.struct(*[F.col(v) for v in values]).alias("_v"))
-    cover = (probes["_k"] == t["_tk"]) & probes["_d"].between(t["_s"], t["_e"])
     # min_by skips the NULL order of a probe without a covering row.
-    resolved = (probes.join(t, cover, "left" if fallback_last else "inner")
-                .groupBy("_k", "_d").agg(F.min_by("_v", "_q").alias("_v")))
+    pairs = _covering(probes, t, "left" if fallback_last else "inner",
+                      max_intervals_per_key, bucket_days)
+    resolved = pairs.groupBy("_k", "_d").agg(F.min_by("_v", "_q").alias("_v"))
     if fallback_last:
         last = t.groupBy("_tk").agg(F.max_by("_v", "_q").alias("_last"))
         resolved = (resolved.join(last, resolved["_k"] == last["_tk"], "left")
@@ -84,17 +123,17 @@ def first_effective(facts: DataFrame, table: DataFrame, fact_key: str, at: Colum
 
 
 def price_at(lines: DataFrame, pricing: DataFrame, at: Column | str,
-             product: str = "product_id", seq: str = "load_seq") -> DataFrame:
+             product: str = "product_id", seq: str = "load_seq", **kw) -> DataFrame:
     """List price of the product on the sale day (J10): the first listed
     price row covering the day, else the product's last listed price; a
     product without price rows gets NULL."""
     return first_effective(lines, pricing, product, at, ["price"], seq=seq,
-                           fallback_last=True, prefix="list_")
+                           fallback_last=True, prefix="list_", **kw)
 
 
 def promo_at(lines: DataFrame, promo: DataFrame, at: Column | str,
-             product: str = "product_id", seq: str = "load_seq") -> DataFrame:
+             product: str = "product_id", seq: str = "load_seq", **kw) -> DataFrame:
     """Promotion of the product on the sale day (J11); overlapping promos ->
     the first listed wins; none -> NULL."""
     return first_effective(lines, promo, product, at, ["promo_type", "discount_pct"],
-                           seq=seq, prefix="promo_")
+                           seq=seq, prefix="promo_", **kw)
