@@ -23,6 +23,7 @@ from ..functions import clean as C
 from ..functions import dates as D
 from ..session import shared_dir
 from .keys import assign_keys, max_key, seed_member
+from .lookups import BROADCAST_MAX_ROWS, sized_broadcast
 
 ID = "customer_id"
 KEY = "customer_key"
@@ -120,9 +121,16 @@ def scd2_changed(stg: DataFrame, dim: DataFrame, tracked: list[str] = ("city",),
     return x.where(diff).select(ID, *ATTRS)
 
 
-def scd2_close(dim: DataFrame, changed: DataFrame, as_of) -> DataFrame:
-    """Current versions of changed ids: not current, ``valid_to = as_of - 1``."""
+def scd2_close(dim: DataFrame, changed: DataFrame, as_of,
+               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Current versions of changed ids: not current, ``valid_to = as_of - 1``.
+
+    The distinct changed ids - usually a small share of a delta - are
+    broadcast after a count check, so the full dimension rows are not
+    shuffled; above the bound the join shuffles both sides on the id.
+    """
     hit = changed.select(F.col(ID).alias("_hid")).distinct().withColumn("_hit", F.lit(True))
+    hit = sized_broadcast(hit, max_rows)
     x = dim.join(hit, dim[ID] == hit["_hid"], "left")
     close = F.coalesce(F.col("_hit"), F.lit(False)) & F.col("is_current")
     return x.select(
@@ -152,7 +160,8 @@ def scd2_new(stg: DataFrame, dim: DataFrame, as_of) -> DataFrame:
     A staged NULL id never matches, so it is inserted on every run, as the
     source's LEFT JOIN ... IS NULL does.
     """
-    known = dim.select(F.col(ID).alias("_did"))
+    # Distinct ids: versions of one customer collapse before the shuffle.
+    known = dim.select(F.col(ID).alias("_did")).distinct()
     x = stg.join(known, stg[ID] == known["_did"], "left_anti")
     return _open_version(x.select(ID, *ATTRS), as_of)
 
