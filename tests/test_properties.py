@@ -18,11 +18,12 @@ SETTINGS = dict(max_examples=8, deadline=None, suppress_health_check=list(Health
 
 @settings(**SETTINGS)
 @given(st.lists(st.tuples(st.integers(0, 20), st.text("ab", max_size=2)), min_size=0, max_size=200),
-       st.integers(1, 7), st.integers(-5, 5))
-def test_assign_keys_matches_row_number(spark, rows, parts, start):
+       st.integers(1, 7), st.integers(-5, 5), st.sampled_from([0, 10**6]))
+def test_assign_keys_matches_row_number(spark, rows, parts, start, single):
     df = spark.createDataFrame(rows, "a int, b string")
     got = sorted((r.k, r.a, r.b) for r in assign_keys(df, "k", ["a", "b"], start=start,
-                                                      num_partitions=parts).collect())
+                                                      num_partitions=parts,
+                                                      single_task_rows=single).collect())
     want = sorted(rows)
     assert [k for k, _, _ in got] == list(range(start, start + len(rows)))
     assert [(a, b) for _, a, b in got] == want

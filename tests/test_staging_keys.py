@@ -61,7 +61,7 @@ def test_calendar_bounds_and_nulls(spark):
 
 def test_assign_keys_dense_and_ordered(spark):
     df = spark.range(0, 5000).select((F.col("id") * 7919 % 5000).alias("nk"), F.lit("x").alias("v"))
-    out = keys.assign_keys(df, "k", ["nk"], start=11, num_partitions=7)
+    out = keys.assign_keys(df, "k", ["nk"], start=11, num_partitions=7, single_task_rows=0)
     rows = out.collect()
     got = sorted((r.k, r.nk) for r in rows)
     assert [k for k, _ in got] == list(range(11, 5011))
@@ -70,9 +70,10 @@ def test_assign_keys_dense_and_ordered(spark):
 
 def test_assign_keys_with_nulls_last_and_empty(spark):
     df = spark.createDataFrame([(3,), (None,), (1,)], "nk int")
-    got = sorted((r.k, r.nk) for r in keys.assign_keys(df, "k", ["nk"]).collect())
-    assert got == [(1, 1), (2, 3), (3, None)]
-    assert keys.assign_keys(df.where("false"), "k", ["nk"]).count() == 0
+    for single in (0, 10):
+        got = sorted((r.k, r.nk) for r in keys.assign_keys(df, "k", ["nk"], single_task_rows=single).collect())
+        assert got == [(1, 1), (2, 3), (3, None)]
+        assert keys.assign_keys(df.where("false"), "k", ["nk"], single_task_rows=single).count() == 0
 
 
 def test_upsert_replaces_by_key(spark):
@@ -91,7 +92,7 @@ def test_assign_keys_spreads_copies(spark):
     """A third of the rows are copies of one row: they still spread over
     several partitions, and keys stay dense."""
     df = spark.range(0, 3000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("nk"))
-    out = keys.assign_keys(df, "k", ["nk"], num_partitions=6)
+    out = keys.assign_keys(df, "k", ["nk"], num_partitions=6, single_task_rows=0)
     per_part = out.where("nk = -1").groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert len(per_part) >= 2
     ks = sorted(r.k for r in out.collect())

@@ -1,7 +1,9 @@
 """Surrogate keys and reserved members.
 
-``assign_keys`` numbers rows 1..N (or from ``start``) in a total order
-without moving all rows into one task: the rows are range-partitioned on
+``assign_keys`` numbers rows 1..N (or from ``start``) in a total order.
+A table whose counted size is under a fixed bound is numbered by
+``row_number()`` in one task; a larger one without moving all rows into one
+task: the rows are range-partitioned on
 the order (copies of one row are spread by a tie-breaker), sorted inside
 each partition, checkpointed so that every later read sees the same
 partitions, and then numbered as
@@ -17,7 +19,7 @@ from __future__ import annotations
 
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
@@ -48,17 +50,32 @@ def stable_ranges(df: DataFrame, order: list[Column], num_partitions: int) -> Da
                  .checkpoint(eager=True)
 
 
+# At or under this many rows a dimension is numbered in one task.
+SINGLE_TASK_MAX_ROWS = 1_000_000
+
+
 def assign_keys(df: DataFrame, key_col: str, order_by: list, start: int = 1,
-                dtype: str = "bigint", num_partitions: int | None = None) -> DataFrame:
+                dtype: str = "bigint", num_partitions: int | None = None,
+                single_task_rows: int = SINGLE_TASK_MAX_ROWS) -> DataFrame:
     """Dense keys ``start .. start+N-1`` following ``order_by``.
 
     ``order_by`` should be a total order of the rows (ties only between
     identical rows), otherwise which of the tied rows gets which key is
     arbitrary.  The key column is placed first.
+
+    The rows are counted first.  Up to ``single_task_rows`` (a bound checked
+    by that count) ``row_number()`` over the order numbers them in one task:
+    one sort, deterministic on recomputation.  Above it, the distributed
+    numbering below runs.  Either way the result is a plan: a caller that
+    reads it several times should write it once (``sinks.stage_table``).
     """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [_order(c) for c in order_by]
+    if df.count() <= single_task_rows:
+        rn = F.row_number().over(Window.orderBy(*order))
+        key = (F.lit(start - 1) + rn).cast(dtype)
+        return df.select(key.alias(key_col), *[F.col(c) for c in df.columns])
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # The numbering reads the partitions twice (counts, then keys); both
     # reads see identical partitions, even after an executor loss.
     ranged = stable_ranges(df, order, n)

@@ -53,13 +53,15 @@ class Warehouse:
     def dim_date(self) -> DataFrame:
         return stage_table(calendar.build_dim_date(self.txn), "dim_date")
 
+    # Dimensions are tables read by several steps (lookups, counts, audits):
+    # each is written once to the shared folder, as the pipeline does.
     @cached_property
     def dim_products(self) -> DataFrame:
-        return mart.build_dim_products(self.stg["stg_products"])
+        return stage_table(mart.build_dim_products(self.stg["stg_products"]), "dim_products")
 
     @cached_property
     def dim_stores(self) -> DataFrame:
-        return mart.build_dim_stores(self.stg["stg_stores"])
+        return stage_table(mart.build_dim_stores(self.stg["stg_stores"]), "dim_stores")
 
     @cached_property
     def changes(self) -> DataFrame:
@@ -67,8 +69,8 @@ class Warehouse:
 
     @cached_property
     def dim_customers(self) -> DataFrame:
-        return scd2.build_dim_customers(self.stg["stg_customers"], self.txn,
-                                        TD.INIT_AS_OF, self.changes)
+        return stage_table(scd2.build_dim_customers(self.stg["stg_customers"], self.txn,
+                                                    TD.INIT_AS_OF, self.changes), "dim_customers")
 
     @cached_property
     def stg_delta(self) -> DataFrame:
