@@ -18,6 +18,9 @@ DEFAULT_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Checkpoints (key numbering, sweeps, the SCD2 change set) are removed
+    # from the shared folder once their DataFrames are garbage-collected.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
