@@ -57,10 +57,11 @@ def dims_and_feeds(draw):
 
 
 @settings(**SETTINGS)
-@given(dims_and_feeds())
-def test_scd2_apply_matches_statement_model(spark, case):
+@given(dims_and_feeds(), st.sampled_from([2_000_000, 0]))
+def test_scd2_apply_matches_statement_model(spark, case, max_rows):
     dim, stg = case
-    got = scd2.scd2_apply(spark.createDataFrame(dim, DIM), spark.createDataFrame(stg, STG), AS_OF)
+    got = scd2.scd2_apply(spark.createDataFrame(dim, DIM), spark.createDataFrame(stg, STG), AS_OF,
+                          max_rows=max_rows)
     assert sorted((tuple(r) for r in got.collect()), key=lambda r: r[0]) == model_scd2(dim, stg, AS_OF)
 
 

@@ -105,15 +105,25 @@ def build_dim_customers(customers: DataFrame, txn: DataFrame, as_of,
 # --- delta --------------------------------------------------------------
 
 
+def _small(stg: DataFrame, max_rows: int) -> bool:
+    return max_rows > 0 and stg.count() <= max_rows
+
+
 def scd2_changed(stg: DataFrame, dim: DataFrame, tracked: list[str] = ("city",),
-                 collation: str | None = None) -> DataFrame:
+                 collation: str | None = None, max_rows: int = BROADCAST_MAX_ROWS,
+                 small_feed: bool | None = None) -> DataFrame:
     """Staged rows whose current version differs in a tracked attribute.
 
-    NULL and '' are equal; attributes not tracked are ignored.
+    NULL and '' are equal; attributes not tracked are ignored.  A feed under
+    the broadcast bound (a streaming micro-batch, a daily delta) is
+    broadcast and the dimension streams past it without a shuffle.
     """
     cur = dim.where(F.col("is_current")).select(
         F.col(ID).alias("_did"), *[F.col(t).alias(f"_d_{t}") for t in tracked])
-    x = stg.join(cur, stg[ID] == cur["_did"], "inner")
+    if small_feed is None:
+        small_feed = _small(stg, max_rows)
+    s = F.broadcast(stg) if small_feed else stg
+    x = s.join(cur, s[ID] == cur["_did"], "inner")
     diff = None
     for t in tracked:
         c = C.changed(F.col(t), F.col(f"_d_{t}"), collation)
@@ -154,32 +164,45 @@ def scd2_versions(changed: DataFrame, as_of) -> DataFrame:
     return _open_version(changed, as_of)
 
 
-def scd2_new(stg: DataFrame, dim: DataFrame, as_of) -> DataFrame:
+def scd2_new(stg: DataFrame, dim: DataFrame, as_of, max_rows: int = BROADCAST_MAX_ROWS,
+             small_feed: bool | None = None) -> DataFrame:
     """Staged ids never seen in the dimension, valid from ``as_of``.
 
     A staged NULL id never matches, so it is inserted on every run, as the
-    source's LEFT JOIN ... IS NULL does.
+    source's LEFT JOIN ... IS NULL does.  For a feed under the broadcast
+    bound the dimension's ids are first reduced to those present in the
+    feed (a semi join against the broadcast feed ids, no dimension
+    shuffle); the anti join then runs between two small sides.
     """
+    known = dim.select(F.col(ID).alias("_did"))
+    if small_feed is None:
+        small_feed = _small(stg, max_rows)
+    if small_feed:
+        ids = F.broadcast(stg.select(F.col(ID).alias("_sid")).where(F.col("_sid").isNotNull()).distinct())
+        known = known.join(ids, known["_did"] == ids["_sid"], "left_semi")
     # Distinct ids: versions of one customer collapse before the shuffle.
-    known = dim.select(F.col(ID).alias("_did")).distinct()
+    known = known.distinct()
     x = stg.join(known, stg[ID] == known["_did"], "left_anti")
     return _open_version(x.select(ID, *ATTRS), as_of)
 
 
 def scd2_apply(dim: DataFrame, stg: DataFrame, as_of, tracked: list[str] = ("city",),
-               collation: str | None = None) -> DataFrame:
+               collation: str | None = None, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """The whole delta in one plan (D13): close, add new versions, add new ids.
 
     New keys continue after the largest key in use: changed ids first, then
-    new ids, each in id order.
+    new ids, each in id order.  With a feed under the broadcast bound (one
+    count) no step shuffles the dimension; a full restage uses shuffle joins
+    on the customer id.
     """
     # Read by two steps (close, new versions): written once, like the
     # source's temporary table, so the comparison join runs once.
     shared_dir(dim.sparkSession, fallback="/tmp/tillstar-checkpoints")
-    changed = scd2_changed(stg, dim, list(tracked), collation).checkpoint(eager=True)
-    closed = scd2_close(dim, changed, as_of)
+    small = _small(stg, max_rows)
+    changed = scd2_changed(stg, dim, list(tracked), collation, small_feed=small).checkpoint(eager=True)
+    closed = scd2_close(dim, changed, as_of, max_rows)
     fresh = (scd2_versions(changed, as_of).withColumn("_batch", F.lit(0))
-             .unionByName(scd2_new(stg, dim, as_of).withColumn("_batch", F.lit(1))))
+             .unionByName(scd2_new(stg, dim, as_of, small_feed=small).withColumn("_batch", F.lit(1))))
     order = [F.col("_batch")] + [F.col(c).asc_nulls_last() for c in [ID, "name", "city", "birthday"]]
     keyed = assign_keys(fresh, KEY, order, start=max_key(dim, KEY) + 1).drop("_batch")
     return closed.select(*DIM_COLS).unionByName(keyed.select(*DIM_COLS))
