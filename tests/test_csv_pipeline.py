@@ -210,3 +210,24 @@ def test_clustered_fact_layout(spark):
     assert sum(r.n for r in per_part) == 30000
     assert max(r.n for r in per_part) < 30000 / 3          # the hot day is split
     assert len([r for r in per_part if r.lo <= 20240101 <= r.hi]) >= 2   # hot day in several files
+
+
+def test_audit_report_command(spark, tmp_dir, capsys):
+    import json
+
+    from tillstar.__main__ import main
+
+    d = write_files(os.path.join(tmp_dir, "raw"))
+    out = os.path.join(tmp_dir, "wh")
+    assert main(["run", "--raw", d, "--out", out, "--as-of", "2024-01-01"]) == 0
+    capsys.readouterr()
+    assert main(["audit", "--out", out, "--raw", d]) == 0
+    rep = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert rep["raw_check_details.no_header"] == 1          # the line whose receipt is missing
+    assert rep["raw_check_details.negative:quantity"] == 1
+    assert rep["raw_check_details.negative:total_amount"] == 1
+    assert rep["dim_customers.one_current:customer_id"] == 0
+    assert rep["fct_sales.fk:product_key"] == 0
+    assert rep["stg_promo.overlap"] == 1                     # 15-03..15-04 starts inside 01-03..31-03
+    assert rep["stg_pricing.overlap"] == 0
+    assert rep["stg_transactions.promo_mismatch"] == 0      # the promo line matches its promo

@@ -32,7 +32,10 @@ def main(argv: list[str] | None = None) -> int:
     d.add_argument("--out", required=True)
     d.add_argument("--as-of", type=dt.date.fromisoformat, default=dt.date.today())
     d.add_argument("--collation", default=None)
-    for x in (r, d):
+    q = sub.add_parser("audit", help="data-quality report over a built warehouse")
+    q.add_argument("--out", required=True, help="warehouse folder written by `run`")
+    q.add_argument("--raw", default=None, help="raw CSV folder, for the raw-text rules")
+    for x in (r, d, q):
         x.add_argument("--master", default=None, help="e.g. local[8]; default: from spark-submit")
     a = p.parse_args(argv)
 
@@ -44,9 +47,17 @@ def main(argv: list[str] | None = None) -> int:
         res = run_pipeline(spark, a.raw, a.out, a.as_of, cluster_fact=a.cluster_fact)
         print(json.dumps({"tables": res.tables, "skipped_sources": res.skipped_sources,
                           "kept_tables": res.kept_tables, "rows": res.rows}))
-    else:
+    elif a.cmd == "delta":
         path = run_scd2_delta(spark, a.customers, a.out, a.as_of, collation=a.collation)
         print(json.dumps({"dim_customers": path}))
+    else:
+        from .plans.pipeline import read_warehouse
+        from .operators.audit import warehouse_report
+        from .sources.csv_source import load_all
+
+        raw = load_all(spark, a.raw).loaded if a.raw else None
+        rows = warehouse_report(read_warehouse(spark, a.out), raw).collect()
+        print(json.dumps({r.rule: r.n_bad for r in rows}))
     return 0
 
 

@@ -132,3 +132,50 @@ def audit_orphans(headers: DataFrame, lines: DataFrame, id_col: str = "check_id"
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
+
+
+def warehouse_report(tables: dict[str, DataFrame], raw: dict[str, DataFrame] | None = None) -> DataFrame:
+    """All audits over a built warehouse as one ``(rule, n_bad)`` table.
+
+    ``tables`` maps staging and mart table names to DataFrames (e.g. read
+    from the folders a pipeline run wrote); ``raw`` optionally adds the
+    rules that look at the raw text (negatives, lengths, rejects, orphans).
+    Each rule is its own small job; the union is one result.
+    """
+    from ..functions import clean as C
+    from ..functions import dates as D
+    from ..sources.schemas import NOT_NULL, RAW_LENGTHS
+
+    t = tables
+    parts = [
+        audit_unique(t["dim_products"], ["product_id"], "dim_products.unique:product_id"),
+        audit_unique(t["dim_stores"], ["store_id"], "dim_stores.unique:store_id"),
+        audit_unique(t["dim_customers"].where(F.col("is_current") & F.col("customer_id").isNotNull()),
+                     ["customer_id"], "dim_customers.one_current:customer_id"),
+        audit_unique(t["stg_pricing"].where(F.col("is_active")), ["product_id"],
+                     "stg_pricing.multi_active:product_id"),
+        *[audit_not_null(t[name], cols, name) for name, cols in NOT_NULL.items() if cols and name in t],
+        audit_fk(t["fct_sales"], "date_key", t["dim_date"], "date_key", "fct_sales.fk:date_key"),
+        audit_fk(t["fct_sales"], "product_key", t["dim_products"], "product_key", "fct_sales.fk:product_key"),
+        audit_fk(t["fct_sales"], "store_key", t["dim_stores"], "store_key", "fct_sales.fk:store_key"),
+        audit_fk(t["fct_sales"], "customer_key", t["dim_customers"], "customer_key",
+                 "fct_sales.fk:customer_key"),
+        *[audit_overlap(t[name], "product_id", "start_date", "end_date",
+                        "load_seq" if "load_seq" in t[name].columns else "end_date", f"{name}.overlap")
+          for name in ("stg_pricing", "stg_promo")],
+        audit_total(t["stg_transactions"]),
+    ]
+    if "load_seq" in t["stg_promo"].columns:
+        parts.append(audit_promo(t["stg_transactions"], t["stg_promo"]))
+    if raw:
+        parts += [
+            audit_negative(raw["raw_check_details"], ["unit_price", "quantity", "total_amount", "discount_abs"],
+                           "raw_check_details"),
+            audit_negative(raw["raw_promo"], ["discount_pct"], "raw_promo"),
+            *[audit_length(raw[name], RAW_LENGTHS[name], name) for name in RAW_LENGTHS if name in raw],
+            audit_rejects(raw["raw_check_summary"], {"datetime": D.to_datetime_dmy("datetime"),
+                                                     "customer_id": C.opt_int("customer_id", "bigint")},
+                          "raw_check_summary"),
+            audit_orphans(raw["raw_check_summary"], raw["raw_check_details"]),
+        ]
+    return union_all(parts)

@@ -129,6 +129,19 @@ def run_pipeline(spark: SparkSession, raw_dir: str, out_dir: str, as_of,
     return res
 
 
+def read_warehouse(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
+    """The staging and mart tables of a warehouse folder (newest customer version)."""
+    t = {n: spark.read.parquet(_p(out_dir, "stg", n)) for n in STG_SOURCES}
+    for n in ("dim_date", "dim_products", "dim_stores", "fct_sales"):
+        t[n] = spark.read.parquet(_p(out_dir, "mart", n))
+    base = _p(out_dir, "mart", "dim_customers")
+    v = latest_version(base, spark)
+    if v is None:
+        raise FileNotFoundError(f"no customer dimension under {base}")
+    t["dim_customers"] = spark.read.parquet(version_path(base, v))
+    return t
+
+
 def run_scd2_delta(spark: SparkSession, customers_csv: str, out_dir: str, as_of,
                    tracked: tuple[str, ...] = ("city",), collation: str | None = None) -> str:
     """Restage a customer feed and apply it to the newest customer
