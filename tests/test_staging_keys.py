@@ -99,3 +99,16 @@ def test_assign_keys_spreads_copies(spark):
     assert ks == list(range(1, 3001))
     first = [r.nk for r in out.orderBy("k").limit(1000).collect()]
     assert first == [-1] * 1000
+
+
+def test_assign_keys_deterministic_on_shuffled_input(spark):
+    """Input coming out of a shuffle (row order varies between runs): two
+    numberings through the distributed path give identical results."""
+    left = spark.range(0, 4000).select((F.col("id") % 997).alias("k"), (F.col("id") % 13).alias("a"))
+    right = spark.range(0, 997).select(F.col("id").alias("k"), (F.col("id") * 3).alias("b")).repartition(5)
+    joined = left.join(right, "k").select("k", "a", "b")
+    runs = [sorted(tuple(r) for r in keys.assign_keys(joined, "key", ["k", "a", "b"], num_partitions=6,
+                                                     single_task_rows=0).collect())
+            for _ in range(2)]
+    assert runs[0] == runs[1]
+    assert [r[0] for r in runs[0]] == list(range(1, 4001))
