@@ -86,3 +86,19 @@ def test_init_and_split(spark):
     assert [r.name for r in v[None]] == ["c", "Guest Customer"] or sorted(r.name for r in v[None]) == ["Guest Customer", "c"]
     cur = [r for r in dim.collect() if r.is_current and r.customer_id is not None]
     assert len(cur) == len({r.customer_id for r in cur})
+
+
+def test_tracked_attributes_and_collation(spark):
+    dim = spark.createDataFrame([
+        (0, None, "Guest Customer", "Unknown", None, dt.date(1900, 1, 1), OPEN, True),
+        (1, 1, "Ann", "Kyiv", None, D0, OPEN, True),
+        (2, 2, "Bob", "Lviv", None, D0, OPEN, True)], DIM_SCHEMA)
+    stg = spark.createDataFrame([(1, "Anna", "Kyiv", None), (2, "Bob", "LVIV ", None)], STG_SCHEMA)
+    # name tracked too: id 1 changes; binary comparison: id 2 changes (case, trailing space)
+    v = by_id(scd2.scd2_apply(dim, stg, AS_OF, tracked=("city", "name")))
+    assert [r.is_current for r in v[1]] == [False, True] and v[1][1].name == "Anna"
+    assert len(v[2]) == 2
+    # case- and trailing-space-insensitive comparison: id 2 is unchanged
+    v = by_id(scd2.scd2_apply(dim, stg, AS_OF, collation="UNICODE_CI_AI_RTRIM"))
+    assert len(v[2]) == 1 and v[2][0].city == "Lviv"
+    assert len(v[1]) == 1                      # only the city is tracked by default

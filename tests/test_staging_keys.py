@@ -112,3 +112,10 @@ def test_assign_keys_deterministic_on_shuffled_input(spark):
             for _ in range(2)]
     assert runs[0] == runs[1]
     assert [r[0] for r in runs[0]] == list(range(1, 4001))
+
+
+def test_upsert_composite_key(spark):
+    t = spark.createDataFrame([(1, "a", 10), (1, "b", 20), (2, "a", 30)], "k1 int, k2 string, v int")
+    rows = spark.createDataFrame([(1, "b", 21), (3, "c", 40)], "k1 int, k2 string, v int")
+    got = sorted(tuple(r) for r in keys.upsert(t, rows, ["k1", "k2"]).collect())
+    assert got == [(1, "a", 10), (1, "b", 21), (2, "a", 30), (3, "c", 40)]
