@@ -54,18 +54,22 @@ def build_dim_stores(stg_stores: DataFrame) -> DataFrame:
 
 def build_fct_sales(txn: DataFrame, dim_date: DataFrame, dim_products: DataFrame,
                     dim_stores: DataFrame, dim_customers: DataFrame,
-                    max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                    max_rows: int = BROADCAST_MAX_ROWS,
+                    customer_max_rows: int | None = None) -> DataFrame:
     """One row per receipt line with surrogate keys.
 
     Unknown product/store -> -1; no customer, an unknown one, or a sale
     outside every version -> Guest 0; an unparsable sale time -> NULL date.
+    ``customer_max_rows`` (default ``max_rows``) bounds the customer
+    dimension separately: it is the one that grows with the business.
     """
+    cmax = max_rows if customer_max_rows is None else customer_max_rows
     t = txn.withColumn("_day", D.to_day("transaction_datetime"))
     t = lookup_key(t, dim_date, "_day", "full_date", "date_key", max_rows=max_rows)
     t = lookup_key(t, dim_products, "product_id", "product_id", "product_key", -1, max_rows)
     t = lookup_key(t, dim_stores, "store_id", "store_id", "store_key", -1, max_rows)
     t = lookup_scd2(t, dim_customers, "customer_id", "_day", "customer_key", 0,
-                    spread_cols=["check_id"], max_rows=max_rows)
+                    spread_cols=["check_id"], max_rows=cmax)
     return t.select(*FACT_COLS)
 
 
@@ -87,7 +91,8 @@ def fact_layout(fct: DataFrame, clustered: bool = False, num_partitions: int | N
 
 
 def sales_by_city_at_sale(fct: DataFrame, dim_date: DataFrame, dim_products: DataFrame,
-                          dim_customers: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                          dim_customers: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                          customer_max_rows: int | None = None) -> DataFrame:
     """Mart query (D17): lines, quantity and revenue by year, product
     category and the customer's city *at the time of the sale*.
 
@@ -101,7 +106,7 @@ def sales_by_city_at_sale(fct: DataFrame, dim_date: DataFrame, dim_products: Dat
     dd = sized_broadcast(dim_date.select("date_key", "year"), max_rows)
     dp = sized_broadcast(dim_products.select("product_key", "category"), max_rows)
     dc = dim_customers.select("customer_key", "city")
-    small = dc.count() <= max_rows
+    small = dc.count() <= (max_rows if customer_max_rows is None else customer_max_rows)
     x = fct.join(dd, "date_key", "left").join(dp, "product_key", "left")
     aggs = [F.count(F.lit(1)).alias("n_lines"), F.sum("quantity").alias("total_qty"),
             F.sum("total_amount").alias("total_amount")]
