@@ -119,3 +119,15 @@ def test_upsert_composite_key(spark):
     rows = spark.createDataFrame([(1, "b", 21), (3, "c", 40)], "k1 int, k2 string, v int")
     got = sorted(tuple(r) for r in keys.upsert(t, rows, ["k1", "k2"]).collect())
     assert got == [(1, "a", 10), (1, "b", 21), (2, "a", 30), (3, "c", 40)]
+
+
+def test_hash_sample_fraction_and_repeatability(spark):
+    from tillstar.operators.sampling import hash_sample
+
+    df = spark.range(0, 20000).select(F.col("id").alias("cid"))
+    for method in ("md5", "xxhash"):
+        a = hash_sample(df, "cid", 0.3, salt="s", method=method)
+        n = a.count()
+        assert 5400 < n < 6600
+        assert sorted(r.cid for r in a.collect()) == sorted(
+            r.cid for r in hash_sample(df, "cid", 0.3, salt="s", method=method).collect())

@@ -18,6 +18,17 @@ def hash_bucket(id_col: str, salt: str = "") -> F.Column:
     return F.substring(F.md5(F.concat(F.lit(salt), F.col(id_col).cast("string"))), 1, 4)
 
 
-def hash_sample(df: DataFrame, id_col: str, fraction: float, salt: str = "") -> DataFrame:
+def hash_sample(df: DataFrame, id_col: str, fraction: float, salt: str = "",
+                method: str = "md5") -> DataFrame:
+    """Rows whose id hashes below ``fraction`` of the hash range.
+
+    ``method="md5"`` gives the same sample in any engine with md5 (used by
+    the cross-engine check); ``method="xxhash"`` uses Spark's cheaper
+    ``xxhash64`` and is reproducible across Spark runs only.
+    """
+    keep = F.col(id_col).isNotNull()
+    if method == "xxhash":
+        bucket = F.pmod(F.xxhash64(F.lit(salt), F.col(id_col)), F.lit(65536))
+        return df.where(keep & (bucket < F.lit(int(fraction * 65536))))
     threshold = f"{int(fraction * 65536):04x}"
-    return df.where(F.col(id_col).isNotNull() & (hash_bucket(id_col, salt) < F.lit(threshold)))
+    return df.where(keep & (hash_bucket(id_col, salt) < F.lit(threshold)))
