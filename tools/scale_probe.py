@@ -58,10 +58,13 @@ def main() -> None:
         os.path.join(out, "stg_transactions")))
     stg = staging.stage_all(feeds)
     dd = step("dim_date", lambda: sinks.materialize(calendar.build_dim_date(txn), os.path.join(out, "dd")))
-    dp = step("dim_products", lambda: mart.build_dim_products(stg["stg_products"]))
-    ds = step("dim_stores", lambda: mart.build_dim_stores(stg["stg_stores"]))
-    dc = step("dim_customers", lambda: scd2.build_dim_customers(
-        stg["stg_customers"], txn, TD.INIT_AS_OF, TD.customer_changes(spark, sf_dir)))
+    # Dimensions written like the pipeline writes them.
+    dp = step("dim_products", lambda: sinks.materialize(
+        mart.build_dim_products(stg["stg_products"]), os.path.join(out, "dp")))
+    ds = step("dim_stores", lambda: sinks.materialize(
+        mart.build_dim_stores(stg["stg_stores"]), os.path.join(out, "ds")))
+    dc = step("dim_customers", lambda: sinks.materialize(scd2.build_dim_customers(
+        stg["stg_customers"], txn, TD.INIT_AS_OF, TD.customer_changes(spark, sf_dir)), os.path.join(out, "dc")))
     fct = step("fct_sales", lambda: sinks.materialize(
         mart.build_fct_sales(txn, dd, dp, ds, dc), os.path.join(out, "fct"), sort_within=["date_key"]))
     step("flagship", lambda: mart.sales_by_city_at_sale(fct, dd, dp, dc)
