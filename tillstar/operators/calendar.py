@@ -1,6 +1,6 @@
 """Calendar dimension.
 
-The reference generates days with a recursive CTE; here one aggregate finds
+The source generates days with a recursive CTE; here one aggregate finds
 the first and last sale day and ``sequence`` + ``explode`` emits the days.
 The output size is bounded by the number of days in the range, not by the
 number of sales.
