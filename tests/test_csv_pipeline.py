@@ -231,3 +231,37 @@ def test_audit_report_command(spark, tmp_dir, capsys):
     assert rep["stg_promo.overlap"] == 1                     # 15-03..15-04 starts inside 01-03..31-03
     assert rep["stg_pricing.overlap"] == 0
     assert rep["stg_transactions.promo_mismatch"] == 0      # the promo line matches its promo
+
+
+def test_golden_mart_tables_exact(spark, tmp_dir):
+    """Every mart table of the seven small CSVs, row for row (hand-derived)."""
+    from decimal import Decimal as Dc
+
+    d = write_files(os.path.join(tmp_dir, "raw"))
+    res = run_pipeline(spark, d, os.path.join(tmp_dir, "wh"), as_of=dt.date(2024, 1, 1))
+
+    def rows(name):
+        return sorted(tuple(r) for r in spark.read.parquet(res.tables[name]).collect())
+
+    assert rows("dim_stores") == [(-1, -1, "Unknown", "Unknown", "Unknown"),
+                                  (1, 100, "super", "Lviv", "Lviv region"),
+                                  (2, 101, "hyper", "Kyiv", "Kyiv region"),
+                                  (3, 9999, "Online", "Online", "Online")]
+    assert rows("dim_products") == [(-1, -1, "Unknown", None, None, None),
+                                    (1, 100001, 'Milk "Fresh"', "l", "Dairy", Dc("12.00")),
+                                    (2, 100002, "Bread", "pcs", "Bakery", Dc("5.00"))]
+    open_end = dt.date(9999, 12, 31)
+    assert sorted(rows("dim_customers"), key=lambda r: r[0]) == [
+        (0, None, "Guest Customer", "Unknown", None, dt.date(1900, 1, 1), open_end, True),
+        (1, 10000001, None, "Lviv", dt.date(1990, 2, 1), dt.date(2023, 3, 1), open_end, True),
+        (2, 10000002, None, "Online", None, dt.date(2024, 1, 1), open_end, True),
+        (3, 10000003, None, "Kyiv", dt.date(1985, 6, 5), dt.date(2023, 8, 1), open_end, True)]
+    dd = rows("dim_date")
+    assert len(dd) == 155 and dd[0][:2] == (20230301, dt.date(2023, 3, 1)) and dd[-1][0] == 20230802
+    q = Dc("1.0000")
+    assert rows("fct_sales") == sorted([
+        (20230301, 1, 1, 1, 100000000000, Dc("2.0000"), Dc("10.0000"), Dc("20.0000"), Dc("0.0000")),
+        (20230320, 1, 3, 0, 100000000001, q, Dc("10.0000"), Dc("8.0000"), Dc("2.0000")),
+        (20230320, 2, 3, 0, 100000000001, Dc("0.0000"), Dc("5.0000"), Dc("0.0000"), Dc("0.0000")),
+        (20230801, 2, 2, 3, 100000000002, q, Dc("5.0000"), Dc("5.0000"), Dc("0.0000")),
+        (20230802, -1, 2, 0, 100000000003, q, q, q, Dc("0.0000"))])
