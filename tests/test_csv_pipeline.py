@@ -265,3 +265,17 @@ def test_golden_mart_tables_exact(spark, tmp_dir):
         (20230320, 2, 3, 0, 100000000001, Dc("0.0000"), Dc("5.0000"), Dc("0.0000"), Dc("0.0000")),
         (20230801, 2, 2, 3, 100000000002, q, Dc("5.0000"), Dc("5.0000"), Dc("0.0000")),
         (20230802, -1, 2, 0, 100000000003, q, q, q, Dc("0.0000"))])
+
+
+def test_stream_command(spark, tmp_dir, capsys):
+    from tillstar.__main__ import main
+    from tillstar.sources.sinks import latest_version
+
+    d = write_files(os.path.join(tmp_dir, "raw"))
+    out = os.path.join(tmp_dir, "wh")
+    assert main(["run", "--raw", d, "--out", out, "--as-of", "2024-01-01"]) == 0
+    landing = os.path.join(tmp_dir, "landing")
+    write_files(landing, {"c.csv": "customer_id,city,birthday\n10000001,Odesa,\n"})
+    assert main(["stream", "--landing", landing, "--out", out, "--checkpoint",
+                 os.path.join(tmp_dir, "ckpt"), "--columns", "customer_id,city,birthday"]) == 0
+    assert latest_version(os.path.join(out, "mart", "dim_customers"), spark) == 2

@@ -32,10 +32,17 @@ def main(argv: list[str] | None = None) -> int:
     d.add_argument("--out", required=True)
     d.add_argument("--as-of", type=dt.date.fromisoformat, default=dt.date.today())
     d.add_argument("--collation", default=None)
+    w = sub.add_parser("stream", help="apply customer files landing in a folder as SCD2 deltas")
+    w.add_argument("--landing", required=True, help="folder the customer CSV files arrive in")
+    w.add_argument("--out", required=True, help="warehouse folder written by `run`")
+    w.add_argument("--checkpoint", required=True, help="stream checkpoint folder (shared storage)")
+    w.add_argument("--columns", default="customer_id,name,city,birthday",
+                   help="header layout of the landing files")
+    w.add_argument("--continuous", action="store_true", help="keep running (default: process what is there)")
     q = sub.add_parser("audit", help="data-quality report over a built warehouse")
     q.add_argument("--out", required=True, help="warehouse folder written by `run`")
     q.add_argument("--raw", default=None, help="raw CSV folder, for the raw-text rules")
-    for x in (r, d, q):
+    for x in (r, d, w, q):
         x.add_argument("--master", default=None, help="e.g. local[8]; default: from spark-submit")
     a = p.parse_args(argv)
 
@@ -47,6 +54,16 @@ def main(argv: list[str] | None = None) -> int:
         res = run_pipeline(spark, a.raw, a.out, a.as_of, cluster_fact=a.cluster_fact)
         print(json.dumps({"tables": res.tables, "skipped_sources": res.skipped_sources,
                           "kept_tables": res.kept_tables, "rows": res.rows}))
+    elif a.cmd == "stream":
+        import os
+
+        from .streaming.scd2_stream import start_customer_stream
+
+        query = start_customer_stream(spark, a.landing, os.path.join(a.out, "mart", "dim_customers"),
+                                      a.checkpoint, available_now=not a.continuous,
+                                      columns=tuple(a.columns.split(",")))
+        query.awaitTermination()
+        print(json.dumps({"stream": "done"}))
     elif a.cmd == "delta":
         path = run_scd2_delta(spark, a.customers, a.out, a.as_of, collation=a.collation)
         print(json.dumps({"dim_customers": path}))
