@@ -279,3 +279,17 @@ def test_stream_command(spark, tmp_dir, capsys):
     assert main(["stream", "--landing", landing, "--out", out, "--checkpoint",
                  os.path.join(tmp_dir, "ckpt"), "--columns", "customer_id,city,birthday"]) == 0
     assert latest_version(os.path.join(out, "mart", "dim_customers"), spark) == 2
+
+
+def test_delta_retry_over_aborted_version(spark, tmp_dir):
+    """A leftover folder of an aborted write (no committed data) does not
+    block the retried delta."""
+    d = write_files(os.path.join(tmp_dir, "raw"))
+    out = os.path.join(tmp_dir, "wh")
+    run_pipeline(spark, d, out, as_of=dt.date(2024, 1, 1))
+    leftover = os.path.join(out, "mart", "dim_customers", "v000002", "_temporary", "0")
+    os.makedirs(leftover)
+    upd = write_files(os.path.join(tmp_dir, "upd"), {"customers.csv": "customer_id,city,birthday\n10000001,Odesa,\n"})
+    p2 = run_scd2_delta(spark, os.path.join(upd, "customers.csv"), out, dt.date(2024, 6, 1))
+    assert p2.endswith("v000002")
+    assert sorted(r.city for r in spark.read.parquet(p2).collect() if r.customer_id == 10000001) == ["Lviv", "Odesa"]

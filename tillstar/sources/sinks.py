@@ -99,8 +99,15 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def write_version(df: DataFrame, base: str, version: int) -> str:
+    """Write ``df`` as version ``version`` under ``base``.
+
+    Callers take ``version`` as one past the newest *committed* version, so
+    the folder is either new or the leftover of an aborted attempt (a lost
+    executor, a retried micro-batch); overwriting it makes the retry
+    succeed.  Committed versions are never rewritten.
+    """
     p = version_path(base, version)
-    df.write.mode("errorifexists").parquet(p)
+    df.write.mode("overwrite").parquet(p)
     return p
 
 
