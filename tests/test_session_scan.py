@@ -25,3 +25,13 @@ def test_spread_only_when_too_few_partitions(spark):
 def test_shared_dir_reads_the_session(spark):
     d = shared_dir(spark)
     assert d and d == spark.sparkContext.getCheckpointDir()
+
+
+def test_range_count_follows_rows(spark):
+    from tillstar.operators.keys import ROWS_PER_RANGE, range_count
+
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert range_count(spark, 10) == 1
+    assert range_count(spark, 3 * ROWS_PER_RANGE + 1) == min(cap, 4)
+    assert range_count(spark, 10**12) == cap
+    assert range_count(spark, 10, num_partitions=7) == 7

@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from ..session import shared_dir
 
 _POS_BITS = 33
+# Rows per range partition when a dimension is numbered or swept in ranges.
+ROWS_PER_RANGE = 1_000_000
 
 
 def _order(c) -> Column:
@@ -33,7 +35,18 @@ def _order(c) -> Column:
     return F.col(c).asc_nulls_last()
 
 
-def stable_ranges(df: DataFrame, order: list[Column], num_partitions: int) -> DataFrame:
+def range_count(spark, rows: int, num_partitions: int | None = None) -> int:
+    """Range partitions for ``rows`` rows: ~``ROWS_PER_RANGE`` each, at most
+    the session's shuffle width, unless given explicitly.  Keeps the
+    per-partition summaries that reach the driver small even when the
+    shuffle width is sized for a 100 TB fact."""
+    if num_partitions:
+        return num_partitions
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(cap, -(-rows // ROWS_PER_RANGE)))
+
+
+def stable_ranges(df: DataFrame, order: list[Column], num_partitions: int | None = None) -> DataFrame:
     """Range-partition and sort ``df`` on ``order`` with reliable checkpoints.
 
     Rows equal in every ``order`` column (copies) cannot be separated by
@@ -45,6 +58,8 @@ def stable_ranges(df: DataFrame, order: list[Column], num_partitions: int) -> Da
     """
     shared_dir(df.sparkSession, fallback="/tmp/tillstar-checkpoints")
     tagged = df.withColumn("_tie", F.monotonically_increasing_id()).checkpoint(eager=True)
+    if num_partitions is None:
+        num_partitions = range_count(df.sparkSession, tagged.count())
     full = order + [F.col("_tie")]
     return tagged.repartitionByRange(num_partitions, *full).sortWithinPartitions(*full) \
                  .checkpoint(eager=True)
@@ -71,11 +86,12 @@ def assign_keys(df: DataFrame, key_col: str, order_by: list, start: int = 1,
     """
     spark = df.sparkSession
     order = [_order(c) for c in order_by]
-    if df.count() <= single_task_rows:
+    rows = df.count()
+    if rows <= single_task_rows:
         rn = F.row_number().over(Window.orderBy(*order))
         key = (F.lit(start - 1) + rn).cast(dtype)
         return df.select(key.alias(key_col), *[F.col(c) for c in df.columns])
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = range_count(spark, rows, num_partitions)
     # The numbering reads the partitions twice (counts, then keys); both
     # reads see identical partitions, even after an executor loss.
     ranged = stable_ranges(df, order, n)

@@ -30,9 +30,8 @@ def running_max_before(df: DataFrame, key: str, order_cols: list[str], value: st
     """Add ``out_col`` = max(``value``) over rows of the same ``key`` that come
     earlier in ``order_cols`` order (NULL for the first row of a key)."""
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(key).asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in order_cols]
-    ranged = stable_ranges(df, order, n)
+    ranged = stable_ranges(df, order, num_partitions)
     r = ranged.withColumn("_p", F.spark_partition_id())
 
     summary = (r.groupBy("_p").agg(
