@@ -293,3 +293,16 @@ def test_delta_retry_over_aborted_version(spark, tmp_dir):
     p2 = run_scd2_delta(spark, os.path.join(upd, "customers.csv"), out, dt.date(2024, 6, 1))
     assert p2.endswith("v000002")
     assert sorted(r.city for r in spark.read.parquet(p2).collect() if r.customer_id == 10000001) == ["Lviv", "Odesa"]
+
+
+def test_command_line_input_bytes(spark, tmp_dir, capsys):
+    from tillstar.__main__ import main
+
+    d = write_files(os.path.join(tmp_dir, "raw"))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert main(["run", "--raw", d, "--out", os.path.join(tmp_dir, "wh"), "--as-of", "2024-01-01",
+                     "--input-bytes", str(1 << 30)]) == 0
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "200"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)

@@ -27,6 +27,8 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--as-of", type=dt.date.fromisoformat, default=dt.date.today())
     r.add_argument("--cluster-fact", action="store_true",
                    help="range-partition the fact by date before writing")
+    r.add_argument("--input-bytes", type=int, default=None,
+                   help="size of the raw input; sizes shuffle and scan partitions (session.scale_conf)")
     d = sub.add_parser("delta", help="apply a customer feed as an SCD2 delta")
     d.add_argument("--customers", required=True)
     d.add_argument("--out", required=True)
@@ -47,9 +49,12 @@ def main(argv: list[str] | None = None) -> int:
     a = p.parse_args(argv)
 
     from .plans.pipeline import run_pipeline, run_scd2_delta
-    from .session import get_session
+    from .session import get_session, scale_conf
 
     spark = get_session("tillstar", master=a.master)
+    if getattr(a, "input_bytes", None):
+        for k, v in scale_conf(a.input_bytes).items():
+            spark.conf.set(k, v)
     if a.cmd == "run":
         res = run_pipeline(spark, a.raw, a.out, a.as_of, cluster_fact=a.cluster_fact)
         print(json.dumps({"tables": res.tables, "skipped_sources": res.skipped_sources,
