@@ -306,3 +306,14 @@ def test_command_line_input_bytes(spark, tmp_dir, capsys):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "200"
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_built_tables_follow_contracts(spark, tmp_dir):
+    from tillstar.sources.schemas import MART, STG
+
+    d = write_files(os.path.join(tmp_dir, "raw"))
+    res = run_pipeline(spark, d, os.path.join(tmp_dir, "wh"), as_of=dt.date(2024, 1, 1))
+    for name, contract in {**STG, **MART}.items():
+        got = [(f.name, f.dataType.simpleString()) for f in spark.read.parquet(res.tables[name]).schema.fields
+               if f.name != "load_seq"]
+        assert got == [(f.name, f.dataType.simpleString()) for f in contract.fields], name
