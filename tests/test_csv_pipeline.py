@@ -317,3 +317,15 @@ def test_built_tables_follow_contracts(spark, tmp_dir):
         got = [(f.name, f.dataType.simpleString()) for f in spark.read.parquet(res.tables[name]).schema.fields
                if f.name != "load_seq"]
         assert got == [(f.name, f.dataType.simpleString()) for f in contract.fields], name
+
+
+def test_enforced_rules(spark, tmp_dir):
+    from tillstar.plans.pipeline import ConstraintViolation
+
+    d = write_files(os.path.join(tmp_dir, "raw"))
+    res = run_pipeline(spark, d, os.path.join(tmp_dir, "ok"), as_of=dt.date(2024, 1, 1),
+                       enforce=("fct_sales.fk:", "dim_customers.one_current", "dim_stores.unique"))
+    assert "audit_report" in res.tables
+    with pytest.raises(ConstraintViolation, match="stg_promo.overlap"):
+        run_pipeline(spark, d, os.path.join(tmp_dir, "bad"), as_of=dt.date(2024, 1, 1),
+                     enforce=("stg_promo.overlap",))

@@ -27,6 +27,8 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--as-of", type=dt.date.fromisoformat, default=dt.date.today())
     r.add_argument("--cluster-fact", action="store_true",
                    help="range-partition the fact by date before writing")
+    r.add_argument("--enforce", action="append", default=[],
+                   help="audit rule prefix that must have no bad rows, e.g. fct_sales.fk: (repeatable)")
     r.add_argument("--input-bytes", type=int, default=None,
                    help="size of the raw input; sizes shuffle and scan partitions (session.scale_conf)")
     d = sub.add_parser("delta", help="apply a customer feed as an SCD2 delta")
@@ -56,7 +58,8 @@ def main(argv: list[str] | None = None) -> int:
         for k, v in scale_conf(a.input_bytes).items():
             spark.conf.set(k, v)
     if a.cmd == "run":
-        res = run_pipeline(spark, a.raw, a.out, a.as_of, cluster_fact=a.cluster_fact)
+        res = run_pipeline(spark, a.raw, a.out, a.as_of, cluster_fact=a.cluster_fact,
+                           enforce=tuple(a.enforce))
         print(json.dumps({"tables": res.tables, "skipped_sources": res.skipped_sources,
                           "kept_tables": res.kept_tables, "rows": res.rows}))
     elif a.cmd == "stream":

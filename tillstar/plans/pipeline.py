@@ -87,12 +87,20 @@ def stage_layer(spark: SparkSession, raw_dir: str, out_dir: str, res: RunResult)
     return out
 
 
+class ConstraintViolation(RuntimeError):
+    """An enforced audit rule found bad rows."""
+
+
 def run_pipeline(spark: SparkSession, raw_dir: str, out_dir: str, as_of,
-                 changes: DataFrame | None = None, cluster_fact: bool = False) -> RunResult:
+                 changes: DataFrame | None = None, cluster_fact: bool = False,
+                 enforce: tuple[str, ...] = ()) -> RunResult:
     """Full rebuild: staging, dimensions (customer version 1), fact.
 
     ``cluster_fact`` range-partitions the fact by date before writing (see
     ``mart.fact_layout``): one more shuffle, files that date filters skip.
+    ``enforce`` lists audit rule prefixes (e.g. ``"fct_sales.fk:"``) that
+    act like the source's table constraints: the audit report is written to
+    ``audit/report`` and the run fails if any enforced rule has bad rows.
     """
     res = RunResult()
     stg = stage_layer(spark, raw_dir, out_dir, res)
@@ -126,6 +134,16 @@ def run_pipeline(spark: SparkSession, raw_dir: str, out_dir: str, as_of,
     path = _p(out_dir, "mart", "fct_sales")
     sinks.materialize(mart.fact_layout(fct, clustered=cluster_fact), path)
     res.tables["fct_sales"] = path
+    if enforce:
+        from ..operators.audit import warehouse_report
+
+        report = sinks.materialize(warehouse_report(read_warehouse(spark, out_dir)),
+                                   _p(out_dir, "audit", "report"))
+        res.tables["audit_report"] = _p(out_dir, "audit", "report")
+        bad = {r.rule: r.n_bad for r in report.where("n_bad > 0").collect()
+               if any(r.rule.startswith(e) for e in enforce)}
+        if bad:
+            raise ConstraintViolation(f"enforced rules violated: {bad}")
     return res
 
 
