@@ -94,10 +94,36 @@ def load_all(spark: SparkSession, directory: str, catalog: dict[str, str] | None
     return rep
 
 
-def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write a DataFrame as CSV with a header, the raw files' format.
-
-    Dates and datetimes should be formatted first (``dates.fmt_dmy``).
+def to_raw_format(df: DataFrame) -> DataFrame:
+    """Columns as the raw files write them: dates dd-mm-yyyy, datetimes
+    dd-mm-yyyy hh:mm, decimals with two places, booleans as 1/0 (T22, T29)."""
+    from pyspark.sql import types as T
+
+    from ..functions.clean import fmt2
+    from ..functions.dates import fmt_dmy, fmt_dmy_hm
+
+    out = []
+    for f in df.schema.fields:
+        c = F.col(f.name)
+        if isinstance(f.dataType, T.DateType):
+            c = fmt_dmy(c)
+        elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
+            c = fmt_dmy_hm(c)
+        elif isinstance(f.dataType, T.DecimalType):
+            c = fmt2(c)
+        elif isinstance(f.dataType, T.BooleanType):
+            c = c.cast("int")
+        out.append(c.cast("string").alias(f.name))
+    return df.select(*out)
+
+
+def export_csv(df: DataFrame, path: str, mode: str = "overwrite", raw_format: bool = False) -> None:
+    """Write a DataFrame as CSV with a header.
+
+    ``raw_format`` formats dates, datetimes, decimals and flags the way the
+    raw feeds carry them (``to_raw_format``).
     """
+    if raw_format:
+        df = to_raw_format(df)
     (df.write.mode(mode).option("header", True).option("quote", '"')
      .option("escape", '"').option("encoding", "UTF-8").csv(path))
