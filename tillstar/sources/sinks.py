@@ -18,6 +18,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+# Rows per output file at most: a large or skewed write task splits its
+# output into several files instead of one giant file (no shuffle).
+MAX_RECORDS_PER_FILE = 20_000_000
+
+
 def materialize(df: DataFrame, path: str, partition_by: list[str] | None = None,
                 sort_within: list[str] | None = None, mode: str = "overwrite") -> DataFrame:
     """DROP + CREATE TABLE AS SELECT (S4, S5, S9): write, then read back.
@@ -28,7 +33,7 @@ def materialize(df: DataFrame, path: str, partition_by: list[str] | None = None,
     w = df
     if sort_within:
         w = w.sortWithinPartitions(*sort_within)
-    writer = w.write.mode(mode)
+    writer = w.write.mode(mode).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -107,7 +112,7 @@ def write_version(df: DataFrame, base: str, version: int) -> str:
     succeed.  Committed versions are never rewritten.
     """
     p = version_path(base, version)
-    df.write.mode("overwrite").parquet(p)
+    df.write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(p)
     return p
 
 
