@@ -131,6 +131,7 @@ def audit_orphans(headers: DataFrame, lines: DataFrame, id_col: str = "check_id"
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
+    """UNION ALL of rule tables."""
     return reduce(DataFrame.unionByName, frames)
 
 

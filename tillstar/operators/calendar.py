@@ -27,6 +27,7 @@ def calendar(bounds: DataFrame, lo: str = "min_date", hi: str = "max_date") -> D
 
 
 def date_attributes(days: DataFrame, c: str = "full_date") -> DataFrame:
+    """Calendar columns of each day: key yyyymmdd, weekday (Sunday = 1), names, month, quarter, year."""
     d = F.col(c)
     return days.select(
         D.date_key(d).alias("date_key"),

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 
 def hash_bucket(id_col: str, salt: str = "") -> F.Column:
+    """First four hex digits of md5(salt || id)."""
     return F.substring(F.md5(F.concat(F.lit(salt), F.col(id_col).cast("string"))), 1, 4)
 
 

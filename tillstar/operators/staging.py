@@ -36,6 +36,7 @@ def stage_stores(raw: DataFrame) -> DataFrame:
 
 
 def stage_customers(raw: DataFrame) -> DataFrame:
+    """Typed customers: id, trimmed name, city with 9999 -> Online, birthday."""
     return raw.select(
         C.to_int("customer_id", "bigint").alias("customer_id"),
         F.trim("name").alias("name"),
@@ -45,6 +46,7 @@ def stage_customers(raw: DataFrame) -> DataFrame:
 
 
 def stage_pricing(raw: DataFrame) -> DataFrame:
+    """Typed price intervals: DECIMAL(10,2) price, dates, active flag; keeps load order."""
     return raw.select(
         C.to_int("product_id").alias("product_id"),
         C.to_decimal("price", 10, 2).alias("price"),
@@ -56,6 +58,7 @@ def stage_pricing(raw: DataFrame) -> DataFrame:
 
 
 def stage_promo(raw: DataFrame) -> DataFrame:
+    """Typed promotions: percentage clamped to >= 0, dates, flag, trimmed text."""
     return raw.select(
         C.opt_int("promo_type").alias("promo_type"),
         C.to_int("product_id").alias("product_id"),
@@ -79,6 +82,7 @@ def with_current_price(products: DataFrame, pricing: DataFrame) -> DataFrame:
 
 
 def stage_products(raw: DataFrame, stg_pricing: DataFrame) -> DataFrame:
+    """Typed, trimmed products with their current (active) price."""
     typed = raw.select(
         C.to_int("product_id").alias("product_id"),
         F.trim("name").alias("name"),

@@ -34,6 +34,8 @@ STG_SOURCES = {
 
 @dataclass
 class RunResult:
+    """Paths written, sources skipped, tables kept from an earlier run, rows loaded."""
+
     tables: dict[str, str] = field(default_factory=dict)
     skipped_sources: list[str] = field(default_factory=list)
     kept_tables: list[str] = field(default_factory=list)

@@ -27,6 +27,7 @@ DEFAULT_CONF = {
 def get_session(app: str = "tillstar", master: str | None = None,
                 shuffle_partitions: int | None = None,
                 extra: dict[str, str] | None = None) -> SparkSession:
+    """A session with ``DEFAULT_CONF`` applied (an existing one is reused)."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)

@@ -63,6 +63,8 @@ def align_to_schema(df: DataFrame, columns: list[str], keep: list[str] = ()) ->
 
 @dataclass
 class LoadReport:
+    """Feeds loaded (table name -> DataFrame) and feeds whose file was missing."""
+
     loaded: dict[str, DataFrame] = field(default_factory=dict)
     skipped: list[str] = field(default_factory=list)
 

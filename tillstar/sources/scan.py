@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over ``min_partitions`` (default: the cores) only if it has fewer."""
     try:
         want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
         have = df.rdd.getNumPartitions()
@@ -23,5 +24,6 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
 
 
 def read_parquet(spark: SparkSession, path: str, spread_scan: bool = True) -> DataFrame:
+    """Parquet scan, spread when it would start in fewer tasks than cores."""
     df = spark.read.parquet(path)
     return spread(df) if spread_scan else df

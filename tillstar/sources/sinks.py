@@ -65,6 +65,7 @@ _VERSION = re.compile(r"^v(\d+)$")
 
 
 def version_path(base: str, version: int) -> str:
+    """Folder of version ``version`` under ``base`` (``v000001``, ...)."""
     return os.path.join(base, f"v{version:06d}")
 
 
