@@ -186,23 +186,58 @@ def scd2_new(stg: DataFrame, dim: DataFrame, as_of, max_rows: int = BROADCAST_MA
     return _open_version(x.select(ID, *ATTRS), as_of)
 
 
+def _classify(stg: DataFrame, dim: DataFrame, tracked: list[str],
+              collation: str | None) -> tuple[DataFrame, DataFrame]:
+    """Changed and new rows of a large feed from one shuffle of the feed.
+
+    The dimension side holds each current version ``(id, tracked...)`` and
+    one marker row per id that has only closed versions.  One LEFT join of
+    the feed with it gives both answers: a feed row matching a current
+    version with a different tracked value is changed (one row per such
+    version, as the source's join gives); a feed row matching nothing is
+    new; a feed row matching only a marker is neither.  The join result is
+    checkpointed and read twice.
+    """
+    cur = dim.where(F.col("is_current")).select(
+        F.col(ID).alias("_did"), *[F.col(t).alias(f"_d_{t}") for t in tracked],
+        F.lit(True).alias("_cur"))
+    closed_only = (dim.groupBy(ID).agg(F.max(F.col("is_current").cast("int")).alias("_m"))
+                   .where(F.col("_m") == 0)
+                   .select(F.col(ID).alias("_did"),
+                           *[F.lit(None).cast(dim.schema[t].dataType).alias(f"_d_{t}") for t in tracked],
+                           F.lit(False).alias("_cur")))
+    side = cur.unionByName(closed_only)
+    j = stg.join(side, stg[ID] == side["_did"], "left").checkpoint(eager=True)
+    diff = None
+    for t in tracked:
+        c = C.changed(F.col(t), F.col(f"_d_{t}"), collation)
+        diff = c if diff is None else (diff | c)
+    changed = j.where(F.col("_cur") & diff).select(ID, *ATTRS)
+    new = j.where(F.col("_did").isNull()).select(ID, *ATTRS)
+    return changed, new
+
+
 def scd2_apply(dim: DataFrame, stg: DataFrame, as_of, tracked: list[str] = ("city",),
                collation: str | None = None, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """The whole delta in one plan (D13): close, add new versions, add new ids.
 
     New keys continue after the largest key in use: changed ids first, then
     new ids, each in id order.  With a feed under the broadcast bound (one
-    count) no step shuffles the dimension; a full restage uses shuffle joins
-    on the customer id.
+    count) no step shuffles the dimension; a larger feed (a full restage)
+    is shuffled once, classified by ``_classify``.
     """
     # Read by two steps (close, new versions): written once, like the
     # source's temporary table, so the comparison join runs once.
     shared_dir(dim.sparkSession, fallback="/tmp/tillstar-checkpoints")
-    small = _small(stg, max_rows)
-    changed = scd2_changed(stg, dim, list(tracked), collation, small_feed=small).checkpoint(eager=True)
+    if _small(stg, max_rows):
+        changed = scd2_changed(stg, dim, list(tracked), collation, small_feed=True).checkpoint(eager=True)
+        new = scd2_new(stg, dim, as_of, small_feed=True)
+    else:
+        changed, new = _classify(stg, dim, list(tracked), collation)
+        new = _open_version(new, as_of)
     closed = scd2_close(dim, changed, as_of, max_rows)
     fresh = (scd2_versions(changed, as_of).withColumn("_batch", F.lit(0))
-             .unionByName(scd2_new(stg, dim, as_of, small_feed=small).withColumn("_batch", F.lit(1))))
+             .unionByName(new.withColumn("_batch", F.lit(1))))
     order = [F.col("_batch")] + [F.col(c).asc_nulls_last() for c in [ID, "name", "city", "birthday"]]
     keyed = assign_keys(fresh, KEY, order, start=max_key(dim, KEY) + 1).drop("_batch")
     return closed.select(*DIM_COLS).unionByName(keyed.select(*DIM_COLS))
