@@ -102,3 +102,13 @@ def test_tracked_attributes_and_collation(spark):
     v = by_id(scd2.scd2_apply(dim, stg, AS_OF, collation="UNICODE_CI_AI_RTRIM"))
     assert len(v[2]) == 1 and v[2][0].city == "Lviv"
     assert len(v[1]) == 1                      # only the city is tracked by default
+
+
+def test_large_feed_null_flag_counts_as_existing(spark):
+    dim = spark.createDataFrame([
+        (0, None, "Guest Customer", "Unknown", None, dt.date(1900, 1, 1), OPEN, True),
+        (1, 1, "a", "A", None, D0, OPEN, None)], DIM_SCHEMA)
+    stg = spark.createDataFrame([(1, "a", "B", None)], STG_SCHEMA)
+    for max_rows in (2_000_000, 0):
+        out = scd2.scd2_apply(dim, stg, AS_OF, max_rows=max_rows)
+        assert out.count() == 2          # id 1 exists: neither changed (no current row) nor new

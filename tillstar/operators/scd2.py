@@ -201,7 +201,10 @@ def _classify(stg: DataFrame, dim: DataFrame, tracked: list[str],
     cur = dim.where(F.col("is_current")).select(
         F.col(ID).alias("_did"), *[F.col(t).alias(f"_d_{t}") for t in tracked],
         F.lit(True).alias("_cur"))
-    closed_only = (dim.groupBy(ID).agg(F.max(F.col("is_current").cast("int")).alias("_m"))
+    # An id with no current version (a NULL flag counts as not current) still
+    # exists: it gets a marker, so its feed rows are not taken for new ids.
+    flag = F.coalesce(F.col("is_current"), F.lit(False)).cast("int")
+    closed_only = (dim.groupBy(ID).agg(F.max(flag).alias("_m"))
                    .where(F.col("_m") == 0)
                    .select(F.col(ID).alias("_did"),
                            *[F.lit(None).cast(dim.schema[t].dataType).alias(f"_d_{t}") for t in tracked],
