@@ -92,3 +92,32 @@ def test_first_effective_matches_list_model(spark, intervals, lines, fallback, p
     got = {r.line: r.price for r in out.collect()}
     want = {i: model_first(rows, p, base + dt.timedelta(days=d), fallback) for i, (p, d) in enumerate(lines)}
     assert got == want
+
+
+def model_overlaps(rows):
+    """Count intervals that start on or before the end of an earlier one of the same product."""
+    n = 0
+    for p in {r[0] for r in rows}:
+        ivs = sorted((r for r in rows if r[0] == p),
+                     key=lambda r: (r[1], r[2] is None, r[2] if r[2] is not None else 0, r[3]))
+        for i, r in enumerate(ivs):
+            ends = [q[2] for q in ivs[:i] if q[2] is not None]
+            if ends and max(ends) >= r[1]:
+                n += 1
+    return n
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.tuples(st.sampled_from([1, 1, 1, 2, 3]), st.integers(0, 50),
+                          st.one_of(st.none(), st.integers(0, 60)), st.integers(0, 10**6)),
+                max_size=60, unique_by=lambda r: r[3]),
+       st.sampled_from([None, 4]))
+def test_overlap_audit_matches_model(spark, rows, parts):
+    from tillstar.operators.audit import audit_overlap
+
+    base = dt.date(2024, 1, 1)
+    data = [(p, base + dt.timedelta(days=s), None if e is None else base + dt.timedelta(days=s + e), q)
+            for p, s, e, q in rows]
+    df = spark.createDataFrame(data, "product_id int, start_date date, end_date date, load_seq int")
+    got = audit_overlap(df, "product_id", "start_date", "end_date", "load_seq", "o", num_partitions=parts)
+    assert got.first().n_bad == model_overlaps(data)
