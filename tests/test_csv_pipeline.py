@@ -346,3 +346,16 @@ def test_raw_format_export_roundtrip(spark, tmp_dir):
     text = "".join(open(os.path.join(out, f), encoding="utf-8").read()
                    for f in sorted(os.listdir(out)) if f.endswith(".csv"))
     assert "01-07-2023" in text and "12.00" in text
+
+
+def test_unused_feed_does_not_block_metrics(spark, tmp_dir):
+    """pricing.csv missing, products.csv present: products is loaded but its
+    staging table is kept from the earlier run; the run must still finish."""
+    out = os.path.join(tmp_dir, "wh")
+    run_pipeline(spark, write_files(os.path.join(tmp_dir, "raw1")), out, as_of=dt.date(2024, 1, 1))
+    files = dict(FILES)
+    files.pop("pricing.csv")
+    res = run_pipeline(spark, write_files(os.path.join(tmp_dir, "raw2"), files), out,
+                       as_of=dt.date(2024, 1, 1))
+    assert set(res.kept_tables) == {"stg_pricing", "stg_products"}
+    assert "raw_products" not in res.rows and res.rows["raw_check_details"] == 6

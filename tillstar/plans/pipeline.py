@@ -72,10 +72,12 @@ def stage_layer(spark: SparkSession, raw_dir: str, out_dir: str, res: RunResult)
         "stg_transactions": lambda: staging.stage_transactions(raw["raw_check_summary"],
                                                                raw["raw_check_details"]),
     }
+    used: set[str] = set()
     for name, fn in builders.items():
         path = _p(out_dir, "stg", name)
         if all(s in raw for s in STG_SOURCES[name]):
             out[name] = sinks.materialize(fn(), path)
+            used.update(STG_SOURCES[name])
         elif _exists(spark, path):
             out[name] = spark.read.parquet(path)
             res.kept_tables.append(name)
@@ -84,8 +86,11 @@ def stage_layer(spark: SparkSession, raw_dir: str, out_dir: str, res: RunResult)
             raise FileNotFoundError(f"{name}: no source {missing} and no earlier table")
         res.tables[name] = path
     # Rows loaded per raw feed, counted while the staging tables were written.
+    # Only feeds that were written through are read: an observation of a
+    # DataFrame that never ran would wait forever.
     for name, obs in observed.items():
-        res.rows[name] = obs.get.get("rows", 0)
+        if name in used:
+            res.rows[name] = obs.get.get("rows", 0)
     return out
 
 
@@ -176,4 +181,5 @@ def run_scd2_delta(spark: SparkSession, customers_csv: str, out_dir: str, as_of,
     return write_version(scd2.scd2_apply(dim, stg, as_of, tracked, collation), base, v + 1)
 
 
-__all__ = ["run_pipeline", "run_scd2_delta", "stage_layer", "RunResult", "SOURCE_FILES"]
+__all__ = ["run_pipeline", "run_scd2_delta", "read_warehouse", "stage_layer", "RunResult",
+           "ConstraintViolation", "SOURCE_FILES"]
