@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, quality, sharding, toxicity, url_tree
+from . import ann, chat, packing, quality, sharding, toxicity, url_tree
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,15 @@ def op2_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.maximal_conversations(_table(spark, sf_dir, "conversations"))
 
 
+def op3_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 20 = 0"))
+
+
+def op5_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
 def op8_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.interleaved_shards(_table(spark, sf_dir, "documents"))
 
@@ -52,7 +61,8 @@ def op10_toxicity_nnpu(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_cotraining, op2_chat_snapshots, op8_interleaved_shards, op9_url_templates, op10_toxicity_nnpu)}
+    op1_quality_cotraining, op2_chat_snapshots, op3_adaptive_scan, op5_cost_packing,
+    op8_interleaved_shards, op9_url_templates, op10_toxicity_nnpu)}
 
 ORACLE: dict[str, str] = {
     "op2_chat_snapshots": """
