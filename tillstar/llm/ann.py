@@ -206,16 +206,19 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "
             end = np.append(start[1:], len(which))
             qs, qids = _matrix(right.column("v").combine_chunks(), d), right.column("id").to_numpy()
             qy = np.column_stack([qs, np.zeros(len(qs))]) @ turn
-            # A few rows from all over the shard give every query its first bound.
-            some = y[::max(1, len(y) // 512)]
-            best = np.full(len(qs), np.inf)
-            if len(some) > k:
-                near = (some * some).sum(1) - 2 * (qy @ some.T)
-                best = np.partition(near, k, axis=1)[:, k] + (qy * qy).sum(1)
+            # A few rows from all over the shard give every query its first
+            # bound; the nearest of them count as found.
+            step = max(1, len(y) // 512)
+            some = y[::step]
+            near = (some * some).sum(1) - 2 * (qy @ some.T)
+            best, first = np.full(len(qs), np.inf), np.arange(len(some))[None].repeat(len(qs), 0)
+            if len(some) > k + 1:
+                first = np.argpartition(near, k, axis=1)[:, :k + 1]
+                best = np.take_along_axis(near, first, 1).max(1) + (qy * qy).sum(1)
             probes = right.column("lists").combine_chunks()
             of = np.repeat(np.arange(len(qs)), np.diff(probes.offsets.to_numpy()))
             flat = probes.flatten().to_numpy()
-            rows_of: list[list[np.ndarray]] = [[] for _ in range(len(qs))]
+            rows_of = [[x * step] for x in first]
             for i, which_list in enumerate(lists):
                 who = of[flat == which_list]
                 for lo in range(0, len(who), 512):
@@ -225,7 +228,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "
                         rows_of[a].append(rows + start[i])
                     best[some] = limit
             for a in range(len(qs)):
-                rows = np.concatenate(rows_of[a]) if rows_of[a] else np.empty(0, np.int64)
+                rows = np.unique(np.concatenate(rows_of[a]))
                 rows = rows[ids[rows] != qids[a]]
                 s = (xs[rows] * qs[a]).sum(1)
                 top = np.lexsort((ids[rows], -s))[:k]
