@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, packing, quality, sharding, toxicity, url_tree
+from . import ann, chat, minhash, packing, quality, sharding, toxicity, url_tree
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,10 @@ def op3_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(vectors, vectors.where("vec_id % 20 = 0"))
 
 
+def op4_minhash_stars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op5_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
@@ -61,10 +65,32 @@ def op10_toxicity_nnpu(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_cotraining, op2_chat_snapshots, op3_adaptive_scan, op5_cost_packing,
+    op1_quality_cotraining, op2_chat_snapshots, op3_adaptive_scan, op4_minhash_stars, op5_cost_packing,
     op8_interleaved_shards, op9_url_templates, op10_toxicity_nnpu)}
 
 ORACLE: dict[str, str] = {
+    "op4_minhash_stars": """
+        WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words
+            FROM documents),
+        s AS (
+            SELECT doc_id, list_distinct(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+                ELSE list_transform(range(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2]) END) AS items
+            FROM w),
+        n AS (SELECT doc_id, len(items) AS n FROM s),
+        e AS (SELECT doc_id, md5_number(x) AS x FROM (SELECT doc_id, unnest(items) AS x FROM s)),
+        p AS (
+            SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS shared
+            FROM e a JOIN e b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL),
+        l AS (
+            SELECT u, v FROM p JOIN n nu ON nu.doc_id = u JOIN n nv ON nv.doc_id = v
+            WHERE 100 * shared >= 85 * (nu.n + nv.n - shared)),
+        r AS (SELECT doc_id AS node, doc_id AS seen FROM documents UNION SELECT l.v, r.seen FROM r JOIN l ON l.u = r.node)
+        SELECT n.doc_id, n.n::BIGINT AS n_shingles, c.component_id, n.doc_id = c.component_id AS kept
+        FROM n JOIN (SELECT node, min(seen) AS component_id FROM r GROUP BY node) c ON c.node = n.doc_id
+    """,
     "op2_chat_snapshots": """
         WITH t AS (
             SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS place,
