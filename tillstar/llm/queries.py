@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, minhash, packing, quality, sharding, toxicity, url_tree
+from . import ann, chat, decontam, minhash, packing, quality, sharding, suffix_dedup, toxicity, url_tree
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,14 @@ def op5_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op6_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op8_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.interleaved_shards(_table(spark, sf_dir, "documents"))
 
@@ -66,7 +74,7 @@ def op10_toxicity_nnpu(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_cotraining, op2_chat_snapshots, op3_adaptive_scan, op4_minhash_stars, op5_cost_packing,
-    op8_interleaved_shards, op9_url_templates, op10_toxicity_nnpu)}
+    op6_spaced_seeds, op7_suffix_dedup, op8_interleaved_shards, op9_url_templates, op10_toxicity_nnpu)}
 
 ORACLE: dict[str, str] = {
     "op4_minhash_stars": """
