@@ -9,6 +9,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from tillstar.plans.queries import QUERIES
 from tools.compare import digest, duck
 
 SF = "/root/testdata/sf0.001"
@@ -21,10 +22,10 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) <= set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     srows = [tuple(r) for r in df.collect()]
