@@ -15,7 +15,11 @@ anchors.  Windows of one anchor that follow each other are one piece.
    search, and finds the least document of every window.
 4. What was found is gathered by group and cut from the texts.
 
-Steps 1 to 3 only ever drop what no other text has; nothing is sampled.
+Steps 1 to 3 only ever drop what no other text has; nothing is sampled.  All
+of it is one plan, in which the texts are shuffled once, by group, and that
+exchange is read three times.  A document goes by its number in its group's
+order, which follows from the group's rows alone, so a recomputed task gives
+the same numbers.
 """
 
 from __future__ import annotations
@@ -24,11 +28,10 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.sinks import stage_table
 from .suffix_array import least_owner
 
 ANCHOR = 24
@@ -108,28 +111,23 @@ def _table(names_types: list[tuple[str, pa.DataType]], rows: list[tuple]) -> pa.
 
 
 class Group:
-    """The texts of one group of documents, each distinct one once."""
+    """The texts of one group of documents that are long enough, each distinct one once."""
 
     def __init__(self, table: pa.Table, n: int):
         self.n, self.rolling = n, Rolling()
-        held: dict[bytes, list[int]] = {}
+        least: dict[bytes, int] = {}
         ids, texts = table.column("_id"), table.column("_text")
         for at in range(0, table.num_rows, 256):
             for d, x in zip(ids.slice(at, 256).to_pylist(), texts.slice(at, 256).to_pylist(), strict=True):
                 raw = (x or "").encode("utf-8", "surrogatepass")
                 if d is not None and len(raw) >= n:
-                    held.setdefault(raw, []).append(d)
-        #: (least id, text's key, text, the greater ids that have it)
-        self.texts = sorted(((min(v), text_key(raw), raw, sorted(set(v) - {min(v)})) for raw, v in held.items()),
-                            key=lambda t: t[:2])
+                    least[raw] = min(d, least.get(raw, d))
+        #: (the least id that has it, text); a text's number is its place here.
+        self.texts = sorted((d, raw) for raw, d in least.items())
 
     def pieces(self):
-        for d, key, raw, _ in self.texts:
-            yield d, key, raw, *pieces(np.frombuffer(raw, np.uint8), self.rolling, self.n)
-
-
-def text_key(raw: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(raw) >> 1
+        for d, raw in self.texts:
+            yield d, raw, *pieces(np.frombuffer(raw, np.uint8), self.rolling, self.n)
 
 
 def _anchors(n: int, buckets: int):
@@ -167,29 +165,42 @@ def _shared():
     return run, "_group int, bucket int, keys binary"
 
 
-_FOUND = [("_group", pa.int32()), ("shard", pa.int32()), ("ids", pa.binary()), ("texts", pa.binary()),
-          ("starts", pa.binary()), ("sizes", pa.binary()), ("bytes", pa.binary())]
-_FOUND_SQL = "_group int, shard int, ids binary, texts binary, starts binary, sizes binary, bytes binary"
+_FOUND = [("_group", pa.int32()), ("shard", pa.int32()), ("pieces", pa.binary()), ("spans", pa.binary())]
+_FOUND_SQL = "_group int, shard int, pieces binary, spans binary"
+
+
+def _packed(*columns: bytes) -> bytes:
+    """Columns of bytes in one compressed value."""
+    head = np.array([len(columns), *map(len, columns)], "<u8").tobytes()
+    return zstandard.ZstdCompressor(level=3).compress(head + b"".join(columns))
+
+
+def _unpacked(value: bytes) -> list[bytes]:
+    raw = zstandard.ZstdDecompressor().decompress(value)
+    k = int(np.frombuffer(raw, "<u8", 1)[0])
+    ends = np.cumsum([8 * (k + 1), *np.frombuffer(raw, "<u8", k, 8).tolist()]).tolist()
+    return [raw[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+
+
+def _pack_spans(number: np.ndarray, start: np.ndarray, size: np.ndarray) -> bytes:
+    return _packed(*(x.astype("<u4").tobytes() for x in (number, start, size)))
 
 
 def _pieces(n: int, buckets: int, shards: int):
-    """Group and its shared anchors -> pieces for the shards; settled spans as shard -1, without bytes."""
+    """Group and its shared anchors -> its pieces by shard, and, at any shard, the spans settled here."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         rows: list[tuple] = []
-        if not left.num_rows:
+        if not left.num_rows or not right.num_rows:
             return _table(_FOUND, rows)
         group = left.column("_group")[0].as_py()
         keys = [np.frombuffer(k, np.uint32).astype(np.uint64) | np.uint64(b << 32)
                 for b, k in zip(right.column("bucket").to_pylist(), right.column("keys").to_pylist(), strict=True)]
-        shared = np.sort(np.concatenate(keys)) if keys else np.empty(0, np.uint64)
+        shared = np.sort(np.concatenate(keys))
         holder: dict[bytes, int] = {}
         sent: list[tuple[int, int, int, int, bytes]] = []
-        settled: list[tuple[int, int, int, int]] = []
-        held = Group(left, n)
-        for _, key, raw, copies in held.texts:
-            settled += [(c, key, 0, len(raw)) for c in copies]
-        for d, key, raw, first, last, h in held.pieces() if len(shared) else ():
+        settled: list[tuple[int, int, int]] = []
+        for number, (d, raw, first, last, h) in enumerate(Group(left, n).pieces()):
             which = _bucket(h, buckets)
             full = (which << np.uint64(32)) | (h & np.uint64(0xFFFFFFFF))
             spot = np.minimum(np.searchsorted(shared, full), len(shared) - 1)
@@ -198,18 +209,18 @@ def _pieces(n: int, buckets: int, shards: int):
             for a, b, s in zip(first[ok].tolist(), (last[ok] + n).tolist(), shard.tolist(), strict=True):
                 x = raw[a:b]
                 if holder.setdefault(x, d) < d:
-                    settled.append((d, key, a, b - a))
+                    settled.append((number, a, b - a))
                 else:
-                    sent.append((s, d, key, a, x))
+                    sent.append((s, number, d, a, x))
         if settled:
-            d, k, a, z = (np.array(c, np.int64) for c in zip(*settled, strict=True))
-            rows.append((group, -1, d.tobytes(), k.tobytes(), a.tobytes(), z.tobytes(), b""))
+            rows.append((group, group % shards, None, _pack_spans(*(np.array(c, np.int64) for c in zip(*settled, strict=True)))))
         if sent:
-            which, d, k, a, x = zip(*sent, strict=True)
-            for s, (di, ki, ai, at) in _split(np.array(which), *(np.array(c, np.int64) for c in (d, k, a)), np.arange(len(x))):
+            which, k, d, a, x = zip(*sent, strict=True)
+            for s, (ki, di, ai, at) in _split(np.array(which), *(np.array(c, np.int64) for c in (k, d, a)), np.arange(len(x))):
                 own = [x[i] for i in at]
-                sizes = np.fromiter(map(len, own), np.int64, len(own))
-                rows.append((group, s, di.tobytes(), ki.tobytes(), ai.tobytes(), sizes.tobytes(), b"".join(own)))
+                sizes = np.fromiter(map(len, own), "<u4", len(own))
+                rows.append((group, s, _packed(ki.astype("<u4").tobytes(), di.tobytes(), ai.astype("<u4").tobytes(),
+                                               sizes.tobytes(), b"".join(own)), None))
         return _table(_FOUND, rows)
 
     return run, _FOUND_SQL
@@ -219,59 +230,60 @@ def _settle(n: int, slice_bytes: int):
     """Shard -> the spans to remove, by group."""
 
     def run(table: pa.Table) -> pa.Table:
-        groups, ids, texts, starts, strings = [], [], [], [], []
-        for r in table.to_pylist():
-            d = np.frombuffer(r["ids"], np.int64)
-            ids.append(d)
-            texts.append(np.frombuffer(r["texts"], np.int64))
-            starts.append(np.frombuffer(r["starts"], np.int64))
-            groups.append(np.full(len(d), r["_group"], np.int64))
-            at = 0
-            for z in np.frombuffer(r["sizes"], np.int64).tolist():
-                strings.append(r["bytes"][at:at + z])
-                at += z
-        groups, ids, texts, starts = (np.concatenate(c) for c in (groups, ids, texts, starts))
-        number: dict[bytes, int] = {}
-        of = np.fromiter((number.setdefault(x, len(number)) for x in strings), np.int64, len(strings))
-        owner = np.full(len(number), np.iinfo(np.int64).max)
+        rows = [(r["_group"], -1, None, r["spans"]) for r in table.select(["_group", "spans"]).to_pylist() if r["spans"]]
+        groups, numbers, ids, starts, strings = [], [], [], [], []
+        for r in table.select(["_group", "pieces"]).to_pylist():
+            if not r["pieces"]:
+                continue
+            k, d, a, sizes, text = _unpacked(r["pieces"])
+            numbers.append(np.frombuffer(k, "<u4").astype(np.int64))
+            ids.append(np.frombuffer(d, np.int64))
+            starts.append(np.frombuffer(a, "<u4").astype(np.int64))
+            groups.append(np.full(len(ids[-1]), r["_group"], np.int64))
+            ends = np.cumsum(np.frombuffer(sizes, "<u4")).tolist()
+            strings += [text[x:y] for x, y in zip([0, *ends], ends, strict=False)]
+        if not strings:
+            return _table(_FOUND, rows)
+        groups, numbers, ids, starts = (np.concatenate(c) for c in (groups, numbers, ids, starts))
+        place: dict[bytes, int] = {}
+        of = np.fromiter((place.setdefault(x, len(place)) for x in strings), np.int64, len(strings))
+        owner = np.full(len(place), np.iinfo(np.int64).max)
         np.minimum.at(owner, of, ids)
-        distinct = list(number)
+        distinct = list(place)
         least = least_owner(distinct, owner, n, slice_bytes)
-        out: list[tuple[int, int, int, int, int]] = []
+        out: list[tuple[int, int, int, int]] = []
         for i, s in enumerate(of.tolist()):
-            g, d, k, a = int(groups[i]), int(ids[i]), int(texts[i]), int(starts[i])
+            g, k, d, a = int(groups[i]), int(numbers[i]), int(ids[i]), int(starts[i])
             if owner[s] < d:
-                out.append((g, d, k, a, len(distinct[s])))
+                out.append((g, k, a, len(distinct[s])))
                 continue
             gone = np.nonzero(least[s] < d)[0]
             if len(gone):
                 cut = np.nonzero(np.diff(gone) > 1)[0]
                 for lo, hi in zip(gone[np.append(0, cut + 1)].tolist(), gone[np.append(cut, len(gone) - 1)].tolist(), strict=True):
-                    out.append((g, d, k, a + lo, hi - lo + n))
-        rows = []
+                    out.append((g, k, a + lo, hi - lo + n))
         if out:
-            g, d, k, a, z = (np.array(c, np.int64) for c in zip(*out, strict=True))
-            for which, cols in _split(g, d, k, a, z):
-                rows.append((which, -1, *(c.tobytes() for c in cols), b""))
+            g, *cols = (np.array(c, np.int64) for c in zip(*out, strict=True))
+            rows += [(which, -1, None, _pack_spans(*part)) for which, part in _split(g, *cols)]
         return _table(_FOUND, rows)
 
     return run, _FOUND_SQL
 
 
-def _spans(table: pa.Table) -> dict[tuple[int, int], np.ndarray]:
-    """(id, text's key) -> its spans, joined where they meet, as rows of (start, end)."""
+def _spans(table: pa.Table) -> dict[int, np.ndarray]:
+    """Text's number -> its spans, joined where they meet, as rows of (start, end)."""
     if not table.num_rows:
         return {}
-    d, k, a, z = (np.concatenate([np.frombuffer(x, np.int64) for x in table.column(c).to_pylist()])
-                  for c in ("ids", "texts", "starts", "sizes"))
-    order = np.lexsort((a, k, d))
-    d, k, a, end = d[order], k[order], a[order], (a + z)[order]
+    parts = [[np.frombuffer(c, "<u4").astype(np.int64) for c in _unpacked(x)] for x in table.column("spans").to_pylist()]
+    k, a, z = (np.concatenate(c) for c in zip(*parts, strict=True))
+    order = np.lexsort((a, k))
+    k, a, end = k[order], a[order], (a + z)[order]
     out = {}
-    first = np.nonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (k[1:] != k[:-1])]))[0]
-    for lo, hi in zip(first, np.append(first[1:], len(d)), strict=True):
+    first = np.nonzero(np.concatenate([[True], k[1:] != k[:-1]]))[0]
+    for lo, hi in zip(first, np.append(first[1:], len(k)), strict=True):
         s, e = a[lo:hi], np.maximum.accumulate(end[lo:hi])
         new = np.concatenate([[True], s[1:] > e[:-1]])
-        out[int(d[lo]), int(k[lo])] = np.column_stack([s[new], e[np.append(np.nonzero(new)[0][1:] - 1, len(e) - 1)]])
+        out[int(k[lo])] = np.column_stack([s[new], e[np.append(np.nonzero(new)[0][1:] - 1, len(e) - 1)]])
     return out
 
 
@@ -282,30 +294,6 @@ def kept_bytes(raw: bytes, spans: np.ndarray | None) -> bytes:
     return b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
 
 
-def _found_spans(docs: DataFrame, n: int, id_col: str, text_col: str, group_bytes: int, bucket_bytes: int,
-                 shard_bytes: int, slice_bytes: int) -> tuple[DataFrame, int]:
-    """Spans to remove by group, and the number of groups."""
-    total = docs.agg(F.coalesce(F.sum(F.octet_length(F.col(text_col)).cast("long")), F.lit(0))).first()[0]
-    groups = max(64, -(-total // group_bytes))
-    buckets, shards = max(16, -(-total // bucket_bytes)), max(64, -(-total // shard_bytes))
-    keyed = docs.select(_group_of(id_col, text_col, groups), F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-    run, kind = _anchors(n, buckets)
-    anchors = keyed.groupBy("_group").applyInArrow(run, kind)
-    run, kind = _shared()
-    shared = anchors.groupBy("bucket").applyInArrow(run, kind)
-    run, kind = _pieces(n, buckets, shards)
-    found = keyed.groupBy("_group").cogroup(shared.groupBy("_group")).applyInArrow(run, kind)
-    found = stage_table(found, "pieces")
-    run, kind = _settle(n, slice_bytes)
-    settled = found.where("shard >= 0").groupBy("shard").applyInArrow(run, kind)
-    return found.where("shard < 0").unionByName(settled).select("_group", "ids", "texts", "starts", "sizes"), groups
-
-
-def _group_of(id_col: str, text_col: str, groups: int):
-    h = F.xxhash64(F.col(id_col).cast("string"), F.col(text_col))
-    return F.pmod(h, F.lit(groups)).cast("int").alias("_group")
-
-
 def remove_repeats(docs: DataFrame, n: int = 50, id_col: str = "doc_id", text_col: str = "text", text_out: bool = False,
                    size_col: str | None = None, group_bytes: int = 8 << 20, bucket_bytes: int = 32 << 20,
                    shard_bytes: int = 1 << 20, slice_bytes: int = 1 << 20) -> DataFrame:
@@ -328,35 +316,48 @@ def remove_repeats(docs: DataFrame, n: int = 50, id_col: str = "doc_id", text_co
     group of documents, anchor bucket and shard of pieces; their numbers grow
     with the input.  ``slice_bytes`` bounds a suffix array.
     """
-    spans, groups = _found_spans(docs, n, id_col, text_col, group_bytes, bucket_bytes, shard_bytes, slice_bytes)
+    total = docs.agg(F.coalesce(F.sum(F.octet_length(F.col(text_col)).cast("long")), F.lit(0))).first()[0]
+    groups = max(64, -(-total // group_bytes))
+    buckets, shards = max(16, -(-total // bucket_bytes)), max(64, -(-total // shard_bytes))
     names = docs.columns if text_out else []
-    wide = docs.select(_group_of(id_col, text_col, groups), F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"),
-                       *(F.col(c).alias(f"_c{i}") for i, c in enumerate(names)))
+    group = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.col(text_col)), F.lit(groups)).cast("int")
+    wide = docs.select(group.alias("_group"), F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"),
+                       *(F.col(c).alias(f"_c{i}") for i, c in enumerate(names) if c != text_col)).groupBy("_group")
+    run, kind = _anchors(n, buckets)
+    anchors = wide.applyInArrow(run, kind)
+    run, kind = _shared()
+    shared = anchors.groupBy("bucket").applyInArrow(run, kind)
+    run, kind = _pieces(n, buckets, shards)
+    found = wide.cogroup(shared.groupBy("_group")).applyInArrow(run, kind)
+    run, kind = _settle(n, slice_bytes)
+    spans = found.groupBy("shard").applyInArrow(run, kind)
     if text_out:
         kind = ", ".join(f"_c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(names))
     else:
         kind = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+    def cut(left: pa.Table, right: pa.Table) -> pa.Table:
         cuts = _spans(right)
+        number = {raw: (k, d) for k, (d, raw) in enumerate(Group(left, n).texts)}
         rows: list[tuple] = []
         for at in range(0, left.num_rows, 256):
             ids, texts = (left.column(c).slice(at, 256).to_pylist() for c in ("_id", "_text"))
             for d, text in zip(ids, texts, strict=True):
                 raw = (text or "").encode("utf-8", "surrogatepass")
-                cut = cuts.get((d, text_key(raw))) if d is not None else None
-                kept = kept_bytes(raw, cut)
+                k, least = number.get(raw, (-1, d)) if d is not None else (-1, d)
+                gone = np.array([[0, len(raw)]]) if least != d else cuts.get(k)
+                kept = kept_bytes(raw, gone)
                 if text_out:
-                    rows.append((text if cut is None else kept.decode("utf-8", "ignore"),))
+                    rows.append((text if gone is None else kept.decode("utf-8", "ignore"),))
                 else:
-                    rows.append((d, len(raw), len(raw) - len(kept), 0 if cut is None else len(cut), hashlib.sha256(kept).hexdigest()))
+                    rows.append((d, len(raw), len(raw) - len(kept), 0 if gone is None else len(gone), hashlib.sha256(kept).hexdigest()))
         if not text_out:
             return _table([("doc_id", pa.int64()), *((c, pa.int64()) for c in ("n_bytes", "n_removed", "n_spans")),
                            ("kept_sha256", pa.string())], rows)
         new = [r[0] for r in rows]
         cols = []
         for i, c in enumerate(names):
-            old = left.column(f"_c{i}")
+            old = left.column("_text" if c == text_col else f"_c{i}")
             if c == text_col:
                 old = pa.array(new, old.type)
             elif c == size_col:
@@ -364,5 +365,5 @@ def remove_repeats(docs: DataFrame, n: int = 50, id_col: str = "doc_id", text_co
             cols.append(old)
         return pa.table(cols, [f"_c{i}" for i in range(len(names))])
 
-    out = wide.groupBy("_group").cogroup(spans.groupBy("_group")).applyInArrow(run, kind)
+    out = wide.cogroup(spans.groupBy("_group")).applyInArrow(cut, kind)
     return out.toDF(*names) if text_out else out
