@@ -69,7 +69,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     hits = stage_table(hits, "placements")
     # A document's placements are no more than its own words times the items they hit.
     per = hits.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "shift")).alias("hits"))
-    found = plain.join(per, "doc_id").select("doc_id", words(F.col("_text")).alias("w"), "hits")
+    # Merged at every size: how many documents are hit follows the corpus, so
+    # their list is not for a broadcast.
+    found = plain.join(per.hint("merge"), "doc_id").select("doc_id", words(F.col("_text")).alias("w"), "hits")
     size = F.size("w")
     longest = stage_table(items.select("item_id", words(F.col("_text")).alias("iw")), "items")
     reach = longest.agg(F.max(F.size("iw"))).first()[0] or 0
