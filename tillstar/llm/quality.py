@@ -150,7 +150,7 @@ def score(docs: DataFrame, labels: DataFrame, pages: DataFrame | None = None, id
 
     # Ids, at most the two bounds together.
     some = own.join(F.broadcast(chosen), "_id")
-    got = with_meta(featurise(some, text_view, "_text", ["_id", "_y", "_hold", *described]).dropDuplicates(["_id"])).toPandas()
+    got = with_meta(featurise(some, text_view, "_text", ["_id", "_y", "_hold", *described]).dropDuplicates(["_id"])).toArrow().to_pandas()
     got = got.sort_values("_id").reset_index(drop=True)
     if len(got):
         got = got.iloc[unlike(list(got.features))].reset_index(drop=True)
