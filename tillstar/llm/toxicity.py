@@ -90,7 +90,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         unlabelled.select("_id", F.lit(0).alias("_part"))))
     chosen = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(sample, "_id")
     got = featurise(chosen, toxic_words, "_text", ["_id", "_part"]).dropDuplicates(["_id", "_part"]).join(
-        lab, "_id", "left").toPandas()
+        lab, "_id", "left").toArrow().to_pandas()
     got = got.sort_values(["_part", "_id"])
     pos, unl = got[got._part == 1], got[got._part == 0]
     # Copies of one text would pass for many examples of its chance words.
