@@ -27,6 +27,8 @@ from .components import components
 from .linear import texts_in_steps
 
 ATTEMPTS = 2048
+#: Parts in which a bucket's members are joined with its centre.
+PARTS = 8
 
 
 def shingles(text: str, width: int) -> np.ndarray:
@@ -121,6 +123,13 @@ def _full_sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(run, f"node {kind}, items array<long>")
 
 
+def _with_centre(member: DataFrame, centre: DataFrame) -> DataFrame:
+    """Join on bucket, the members of one bucket dealt to ``PARTS`` tasks."""
+    part = F.pmod(F.xxhash64("node", F.lit(41)), F.lit(PARTS)).cast("int")
+    every = centre.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    return member.withColumn("part", part).join(every, ["bucket", "part"]).drop("part")
+
+
 def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85, bands: int = 20, rows: int = 4,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Components of documents whose shingle sets have a Jaccard similarity of ``percent`` % or more.
@@ -148,7 +157,7 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85, bands: i
     # Bucket members, only of buckets with several; ``first`` is the star's centre.
     member = classes.select("node", "n", F.explode("bands").alias("bucket"))
     centre = member.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("c"), F.count(F.lit(1)).alias("members"))
-    member = member.join(centre.where("members > 1"), "bucket").select(
+    member = _with_centre(member, centre.where("members > 1")).select(
         "bucket", "node", "n", F.col("c.node").alias("centre"), F.col("c.n").alias("centre_n"))
     member = stage_table(member, "members")
     # No two sets can be that similar if their sizes are further apart.
@@ -168,7 +177,7 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85, bands: i
         return pairs.join(left, "node").join(right, "centre").where(100 * both >= percent * either).select("centre", "node")
 
     tested = pairs
-    links = stage_table(confirmed(pairs).distinct(), "links")
+    links = stage_table(confirmed(pairs), "links")
     turn = 0
     while True:
         linked = stage_table(components(links, "centre", "node"), "components")
@@ -180,11 +189,11 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85, bands: i
         rare = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), F.min(F.struct(
             "members", F.xxhash64("component", "bucket", F.lit(turn)).alias("h"), "c", "component")).alias("r")).where("parts > 1")
         rare = rare.select("bucket", F.col("r.c.node").alias("centre"), F.col("r.c.n").alias("centre_n"), F.col("r.component").alias("own"))
-        more = named.join(rare, "bucket").where(F.col("component") != F.col("own")).where(sizes)
+        more = _with_centre(named, rare).where(F.col("component") != F.col("own")).where(sizes)
         more = more.select(F.greatest("centre", "node").alias("node"), F.least("centre", "node").alias("centre")).distinct()
         done = tested.select(F.greatest("centre", "node").alias("node"), F.least("centre", "node").alias("centre"))
         more = stage_table(more.join(done, ["node", "centre"], "left_anti"), "pairs")
-        new = stage_table(confirmed(more).distinct(), "links")
+        new = stage_table(confirmed(more), "links")
         if new.isEmpty():
             break
         tested = tested.unionByName(more)
