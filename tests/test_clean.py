@@ -110,3 +110,27 @@ def test_to_flag(spark):
 def test_nan_to_null(spark):
     df = spark.createDataFrame([(float("nan"),), (1.5,)], "v double")
     assert [r[0] for r in df.select(C.nan_to_null("v")).collect()] == [None, 1.5]
+
+
+def test_nan_to_null_passes_other_types(spark):
+    row = spark.sql("SELECT DATE'2024-01-02' AS d, 'NaN' AS s, 3 AS i, CAST('NaN' AS FLOAT) AS f")
+    got = row.select(*[C.nan_to_null(c).alias(c) for c in row.columns]).first()
+    assert (str(got.d), got.s, got.i, got.f) == ("2024-01-02", "NaN", 3, None)
+
+
+def test_flag_is_true_for_one_only(spark):
+    df = text_df(spark, ["v"], [("1",), ("0",), ("2",), (" ",), (None,)])
+    assert [r[0] for r in df.select(C.to_flag("v")).collect()] == [True, False, False, None, None]
+
+
+def test_datetime_is_read_without_a_zone(spark):
+    from tillstar.functions import dates as D
+
+    df = text_df(spark, ["v"], [("31-03-2024 03:30",), ("1-2-2024 7:05",), ("01-02-2024 24:00",), ("31-02-2024 10:00",), ("x",), (None,)])
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Kyiv")
+    try:
+        got = [str(r[0]) for r in df.select(D.to_datetime_dmy("v").cast("string")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == ["2024-03-31 03:30:00", "2024-02-01 07:05:00", "None", "None", "None", "None"]

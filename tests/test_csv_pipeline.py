@@ -349,13 +349,29 @@ def test_raw_format_export_roundtrip(spark, tmp_dir):
 
 
 def test_unused_feed_does_not_block_metrics(spark, tmp_dir):
-    """pricing.csv missing, products.csv present: products is loaded but its
-    staging table is kept from the earlier run; the run must still finish."""
+    """One half of the receipts missing: the other is loaded, but the staged
+    lines are kept from the earlier run; the run must still finish."""
     out = os.path.join(tmp_dir, "wh")
     run_pipeline(spark, write_files(os.path.join(tmp_dir, "raw1")), out, as_of=dt.date(2024, 1, 1))
     files = dict(FILES)
+    files.pop("check_details.csv")
+    res = run_pipeline(spark, write_files(os.path.join(tmp_dir, "raw2"), files), out,
+                       as_of=dt.date(2024, 1, 1))
+    assert set(res.kept_tables) == {"stg_transactions"}
+    assert "raw_check_summary" not in res.rows and res.rows["raw_products"] > 0
+
+
+def test_new_products_are_staged_without_a_pricing_file(spark, tmp_dir):
+    """pricing.csv missing, products.csv grown: prices stay as they were, the
+    new product arrives."""
+    out = os.path.join(tmp_dir, "wh")
+    run_pipeline(spark, write_files(os.path.join(tmp_dir, "raw1")), out, as_of=dt.date(2024, 1, 1))
+    before = spark.read.parquet(os.path.join(out, "stg", "stg_products")).count()
+    files = dict(FILES)
     files.pop("pricing.csv")
+    files["products.csv"] = files["products.csv"].rstrip("\n") + "\n987654,New one,kg,Fruit\n"
     res = run_pipeline(spark, write_files(os.path.join(tmp_dir, "raw2"), files), out,
                        as_of=dt.date(2024, 1, 1))
-    assert set(res.kept_tables) == {"stg_pricing", "stg_products"}
-    assert "raw_products" not in res.rows and res.rows["raw_check_details"] == 6
+    assert set(res.kept_tables) == {"stg_pricing"}
+    got = spark.read.parquet(os.path.join(out, "stg", "stg_products"))
+    assert got.count() == before + 1 and got.where("product_id = 987654").count() == 1

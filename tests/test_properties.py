@@ -74,8 +74,8 @@ def test_scd2_lookup_hot_customer_shuffle_equals_broadcast(spark):
         [(c * 2 + 1, c, dt.date(2023, 1, 1), dt.date(2024, 1, 31)) for c in range(40)]
         + [(c * 2 + 2, c, dt.date(2024, 2, 1), dt.date(9999, 12, 31)) for c in range(40)],
         "customer_key bigint, customer_id bigint, valid_from date, valid_to date")
-    a = temporal.lookup_scd2(lines, dim, "customer_id", "d", "customer_key", 0, spread_cols=["line"])
-    b = temporal.lookup_scd2(lines, dim, "customer_id", "d", "customer_key", 0, spread_cols=["line"],
+    a = temporal.lookup_scd2(lines, dim, "customer_id", "d", "customer_key", 0)
+    b = temporal.lookup_scd2(lines, dim, "customer_id", "d", "customer_key", 0, 
                              max_rows=0)
     ra = sorted((r.line, r.customer_key) for r in a.collect())
     assert ra == sorted((r.line, r.customer_key) for r in b.collect())

@@ -112,3 +112,18 @@ def test_large_feed_null_flag_counts_as_existing(spark):
     for max_rows in (2_000_000, 0):
         out = scd2.scd2_apply(dim, stg, AS_OF, max_rows=max_rows)
         assert out.count() == 2          # id 1 exists: neither changed (no current row) nor new
+
+
+def test_split_chains_several_changes_of_one_id(spark):
+    import datetime as dt
+
+    from tillstar.operators import scd2
+
+    day = dt.date
+    v = spark.createDataFrame([(1, "n", "now", None, day(2024, 1, 1), day(9999, 12, 31), True)],
+                              "customer_id bigint, name string, city string, birthday date, valid_from date, valid_to date, is_current boolean")
+    ch = spark.createDataFrame([(1, day(2024, 3, 1), "first"), (1, day(2024, 6, 1), "second"), (1, day(2023, 1, 1), "before")],
+                               "customer_id bigint, change_date date, old_city string")
+    got = sorted((r.valid_from, r.valid_to, r.city, r.is_current) for r in scd2.scd2_split(v, ch).collect())
+    assert got == [(day(2024, 1, 1), day(2024, 2, 29), "first", False), (day(2024, 3, 1), day(2024, 5, 31), "second", False),
+                   (day(2024, 6, 1), day(9999, 12, 31), "now", True)]

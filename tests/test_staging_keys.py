@@ -131,3 +131,33 @@ def test_hash_sample_fraction_and_repeatability(spark):
         assert 5400 < n < 6600
         assert sorted(r.cid for r in a.collect()) == sorted(
             r.cid for r in hash_sample(df, "cid", 0.3, salt="s", method=method).collect())
+
+
+def test_hash_sample_bounds(spark):
+    import pytest
+
+    from tillstar.operators.sampling import hash_sample
+
+    df = spark.range(0, 10000).select(F.when(F.col("id") > 0, F.col("id")).alias("cid"))
+    for method in ("md5", "xxhash"):
+        assert hash_sample(df, "cid", 1.0, method=method).count() == 9999
+        assert hash_sample(df, "cid", 0.0, method=method).count() == 0
+    with pytest.raises(ValueError):
+        hash_sample(df, "cid", 1.5)
+
+
+def test_upsert_last_row_of_a_key_wins(spark):
+    from tillstar.operators import keys
+
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    rows = spark.createDataFrame([(2, "z", 1), (2, "y", 2), (3, "c", 1)], "k int, v string, seq int")
+    assert sorted(tuple(r) for r in keys.upsert(target, rows, "k", order="seq").collect()) == [(1, "a"), (2, "y"), (3, "c")]
+    assert sorted(tuple(r) for r in keys.upsert(target, rows.drop("seq"), "k").collect()) == [(1, "a"), (2, "z"), (3, "c")]
+
+
+def test_receipts_match_past_trailing_spaces(spark):
+    from tillstar.operators import staging
+
+    h = spark.createDataFrame([("100 ", "1", "2", "01-02-2024 10:00", "5")], "check_id string, store_id string, cashier_id string, datetime string, customer_id string")
+    d = spark.createDataFrame([("100", "7", "1", "1", "1", "0", "0", "0")], "check_id string, product_id string, unit_price string, quantity string, total_amount string, discount_abs string, discount_pct string, discount_type string")
+    assert [r.check_id for r in staging.stage_transactions(h, d).collect()] == [100]

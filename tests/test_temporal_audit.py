@@ -37,7 +37,7 @@ def test_point_in_time_lookup(spark):
     s = sales(spark).withColumn("d", F.col("transaction_datetime").cast("date"))
     for max_rows in (10, 0):   # broadcast, then shuffle join
         out = temporal.lookup_scd2(s, customers(spark), "customer_id", "d", "customer_key", 0,
-                                   spread_cols=["check_id"], max_rows=max_rows)
+                                   max_rows=max_rows)
         got = dict((r.check_id, r.customer_key) for r in out.collect())
         assert got == {1: 1, 2: 2, 3: 0, 4: 0, 5: 0}
 

@@ -61,8 +61,8 @@ def nonneg_decimal(c: ColumnOrName, precision: int = 18, scale: int = 4) -> Colu
 
 
 def to_flag(c: ColumnOrName) -> Column:
-    """'0'/'1' text -> BOOLEAN; blank or bad text -> NULL."""
-    return opt_int(c) != F.lit(0)
+    """'0'/'1' text -> BOOLEAN, only 1 is true; blank or bad text -> NULL."""
+    return opt_int(c) == F.lit(1)
 
 
 def recode(c: ColumnOrName, code: str, value: str) -> Column:
@@ -79,7 +79,8 @@ def online_city(c: ColumnOrName) -> Column:
 def nan_to_null(c: ColumnOrName) -> Column:
     """Float NaN -> NULL (T25); other types pass through unchanged."""
     c = col(c)
-    return F.when(~F.isnan(c), c)
+    nan = F.typeof(c).isin("float", "double") & (c.cast("string") == "NaN")
+    return F.when(F.coalesce(~nan, F.lit(True)), c)
 
 
 def fmt2(c: ColumnOrName) -> Column:

@@ -11,7 +11,7 @@ from .clean import ColumnOrName, blank_to_null, col
 
 # Fixed values of the raw feeds.
 DATE_FMT = "d-M-yyyy"              # dd-mm-yyyy; one or two digits accepted
-DATETIME_FMT = "d-M-yyyy H:m"      # dd-mm-yyyy hh:mm
+_DATETIME = "^([0-9-]+) ([0-9]{1,2}):([0-9]{1,2})$"
 OUT_DATE_FMT = "dd-MM-yyyy"        # export format of the raw files
 OUT_DATETIME_FMT = "dd-MM-yyyy HH:mm"
 OPEN_END = _dt.date(9999, 12, 31)  # valid_to of an open version
@@ -24,8 +24,16 @@ def to_date_dmy(c: ColumnOrName) -> Column:
 
 
 def to_datetime_dmy(c: ColumnOrName) -> Column:
-    """'dd-mm-yyyy hh:mm' -> TIMESTAMP_NTZ; bad text -> NULL."""
-    return F.try_to_timestamp(blank_to_null(c), F.lit(DATETIME_FMT)).cast("timestamp_ntz")
+    """'dd-mm-yyyy hh:mm' -> TIMESTAMP_NTZ; bad text -> NULL.
+
+    Day and time of day are read apart and put together without a zone, so
+    no hour is moved by a session zone's daylight-saving gap.
+    """
+    text = blank_to_null(c)
+    day = F.try_to_date(F.regexp_extract(text, _DATETIME, 1), DATE_FMT)
+    part = [F.regexp_extract(text, _DATETIME, i).try_cast("int") for i in (2, 3)]
+    time = F.make_dt_interval(F.lit(0), *part)
+    return F.when((part[0] < 24) & (part[1] < 60), day.cast("timestamp_ntz") + time)
 
 
 def to_day(c: ColumnOrName) -> Column:

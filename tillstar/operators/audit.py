@@ -74,6 +74,13 @@ def audit_length(raw: DataFrame, lengths: dict[str, int], table: str) -> DataFra
     return _per_column(raw, f"{table}.too_long:", tests)
 
 
+def amount_types() -> dict[str, Column]:
+    """Typed receipt-line columns *before* bad text is defaulted to 0, so that
+    ``audit_rejects`` sees what the default hides (Q8)."""
+    money = {c: blank_to_null(c).try_cast("decimal(18,4)") for c in ("unit_price", "quantity", "total_amount", "discount_abs")}
+    return money | {c: blank_to_null(c).try_cast("int") for c in ("product_id", "discount_pct", "discount_type")}
+
+
 def audit_rejects(raw: DataFrame, typed: dict[str, Column], table: str) -> DataFrame:
     """Non-blank text that the lenient cast turned into NULL (Q8).
 

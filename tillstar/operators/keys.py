@@ -22,6 +22,8 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.sinks import stage_table
+
 from ..session import shared_dir
 
 _POS_BITS = 33
@@ -56,7 +58,7 @@ def stable_ranges(df: DataFrame, order: list[Column], num_partitions: int | None
     then spread over partitions like any other rows.  The second checkpoint
     fixes the partitions themselves.  Returns the rows with column ``_tie``.
     """
-    shared_dir(df.sparkSession, fallback="/tmp/tillstar-checkpoints")
+    shared_dir(df.sparkSession)
     tagged = df.withColumn("_tie", F.monotonically_increasing_id()).checkpoint(eager=True)
     if num_partitions is None:
         num_partitions = range_count(df.sparkSession, tagged.count())
@@ -86,6 +88,9 @@ def assign_keys(df: DataFrame, key_col: str, order_by: list, start: int = 1,
     """
     spark = df.sparkSession
     order = [_order(c) for c in order_by]
+    # Written once: counting and numbering read the table, so that the plan
+    # behind ``df`` does not run for each of them.
+    df = stage_table(df, "unkeyed")
     rows = df.count()
     if rows <= single_task_rows:
         rn = F.row_number().over(Window.orderBy(*order))
@@ -122,7 +127,16 @@ def seed_member(df: DataFrame, row: dict) -> DataFrame:
     return df.unionByName(member)
 
 
-def upsert(target: DataFrame, rows: DataFrame, key: str | list[str]) -> DataFrame:
-    """REPLACE INTO: rows whose key is in ``rows`` are replaced (D3)."""
+def upsert(target: DataFrame, rows: DataFrame, key: str | list[str], order: str | None = None) -> DataFrame:
+    """REPLACE INTO: rows whose key is in ``rows`` are replaced (D3).
+
+    Of several rows with one key the last in ``order``, a column of ``rows``
+    that ``target`` need not have, replaces the others; without ``order``,
+    or at a tie in it, the greatest row.
+    """
     keys = [key] if isinstance(key, str) else key
+    whole = F.struct(*[F.col(c) for c in target.columns]).alias("row")
+    place = (F.col(order) if order else F.lit(0)).alias("place")
+    last = rows.select(F.struct(place, whole).alias("_r"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+    rows = last.groupBy(*[f"_k{i}" for i in range(len(keys))]).agg(F.max("_r").alias("_r")).select("_r.row.*")
     return target.join(rows.select(*keys), keys, "left_anti").unionByName(rows)

@@ -5,7 +5,7 @@ four LEFT lookups.  Calendar, product and store dimensions are broadcast
 after a row-count check (the calendar is bounded by days in the range), so
 those three lookups run in the same stage as the scan; only a customer
 dimension above the broadcast bound adds a shuffle, keyed on the customer
-id with NULL ids spread.
+id past which NULL ids go.
 """
 
 from __future__ import annotations
@@ -69,7 +69,7 @@ def build_fct_sales(txn: DataFrame, dim_date: DataFrame, dim_products: DataFrame
     t = lookup_key(t, dim_products, "product_id", "product_id", "product_key", -1, max_rows)
     t = lookup_key(t, dim_stores, "store_id", "store_id", "store_key", -1, max_rows)
     t = lookup_scd2(t, dim_customers, "customer_id", "_day", "customer_key", 0,
-                    spread_cols=["check_id"], max_rows=cmax)
+                    max_rows=cmax)
     return t.select(*FACT_COLS)
 
 

@@ -2,8 +2,8 @@
 
 The source draws 30% of the customers at random; a hash of the id makes
 the draw repeatable and identical across engines and reruns: a row is in
-the sample when the first four hex digits of ``md5(salt || id)`` fall
-below ``fraction * 65536``.  Each row is decided on its own, so the sample
+the sample when the first 60 bits of ``md5(salt || id)``, as a number, are
+below ``fraction * 2**60``.  Each row is decided on its own, so the sample
 is a filter (no shuffle, no driver round trip); its size is the fraction
 in expectation, not exactly.
 """
@@ -14,22 +14,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def hash_bucket(id_col: str, salt: str = "") -> F.Column:
-    """First four hex digits of md5(salt || id)."""
-    return F.substring(F.md5(F.concat(F.lit(salt), F.col(id_col).cast("string"))), 1, 4)
+BITS = 60
+
+
+def hash_number(id_col: str, salt: str = "") -> F.Column:
+    """First 15 hex digits of md5(salt || id) as a number."""
+    digits = F.substring(F.md5(F.concat(F.lit(salt), F.col(id_col).cast("string"))), 1, BITS // 4)
+    return F.conv(digits, 16, 10).cast("bigint")
 
 
 def hash_sample(df: DataFrame, id_col: str, fraction: float, salt: str = "",
                 method: str = "md5") -> DataFrame:
-    """Rows whose id hashes below ``fraction`` of the hash range.
+    """Rows whose id hashes below ``fraction`` (0 to 1) of the hash range.
 
-    ``method="md5"`` gives the same sample in any engine with md5 (used by
-    the cross-engine check); ``method="xxhash"`` uses Spark's cheaper
-    ``xxhash64`` and is reproducible across Spark runs only.
+    A fraction of 1 keeps every row with an id, 0 none.  ``method="md5"``
+    gives the same sample in any engine with md5 (used by the cross-engine
+    check); ``method="xxhash"`` uses Spark's cheaper ``xxhash64`` and is
+    reproducible across Spark runs only.
     """
-    keep = F.col(id_col).isNotNull()
+    if not 0 <= fraction <= 1:
+        raise ValueError(f"fraction must be from 0 to 1, not {fraction}")
     if method == "xxhash":
-        bucket = F.pmod(F.xxhash64(F.lit(salt), F.col(id_col)), F.lit(65536))
-        return df.where(keep & (bucket < F.lit(int(fraction * 65536))))
-    threshold = f"{int(fraction * 65536):04x}"
-    return df.where(keep & (hash_bucket(id_col, salt) < F.lit(threshold)))
+        number = F.shiftrightunsigned(F.xxhash64(F.lit(salt), F.col(id_col)), 64 - BITS)
+    else:
+        number = hash_number(id_col, salt)
+    return df.where(F.col(id_col).isNotNull() & (number < F.lit(int(fraction * 2**BITS))))

@@ -66,24 +66,29 @@ def scd2_split(versions: DataFrame, changes: DataFrame, attr: str = "city") -> D
     becomes two rows, the old value on ``[valid_from, change_date - 1]``
     (not current) and the current value from ``change_date``.
 
-    ``changes`` holds at most one row per id.  One join, then a generator;
-    no second pass over the dimension.
+    Several changes of one id are chained by date: each old value holds from
+    the change before it, and the current value from the last; of changes on
+    one day the smallest old value counts.  One join, then a generator; no
+    second pass over the dimension.
     """
     old = f"old_{attr}"
-    ch = changes.select(F.col(ID).alias("_cid"), "change_date", old)
+    ch = changes.where(F.col("change_date").isNotNull()).groupBy(F.col(ID).alias("_cid"), "change_date").agg(F.min(old).alias("_old"))
+    ch = ch.groupBy("_cid").agg(F.sort_array(F.collect_list(F.struct("change_date", "_old"))).alias("_all"))
     x = versions.join(ch, versions[ID] == ch["_cid"], "left")
-    split = F.col("_cid").isNotNull() & (F.col("valid_from") < F.col("change_date"))
-    cols = [c for c in VERSION_COLS]
+    x = x.withColumn("_ch", F.coalesce(F.filter("_all", lambda c: c["change_date"] > F.col("valid_from")), F.array()))
 
     def row(**over):
-        return F.struct(*[over.get(c, F.col(c)).alias(c) for c in cols])
+        return F.struct(*[over.get(c, F.col(c)).cast(x.schema[c].dataType).alias(c) for c in VERSION_COLS])
 
-    past = row(**{attr: F.col(old), "valid_to": F.date_sub("change_date", 1),
-                  "is_current": F.lit(False)})
-    now = row(valid_from=F.col("change_date"))
-    same = row()
-    out = F.when(split, F.array(past, now)).otherwise(F.array(same))
-    return x.select(F.explode(out).alias("v")).select("v.*")
+    def past(c, i):
+        start = F.when(i == 0, F.col("valid_from")).otherwise(F.get(F.col("_ch"), i - 1)["change_date"])
+        return row(**{attr: c["_old"], "valid_from": start, "valid_to": F.date_sub(c["change_date"], 1),
+                      "is_current": F.lit(False)})
+
+    last = F.get(F.col("_ch"), F.size("_ch") - 1)["change_date"]
+    now = row(valid_from=F.coalesce(last, F.col("valid_from")))
+    rows = F.concat(F.transform("_ch", past), F.array(now))
+    return x.select(F.explode(rows).alias("v")).select("v.*")
 
 
 def key_versions(versions: DataFrame, start: int = 1) -> DataFrame:
@@ -231,7 +236,7 @@ def scd2_apply(dim: DataFrame, stg: DataFrame, as_of, tracked: list[str] = ("cit
     """
     # Read by two steps (close, new versions): written once, like the
     # source's temporary table, so the comparison join runs once.
-    shared_dir(dim.sparkSession, fallback="/tmp/tillstar-checkpoints")
+    shared_dir(dim.sparkSession)
     if _small(stg, max_rows):
         changed = scd2_changed(stg, dim, list(tracked), collation, small_feed=True).checkpoint(eager=True)
         new = scd2_new(stg, dim, as_of, small_feed=True)

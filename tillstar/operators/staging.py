@@ -98,9 +98,9 @@ def flatten_receipts(headers: DataFrame, lines: DataFrame) -> DataFrame:
     Lines without a header and headers without lines drop (counted by
     ``audit.audit_orphans``); a repeated header repeats its lines.
     """
-    h = headers.select(F.col("check_id").alias("_hid"), "store_id", "cashier_id",
+    h = headers.select(F.rtrim("check_id").alias("_hid"), "store_id", "cashier_id",
                        "datetime", "customer_id")
-    return lines.join(h, lines.check_id == h._hid, "inner")
+    return lines.join(h, F.rtrim(lines.check_id) == h._hid, "inner")
 
 
 def stage_transactions(raw_summary: DataFrame, raw_details: DataFrame) -> DataFrame:
@@ -109,18 +109,18 @@ def stage_transactions(raw_summary: DataFrame, raw_details: DataFrame) -> DataFr
     Each side is parsed to typed columns *before* the join, so the shuffle
     carries decimals, dates and integers instead of their text; only the
     join key stays raw text, because the source matches receipts on the
-    text as loaded.  Parsing is row-local, so the result is the same as
+    text as loaded, under a collation that ignores spaces at the end.  Parsing is row-local, so the result is the same as
     typing after the join.
     """
     h = raw_summary.select(
-        F.col("check_id").alias("_hid"),
+        F.rtrim("check_id").alias("_hid"),
         C.to_int("store_id").alias("store_id"),
         C.opt_int("cashier_id").alias("cashier_id"),
         C.opt_int("customer_id", "bigint").alias("customer_id"),
         D.to_datetime_dmy("datetime").alias("transaction_datetime"),
     )
     d = raw_details.select(
-        F.col("check_id").alias("_lid"),
+        F.rtrim("check_id").alias("_lid"),
         C.to_int("product_id").alias("product_id"),
         C.nonneg_decimal("unit_price").alias("unit_price"),
         C.nonneg_decimal("quantity").alias("quantity"),

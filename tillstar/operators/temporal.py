@@ -2,9 +2,8 @@
 
 ``lookup_scd2`` (J5) is the SQL point-in-time join: id equal and day inside
 ``[valid_from, valid_to]``; overlapping versions repeat the fact row, as SQL
-does.  Rows without an id can never match; they get a spread negative probe
-key so that they do not all hash into one shuffle partition when the
-dimension is too large to broadcast.
+does.  Rows without an id can never match; when the dimension is too large to
+broadcast they bypass the join, so that they are not shuffled at all.
 
 ``first_effective`` (J10, J11) returns, per fact row, the *first listed*
 interval that covers the day, optionally falling back to the last listed
@@ -25,27 +24,31 @@ from ..functions.clean import col
 from ..sources.sinks import stage_table
 from .lookups import BROADCAST_MAX_ROWS, sized_broadcast
 
-NULL_SPREAD = 1024
-
 
 def lookup_scd2(facts: DataFrame, dim: DataFrame, fact_id: str, at, key_col: str,
                 default=0, dim_id: str | None = None, valid_from: str = "valid_from",
-                valid_to: str = "valid_to", spread_cols: list[str] | None = None,
+                valid_to: str = "valid_to",
                 max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """LEFT join on id + closed date range; unmatched -> ``default``."""
     dim_id = dim_id or fact_id
     at_c = col(at)
     d = dim.select(F.col(dim_id).alias("_vid"), F.col(valid_from).alias("_vf"),
                    F.col(valid_to).alias("_vt"), F.col(key_col).alias("_vkey"))
-    d = sized_broadcast(d, max_rows)
-    spread = F.xxhash64(*[F.col(c) for c in (spread_cols or [])], at_c)
-    probe = F.coalesce(F.col(fact_id), -1 - F.pmod(spread, F.lit(NULL_SPREAD)))
-    f = facts.withColumn("_probe", probe)
-    cond = ((f["_probe"] == d["_vid"]) & f[fact_id].isNotNull()
-            & at_c.between(d["_vf"], d["_vt"]))
-    out = f.join(d, cond, "left")
-    key = F.coalesce(F.col("_vkey"), F.lit(default)).cast(dim.schema[key_col].dataType)
-    return out.withColumn(key_col, key).drop("_probe", "_vid", "_vf", "_vt", "_vkey")
+    kind = dim.schema[key_col].dataType
+    small = dim.count() <= max_rows
+
+    def joined(f: DataFrame, d: DataFrame) -> DataFrame:
+        cond = (f[fact_id] == d["_vid"]) & at_c.between(d["_vf"], d["_vt"])
+        key = F.coalesce(F.col("_vkey"), F.lit(default)).cast(kind)
+        return f.join(d, cond, "left").withColumn(key_col, key).drop("_vid", "_vf", "_vt", "_vkey")
+
+    if small:
+        return joined(facts, F.broadcast(d))
+    # Facts without an id match nothing: they take the default where they
+    # are read, so that they are not shuffled into one partition.
+    known = joined(facts.where(F.col(fact_id).isNotNull()), d)
+    unknown = facts.where(F.col(fact_id).isNull()).withColumn(key_col, F.lit(default).cast(kind))
+    return known.unionByName(unknown.select(*known.columns))
 
 
 # Above this many intervals on one key, the range join is bucketed by time.

@@ -326,7 +326,8 @@ ORACLE: dict[str, str] = {
     "scd2_split": _q("SELECT * FROM scd2_split"),
     "dim_customers": _q("SELECT * FROM dim_customers"),
     "hash_sample": _q("SELECT * FROM stg_customers WHERE customer_id IS NOT NULL "
-                      "AND substr(md5(CAST(customer_id AS VARCHAR)), 1, 4) < '4ccc'"),
+                      f"AND CAST('0x' || substr(md5(CAST(customer_id AS VARCHAR)), 1, 15) AS BIGINT) < {int(0.3 * 2**60)}"),
+    "hash_sample_all": _q("SELECT * FROM stg_customers WHERE customer_id IS NOT NULL"),
     "scd2_changed": _q("SELECT * FROM scd2_changed"),
     "scd2_close": _q("SELECT * FROM scd2_close"),
     "scd2_new": _q("SELECT * FROM scd2_new"),
@@ -410,6 +411,11 @@ ORACLE: dict[str, str] = {
         _per_column("raw_customers", "raw_customers.rejected:", {
             "birthday": _rejected("birthday", _BD),
             "customer_id": _rejected("customer_id", "TRY_CAST(trim(customer_id) AS BIGINT)")}),
+        _per_column("raw_check_details", "raw_check_details.rejected:", {
+            **{c: _rejected(c, f"TRY_CAST(trim({c}) AS DECIMAL(18,4))")
+               for c in ("unit_price", "quantity", "total_amount", "discount_abs")},
+            **{c: _rejected(c, f"TRY_CAST(trim({c}) AS INTEGER)")
+               for c in ("product_id", "discount_pct", "discount_type")}}),
     ])),
     "audit_promo": _q(
         ", pl AS (SELECT product_id, discount_pct, discount_type, CAST(transaction_datetime AS DATE) AS d "

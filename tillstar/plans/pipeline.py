@@ -27,7 +27,7 @@ STG_SOURCES = {
     "stg_customers": ["raw_customers"],
     "stg_pricing": ["raw_pricing"],
     "stg_promo": ["raw_promo"],
-    "stg_products": ["raw_products", "raw_pricing"],
+    "stg_products": ["raw_products"],  # with stg_pricing, new or kept
     "stg_transactions": ["raw_check_summary", "raw_check_details"],
 }
 

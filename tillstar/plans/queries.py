@@ -125,7 +125,7 @@ def q_stg_transactions_csv(spark, sf_dir):
     from ..sources.csv_source import align_to_schema, export_csv, read_csv
 
     w = Warehouse(spark, sf_dir)
-    base = f"{shared_dir(spark, fallback='/tmp/tillstar-checkpoints').rstrip('/')}/tillstar-csv/{uuid.uuid4().hex}"
+    base = f"{shared_dir(spark).rstrip('/')}/tillstar-csv/{uuid.uuid4().hex}"
     feeds = {}
     for name in ("raw_check_summary", "raw_check_details"):
         path = os.path.join(base, name)
@@ -180,6 +180,10 @@ def q_hash_sample(spark, sf_dir):
     return hash_sample(Warehouse(spark, sf_dir).stg["stg_customers"], "customer_id", 0.3)
 
 
+def q_hash_sample_all(spark, sf_dir):
+    return hash_sample(Warehouse(spark, sf_dir).stg["stg_customers"], "customer_id", 1.0)
+
+
 def q_scd2_changed(spark, sf_dir):
     w = Warehouse(spark, sf_dir, reuse_txn=False)
     return scd2.scd2_changed(w.stg_delta, w.dim_customers)
@@ -209,8 +213,7 @@ def q_lookup_scd2(spark, sf_dir):
     w = Warehouse(spark, sf_dir)
     t = w.txn.select(
         "check_id", "customer_id", D.to_day("transaction_datetime").alias("sale_date"))
-    return temporal.lookup_scd2(t, w.dim_customers, "customer_id", "sale_date", "customer_key", 0,
-                                spread_cols=["check_id"])
+    return temporal.lookup_scd2(t, w.dim_customers, "customer_id", "sale_date", "customer_key", 0)
 
 
 def q_price_at(spark, sf_dir):
@@ -314,6 +317,7 @@ def q_audit_rejects(spark, sf_dir):
                             "store_id": C.to_int("store_id")}, "raw_check_summary"),
         Q.audit_rejects(c, {"birthday": D.to_date_dmy("birthday"),
                             "customer_id": C.to_int("customer_id", "bigint")}, "raw_customers"),
+        Q.audit_rejects(w.raw["raw_check_details"], Q.amount_types(), "raw_check_details"),
     ])
 
 
@@ -353,6 +357,7 @@ QUERIES = {
     "scd2_split": q_scd2_split,
     "dim_customers": q_dim_customers,
     "hash_sample": q_hash_sample,
+    "hash_sample_all": q_hash_sample_all,
     "scd2_changed": q_scd2_changed,
     "scd2_close": q_scd2_close,
     "scd2_new": q_scd2_new,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Settings the library relies on.  AQE re-plans joins from runtime sizes and
@@ -45,8 +47,10 @@ def get_session(app: str = "tillstar", master: str | None = None,
 def shared_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The cluster's shared folder for checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir``; only when the cluster names none
-    (local tests) is ``fallback`` installed as the checkpoint folder.
+    Read from ``spark.checkpoint.dir``.  Where that is unset and Spark runs
+    within one machine (master ``local...``), ``fallback``, or else a new
+    temporary folder, is installed; on a cluster it is an error, since other
+    machines would not see such a folder.
     """
     try:
         sc = spark.sparkContext
@@ -56,9 +60,10 @@ def shared_dir(spark: SparkSession, fallback: str | None = None) -> str:
         return sc.getCheckpointDir()
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        if fallback is None:
-            raise RuntimeError("spark.checkpoint.dir is not set and no fallback was given")
-        d = fallback
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if master.split("[")[0] != "local":
+            raise RuntimeError("spark.checkpoint.dir is not set; it must name a folder that all executors share")
+        d = fallback or tempfile.mkdtemp(prefix="tillstar-checkpoints-")
     if sc is not None:
         sc.setCheckpointDir(d)
         return sc.getCheckpointDir() or d

@@ -40,7 +40,7 @@ def materialize(df: DataFrame, path: str, partition_by: list[str] | None = None,
     return df.sparkSession.read.parquet(path)
 
 
-def stage_table(df: DataFrame, name: str, fallback_dir: str = "/tmp/tillstar-checkpoints") -> DataFrame:
+def stage_table(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate table as parquet under the cluster's shared
     folder (``spark.checkpoint.dir``) and read it back.
 
@@ -51,7 +51,7 @@ def stage_table(df: DataFrame, name: str, fallback_dir: str = "/tmp/tillstar-che
     """
     from ..session import shared_dir
 
-    base = shared_dir(df.sparkSession, fallback=fallback_dir)
+    base = shared_dir(df.sparkSession)
     path = f"{base.rstrip('/')}/tillstar-tables/{uuid.uuid4().hex}/{name}"
     return materialize(df, path)
 

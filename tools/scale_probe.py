@@ -33,7 +33,7 @@ def main() -> None:
                         extra={"spark.driver.memory": "16g"})
     from tillstar.session import shared_dir
 
-    base = shared_dir(spark, fallback=tempfile.mkdtemp(prefix="tillstar-scale-ckpt-"))
+    base = shared_dir(spark)
     out = f"{base.rstrip('/')}/scale-{uuid.uuid4().hex}"
     feeds = TD.raw_feeds(spark, sf_dir)
     rep = F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("_r")
