@@ -128,13 +128,20 @@ def audit_total(txn: DataFrame, rule: str = "stg_transactions.total_mismatch") -
 
 
 def audit_orphans(headers: DataFrame, lines: DataFrame, id_col: str = "check_id") -> DataFrame:
-    """Receipt lines without a header and headers without lines (Q11)."""
-    per_check = lines.groupBy(id_col).count()
-    h = headers.select(F.col(id_col).alias("_hid")).distinct()
-    lonely_lines = per_check.join(h, per_check[id_col] == h["_hid"], "left_anti")
-    lonely_heads = h.join(per_check, h["_hid"] == per_check[id_col], "left_anti")
-    return _one(lonely_lines, "raw_check_details.no_header", F.sum("count")).unionByName(
-        _one(lonely_heads, "raw_check_summary.no_lines", F.count(F.lit(1))))
+    """Receipt lines without a header and headers without lines (Q11).
+
+    Both sides are reduced to one row per id and meet in one outer join, so
+    each input is read and shuffled once.
+    """
+    per_line = lines.groupBy(F.col(id_col).alias("_lid")).agg(F.count(F.lit(1)).alias("_lines"))
+    per_head = headers.groupBy(F.col(id_col).alias("_hid")).agg(F.lit(1).alias("_head"))
+    both = per_line.join(per_head, per_line["_lid"] == per_head["_hid"], "full")
+    sums = both.agg(
+        F.coalesce(F.sum(F.when(F.col("_head").isNull(), F.col("_lines"))), F.lit(0)).cast("bigint").alias("a"),
+        F.coalesce(F.sum(F.when(F.col("_lines").isNull(), F.lit(1))), F.lit(0)).cast("bigint").alias("b"))
+    rules = F.array(*[F.struct(F.lit(rule).alias("rule"), F.col(c).alias("n_bad"))
+                      for rule, c in (("raw_check_details.no_header", "a"), ("raw_check_summary.no_lines", "b"))])
+    return sums.select(F.inline(rules))
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

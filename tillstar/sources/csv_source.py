@@ -11,12 +11,12 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .scan import spread
 from .schemas import RAW_LENGTHS, SOURCE_FILES
+from .sinks import path_exists
 
 LOAD_SEQ = "load_seq"
 
@@ -69,16 +69,6 @@ class LoadReport:
     skipped: list[str] = field(default_factory=list)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    if "://" not in path and not path.startswith("file:"):
-        return os.path.exists(path)
-    try:
-        spark.read.text(path).schema  # noqa: B018 - resolves the path only
-        return True
-    except AnalysisException:
-        return False
-
-
 def load_all(spark: SparkSession, directory: str, catalog: dict[str, str] | None = None,
              ordered: tuple[str, ...] = ("raw_pricing", "raw_promo")) -> LoadReport:
     """Load every catalogued source that exists; report the missing ones (S3)."""
@@ -86,7 +76,7 @@ def load_all(spark: SparkSession, directory: str, catalog: dict[str, str] | None
     rep = LoadReport()
     for table, fname in catalog.items():
         path = os.path.join(directory, fname)
-        if not _exists(spark, path):
+        if not path_exists(spark, path):
             rep.skipped.append(table)
             continue
         seq = table in ordered

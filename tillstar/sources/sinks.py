@@ -13,7 +13,6 @@ import os
 import re
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,39 +68,39 @@ def version_path(base: str, version: int) -> str:
     return os.path.join(base, f"v{version:06d}")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, on whatever file system Spark resolves ``path`` to."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+
+
 def latest_version(base: str, spark: SparkSession | None = None) -> int | None:
     """Highest committed version folder (``v000001``, ...) under ``base``.
 
-    With a session the listing goes through Spark's file source, so it works
-    on any filesystem Spark reads (HDFS, object stores, ``file:``).  Spark's
-    listing hides ``_SUCCESS``; a version counts as committed when its data
-    files are visible, which the default commit protocol (FileOutputCommitter
-    algorithm 1) guarantees only after the job commits.  Files are reduced to
-    distinct version folders on the executors: one row per version reaches
-    the driver.  Without a session, ``base`` must be a local path and
-    ``_SUCCESS`` is checked directly.
+    A version counts as committed when its ``_SUCCESS`` file is there, which
+    the writer leaves last, whatever the commit protocol.  With a session the
+    folder is listed through Spark's file system, so it works on any that
+    Spark reads (HDFS, object stores, ``file:``); without one, ``base`` must
+    be a local path.
     """
     if spark is None:
         if not os.path.isdir(base):
             return None
-        vs = [int(m.group(1)) for d in os.listdir(base) if (m := _VERSION.match(d))
-              and os.path.exists(os.path.join(base, d, "_SUCCESS"))]
-        return max(vs) if vs else None
-    try:
-        files = spark.read.format("binaryFile").load(f"{base.rstrip('/')}/v*").select("path")
-    except AnalysisException:
-        return None
-    vdir = F.regexp_extract("path", r"/v(\d+)/[^/]+$", 1)
-    rows = files.select(vdir.alias("v")).where(F.col("v") != "").distinct().collect()
-    return max(int(r.v) for r in rows) if rows else None
+        names = [d for d in os.listdir(base) if os.path.exists(os.path.join(base, d, "_SUCCESS"))]
+    else:
+        if not path_exists(spark, base):
+            return None
+        root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+        found = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(root)
+        names = [x.getPath().getName() for x in found]
+        names = [d for d in names if _VERSION.match(d) and path_exists(spark, f"{base.rstrip('/')}/{d}/_SUCCESS")]
+    vs = [int(m.group(1)) for d in names if (m := _VERSION.match(d))]
+    return max(vs, default=None)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a written table with visible data files exists at ``path``."""
-    try:
-        return spark.read.format("binaryFile").load(path).select("path").limit(1).count() == 1
-    except AnalysisException:
-        return False
+    """Whether a table was written completely at ``path``."""
+    return path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")
 
 
 def write_version(df: DataFrame, base: str, version: int) -> str:
