@@ -22,8 +22,8 @@ def maximal_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col:
 
     Returns ``conv_id, n_turns, rendered, n_snapshots`` (other conversations
     it stands for that are copies of the whole).  Of equal conversations the
-    smallest ``conv_id`` stays.  Turns go by ``turn``, then role and text, so
-    repeated turn numbers have a defined order and repeated rows stay
+    smallest ``conv_id`` stays.  Turns go by ``turn``, then role and a digest
+    of the text, so repeated turn numbers have a defined order and repeated rows stay
     repeated turns; null turns come first, null roles and texts count as
     empty.  Rows without a conversation id belong to no conversation and are
     left out.  Rendering: ``<|im_start|>role``, a new line, the text,

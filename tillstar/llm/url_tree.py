@@ -103,8 +103,7 @@ def filter_urls(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str]
         literal = (known.withColumn("rest_n", rest_n).withColumn("rest_bad", rest_bad)
                    .where("rest_n > 0").where((gap > 0) & (gap >= z * se))
                    .select("host", "tpl", "seg", F.lit(True).alias("own")))
-        # The last level's step needs no branch of its own beyond the wildcard's
-        # unless it is literal; shorter paths are complete already.
+        # Paths that end above this level are complete already.
         paths = (paths.withColumn("seg", seg).join(literal, ["host", "tpl", "seg"], "left")
                  .withColumn("tpl", F.when(F.size("segs") <= d, F.col("tpl"))
                              .otherwise(F.concat("tpl", F.array(F.when(F.col("own"), F.col("seg")).otherwise(
