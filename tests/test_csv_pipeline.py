@@ -348,17 +348,29 @@ def test_raw_format_export_roundtrip(spark, tmp_dir):
     assert "01-07-2023" in text and "12.00" in text
 
 
-def test_unused_feed_does_not_block_metrics(spark, tmp_dir):
-    """One half of the receipts missing: the other is loaded, but the staged
-    lines are kept from the earlier run; the run must still finish."""
+def test_half_of_the_receipts_is_staged_with_the_landed_other_half(spark, tmp_dir):
+    """One file of the receipts missing: the other is loaded and joined with
+    what the landing table kept."""
     out = os.path.join(tmp_dir, "wh")
     run_pipeline(spark, write_files(os.path.join(tmp_dir, "raw1")), out, as_of=dt.date(2024, 1, 1))
     files = dict(FILES)
     files.pop("check_details.csv")
     res = run_pipeline(spark, write_files(os.path.join(tmp_dir, "raw2"), files), out,
                        as_of=dt.date(2024, 1, 1))
-    assert set(res.kept_tables) == {"stg_transactions"}
-    assert "raw_check_summary" not in res.rows and res.rows["raw_products"] > 0
+    assert res.skipped_sources == ["raw_check_details"] and not res.kept_tables
+    assert "raw_check_details" not in res.rows and res.rows["raw_check_summary"] > 0
+    assert spark.read.parquet(os.path.join(out, "landing", "raw_check_details")).count() == 6
+
+
+def test_failed_overwrite_leaves_the_table(spark, tmp_dir):
+    from tillstar.sources.sinks import materialize
+
+    path = os.path.join(tmp_dir, "t")
+    materialize(spark.range(3), path)
+    with pytest.raises(Exception, match="stop"):
+        materialize(spark.range(5).selectExpr("if(id = 4, raise_error('stop'), id) as id"), path)
+    assert spark.read.parquet(path).count() == 3
+    assert materialize(spark.read.parquet(path).union(spark.range(2)), path).count() == 5
 
 
 def test_new_products_are_staged_without_a_pricing_file(spark, tmp_dir):

@@ -8,7 +8,7 @@ def test_scale_conf_sizes_from_input():
     small = scale_conf(1 << 30)
     assert small["spark.sql.shuffle.partitions"] == "200"           # floor
     big = scale_conf(100 << 40)                                      # 100 TB
-    assert big["spark.sql.shuffle.partitions"] == "400000"          # capped
+    assert big["spark.sql.shuffle.partitions"] == "100000"          # capped
     mid = scale_conf(1 << 40)                                        # 1 TB / 128 MB
     assert mid["spark.sql.shuffle.partitions"] == str((1 << 40) // (128 << 20))
     assert mid["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == mid["spark.sql.shuffle.partitions"]

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import amounts as A
+from ..functions import dates as D
 from ..functions.clean import blank_to_null
 from .lookups import BROADCAST_MAX_ROWS, sized_broadcast
 from .sweep import running_max_before
@@ -62,6 +63,26 @@ def audit_fk(fact: DataFrame, fk: str, dim: DataFrame, pk: str, rule: str,
     return _one(dangling, rule, F.sum("count"))
 
 
+def audit_fks(fact: DataFrame, refs: dict[str, tuple[DataFrame, str]], table: str,
+              max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``audit_fk`` of several keys in one pass over the fact (Q3).
+
+    ``refs`` maps a fact column to ``(dimension, its key)``.  Each dimension
+    whose counted keys are under the bound is broadcast, and one aggregate
+    counts all of them; a larger one is audited by itself, on the fact
+    reduced to one row per key.
+    """
+    x, tests, apart = fact.select(*refs), {}, []
+    for fk, (dim, pk) in refs.items():
+        keys = dim.select(F.col(pk).alias(f"_{fk}")).distinct()
+        if keys.count() > max_rows:
+            apart.append(audit_fk(fact, fk, dim, pk, f"{table}.fk:{fk}", 0))
+            continue
+        x = x.join(F.broadcast(keys), F.col(fk) == F.col(f"_{fk}"), "left")
+        tests[fk] = F.col(fk).isNotNull() & F.col(f"_{fk}").isNull()
+    return union_all(([_per_column(x, f"{table}.fk:", tests)] if tests else []) + apart)
+
+
 def audit_negative(raw: DataFrame, cols: list[str], table: str) -> DataFrame:
     """Negative numbers in raw text columns, before staging clamps them (Q4, Q5)."""
     tests = {c: blank_to_null(c).try_cast("decimal(38,10)") < 0 for c in cols}
@@ -74,19 +95,33 @@ def audit_length(raw: DataFrame, lengths: dict[str, int], table: str) -> DataFra
     return _per_column(raw, f"{table}.too_long:", tests)
 
 
-def amount_types() -> dict[str, Column]:
-    """Typed receipt-line columns *before* bad text is defaulted to 0, so that
-    ``audit_rejects`` sees what the default hides (Q8)."""
-    money = {c: blank_to_null(c).try_cast("decimal(18,4)") for c in ("unit_price", "quantity", "total_amount", "discount_abs")}
-    return money | {c: blank_to_null(c).try_cast("int") for c in ("product_id", "discount_pct", "discount_type")}
+#: The typed columns of each raw table, by type.
+TYPED = {
+    "raw_stores": {"int": ["store_id"]},
+    "raw_customers": {"bigint": ["customer_id"], "date": ["birthday"]},
+    "raw_products": {"int": ["product_id"]},
+    "raw_pricing": {"int": ["product_id", "is_active"], "decimal(10,2)": ["price"], "date": ["start_date", "end_date"]},
+    "raw_promo": {"int": ["promo_type", "product_id", "discount_pct", "is_active"], "date": ["start_date", "end_date"]},
+    "raw_check_summary": {"bigint": ["check_id", "customer_id"], "int": ["store_id", "cashier_id"], "datetime": ["datetime"]},
+    "raw_check_details": {"bigint": ["check_id"], "int": ["product_id", "discount_pct", "discount_type"],
+                          "decimal(18,4)": ["unit_price", "quantity", "total_amount", "discount_abs"]},
+}
+
 
+def typed(table: str) -> dict[str, Column]:
+    """A raw table's columns as typed by staging, but *before* bad text is
+    defaulted to 0, so that ``audit_rejects`` sees what the default hides (Q8)."""
+    special = {"date": D.to_date_dmy, "datetime": D.to_datetime_dmy}
+    return {c: special[kind](c) if kind in special else blank_to_null(c).try_cast(kind)
+            for kind, cols in TYPED[table].items() for c in cols}
 
-def audit_rejects(raw: DataFrame, typed: dict[str, Column], table: str) -> DataFrame:
+
+def audit_rejects(raw: DataFrame, types: dict[str, Column], table: str) -> DataFrame:
     """Non-blank text that the lenient cast turned into NULL (Q8).
 
-    ``typed`` maps a raw column to the expression that types it.
+    ``types`` maps a raw column to the expression that types it.
     """
-    tests = {c: blank_to_null(c).isNotNull() & e.isNull() for c, e in typed.items()}
+    tests = {c: blank_to_null(c).isNotNull() & e.isNull() for c, e in types.items()}
     return _per_column(raw, f"{table}.rejected:", tests)
 
 
@@ -127,14 +162,33 @@ def audit_total(txn: DataFrame, rule: str = "stg_transactions.total_mismatch") -
     return _one(txn, rule, F.sum(F.when(bad, 1).otherwise(0)))
 
 
+def unique_keys(tables: dict[str, DataFrame]) -> DataFrame:
+    """Primary keys and natural keys of the mart's dimensions (Q1)."""
+    keys = [("dim_date", "date_key"), ("dim_products", "product_key"), ("dim_products", "product_id"),
+            ("dim_stores", "store_key"), ("dim_stores", "store_id"), ("dim_customers", "customer_key")]
+    current = tables["dim_customers"].where(F.col("is_current") & F.col("customer_id").isNotNull())
+    return union_all([
+        *[audit_unique(tables[t], [k], f"{t}.unique:{k}") for t, k in keys],
+        audit_unique(current, ["customer_id"], "dim_customers.one_current:customer_id"),
+        audit_unique(tables["stg_pricing"].where(F.col("is_active")), ["product_id"], "stg_pricing.multi_active:product_id"),
+    ])
+
+
+def fact_keys(tables: dict[str, DataFrame]) -> DataFrame:
+    """The fact's four foreign keys (Q3)."""
+    refs = {"date_key": "dim_date", "product_key": "dim_products", "store_key": "dim_stores", "customer_key": "dim_customers"}
+    return audit_fks(tables["fct_sales"], {k: (tables[t], k) for k, t in refs.items()}, "fct_sales")
+
+
 def audit_orphans(headers: DataFrame, lines: DataFrame, id_col: str = "check_id") -> DataFrame:
     """Receipt lines without a header and headers without lines (Q11).
 
+    Ids are matched as ``stage_transactions`` does, past spaces at the end.
     Both sides are reduced to one row per id and meet in one outer join, so
     each input is read and shuffled once.
     """
-    per_line = lines.groupBy(F.col(id_col).alias("_lid")).agg(F.count(F.lit(1)).alias("_lines"))
-    per_head = headers.groupBy(F.col(id_col).alias("_hid")).agg(F.lit(1).alias("_head"))
+    per_line = lines.groupBy(F.rtrim(id_col).alias("_lid")).agg(F.count(F.lit(1)).alias("_lines"))
+    per_head = headers.groupBy(F.rtrim(id_col).alias("_hid")).agg(F.lit(1).alias("_head"))
     both = per_line.join(per_head, per_line["_lid"] == per_head["_hid"], "full")
     sums = both.agg(
         F.coalesce(F.sum(F.when(F.col("_head").isNull(), F.col("_lines"))), F.lit(0)).cast("bigint").alias("a"),
@@ -157,24 +211,13 @@ def warehouse_report(tables: dict[str, DataFrame], raw: dict[str, DataFrame] | N
     rules that look at the raw text (negatives, lengths, rejects, orphans).
     Each rule is its own small job; the union is one result.
     """
-    from ..functions import clean as C
-    from ..functions import dates as D
     from ..sources.schemas import NOT_NULL, RAW_LENGTHS
 
     t = tables
     parts = [
-        audit_unique(t["dim_products"], ["product_id"], "dim_products.unique:product_id"),
-        audit_unique(t["dim_stores"], ["store_id"], "dim_stores.unique:store_id"),
-        audit_unique(t["dim_customers"].where(F.col("is_current") & F.col("customer_id").isNotNull()),
-                     ["customer_id"], "dim_customers.one_current:customer_id"),
-        audit_unique(t["stg_pricing"].where(F.col("is_active")), ["product_id"],
-                     "stg_pricing.multi_active:product_id"),
+        unique_keys(t),
         *[audit_not_null(t[name], cols, name) for name, cols in NOT_NULL.items() if cols and name in t],
-        audit_fk(t["fct_sales"], "date_key", t["dim_date"], "date_key", "fct_sales.fk:date_key"),
-        audit_fk(t["fct_sales"], "product_key", t["dim_products"], "product_key", "fct_sales.fk:product_key"),
-        audit_fk(t["fct_sales"], "store_key", t["dim_stores"], "store_key", "fct_sales.fk:store_key"),
-        audit_fk(t["fct_sales"], "customer_key", t["dim_customers"], "customer_key",
-                 "fct_sales.fk:customer_key"),
+        fact_keys(t),
         *[audit_overlap(t[name], "product_id", "start_date", "end_date",
                         "load_seq" if "load_seq" in t[name].columns else "end_date", f"{name}.overlap")
           for name in ("stg_pricing", "stg_promo")],
@@ -188,9 +231,7 @@ def warehouse_report(tables: dict[str, DataFrame], raw: dict[str, DataFrame] | N
                            "raw_check_details"),
             audit_negative(raw["raw_promo"], ["discount_pct"], "raw_promo"),
             *[audit_length(raw[name], RAW_LENGTHS[name], name) for name in RAW_LENGTHS if name in raw],
-            audit_rejects(raw["raw_check_summary"], {"datetime": D.to_datetime_dmy("datetime"),
-                                                     "customer_id": C.opt_int("customer_id", "bigint")},
-                          "raw_check_summary"),
+            *[audit_rejects(raw[name], typed(name), name) for name in TYPED if name in raw],
             audit_orphans(raw["raw_check_summary"], raw["raw_check_details"]),
         ]
     return union_all(parts)

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ..functions import clean as C
 from ..functions import dates as D
 from ..session import shared_dir
+from ..sources.sinks import stage_table
 from .keys import assign_keys, max_key, seed_member
 from .lookups import BROADCAST_MAX_ROWS, sized_broadcast
 
@@ -110,8 +111,17 @@ def build_dim_customers(customers: DataFrame, txn: DataFrame, as_of,
 # --- delta --------------------------------------------------------------
 
 
+# Bytes of text in a feed that is broadcast whole.
+FEED_MAX_BYTES = 256 << 20
+
+
 def _small(stg: DataFrame, max_rows: int) -> bool:
-    return max_rows > 0 and stg.count() <= max_rows
+    """Whether a feed may be broadcast: few rows and little text, both measured."""
+    if max_rows <= 0:
+        return False
+    text = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in stg.dtypes if kind == "string"), F.lit(0))
+    rows, size = stg.agg(F.count(F.lit(1)), F.coalesce(F.sum(text), F.lit(0))).first()
+    return rows <= max_rows and size <= FEED_MAX_BYTES
 
 
 def scd2_changed(stg: DataFrame, dim: DataFrame, tracked: list[str] = ("city",),
@@ -234,9 +244,11 @@ def scd2_apply(dim: DataFrame, stg: DataFrame, as_of, tracked: list[str] = ("cit
     count) no step shuffles the dimension; a larger feed (a full restage)
     is shuffled once, classified by ``_classify``.
     """
-    # Read by two steps (close, new versions): written once, like the
+    # The feed is read by several steps, the changed ids by two (close, new
+    # versions): each is written once, like the
     # source's temporary table, so the comparison join runs once.
     shared_dir(dim.sparkSession)
+    stg = stage_table(stg, "feed")
     if _small(stg, max_rows):
         changed = scd2_changed(stg, dim, list(tracked), collation, small_feed=True).checkpoint(eager=True)
         new = scd2_new(stg, dim, as_of, small_feed=True)

@@ -63,26 +63,24 @@ def _covering(probes: DataFrame, t: DataFrame, how: str, max_per_key: int,
     A plain equi-join on the key compares every probe day of a key with every
     interval of that key.  When some key holds more than ``max_per_key``
     intervals (measured: one aggregate over the interval table), intervals are
-    clipped to the probes' date range and exploded into ``bucket_days``-wide
-    buckets; the equi-key becomes ``(key, bucket)``, so a probe day meets only
+    exploded into the ``bucket_days``-wide buckets in which some probe day
+    lies; the equi-key becomes ``(key, bucket)``, so a probe day meets only
     the intervals that touch its bucket.  A covering interval always contains
-    the probe's bucket, so each matching pair is produced exactly once.
+    the probe's bucket, so each matching pair is produced exactly once.  A
+    stray day adds one bucket, not all between it and the others.  The list
+    of buckets is one row, of at most 10,000 years / ``bucket_days`` numbers.
     """
     cover = probes["_d"].between(t["_s"], t["_e"])
     worst = t.groupBy("_tk").count().agg(F.max("count")).first()[0] or 0
     if worst <= max_per_key:
         return probes.join(t, (probes["_k"] == t["_tk"]) & cover, how)
-    lo, hi = probes.agg(F.min("_d"), F.max("_d")).first()
-    if lo is None:
-        return probes.join(t, (probes["_k"] == t["_tk"]) & cover, how)
-    lo_c, hi_c = F.lit(lo).cast("date"), F.lit(hi).cast("date")
 
     def bucket(d):
-        return F.floor(F.datediff(d, lo_c) / bucket_days).cast("int")
+        return F.floor(F.unix_date(d) / bucket_days).cast("int")
 
-    tb = (t.where((t["_e"] >= lo_c) & (t["_s"] <= hi_c))
-          .withColumn("_b", F.explode(F.sequence(bucket(F.greatest("_s", lo_c)),
-                                                 bucket(F.least("_e", hi_c))))))
+    present = probes.select(bucket(F.col("_d")).alias("_b")).distinct().agg(F.collect_set("_b").alias("_all"))
+    tb = (t.join(F.broadcast(present)).withColumn("_b", F.explode(
+        F.filter("_all", lambda b: b.between(bucket(F.col("_s")), bucket(F.col("_e")))))).drop("_all"))
     pb = probes.withColumn("_pb", bucket(F.col("_d")))
     cond = (pb["_k"] == tb["_tk"]) & (pb["_pb"] == tb["_b"]) & pb["_d"].between(tb["_s"], tb["_e"])
     return pb.join(tb, cond, how).drop("_pb", "_b")

@@ -9,10 +9,12 @@ same total order as ``operators.keys.assign_keys``.
 
 from __future__ import annotations
 
+from ..sources.schemas import RAW_LENGTHS
+
 # Fixed values shared with sources/testdata.py.
 _RAW = r"""
 raw_check_summary AS (
-  SELECT CAST(o_orderkey AS VARCHAR) AS check_id,
+  SELECT CAST(o_orderkey AS VARCHAR) || CASE WHEN o_orderkey % 30 = 4 THEN '  ' ELSE '' END AS check_id,
     CASE WHEN o_orderkey % 120 = 110 THEN '9999' ELSE CAST(o_orderkey % 120 AS VARCHAR) END AS store_id,
     CASE WHEN o_orderkey % 120 = 110 THEN '' ELSE CAST(1 + o_orderkey % 10 AS VARCHAR) END AS cashier_id,
     CASE WHEN o_orderkey % 1000 = 7 THEN '31-02-1997 10:00'
@@ -37,25 +39,28 @@ raw_check_details AS (
               ELSE CAST(l_orderkey AS VARCHAR) END AS check_id,
     CAST(l_partkey AS VARCHAR) AS product_id,
     p_name AS product_name,
-    ' ' || CAST(up AS VARCHAR) AS unit_price,
-    CASE WHEN pct = 0 THEN '' ELSE CAST(pct AS VARCHAR) END AS discount_pct,
+    CASE WHEN l_orderkey % 500 = 13 AND l_linenumber = 1 THEN '12,50' ELSE ' ' || CAST(up AS VARCHAR) END AS unit_price,
+    CASE WHEN l_orderkey % 500 = 14 AND l_linenumber = 1 THEN 'abc'
+         WHEN pct = 0 THEN '' ELSE CAST(pct AS VARCHAR) END AS discount_pct,
     CASE WHEN pct = 0 THEN '' ELSE CAST(dabs AS VARCHAR) END AS discount_abs,
     CASE WHEN pct = 0 THEN '' WHEN l_linenumber % 2 = 0 THEN '99'
          ELSE '1' || CAST(l_linenumber AS VARCHAR) END AS discount_type,
     CASE WHEN l_linenumber = 3 THEN '' WHEN l_linenumber = 4 THEN '-1'
          ELSE CAST(q AS VARCHAR) END AS quantity,
-    CASE WHEN l_linenumber = 7 THEN '-' || tot ELSE tot END AS total_amount
+    CASE WHEN l_orderkey % 500 = 15 AND l_linenumber = 1 THEN '123456789012345678'
+         WHEN l_linenumber = 7 THEN '-' || tot ELSE tot END AS total_amount
   FROM li_tot),
 raw_products AS (
-  SELECT CAST(p_partkey AS VARCHAR) AS product_id, ' ' || p_name || ' ' AS name,
-         p_brand AS unit, p_type AS category
-  FROM part WHERE p_partkey % 97 <> 96),
+  SELECT CAST(CASE WHEN p_partkey % 97 = 96 THEN p_partkey + 1000000000 ELSE p_partkey END AS VARCHAR) AS product_id,
+         ' ' || p_name || ' ' AS name, p_brand AS unit, p_type AS category
+  FROM part),
 raw_pricing AS (
-  SELECT CAST(p_partkey AS VARCHAR) AS product_id,
+  SELECT CAST(CASE WHEN p_partkey % 50 = 0 THEN p_partkey + 1000000000 ELSE p_partkey END AS VARCHAR) AS product_id,
     CAST(CAST(CASE WHEN r.seq = 5 THEN p_retailprice + 55 ELSE p_retailprice + (r.seq - 1) * 10 END
               AS DECIMAL(10,2)) AS VARCHAR) AS price,
-    r.a AS start_date, r.b AS end_date,
-    CASE WHEN (r.seq = 4 AND p_partkey % 7 <> 0) OR r.seq = 5 THEN '1' ELSE '0' END AS is_active,
+    CASE WHEN r.seq = 5 AND p_partkey % 11 <> 0 THEN '01-01-2005' ELSE r.a END AS start_date,
+    CASE WHEN r.seq = 5 AND p_partkey % 11 <> 0 THEN '31-12-2005' ELSE r.b END AS end_date,
+    CASE WHEN (r.seq = 4 AND p_partkey % 7 <> 0) OR (r.seq = 5 AND p_partkey % 11 = 0) THEN '1' ELSE '0' END AS is_active,
     r.seq AS load_seq
   FROM (SELECT p_partkey, p_retailprice,
                unnest([{'seq': 1, 'a': '01-01-1995', 'b': '30-06-1996'},
@@ -63,20 +68,20 @@ raw_pricing AS (
                        {'seq': 3, 'a': '01-01-1998', 'b': '30-06-1999'},
                        {'seq': 4, 'a': '01-07-1999', 'b': '31-12-2000'},
                        {'seq': 5, 'a': '01-06-2000', 'b': '31-12-2001'}]) AS r
-        FROM part WHERE p_partkey % 50 <> 0)
-  WHERE r.seq < 5 OR p_partkey % 11 = 0),
+        FROM part)),
 raw_promo AS (
   SELECT r.t AS promo_type, CAST(p_partkey AS VARCHAR) AS product_id,
     CASE WHEN r.seq = 1 THEN CAST(10 + p_partkey % 41 AS VARCHAR)
          WHEN p_partkey % 45 = 0 THEN '-5'
          ELSE CAST(10 + p_partkey % 41 + 5 AS VARCHAR) END AS discount_pct,
-    r.a AS start_date, r.b AS end_date,
+    CASE WHEN p_partkey % 5 = 0 THEN r.a ELSE '01-01-2005' END AS start_date,
+    CASE WHEN p_partkey % 5 = 0 THEN r.b ELSE '31-12-2005' END AS end_date,
     CASE WHEN r.seq = 2 AND p_partkey % 2 = 0 THEN '1' ELSE '0' END AS is_active,
     r.d AS description, r.seq AS load_seq
   FROM (SELECT p_partkey,
                unnest([{'seq': 1, 't': '10', 'a': '01-01-1996', 'b': '01-01-1998', 'd': ' Weekly deal '},
                        {'seq': 2, 't': '11', 'a': '01-01-1997', 'b': '01-01-1999', 'd': ' Clearance '}]) AS r
-        FROM part WHERE p_partkey % 5 = 0)),
+        FROM part)),
 raw_stores AS (
   SELECT CAST(s_suppkey AS VARCHAR) AS store_id,
     CASE s_suppkey % 3 WHEN 0 THEN 'hyper' WHEN 1 THEN 'super' ELSE 'to go' END AS format,
@@ -91,15 +96,18 @@ raw_customers AS (
 raw_customers_delta AS (
   SELECT customer_id, name,
     CASE WHEN CAST(customer_id AS BIGINT) % 7 = 0 THEN 'NEW'
-         WHEN CAST(customer_id AS BIGINT) % 11 = 0 THEN '' ELSE city END AS city,
+         WHEN CAST(customer_id AS BIGINT) % 11 = 0 THEN ''
+         WHEN CAST(customer_id AS BIGINT) % 17 = 0 THEN lower(city) ELSE city END AS city,
     birthday
-  FROM raw_customers WHERE CAST(customer_id AS BIGINT) % 3 <> 0
+  FROM raw_customers
   UNION ALL
-  SELECT CAST(CAST(customer_id AS BIGINT) + 100000 AS VARCHAR), name, city, birthday
-  FROM raw_customers WHERE CAST(customer_id AS BIGINT) % 13 = 0),
+  SELECT CAST(CAST(customer_id AS BIGINT) + 2000000000 AS VARCHAR), name, city, birthday
+  FROM raw_customers),
 customer_changes AS (
-  SELECT c_custkey AS customer_id, DATE '1998-01-01' AS change_date, 'OLD ' || n_name AS old_city
-  FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 10 < 3)"""
+  SELECT c_custkey AS customer_id,
+    CASE WHEN c_custkey % 10 < 3 THEN DATE '1998-01-01' ELSE DATE '1980-01-01' END AS change_date,
+    'OLD ' || n_name AS old_city
+  FROM customer JOIN nation ON c_nationkey = n_nationkey)"""
 
 _STG = r"""
 stg_stores AS (
@@ -121,7 +129,7 @@ stg_pricing AS (
     TRY_CAST(NULLIF(trim(price), '') AS DECIMAL(10,2)) AS price,
     CAST(try_strptime(NULLIF(trim(start_date), ''), '%d-%m-%Y') AS DATE) AS start_date,
     CAST(try_strptime(NULLIF(trim(end_date), ''), '%d-%m-%Y') AS DATE) AS end_date,
-    TRY_CAST(NULLIF(trim(is_active), '') AS INTEGER) <> 0 AS is_active,
+    TRY_CAST(NULLIF(trim(is_active), '') AS INTEGER) = 1 AS is_active,
     load_seq
   FROM raw_pricing),
 stg_promo AS (
@@ -130,7 +138,7 @@ stg_promo AS (
     greatest(COALESCE(TRY_CAST(NULLIF(trim(discount_pct), '') AS INTEGER), 0), 0) AS discount_pct,
     CAST(try_strptime(NULLIF(trim(start_date), ''), '%d-%m-%Y') AS DATE) AS start_date,
     CAST(try_strptime(NULLIF(trim(end_date), ''), '%d-%m-%Y') AS DATE) AS end_date,
-    TRY_CAST(NULLIF(trim(is_active), '') AS INTEGER) <> 0 AS is_active,
+    TRY_CAST(NULLIF(trim(is_active), '') AS INTEGER) = 1 AS is_active,
     trim(description) AS description,
     load_seq
   FROM raw_promo),
@@ -152,7 +160,7 @@ stg_transactions AS (
     COALESCE(greatest(TRY_CAST(NULLIF(trim(d.discount_abs), '') AS DECIMAL(18,4)), CAST(0 AS DECIMAL(18,4))), CAST(0 AS DECIMAL(18,4))) AS discount_abs,
     greatest(COALESCE(TRY_CAST(NULLIF(trim(d.discount_pct), '') AS INTEGER), 0), 0) AS discount_pct,
     COALESCE(TRY_CAST(NULLIF(trim(d.discount_type), '') AS INTEGER), 0) AS discount_type
-  FROM raw_check_details d JOIN raw_check_summary s ON d.check_id = s.check_id)"""
+  FROM raw_check_details d JOIN raw_check_summary s ON rtrim(d.check_id) = rtrim(s.check_id))"""
 
 _DIMS = r"""
 bounds AS (
@@ -295,20 +303,35 @@ def _overlap(table: str, rule: str) -> str:
             f"ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_end FROM {table} WHERE product_id IS NOT NULL)")
 
 
-_LENGTHS = {
-    "raw_check_details": {"check_id": 20, "product_id": 10, "product_name": 255, "unit_price": 20,
-                          "discount_pct": 20, "discount_abs": 20, "discount_type": 10,
-                          "quantity": 20, "total_amount": 20},
-    "raw_customers": {"customer_id": 10, "name": 255, "city": 100, "birthday": 20},
-    "raw_products": {"product_id": 10, "name": 255, "unit": 10, "category": 100},
-}
-
-_DT = "try_strptime(NULLIF(trim(datetime), ''), '%d-%m-%Y %H:%M')"
-_BD = "try_strptime(NULLIF(trim(birthday), ''), '%d-%m-%Y')"
+def _rejected(c: str, kind: str) -> str:
+    text = f"NULLIF(trim({c}), '')"
+    fmt = {"date": "%d-%m-%Y", "datetime": "%d-%m-%Y %H:%M"}.get(kind)
+    typed = f"try_strptime({text}, '{fmt}')" if fmt else f"TRY_CAST({text} AS {kind})"
+    return f"{text} IS NOT NULL AND {typed} IS NULL"
 
 
-def _rejected(c: str, typed: str) -> str:
-    return f"NULLIF(trim({c}), '') IS NOT NULL AND ({typed}) IS NULL"
+#: Each raw table's columns by type, and the mart's columns that are never NULL.
+_TYPED = {
+    "raw_stores": {"store_id": "int"},
+    "raw_customers": {"customer_id": "bigint", "birthday": "date"},
+    "raw_products": {"product_id": "int"},
+    "raw_pricing": {"product_id": "int", "is_active": "int", "price": "decimal(10,2)", "start_date": "date",
+                    "end_date": "date"},
+    "raw_promo": {"promo_type": "int", "product_id": "int", "discount_pct": "int", "is_active": "int",
+                  "start_date": "date", "end_date": "date"},
+    "raw_check_summary": {"check_id": "bigint", "customer_id": "bigint", "store_id": "int", "cashier_id": "int",
+                          "datetime": "datetime"},
+    "raw_check_details": {"check_id": "bigint", "product_id": "int", "discount_pct": "int", "discount_type": "int",
+                          "unit_price": "decimal(18,4)", "quantity": "decimal(18,4)",
+                          "total_amount": "decimal(18,4)", "discount_abs": "decimal(18,4)"},
+}
+_PRESENT = {
+    "dim_date": ["date_key", "full_date", "day_of_week_num", "month_number", "quarter", "year"],
+    "dim_products": ["product_key", "product_id"],
+    "dim_stores": ["store_key", "store_id"],
+    "dim_customers": ["customer_key", "valid_from", "valid_to", "is_current"],
+    "fct_sales": ["date_key", "product_key", "store_key", "customer_key"],
+}
 
 
 ORACLE: dict[str, str] = {
@@ -329,7 +352,14 @@ ORACLE: dict[str, str] = {
                       f"AND CAST('0x' || substr(md5(CAST(customer_id AS VARCHAR)), 1, 15) AS BIGINT) < {int(0.3 * 2**60)}"),
     "hash_sample_all": _q("SELECT * FROM stg_customers WHERE customer_id IS NOT NULL"),
     "scd2_changed": _q("SELECT * FROM scd2_changed"),
+    "scd2_changed_ci": _q(
+        "SELECT s.customer_id, s.name, s.city, s.birthday FROM stg_delta s "
+        "JOIN dim_customers d ON s.customer_id = d.customer_id AND d.is_current "
+        "WHERE lower(COALESCE(s.city, '')) <> lower(COALESCE(d.city, ''))"),
     "scd2_close": _q("SELECT * FROM scd2_close"),
+    "load_report": _q("\nUNION ALL ".join(
+        f"SELECT '{t}' AS feed, COUNT(*) AS n_rows FROM {t}" for t in RAW_LENGTHS)),
+    "warehouse_pipeline": _q("SELECT * FROM fct_sales"),
     "scd2_new": _q("SELECT * FROM scd2_new"),
     "scd2_apply": _q("SELECT * FROM scd2_apply"),
     "fct_sales": _q("SELECT * FROM fct_sales"),
@@ -370,21 +400,19 @@ ORACLE: dict[str, str] = {
         "strftime(CAST(transaction_datetime AS DATE), '%d-%m-%Y') AS day_text, "
         "CAST(CAST(total_amount AS DECIMAL(18,2)) AS VARCHAR) AS amount_text FROM stg_transactions"),
     "audit_unique": _q("\nUNION ALL ".join([
+        _unique("dim_date", "date_key", "dim_date.unique:date_key"),
+        _unique("dim_products", "product_key", "dim_products.unique:product_key"),
         _unique("dim_products", "product_id", "dim_products.unique:product_id"),
+        _unique("dim_stores", "store_key", "dim_stores.unique:store_key"),
         _unique("dim_stores", "store_id", "dim_stores.unique:store_id"),
+        _unique("dim_customers", "customer_key", "dim_customers.unique:customer_key"),
         _unique("(SELECT * FROM dim_customers WHERE is_current AND customer_id IS NOT NULL)",
                 "customer_id", "dim_customers.one_current:customer_id"),
         _unique("(SELECT * FROM stg_pricing WHERE is_active)", "product_id",
                 "stg_pricing.multi_active:product_id"),
     ])),
     "audit_not_null": _q("\nUNION ALL ".join([
-        _per_column("dim_customers", "dim_customers.not_null:",
-                    {c: f"{c} IS NULL" for c in ["valid_from", "valid_to", "is_current"]}),
-        _per_column("dim_products", "dim_products.not_null:",
-                    {c: f"{c} IS NULL" for c in ["product_key", "product_id"]}),
-        _per_column("fct_sales", "fct_sales.not_null:",
-                    {c: f"{c} IS NULL" for c in ["date_key", "customer_key"]}),
-    ])),
+        _per_column(t, f"{t}.not_null:", {c: f"{c} IS NULL" for c in cols}) for t, cols in _PRESENT.items()])),
     "audit_fk": _q("\nUNION ALL ".join([
         _fk("date_key", "dim_date", "date_key"),
         _fk("product_key", "dim_products", "product_key"),
@@ -402,21 +430,10 @@ ORACLE: dict[str, str] = {
     ])),
     "audit_length": _q("\nUNION ALL ".join([
         _per_column(t, f"{t}.too_long:", {c: f"length({c}) > {n}" for c, n in lens.items()})
-        for t, lens in _LENGTHS.items()])),
+        for t, lens in RAW_LENGTHS.items()])),
     "audit_rejects": _q("\nUNION ALL ".join([
-        _per_column("raw_check_summary", "raw_check_summary.rejected:", {
-            "datetime": _rejected("datetime", _DT),
-            "customer_id": _rejected("customer_id", "TRY_CAST(NULLIF(trim(customer_id), '') AS BIGINT)"),
-            "store_id": _rejected("store_id", "TRY_CAST(trim(store_id) AS INTEGER)")}),
-        _per_column("raw_customers", "raw_customers.rejected:", {
-            "birthday": _rejected("birthday", _BD),
-            "customer_id": _rejected("customer_id", "TRY_CAST(trim(customer_id) AS BIGINT)")}),
-        _per_column("raw_check_details", "raw_check_details.rejected:", {
-            **{c: _rejected(c, f"TRY_CAST(trim({c}) AS DECIMAL(18,4))")
-               for c in ("unit_price", "quantity", "total_amount", "discount_abs")},
-            **{c: _rejected(c, f"TRY_CAST(trim({c}) AS INTEGER)")
-               for c in ("product_id", "discount_pct", "discount_type")}}),
-    ])),
+        _per_column(t, f"{t}.rejected:", {c: _rejected(c, kind) for c, kind in cols.items()})
+        for t, cols in _TYPED.items()])),
     "audit_promo": _q(
         ", pl AS (SELECT product_id, discount_pct, discount_type, CAST(transaction_datetime AS DATE) AS d "
         "FROM stg_transactions WHERE discount_type NOT IN (0, 99)),\n"
@@ -433,10 +450,10 @@ ORACLE: dict[str, str] = {
         "THEN 1 ELSE 0 END), 0) AS BIGINT) AS n_bad FROM stg_transactions"),
     "audit_orphans": _q(
         "SELECT 'raw_check_details.no_header' AS rule, CAST(COUNT(*) AS BIGINT) AS n_bad FROM raw_check_details d "
-        "WHERE NOT EXISTS (SELECT 1 FROM raw_check_summary s WHERE s.check_id = d.check_id)\n"
-        "UNION ALL SELECT 'raw_check_summary.no_lines', CAST(COUNT(DISTINCT s.check_id) AS BIGINT) "
+        "WHERE NOT EXISTS (SELECT 1 FROM raw_check_summary s WHERE rtrim(s.check_id) = rtrim(d.check_id))\n"
+        "UNION ALL SELECT 'raw_check_summary.no_lines', CAST(COUNT(DISTINCT rtrim(s.check_id)) AS BIGINT) "
         "FROM raw_check_summary s "
-        "WHERE NOT EXISTS (SELECT 1 FROM raw_check_details d WHERE d.check_id = s.check_id)"),
+        "WHERE NOT EXISTS (SELECT 1 FROM raw_check_details d WHERE rtrim(d.check_id) = rtrim(s.check_id))"),
     "flagship_sales": _q(
         "SELECT dd.year, dp.category, dc.city, CAST(COUNT(*) AS BIGINT) AS n_lines, "
         "CAST(SUM(f.quantity) AS DECIMAL(38,4)) AS total_qty, "

@@ -1,6 +1,6 @@
 """The whole warehouse run in the source's order (D16), and the SCD2 delta run.
 
-    raw CSV  ->  staging tables  ->  dimensions  ->  fact
+    raw CSV  ->  landing tables  ->  staging tables  ->  dimensions  ->  fact
 
 Each layer is written as parquet and read back before the next layer uses
 it, so a lost executor never forces a recomputation across layers, and
@@ -12,6 +12,7 @@ run reads the newest version and writes the next one.
 from __future__ import annotations
 
 import os
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +28,7 @@ STG_SOURCES = {
     "stg_customers": ["raw_customers"],
     "stg_pricing": ["raw_pricing"],
     "stg_promo": ["raw_promo"],
-    "stg_products": ["raw_products"],  # with stg_pricing, new or kept
+    "stg_products": ["raw_products", "raw_pricing"],
     "stg_transactions": ["raw_check_summary", "raw_check_details"],
 }
 
@@ -50,18 +51,38 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return sinks.table_exists(spark, path)
 
 
-def stage_layer(spark: SparkSession, raw_dir: str, out_dir: str, res: RunResult) -> dict[str, DataFrame]:
-    """Load the raw feeds and write the six staging tables.
+def land_feeds(spark: SparkSession, raw_dir: str, out_dir: str, res: RunResult) -> dict[str, DataFrame]:
+    """Replace the landing table of every raw feed whose file is there.
 
-    A missing source file is reported; the staging tables built from it
-    keep their previous content, as the source's loader leaves the old
-    landing table in place.
+    A missing file is reported, and its landing table keeps what an earlier
+    run loaded.  Returns the landing tables that exist; the rows written to
+    each are counted on the way (S11).
     """
     rep = load_all(spark, raw_dir)
     res.skipped_sources = rep.skipped
-    raw, observed = {}, {}
-    for name, df in rep.loaded.items():
-        raw[name], observed[name] = sinks.with_metrics(df, name)
+
+    def land(name: str) -> DataFrame | None:
+        path = _p(out_dir, "landing", name)
+        if name not in rep.loaded:
+            return spark.read.parquet(path) if _exists(spark, path) else None
+        df, observed = sinks.with_metrics(rep.loaded[name], name)
+        table = sinks.materialize(df, path)
+        res.rows[name] = observed.get.get("rows", 0)
+        return table
+
+    # The feeds are independent: their jobs run side by side.
+    with ThreadPoolExecutor(len(SOURCE_FILES)) as pool:
+        landed = dict(zip(SOURCE_FILES, pool.map(land, SOURCE_FILES)))
+    return {name: table for name, table in landed.items() if table is not None}
+
+
+def stage_layer(spark: SparkSession, raw_dir: str, out_dir: str, res: RunResult) -> dict[str, DataFrame]:
+    """Load the raw feeds and write the six staging tables.
+
+    A staging table is built again if any of its files is there, from the
+    landing tables; with none, it is kept as it is.
+    """
+    raw = land_feeds(spark, raw_dir, out_dir, res)
     out: dict[str, DataFrame] = {}
     builders = {
         "stg_stores": lambda: staging.stage_stores(raw["raw_stores"]),
@@ -72,12 +93,11 @@ def stage_layer(spark: SparkSession, raw_dir: str, out_dir: str, res: RunResult)
         "stg_transactions": lambda: staging.stage_transactions(raw["raw_check_summary"],
                                                                raw["raw_check_details"]),
     }
-    used: set[str] = set()
     for name, fn in builders.items():
         path = _p(out_dir, "stg", name)
-        if all(s in raw for s in STG_SOURCES[name]):
+        new = any(s in res.rows for s in STG_SOURCES[name])
+        if all(s in raw for s in STG_SOURCES[name]) and (new or not _exists(spark, path)):
             out[name] = sinks.materialize(fn(), path)
-            used.update(STG_SOURCES[name])
         elif _exists(spark, path):
             out[name] = spark.read.parquet(path)
             res.kept_tables.append(name)
@@ -85,12 +105,6 @@ def stage_layer(spark: SparkSession, raw_dir: str, out_dir: str, res: RunResult)
             missing = [s for s in STG_SOURCES[name] if s not in raw]
             raise FileNotFoundError(f"{name}: no source {missing} and no earlier table")
         res.tables[name] = path
-    # Rows loaded per raw feed, counted while the staging tables were written.
-    # Only feeds that were written through are read: an observation of a
-    # DataFrame that never ran would wait forever.
-    for name, obs in observed.items():
-        if name in used:
-            res.rows[name] = obs.get.get("rows", 0)
     return out
 
 
@@ -130,8 +144,6 @@ def run_pipeline(spark: SparkSession, raw_dir: str, out_dir: str, as_of,
         return sinks.materialize(builders[name](), res.tables[name])
 
     # The four dimensions are independent: build them as concurrent jobs.
-    from concurrent.futures import ThreadPoolExecutor
-
     names = [*builders, "dim_customers"]
     with ThreadPoolExecutor(len(names)) as pool:
         dims = dict(zip(names, pool.map(build, names)))

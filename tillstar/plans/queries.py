@@ -7,7 +7,10 @@ them.  ``plans/oracle.py`` holds the same computation in DuckDB SQL.
 
 from __future__ import annotations
 
-from functools import cached_property
+import os
+import uuid
+from concurrent.futures import ThreadPoolExecutor
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,9 +22,24 @@ from ..operators import audit as Q
 from ..operators import calendar, mart, scd2, staging, temporal
 from ..operators.keys import upsert
 from ..operators.sampling import hash_sample
+from ..session import shared_dir
 from ..sources import testdata as TD
-from ..sources.schemas import RAW_LENGTHS, STG
-from ..sources.sinks import stage_table
+from ..sources.csv_source import align_to_schema, export_csv, read_csv
+from ..sources.schemas import NOT_NULL, RAW_LENGTHS, SOURCE_FILES, STG
+from ..sources.sinks import const_rows, stage_table
+from .pipeline import RunResult, land_feeds, run_pipeline
+
+
+class Lazy(dict):
+    """Tables made when they are first asked for."""
+
+    def __init__(self, makers):
+        super().__init__()
+        self.makers = makers
+
+    def __missing__(self, name):
+        self[name] = self.makers[name]()
+        return self[name]
 
 
 class Warehouse:
@@ -33,11 +51,19 @@ class Warehouse:
 
     @cached_property
     def raw(self) -> dict[str, DataFrame]:
-        return TD.raw_feeds(self.spark, self.sf_dir)
+        return Lazy({name: partial(f, self.spark, self.sf_dir) for name, f in TD.FEEDS.items()})
 
     @cached_property
     def stg(self) -> dict[str, DataFrame]:
-        return staging.stage_all(self.raw)
+        raw = self.raw
+        return Lazy({
+            "stg_stores": lambda: staging.stage_stores(raw["raw_stores"]),
+            "stg_customers": lambda: staging.stage_customers(raw["raw_customers"]),
+            "stg_pricing": lambda: staging.stage_pricing(raw["raw_pricing"]),
+            "stg_promo": lambda: staging.stage_promo(raw["raw_promo"]),
+            "stg_products": lambda: staging.stage_products(raw["raw_products"], self.stg["stg_pricing"]),
+            "stg_transactions": lambda: staging.stage_transactions(raw["raw_check_summary"], raw["raw_check_details"]),
+        })
 
     @cached_property
     def txn(self) -> DataFrame:
@@ -83,14 +109,18 @@ class Warehouse:
         counts); submitting them from a thread pool lets the scheduler run
         them side by side instead of one after another.
         """
-        from concurrent.futures import ThreadPoolExecutor
-
-        _ = self.stg, self.txn, self.changes          # built once, before the threads
+        _ = self.stg["stg_products"], self.txn, self.changes          # built once, before the threads
         names = ["dim_date", "dim_products", "dim_stores", "dim_customers"]
         with ThreadPoolExecutor(len(names)) as pool:
             for f in [pool.submit(getattr, self, n) for n in names]:
                 f.result()
 
+    def mart(self) -> dict[str, DataFrame]:
+        """The four dimensions."""
+        self.build_dims()
+        return {"dim_date": self.dim_date, "dim_products": self.dim_products,
+                "dim_stores": self.dim_stores, "dim_customers": self.dim_customers}
+
     @cached_property
     def fct_sales(self) -> DataFrame:
         self.build_dims()
@@ -114,22 +144,41 @@ def _stg(name: str):
     return q
 
 
+def _csv_feeds(spark: SparkSession, sf_dir: str, names) -> str:
+    """The derived raw feeds written as the source's CSV files (S8) to a new
+    folder under the shared one."""
+    w = Warehouse(spark, sf_dir)
+    base = f"{shared_dir(spark).rstrip('/')}/tillstar-csv/{uuid.uuid4().hex}"
+    with ThreadPoolExecutor(len(names)) as pool:
+        list(pool.map(lambda name: export_csv(w.raw[name].select(*RAW_LENGTHS[name]),
+                                              os.path.join(base, SOURCE_FILES[name])), names))
+    return base
+
+
+def q_warehouse_pipeline(spark, sf_dir):
+    """The fact table of a whole run (D16): CSV files, landing, staging,
+    dimensions, fact."""
+    base = _csv_feeds(spark, sf_dir, SOURCE_FILES)
+    res = run_pipeline(spark, base, f"{base}/warehouse", TD.INIT_AS_OF, TD.customer_changes(spark, sf_dir))
+    return spark.read.parquet(res.tables["fct_sales"])
+
+
+def q_load_report(spark, sf_dir):
+    """Rows that a load wrote to each landing table."""
+    base = _csv_feeds(spark, sf_dir, SOURCE_FILES)
+    res = RunResult()
+    land_feeds(spark, base, f"{base}/warehouse", res)
+    return const_rows(spark, sorted(res.rows.items()), "feed string, n_rows long")
+
+
 def q_stg_transactions_csv(spark, sf_dir):
     """Receipts through the CSV connector: the derived raw feeds are written
     as CSV files (S8) in the shared folder, read back bound by header name
     (S1, S2) and staged (J1).  Same result as staging the feeds directly."""
-    import os
-    import uuid
-
-    from ..session import shared_dir
-    from ..sources.csv_source import align_to_schema, export_csv, read_csv
-
-    w = Warehouse(spark, sf_dir)
-    base = f"{shared_dir(spark).rstrip('/')}/tillstar-csv/{uuid.uuid4().hex}"
+    base = _csv_feeds(spark, sf_dir, ("raw_check_summary", "raw_check_details"))
     feeds = {}
     for name in ("raw_check_summary", "raw_check_details"):
-        path = os.path.join(base, name)
-        export_csv(w.raw[name], path)
+        path = os.path.join(base, SOURCE_FILES[name])
         feeds[name] = align_to_schema(read_csv(spark, path), list(RAW_LENGTHS[name]))
     return staging.stage_transactions(feeds["raw_check_summary"], feeds["raw_check_details"])
 
@@ -189,6 +238,12 @@ def q_scd2_changed(spark, sf_dir):
     return scd2.scd2_changed(w.stg_delta, w.dim_customers)
 
 
+def q_scd2_changed_ci(spark, sf_dir):
+    """Changed ids under the source's collation: case alone is no change."""
+    w = Warehouse(spark, sf_dir, reuse_txn=False)
+    return scd2.scd2_changed(w.stg_delta, w.dim_customers, collation="UNICODE_CI_AI_RTRIM")
+
+
 def q_scd2_close(spark, sf_dir):
     w = Warehouse(spark, sf_dir, reuse_txn=False)
     return scd2.scd2_close(w.dim_customers, scd2.scd2_changed(w.stg_delta, w.dim_customers),
@@ -250,35 +305,21 @@ def q_fmt_dates(spark, sf_dir):
 
 
 def q_audit_unique(spark, sf_dir):
-    w = Warehouse(spark, sf_dir, reuse_txn=False)
-    cur = w.dim_customers.where(F.col("is_current") & F.col("customer_id").isNotNull())
-    return Q.union_all([
-        Q.audit_unique(w.dim_products, ["product_id"], "dim_products.unique:product_id"),
-        Q.audit_unique(w.dim_stores, ["store_id"], "dim_stores.unique:store_id"),
-        Q.audit_unique(cur, ["customer_id"], "dim_customers.one_current:customer_id"),
-        Q.audit_unique(w.stg["stg_pricing"].where(F.col("is_active")), ["product_id"],
-                       "stg_pricing.multi_active:product_id"),
-    ])
+    w = Warehouse(spark, sf_dir)
+    return Q.unique_keys(w.mart() | {"stg_pricing": w.stg["stg_pricing"]})
 
 
 def q_audit_not_null(spark, sf_dir):
+    """The NOT NULL columns of the dimensions, and the fact's keys."""
     w = Warehouse(spark, sf_dir)
-    return Q.union_all([
-        Q.audit_not_null(w.dim_customers, ["valid_from", "valid_to", "is_current"], "dim_customers"),
-        Q.audit_not_null(w.dim_products, ["product_key", "product_id"], "dim_products"),
-        Q.audit_not_null(w.fct_table, ["date_key", "customer_key"], "fct_sales"),
-    ])
+    declared = NOT_NULL | {"fct_sales": ["date_key", "product_key", "store_key", "customer_key"]}
+    tables = w.mart() | {"fct_sales": w.fct_table}
+    return Q.union_all([Q.audit_not_null(tables[name], cols, name) for name, cols in declared.items()])
 
 
 def q_audit_fk(spark, sf_dir):
     w = Warehouse(spark, sf_dir)
-    f = w.fct_table
-    return Q.union_all([
-        Q.audit_fk(f, "date_key", w.dim_date, "date_key", "fct_sales.fk:date_key"),
-        Q.audit_fk(f, "product_key", w.dim_products, "product_key", "fct_sales.fk:product_key"),
-        Q.audit_fk(f, "store_key", w.dim_stores, "store_key", "fct_sales.fk:store_key"),
-        Q.audit_fk(f, "customer_key", w.dim_customers, "customer_key", "fct_sales.fk:customer_key"),
-    ])
+    return Q.fact_keys(w.mart() | {"fct_sales": w.fct_table})
 
 
 def q_audit_negative(spark, sf_dir):
@@ -303,22 +344,12 @@ def q_audit_overlap(spark, sf_dir):
 
 def q_audit_length(spark, sf_dir):
     w = Warehouse(spark, sf_dir)
-    return Q.union_all([Q.audit_length(w.raw[t], RAW_LENGTHS[t], t)
-                        for t in ["raw_check_details", "raw_customers", "raw_products"]])
+    return Q.union_all([Q.audit_length(w.raw[t], RAW_LENGTHS[t], t) for t in RAW_LENGTHS])
 
 
 def q_audit_rejects(spark, sf_dir):
     w = Warehouse(spark, sf_dir)
-    s = w.raw["raw_check_summary"]
-    c = w.raw["raw_customers"]
-    return Q.union_all([
-        Q.audit_rejects(s, {"datetime": D.to_datetime_dmy("datetime"),
-                            "customer_id": C.opt_int("customer_id", "bigint"),
-                            "store_id": C.to_int("store_id")}, "raw_check_summary"),
-        Q.audit_rejects(c, {"birthday": D.to_date_dmy("birthday"),
-                            "customer_id": C.to_int("customer_id", "bigint")}, "raw_customers"),
-        Q.audit_rejects(w.raw["raw_check_details"], Q.amount_types(), "raw_check_details"),
-    ])
+    return Q.union_all([Q.audit_rejects(w.raw[t], Q.typed(t), t) for t in Q.TYPED])
 
 
 def q_audit_promo(spark, sf_dir):
@@ -343,6 +374,8 @@ def q_flagship_sales(spark, sf_dir):
 QUERIES = {
     "stg_transactions": _stg("stg_transactions"),
     "stg_transactions_csv": q_stg_transactions_csv,
+    "load_report": q_load_report,
+    "warehouse_pipeline": q_warehouse_pipeline,
     "stg_products": _stg("stg_products"),
     "stg_stores": _stg("stg_stores"),
     "stg_customers": _stg("stg_customers"),
@@ -359,6 +392,7 @@ QUERIES = {
     "hash_sample": q_hash_sample,
     "hash_sample_all": q_hash_sample_all,
     "scd2_changed": q_scd2_changed,
+    "scd2_changed_ci": q_scd2_changed_ci,
     "scd2_close": q_scd2_close,
     "scd2_new": q_scd2_new,
     "scd2_apply": q_scd2_apply,

@@ -71,14 +71,17 @@ def shared_dir(spark: SparkSession, fallback: str | None = None) -> str:
 
 
 def scale_conf(input_bytes: int, target_partition_bytes: int = 128 << 20,
-               max_partitions: int = 400_000) -> dict[str, str]:
+               max_partitions: int = 100_000) -> dict[str, str]:
     """Partition settings for a run over ``input_bytes`` of raw input.
 
     AQE coalesces shuffle partitions that are too small but does not split
     ones that are too large (except skewed join partitions), so the initial
     number must be sized from the input: ~``input / target`` partitions, of
-    which AQE merges the small ones toward the advisory size.  Scans use
-    256 MB splits.  Apply with ``spark.conf.set`` before building the plan.
+    which AQE merges the small ones toward the advisory size.  Beyond
+    ``max_partitions`` partitions grow instead (1 GB each at 100 TB; sorts
+    and aggregations spill): a shuffle's blocks number map tasks times
+    partitions, and the driver keeps a status of every map task for each.
+    Scans use 256 MB splits.  Apply with ``spark.conf.set`` before building the plan.
     """
     n = max(200, min(max_partitions, -(-input_bytes // target_partition_bytes)))
     return {

@@ -118,4 +118,5 @@ def export_csv(df: DataFrame, path: str, mode: str = "overwrite", raw_format: bo
     if raw_format:
         df = to_raw_format(df)
     (df.write.mode(mode).option("header", True).option("quote", '"')
-     .option("escape", '"').option("encoding", "UTF-8").csv(path))
+     .option("escape", '"').option("encoding", "UTF-8")
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))

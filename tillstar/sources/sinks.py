@@ -27,16 +27,25 @@ def materialize(df: DataFrame, path: str, partition_by: list[str] | None = None,
     """DROP + CREATE TABLE AS SELECT (S4, S5, S9): write, then read back.
 
     Reading the written table back cuts the lineage, so later stages do not
-    recompute the plan after an executor loss.
+    recompute the plan after an executor loss.  A table that is there already
+    is replaced only when the new one is complete: a failed run leaves it.
     """
+    spark = df.sparkSession
+    replace = mode == "overwrite" and path_exists(spark, path)
+    target = f"{path.rstrip('/')}.{uuid.uuid4().hex}" if replace else path
     w = df
     if sort_within:
         w = w.sortWithinPartitions(*sort_within)
     writer = w.write.mode(mode).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    writer.parquet(target)
+    if replace:
+        fs, old = _file_system(spark, path)
+        fs.delete(old, True)
+        if not fs.rename(_file_system(spark, target)[1], old):
+            raise OSError(f"{target} could not be renamed to {path}")
+    return spark.read.parquet(path)
 
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:
@@ -52,7 +61,8 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
 
     base = shared_dir(df.sparkSession)
     path = f"{base.rstrip('/')}/tillstar-tables/{uuid.uuid4().hex}/{name}"
-    return materialize(df, path)
+    df.write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def append(df: DataFrame, path: str) -> None:
@@ -68,10 +78,16 @@ def version_path(base: str, version: int) -> str:
     return os.path.join(base, f"v{version:06d}")
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The file system that Spark resolves ``path`` to, and its path there."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), found
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists, on whatever file system Spark resolves ``path`` to."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+    fs, found = _file_system(spark, path)
+    return fs.exists(found)
 
 
 def latest_version(base: str, spark: SparkSession | None = None) -> int | None:
@@ -90,8 +106,8 @@ def latest_version(base: str, spark: SparkSession | None = None) -> int | None:
     else:
         if not path_exists(spark, base):
             return None
-        root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
-        found = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(root)
+        fs, root = _file_system(spark, base)
+        found = fs.listStatus(root)
         names = [x.getPath().getName() for x in found]
         names = [d for d in names if _VERSION.match(d) and path_exists(spark, f"{base.rstrip('/')}/{d}/_SUCCESS")]
     vs = [int(m.group(1)) for d in names if (m := _VERSION.match(d))]

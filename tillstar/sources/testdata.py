@@ -2,7 +2,9 @@
 
 The seven raw feeds do not exist as files in the test data, so each one is
 derived from the TPC-H-like tables with text formatting, blanks, negatives,
-orphans and overlapping intervals placed by key arithmetic.  The same
+orphans and overlapping intervals placed by key arithmetic.  No row of a
+table is left out: rows that should match nothing get another id, and
+intervals that should cover no sale lie after the last one.  The same
 derivations are written in DuckDB SQL in ``plans/oracle.py``; the two must
 stay in step.  Every derivation is a projection or a small-dimension join
 over whole tables, so its work grows with the data.
@@ -22,6 +24,7 @@ from .scan import read_parquet
 # Fixed values of the fixture derivation (mirrored in plans/oracle.py).
 ONLINE_STORE_SLOT = 110          # o_orderkey % 120 == 110 -> store '9999'
 BAD_DATETIME = "31-02-1997 10:00"
+TOO_LARGE = "123456789012345678"  # 18 digits before the point; decimal(18,4) holds 14
 PRICE_PERIODS = [                # (seq, start, end) of the four price rows
     (1, "01-01-1995", "30-06-1996"),
     (2, "01-07-1996", "31-12-1997"),
@@ -29,12 +32,16 @@ PRICE_PERIODS = [                # (seq, start, end) of the four price rows
     (4, "01-07-1999", "31-12-2000"),
 ]
 OVERLAP_PERIOD = (5, "01-06-2000", "31-12-2001")
+AFTER_SALES = ("01-01-2005", "31-12-2005")
+NO_MATCH = 1_000_000_000         # added to an id that should match nothing
+NEW_CUSTOMER = 2_000_000_000     # added to the ids that only the later customer feed has
 PROMO_ROWS = [                   # (seq, type, start, end, description)
     (1, "10", "01-01-1996", "01-01-1998", " Weekly deal "),
     (2, "11", "01-01-1997", "01-01-1999", " Clearance "),
 ]
 STORE_FORMATS = ["hyper", "super", "to go"]
 CHANGE_DATE = _dt.date(1998, 1, 1)   # day of the simulated past city change
+EARLY_CHANGE = _dt.date(1980, 1, 1)  # a change before any purchase splits nothing
 INIT_AS_OF = _dt.date(2002, 1, 1)    # load day of the initial customer dimension
 DELTA_AS_OF = _dt.date(2024, 6, 1)   # day of the SCD2 delta run
 PROMO_AS_OF = _dt.date(1997, 6, 1)   # day for the "promo active now" flag
@@ -60,7 +67,7 @@ def raw_check_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     when = F.concat(F.date_format("o_orderdate", OUT_DATE_FMT), F.lit(" "),
                     F.lpad(_s(8 + k % 15), 2, "0"), F.lit(":"), F.lpad(_s(k % 60), 2, "0"))
     return o.select(
-        _s(k).alias("check_id"),
+        F.when(k % 30 == 4, F.concat(_s(k), F.lit("  "))).otherwise(_s(k)).alias("check_id"),
         F.when(online, F.lit("9999")).otherwise(_s(k % 120)).alias("store_id"),
         F.when(online, F.lit("")).otherwise(_s(1 + k % 10)).alias("cashier_id"),
         F.when(k % 1000 == 7, F.lit(BAD_DATETIME)).otherwise(when).alias("datetime"),
@@ -87,20 +94,24 @@ def raw_check_details(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(ok % 400 == 399, _s(ok + 100000000)).otherwise(_s(ok)).alias("check_id"),
         _s(F.col("l_partkey")).alias("product_id"),
         F.col("p_name").alias("product_name"),
-        F.concat(F.lit(" "), _s(up)).alias("unit_price"),
-        F.when(pct == 0, F.lit("")).otherwise(_s(pct)).alias("discount_pct"),
+        F.when((ok % 500 == 13) & (n == 1), F.lit("12,50"))
+         .otherwise(F.concat(F.lit(" "), _s(up))).alias("unit_price"),
+        F.when((ok % 500 == 14) & (n == 1), F.lit("abc"))
+         .when(pct == 0, F.lit("")).otherwise(_s(pct)).alias("discount_pct"),
         F.when(pct == 0, F.lit("")).otherwise(_s(dabs)).alias("discount_abs"),
         F.when(pct == 0, F.lit("")).when(n % 2 == 0, F.lit("99"))
          .otherwise(F.concat(F.lit("1"), _s(n))).alias("discount_type"),
         F.when(n == 3, F.lit("")).when(n == 4, F.lit("-1")).otherwise(_s(q)).alias("quantity"),
-        F.when(n == 7, F.concat(F.lit("-"), tot)).otherwise(tot).alias("total_amount"),
+        F.when((ok % 500 == 15) & (n == 1), F.lit(TOO_LARGE))
+         .when(n == 7, F.concat(F.lit("-"), tot)).otherwise(tot).alias("total_amount"),
     )
 
 
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
-    return p.where(F.col("p_partkey") % 97 != 96).select(
-        _s(F.col("p_partkey")).alias("product_id"),
+    k = F.col("p_partkey")
+    return p.select(
+        _s(F.when(k % 97 == 96, k + NO_MATCH).otherwise(k)).alias("product_id"),
         F.concat(F.lit(" "), F.col("p_name"), F.lit(" ")).alias("name"),
         F.col("p_brand").alias("unit"),
         F.col("p_type").alias("category"),
@@ -108,33 +119,34 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_pricing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four contiguous price rows per part, plus an overlapping fifth row for
-    every 11th part; parts with key % 50 == 0 have no price.  ``load_seq``
-    is the row's position among the part's rows."""
-    p = table(spark, sf_dir, "part").where(F.col("p_partkey") % 50 != 0)
+    """Four contiguous price rows per part and a fifth, which overlaps the
+    fourth for every 11th part and lies after the sales for the others.  The
+    prices of parts with key % 50 == 0 belong to ids that no line has.
+    ``load_seq`` is the row's position among the part's rows."""
+    p = table(spark, sf_dir, "part")
     k = F.col("p_partkey")
     periods = F.array(*[F.struct(F.lit(s).alias("seq"), F.lit(a).alias("a"), F.lit(b).alias("b"))
                         for s, a, b in PRICE_PERIODS + [OVERLAP_PERIOD]])
     x = p.select(k, "p_retailprice", F.explode(periods).alias("r"))
     seq = F.col("r.seq")
-    x = x.where((seq < 5) | (k % 11 == 0))
+    later = (seq == 5) & (k % 11 != 0)
     price = F.when(seq == 5, F.col("p_retailprice") + 55) \
              .otherwise(F.col("p_retailprice") + (seq - 1) * 10)
-    active = ((seq == 4) & (k % 7 != 0)) | (seq == 5)
+    active = ((seq == 4) & (k % 7 != 0)) | ((seq == 5) & ~later)
     return x.select(
-        _s(k).alias("product_id"),
+        _s(F.when(k % 50 == 0, k + NO_MATCH).otherwise(k)).alias("product_id"),
         _s(price.cast("decimal(10,2)")).alias("price"),
-        F.col("r.a").alias("start_date"),
-        F.col("r.b").alias("end_date"),
+        F.when(later, F.lit(AFTER_SALES[0])).otherwise(F.col("r.a")).alias("start_date"),
+        F.when(later, F.lit(AFTER_SALES[1])).otherwise(F.col("r.b")).alias("end_date"),
         F.when(active, F.lit("1")).otherwise(F.lit("0")).alias("is_active"),
         seq.alias("load_seq"),
     )
 
 
 def raw_promo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two overlapping promos for every 5th part; one negative percentage
-    for every 45th."""
-    p = table(spark, sf_dir, "part").where(F.col("p_partkey") % 5 == 0)
+    """Two overlapping promos for every part, after the sales but for every
+    5th part; one negative percentage for every 45th."""
+    p = table(spark, sf_dir, "part")
     k = F.col("p_partkey")
     rows = F.array(*[F.struct(F.lit(s).alias("seq"), F.lit(t).alias("t"), F.lit(a).alias("a"),
                               F.lit(b).alias("b"), F.lit(d).alias("d"))
@@ -149,8 +161,8 @@ def raw_promo(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("r.t").alias("promo_type"),
         _s(k).alias("product_id"),
         pct.alias("discount_pct"),
-        F.col("r.a").alias("start_date"),
-        F.col("r.b").alias("end_date"),
+        F.when(k % 5 == 0, F.col("r.a")).otherwise(F.lit(AFTER_SALES[0])).alias("start_date"),
+        F.when(k % 5 == 0, F.col("r.b")).otherwise(F.lit(AFTER_SALES[1])).alias("end_date"),
         F.when(active, F.lit("1")).otherwise(F.lit("0")).alias("is_active"),
         F.col("r.d").alias("description"),
         seq.alias("load_seq"),
@@ -192,35 +204,34 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_customers_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The customer feed of a later day: two thirds of the ids restaged, some
-    with a new or blank city, plus ids never seen before."""
+    """The customer feed of a later day: all ids restaged, some with a new or
+    blank city or one that differs in case only, and as many ids never seen
+    before."""
     base = raw_customers(spark, sf_dir)
     k = F.col("customer_id").cast("bigint")
-    again = base.where(k % 3 != 0).withColumn(
+    again = base.withColumn(
         "city", F.when(k % 7 == 0, F.lit("NEW")).when(k % 11 == 0, F.lit(""))
-                 .otherwise(F.col("city")))
-    fresh = base.where(k % 13 == 0).withColumn("customer_id", _s(k + 100000))
+                 .when(k % 17 == 0, F.lower("city")).otherwise(F.col("city")))
+    fresh = base.withColumn("customer_id", _s(k + NEW_CUSTOMER))
     return again.unionByName(fresh)
 
 
 def customer_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Past city changes: (customer_id, change_date, old_city)."""
+    """Past city changes: (customer_id, change_date, old_city); for seven in
+    ten customers on a day before their first purchase."""
     x = _customer_city(spark, sf_dir)
     k = F.col("c_custkey")
-    return x.where(k % 10 < 3).select(
+    return x.select(
         k.alias("customer_id"),
-        F.lit(CHANGE_DATE).alias("change_date"),
+        F.when(k % 10 < 3, F.lit(CHANGE_DATE)).otherwise(F.lit(EARLY_CHANGE)).alias("change_date"),
         F.concat(F.lit("OLD "), F.col("n_name")).alias("old_city"),
     )
 
 
+#: Derivation of each raw feed.
+FEEDS = {f.__name__: f for f in (raw_stores, raw_customers, raw_products, raw_pricing, raw_promo,
+                                 raw_check_summary, raw_check_details)}
+
+
 def raw_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {
-        "raw_stores": raw_stores(spark, sf_dir),
-        "raw_customers": raw_customers(spark, sf_dir),
-        "raw_products": raw_products(spark, sf_dir),
-        "raw_pricing": raw_pricing(spark, sf_dir),
-        "raw_promo": raw_promo(spark, sf_dir),
-        "raw_check_summary": raw_check_summary(spark, sf_dir),
-        "raw_check_details": raw_check_details(spark, sf_dir),
-    }
+    return {name: f(spark, sf_dir) for name, f in FEEDS.items()}
