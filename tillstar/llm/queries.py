@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontam, minhash, packing, quality, sharding, suffix_dedup, toxicity, url_tree
+from . import ann, chat, decontam, minhash, oracle, packing, quality, sharding, suffix_dedup, toxicity, url_tree
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -111,4 +111,6 @@ ORACLE: dict[str, str] = {
         FROM k WHERE NOT EXISTS (
             SELECT 1 FROM p JOIN w USING (conv_id) WHERE p.head = k.body AND p.place = k.n AND p.place < w.n)
     """,
+    "op6_spaced_seeds": oracle.spaced_seeds(),
+    "op9_url_templates": oracle.url_templates(URL_RULES),
 }
