@@ -145,3 +145,27 @@ def test_running_max_hot_key_across_partitions(spark):
         return sorted(tuple(-1 if v is None else v for v in r)
                       for r in d.select("k", "s", "e", "i", "pm").collect())
     assert rows(got) == rows(want)
+
+
+def test_keys_are_audited_in_one_pass_or_apart(spark):
+    fact = spark.createDataFrame([(1, 7), (1, None), (2, 8), (None, 9)], "a int, b int")
+    a, b = spark.createDataFrame([(1,), (1,)], "a int"), spark.createDataFrame([(7,)], "k int")
+    refs = {"a": (a, "a"), "b": (b, "k")}
+    want = {"f.fk:a": 1, "f.fk:b": 2}
+    assert rules(Q.audit_fks(fact, refs, "f")) == want
+    assert rules(Q.audit_fks(fact, refs, "f", max_rows=0)) == want
+
+
+def test_stray_day_makes_one_bucket(spark):
+    """Many open-ended intervals on one key and a sale on the last day there is."""
+    from tillstar.operators.temporal import _covering
+
+    days = [dt.date(2020, 1, 1) + dt.timedelta(i) for i in range(0, 100, 9)] + [dt.date(9999, 12, 31)]
+    probes = spark.createDataFrame([(1, d) for d in days], "_k int, _d date")
+    spans = [(1, dt.date(2020, 1, 1) + dt.timedelta(i), dt.date(9999, 12, 31), i) for i in range(70)]
+    table = spark.createDataFrame(spans, "_tk int, _s date, _e date, _q int")
+    got = _covering(probes, table, "inner", 64, 30).select("_d", "_q").collect()
+    want = {(d, q) for d in days for _, s, e, q in spans if s <= d <= e}
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
+    plain = _covering(probes, table, "left", 1000, 30)
+    assert plain.count() == len(want)
