@@ -170,3 +170,13 @@ def test_slices_are_merged_by_binary_search():
         for size in (20, 90, 1 << 20):
             for s, low in zip(strings, suffix_array.least_owner(strings, owners, 7, size), strict=True):
                 assert low.tolist() == [min(o for t, o in zip(strings, owners, strict=True) if s[i:i + 7] in t) for i in range(len(s) - 6)]
+
+
+def test_near_copies_inside_a_hot_passage(spark):
+    """Many documents hold one passage amid their own words, a few hold little else: only those are near copies."""
+    passage, rng = prose(78, 302, 100_000), random.Random(7)
+    data = [(i, f"{passage} {prose(5000 + i, rng.randrange(90, 120), 100_000)}") for i in range(400)]
+    data += [(1000 + i, f"{passage} {prose(9000 + i, 20, 100_000)}") for i in range(2)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(docs(spark, data)).collect()}
+    assert got == brute_components(data, 3, 85)
+    assert got[1000][1] == got[1001][1] == 1000

@@ -11,6 +11,9 @@ others, not all pairs.  Links are confirmed on the full shingle sets.
 A star may miss a link between two members that its centre is not linked to,
 so buckets that still hold several components get another star, with its
 centre in their rarest component, until a whole round confirms nothing new.
+What the stars leave is settled exactly: members of buckets that still hold
+several components are joined on their rarest shingles, as many as two sets
+of that similarity must share one of.
 Documents with equal sets are one class and enter all this once.
 """
 
@@ -29,6 +32,8 @@ from .linear import texts_in_steps
 ATTEMPTS = 2048
 #: Parts in which a bucket's members are joined with its centre.
 PARTS = 8
+#: Members of one shingle's group that a task of the exact join holds.
+BLOCK = 256
 
 
 def shingles(text: str, width: int) -> np.ndarray:
@@ -130,6 +135,42 @@ def _with_centre(member: DataFrame, centre: DataFrame) -> DataFrame:
     return member.withColumn("part", part).join(every, ["bucket", "part"]).drop("part")
 
 
+def _open_pairs(named: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``centre, node``: all pairs that may be linked, of members of one component with those of another.
+
+    ``named`` (``bucket, node, n, component``) are the bucket members.  Any
+    order of the shingles that is the same for all sets will do for a prefix
+    join: those of a single component, which no pair has in common, come
+    first, then the others from the rarest on.  If a pair's first common
+    shingle has ``left`` shingles from itself on in either set, the pair has
+    no more than the smaller ``left`` in common.
+    """
+    mixed = named.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("bucket")
+    nodes = stage_table(_with_centre(named, mixed).select("node", "n", "component").distinct(), "open")
+    items = sets.join(nodes, "node").select("node", "n", "component", F.explode("items").alias("bucket"))
+    across = items.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("sets"), F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("bucket", "sets")
+    common = _with_centre(items, across).groupBy("node", "n", "component").agg(
+        F.sort_array(F.collect_list(F.struct("sets", "bucket"))).alias("x")).withColumn("k", F.size("x"))
+    least = F.expr(f"({percent} * n + 99) div 100")
+    head = common.where(F.col("k") >= least).withColumn("x", F.slice("x", F.lit(1), (F.col("k") - least + 1).cast("int")))
+    head = head.select("node", "n", "component", "k", F.posexplode("x").alias("at", "x")).select(
+        F.col("x.bucket").alias("item"), "node", "n", "component", (F.col("k") - F.col("at")).alias("left"))
+    head = stage_table(head, "heads")
+    # Pairs within the component that has most of a shingle's sets are not formed at all.
+    top = head.groupBy("item", "component").agg(F.count(F.lit(1)).alias("sets")).groupBy("item").agg(
+        F.max(F.struct("sets", "component")).alias("top"), F.sum("sets").alias("sets"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    top = top.select("item", F.col("top.component").alias("most"), F.ceil(F.col("sets") / BLOCK).cast("int").alias("blocks"))
+    head = head.join(top, "item")
+    one = head.where("component <> most").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    one = one.select("item", "block", *(F.col(c).alias(f"{c}_1") for c in ("node", "n", "component", "left")))
+    block = F.pmod(F.xxhash64("node", F.lit(43)), F.col("blocks")).cast("int")
+    pairs = one.join(head.withColumn("block", block), ["item", "block"]).where("component <> component_1").where(
+        100 * F.least("n", "n_1") >= percent * F.greatest("n", "n_1")).where(
+        (100 + percent) * F.least("left", "left_1") >= percent * (F.col("n") + F.col("n_1")))
+    return pairs.select(F.greatest("node", "node_1").alias("node"), F.least("node", "node_1").alias("centre")).distinct()
+
+
 def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85, bands: int = 20, rows: int = 4,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Components of documents whose shingle sets have a Jaccard similarity of ``percent`` % or more.
@@ -177,6 +218,11 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85, bands: i
         return pairs.join(left, "node").join(right, "centre").where(100 * both >= percent * either).select("centre", "node")
 
     tested = pairs
+
+    def untested(more: DataFrame) -> DataFrame:
+        done = tested.select(F.greatest("centre", "node").alias("node"), F.least("centre", "node").alias("centre"))
+        return stage_table(more.join(done, ["node", "centre"], "left_anti"), "pairs")
+
     links = stage_table(confirmed(pairs), "links")
     turn = 0
     while True:
@@ -190,15 +236,18 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85, bands: i
             "members", F.xxhash64("component", "bucket", F.lit(turn)).alias("h"), "c", "component")).alias("r")).where("parts > 1")
         rare = rare.select("bucket", F.col("r.c.node").alias("centre"), F.col("r.c.n").alias("centre_n"), F.col("r.component").alias("own"))
         more = _with_centre(named, rare).where(F.col("component") != F.col("own")).where(sizes)
-        more = more.select(F.greatest("centre", "node").alias("node"), F.least("centre", "node").alias("centre")).distinct()
-        done = tested.select(F.greatest("centre", "node").alias("node"), F.least("centre", "node").alias("centre"))
-        more = stage_table(more.join(done, ["node", "centre"], "left_anti"), "pairs")
+        more = untested(more.select(F.greatest("centre", "node").alias("node"), F.least("centre", "node").alias("centre")).distinct())
         new = stage_table(confirmed(more), "links")
         if new.isEmpty():
             break
         tested = tested.unionByName(more)
         links = links.unionByName(new)
 
+    # The last round's names still hold: it confirmed nothing.
+    new = stage_table(confirmed(untested(_open_pairs(named, sets, percent))), "links")
+    if not new.isEmpty():
+        linked = stage_table(components(links.unionByName(new), "centre", "node"), "components")
+
     found = classes.select("set_key", F.col("node").alias("rep")).join(
         linked.withColumnRenamed("node", "rep"), "rep", "left").select(
         "set_key", F.coalesce("component", "rep").alias("component"))
