@@ -180,3 +180,13 @@ def test_near_copies_inside_a_hot_passage(spark):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(docs(spark, data)).collect()}
     assert got == brute_components(data, 3, 85)
     assert got[1000][1] == got[1001][1] == 1000
+
+
+def test_texts_that_share_an_id_are_dropped_apart(spark):
+    """Id 5 has a near copy of document 1, two texts of its own and one of them twice: only the near copy goes."""
+    first, words = prose(1, 200), prose(1, 200).split()
+    words[100] = "changed"
+    data = [(1, first), (5, " ".join(words)), (5, prose(2, 200)), (5, prose(3, 200), "b"), (5, prose(3, 200), "a"), (None, None)]
+    left = [rows(minhash.drop_near_duplicates(docs(spark, x)), "doc_id", "text", "source") for x in (data, data[::-1])]
+    assert [r[:2] for r in left[0]] == sorted([(1, first), (5, prose(2, 200)), (5, prose(3, 200)), (None, None)], key=repr)
+    assert left[0] == left[1]

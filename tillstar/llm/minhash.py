@@ -259,9 +259,16 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85, bands: i
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The documents that stand for their groups, once each, with all their columns.
 
+    Rows that share an id but not a text are documents of their own here.  Of
+    rows that share both, the one whose columns have the smallest hash stays.
     Rows with a null id that have no component stay.
     """
-    verdict = near_duplicates(docs, id_col=id_col, **options)
-    keep = verdict.where("kept and doc_id is not null").select(F.col("doc_id").alias(id_col)).distinct()
-    named = docs.where(F.col(id_col).isNotNull()).join(keep, id_col, "left_semi").dropDuplicates([id_col])
-    return named.select(*docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
+    text = F.col(options.get("text_col", "text"))
+    # Judged under id and text: an id alone may stand for several texts.
+    own = F.when(F.col(id_col).isNotNull(), F.struct(F.col(id_col).alias("id"), F.xxhash64(text).alias("text")))
+    verdict = near_duplicates(docs.select(own.alias("own"), text.alias("text")), id_col="own", **options | {"text_col": "text"})
+    keep = verdict.where("kept and doc_id is not null").select(F.col("doc_id").alias("own")).distinct()
+    row = F.xxhash64(*(F.col(c) for c, kind in docs.dtypes if "map<" not in kind))
+    named = docs.where(F.col(id_col).isNotNull()).select(own.alias("own"), row.alias("h"), F.struct(*docs.columns).alias("row"))
+    named = named.join(keep, "own", "left_semi").groupBy("own").agg(F.min_by("row", "h").alias("row"))
+    return named.select("row.*").unionByName(docs.where(F.col(id_col).isNull()))
