@@ -115,3 +115,57 @@ def spaced_seeds(window: int = 15, similarity: float = 0.8) -> str:
         SELECT doc_id, item_id, similarity, equal_words::BIGINT AS equal_words, n::BIGINT AS placed_words,
             f::BIGINT AS first_word
         FROM ranked WHERE place = 1"""
+
+
+def crc32(text: str) -> str:
+    """CRC-32 of an ASCII text, unsigned, bit by bit."""
+    return (f"xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), c -> ord(c)::BIGINT)), "
+            "(a, b) -> list_reduce(list_prepend(xor(a, b), range(8)), (x, i) -> CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))")
+
+
+def lower_az(text: str) -> str:
+    return f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def merkle(fanout: int = 16) -> str:
+    def leaf(text: str) -> str:
+        fields = ("doc_id", "source", "lang", "n_chars", text)
+        return "sha256(" + " || ".join(f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')" for c in fields) + ")"
+
+    def tree(name: str, start: str, part: str) -> str:
+        key = f"{part}, " if part else ""
+        return f"""
+        {name} AS (
+            SELECT 0 AS level, {key}pos, size, hash FROM {start}
+            UNION ALL
+            SELECT level + 1, {key}pos // {fanout}, (size + {fanout - 1}) // {fanout}, sha256(string_agg(hash, '' ORDER BY pos))
+            FROM {name} WHERE size > 1 GROUP BY level, {key}size, pos // {fanout}),
+        {name}_steps AS (
+            SELECT level, {key}pos, {{'a': '', 'l': coalesce(string_agg(hash, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), ''),
+                   'r': coalesce(string_agg(hash, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '')}} AS step
+            FROM {name} WHERE size > 1 WINDOW w AS (PARTITION BY level, {key}pos // {fanout} ORDER BY pos))"""
+
+    return f"""
+        WITH RECURSIVE hashed AS (
+            SELECT doc_id, coalesce('=' || source, '') AS g, {leaf('text')} AS hash,
+                   CASE WHEN {crc32('doc_id::VARCHAR')} % 5 = 0 AND text IS NOT NULL THEN {leaf(lower_az('text'))} END AS changed
+            FROM documents),
+        leaves AS (
+            SELECT row_number() OVER () AS rid, *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, hash) - 1 AS pos,
+                   count(*) OVER (PARTITION BY g) AS size FROM hashed),
+        {tree('low', 'leaves', 'g')},
+        roots AS (SELECT g, hash, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS size FROM low WHERE size = 1),
+        {tree('top', 'roots', '')},
+        steps AS (
+            SELECT rid, level, step FROM leaves l JOIN low_steps s ON s.g = l.g AND s.pos = l.pos // ({fanout} ** level)::BIGINT
+            UNION ALL
+            SELECT rid, 1000 + level, step FROM leaves l JOIN roots r USING (g) JOIN top_steps s ON s.pos = r.pos // ({fanout} ** level)::BIGINT),
+        ways AS (SELECT rid, list(step ORDER BY level) AS way FROM steps GROUP BY rid),
+        folded AS (
+            SELECT l.*, coalesce(way, []) AS way, list_reduce(list_prepend({{'a': coalesce(changed, hash), 'l': '', 'r': ''}}, coalesce(way, [])),
+                   (x, y) -> {{'a': sha256(y.l || x.a || y.r), 'l': '', 'r': ''}}).a AS folded_root
+            FROM leaves l LEFT JOIN ways USING (rid))
+        SELECT f.doc_id, f.hash AS leaf, r.hash AS subroot, t.hash AS root, f.pos AS position,
+               sha256(array_to_string(list_transform(way, s -> s.l || s.r), '')) AS proof_sha256, folded_root, folded_root = t.hash AS verified
+        FROM folded f JOIN roots r USING (g) CROSS JOIN (SELECT hash FROM top WHERE size = 1) t
+    """
