@@ -119,8 +119,8 @@ def spaced_seeds(window: int = 15, similarity: float = 0.8) -> str:
 
 def crc32(text: str) -> str:
     """CRC-32 of an ASCII text, unsigned, bit by bit."""
-    return (f"xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), c -> ord(c)::BIGINT)), "
-            "(a, b) -> list_reduce(list_prepend(xor(a, b), range(8)), (x, i) -> CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))")
+    return (f"xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), lambda c: ord(c)::BIGINT)), "
+            "lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda x, i: CASE WHEN (x & 1) = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))")
 
 
 def lower_az(text: str) -> str:
@@ -163,9 +163,37 @@ def merkle(fanout: int = 16) -> str:
         ways AS (SELECT rid, list(step ORDER BY level) AS way FROM steps GROUP BY rid),
         folded AS (
             SELECT l.*, coalesce(way, []) AS way, list_reduce(list_prepend({{'a': coalesce(changed, hash), 'l': '', 'r': ''}}, coalesce(way, [])),
-                   (x, y) -> {{'a': sha256(y.l || x.a || y.r), 'l': '', 'r': ''}}).a AS folded_root
+                   lambda x, y: {{'a': sha256(y.l || x.a || y.r), 'l': '', 'r': ''}}).a AS folded_root
             FROM leaves l LEFT JOIN ways USING (rid))
         SELECT f.doc_id, f.hash AS leaf, r.hash AS subroot, t.hash AS root, f.pos AS position,
-               sha256(array_to_string(list_transform(way, s -> s.l || s.r), '')) AS proof_sha256, folded_root, folded_root = t.hash AS verified
+               sha256(array_to_string(list_transform(way, lambda s: s.l || s.r), '')) AS proof_sha256, folded_root, folded_root = t.hash AS verified
         FROM folded f JOIN roots r USING (g) CROSS JOIN (SELECT hash FROM top WHERE size = 1) t
     """
+
+
+def source_divergence(least_docs: int = 30, top: int = 50) -> str:
+    def share(count: str, n: str) -> str:
+        return f"1 + (1000000000::HUGEINT * ({count} + 5)) // ({n} + 5 * v)"
+
+    return f"""
+        WITH d AS MATERIALIZED (
+            SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   regexp_extract_all({lower_az("coalesce(text, '')")}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms FROM documents),
+        g AS (SELECT DISTINCT lang, source FROM d),
+        c AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT rid) AS docs
+              FROM (SELECT rid, lang, source, unnest(terms) AS term FROM d) GROUP BY ALL),
+        k AS (SELECT lang, term, sum(n) AS n_term FROM c GROUP BY ALL HAVING sum(docs) >= {least_docs}),
+        x AS (SELECT lang, source, term, coalesce(n, 0) AS n, n_term, sum(coalesce(n, 0)) OVER (PARTITION BY lang, source) AS n_all,
+                     sum(n_term) OVER (PARTITION BY lang, source) AS n_lang, count(*) OVER (PARTITION BY lang, source) AS v
+              FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+        p AS (SELECT lang, source, term, n, {share('n', 'n_all')} AS p, {share('n_term', 'n_lang')} AS q FROM x),
+        r AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(sum(abs(pa.p - pb.p)), 0)::BIGINT AS value
+            FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN p pa ON pa.lang = a.lang AND pa.source = a.source
+            LEFT JOIN p pb ON pb.lang = b.lang AND pb.source = b.source AND pb.term = pa.term GROUP BY ALL
+            UNION ALL SELECT lang, source, 'term', term, (p - q)::BIGINT FROM p WHERE n > 0 AND p > q)
+        SELECT lang, source, part, item, value, rank FROM (
+            SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM r)
+        WHERE part = 'pair' OR rank <= {top}
+    """

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (ann, chat, decontam, merkle, minhash, oracle, packing, quality, sharding, suffix_dedup, toxicity,
+from . import (ann, chat, decontam, divergence, merkle, minhash, oracle, packing, quality, sharding, suffix_dedup, toxicity,
                url_tree)
 
 
@@ -78,6 +78,10 @@ def lower_az(c):
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
     return merkle.manifest(_table(spark, sf_dir, "documents"), F.when(tampered, lower_az(F.col("text"))))
@@ -86,7 +90,7 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_quality_cotraining, op2_chat_snapshots, op3_adaptive_scan, op4_minhash_stars, op5_cost_packing,
     op6_spaced_seeds, op7_suffix_dedup, op8_interleaved_shards, op9_url_templates, op10_toxicity_nnpu,
-    op13_merkle_manifest)}
+    op12_source_divergence, op13_merkle_manifest)}
 
 ORACLE: dict[str, str] = {
     "op4_minhash_stars": """
@@ -125,5 +129,6 @@ ORACLE: dict[str, str] = {
     """,
     "op6_spaced_seeds": oracle.spaced_seeds(),
     "op9_url_templates": oracle.url_templates(URL_RULES),
+    "op12_source_divergence": oracle.source_divergence(),
     "op13_merkle_manifest": oracle.merkle(),
 }
