@@ -31,7 +31,7 @@ from ..sources.sinks import stage_table
 #: The bytes of terms (in UTF-8, A-Z lower-cased): letters, and all that is not ASCII.
 TERM, OTHER = re.compile(rb"[a-z\x80-\xff]+"), re.compile(rb"[^a-z\x80-\xff]")
 #: Counters of a task are written out beyond this many entries.
-ENTRIES = 400_000
+ENTRIES = 600_000
 #: Bytes of a text that are split at once.
 PIECE = 1 << 20
 #: Cells of a block, and of a matrix, of the comparison of sources.
@@ -61,21 +61,21 @@ def _counted(docs: DataFrame, bits: int, all_terms: bool) -> DataFrame:
         seen = defaultdict(lambda: (Counter(), Counter()))
 
         def rows():
-            cols, named = ([] for _ in range(6)), set()
-            lang, source, digest, n, docs_, term = cols
-            for (a, b), (uses, in_docs) in seen.items():
-                for x, k in uses.items():
-                    h = xxhash.xxh3_64_intdigest(x) & mask
-                    lang.append(a), source.append(b), n.append(k), docs_.append(in_docs[x])
-                    digest.append(h - (1 << 64) if h >> 63 else h)
-                    term.append(x if all_terms or (a, h, x) not in named else None)
-                    if not all_terms:
-                        named.add((a, h, x))
+            cols, named = [], defaultdict(set)
+            for (lang, source), (uses, in_docs) in seen.items():
+                if not uses:
+                    continue
+                new = list(uses) if all_terms else list(uses.keys() - named[lang])
+                named[lang].update(new)
+                terms = new + list(uses.keys() - set(new))
+                k = len(terms)
+                digest = np.fromiter(map(xxhash.xxh3_64_intdigest, terms), np.uint64, k) & np.uint64(mask)
+                cols.append([pa.repeat(pa.scalar(lang), k), pa.repeat(pa.scalar(source), k), pa.array(digest.view(np.int64)),
+                             *(pa.array(np.fromiter(map(c.__getitem__, terms), np.int64, k)) for c in (uses, in_docs)),
+                             pa.array(new + [None] * (k - len(new)), pa.binary()).cast(pa.string())])
             seen.clear()
-            term = pa.array(term, pa.binary()).cast(pa.string())
-            return pa.RecordBatch.from_arrays(
-                [pa.array(lang, pa.string()), pa.array(source, pa.string()), pa.array(digest, pa.int64()), pa.array(n, pa.int64()),
-                 pa.array(docs_, pa.int64()), term], ["lang", "source", "digest", "n", "docs", "term"])
+            for arrays in cols:
+                yield pa.RecordBatch.from_arrays(arrays, ["lang", "source", "digest", "n", "docs", "term"])
 
         entries = 0
         for batch in batches:
@@ -91,10 +91,9 @@ def _counted(docs: DataFrame, bits: int, all_terms: bool) -> DataFrame:
                 in_docs.update(own)
                 entries += len(uses) - before
                 if entries > ENTRIES:
-                    yield rows()
+                    yield from rows()
                     entries = 0
-        if seen:
-            yield rows()
+        yield from rows()
 
     return docs.mapInArrow(run, "lang string, source string, digest long, n long, docs long, term string")
 
@@ -110,13 +109,14 @@ def kept_terms(docs: DataFrame, least_docs: int, bits: int = 64) -> tuple[DataFr
     ``part`` is empty, or the term where a digest stands for several.
     """
     counted = stage_table(_counted(docs, bits, False), "counted")
-    cells = stage_table(counted.groupBy("lang", "source", "digest").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "cells")
-    likely = stage_table(cells.groupBy("lang", "digest").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= least_docs).select("lang", "digest"), "likely")
+    likely = counted.groupBy("lang", "digest").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= least_docs).select("lang", "digest")
+    likely = stage_table(likely, "likely")
     names = counted.where("term is not null").select("lang", "digest", "term").join(sized_broadcast(likely), ["lang", "digest"], "left_semi")
     names = stage_table(names.groupBy("lang", "digest").agg(F.min("term").alias("low"), F.max("term").alias("high")), "names")
     one = names.where("low = high").select("lang", "digest", F.lit("").alias("part"), F.col("low").alias("term"))
-    cells = cells.join(sized_broadcast(one.select("lang", "digest")), ["lang", "digest"], "left_semi").select(
-        "lang", "source", "digest", F.lit("").alias("part"), "n")
+    cells = counted.select("lang", "source", "digest", "n").join(
+        sized_broadcast(one.select("lang", "digest")), ["lang", "digest"], "left_semi").groupBy("lang", "source", "digest").agg(F.sum("n").alias("n"))
+    cells = cells.select("lang", "source", "digest", F.lit("").alias("part"), "n")
     several = names.where("low <> high").select("lang", "digest")
     if several.isEmpty():
         return one, cells
