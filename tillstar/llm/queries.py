@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (ann, chat, decontam, divergence, merkle, minhash, oracle, packing, quality, sharding, suffix_dedup, toxicity,
-               url_tree)
+from . import (ann, chat, decontam, divergence, lm_scoring, merkle, minhash, oracle, packing, quality, sharding, suffix_dedup,
+               toxicity, url_tree)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,6 +78,11 @@ def lower_az(c):
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def op11_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1
+    return lm_scoring.score(_table(spark, sf_dir, "documents"), held_out)
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(_table(spark, sf_dir, "documents"))
 
@@ -90,7 +95,7 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_quality_cotraining, op2_chat_snapshots, op3_adaptive_scan, op4_minhash_stars, op5_cost_packing,
     op6_spaced_seeds, op7_suffix_dedup, op8_interleaved_shards, op9_url_templates, op10_toxicity_nnpu,
-    op12_source_divergence, op13_merkle_manifest)}
+    op11_attention_lm, op12_source_divergence, op13_merkle_manifest)}
 
 ORACLE: dict[str, str] = {
     "op4_minhash_stars": """
