@@ -334,6 +334,61 @@ _PRESENT = {
 }
 
 
+_ROW_ID = {
+    "raw_stores": "store_id", "raw_customers": "customer_id", "raw_products": "product_id",
+    "raw_pricing": "product_id, start_date, end_date", "raw_promo": "product_id, promo_type, start_date, end_date",
+    "raw_check_summary": "check_id", "raw_check_details": "check_id, product_id",
+    "stg_pricing": "product_id, start_date, end_date", "stg_promo": "product_id, promo_type, start_date, end_date",
+    "stg_transactions": "check_id, product_id", "dim_date": "date_key", "dim_products": "product_key",
+    "dim_stores": "store_key", "dim_customers": "customer_key", "fct_sales": "check_id, product_key",
+}
+
+
+def _bad(table: str, rule: str, test: str, value: str, source: str | None = None) -> str:
+    ids = " || '|' || ".join(f"COALESCE(CAST({c} AS VARCHAR), '')" for c in _ROW_ID[table].split(", "))
+    return (f"SELECT '{table}.{rule}' AS rule, '{table}' AS \"table\", {ids} AS row_id, CAST({value} AS VARCHAR) AS value "
+            f"FROM {source or table} WHERE {test}")
+
+
+def _twice(table: str, rule: str, key: str, where: str = "TRUE") -> str:
+    return _bad(table, f"{rule}:{key}", "n_same > 1", key,
+                f"(SELECT *, COUNT(*) OVER (PARTITION BY {key}) AS n_same FROM {table} WHERE {where})")
+
+
+_BAD_RAW = "\nUNION ALL ".join([
+    *(_bad(t, f"negative:{c}", _neg(c), c) for t, cols in (
+        ("raw_check_details", ["unit_price", "quantity", "total_amount", "discount_abs"]), ("raw_promo", ["discount_pct"])) for c in cols),
+    *(_bad(t, f"too_long:{c}", f"length({c}) > {n}", c) for t, lens in RAW_LENGTHS.items() for c, n in lens.items()),
+    *(_bad(t, f"rejected:{c}", _rejected(c, kind), c) for t, cols in _TYPED.items() for c, kind in cols.items()),
+    _bad("raw_check_details", "no_header", "NOT EXISTS (SELECT 1 FROM raw_check_summary s WHERE rtrim(s.check_id) = rtrim(d.check_id))",
+         "rtrim(check_id)", "raw_check_details d"),
+    "SELECT DISTINCT 'raw_check_summary.no_lines', 'raw_check_summary', rtrim(s.check_id), rtrim(s.check_id) FROM raw_check_summary s "
+    "WHERE NOT EXISTS (SELECT 1 FROM raw_check_details d WHERE rtrim(d.check_id) = rtrim(s.check_id))",
+])
+_EARLIER = ("(SELECT *, MAX(end_date) OVER (PARTITION BY product_id ORDER BY start_date, end_date, load_seq "
+            "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_end FROM {t} WHERE product_id IS NOT NULL)")
+_SOLD = ("(SELECT t.*, h.promo_type AS t_type, h.discount_pct AS t_pct FROM stg_transactions t LEFT JOIN ("
+         "SELECT pr.product_id, pr.sale_date, arg_min(p.promo_type, p.load_seq) AS promo_type, arg_min(p.discount_pct, p.load_seq) AS discount_pct "
+         "FROM probes pr JOIN stg_promo p ON p.product_id = pr.product_id AND pr.sale_date BETWEEN p.start_date AND p.end_date "
+         "GROUP BY pr.product_id, pr.sale_date) h ON h.product_id = t.product_id AND h.sale_date = CAST(t.transaction_datetime AS DATE))")
+_BAD_STAGING = "\nUNION ALL ".join([
+    _twice("stg_pricing", "multi_active", "product_id", "is_active"),
+    *(_bad(t, "overlap", "prev_end >= start_date", "prev_end", _EARLIER.format(t=t)) for t in ("stg_pricing", "stg_promo")),
+    _bad("stg_transactions", "promo_mismatch", "discount_type NOT IN (0, 99) AND (t_type IS NULL OR t_type <> discount_type OR t_pct <> discount_pct)",
+         "CAST(discount_type AS VARCHAR) || '/' || CAST(discount_pct AS VARCHAR)", _SOLD),
+    _bad("stg_transactions", "total_mismatch", "abs(total_amount - CAST(greatest(round(unit_price * quantity - COALESCE(discount_abs, 0), 2), 0) "
+         "AS DECIMAL(18,2))) > 0.01", "total_amount"),
+])
+_BAD_MART = "\nUNION ALL ".join([
+    *(_twice(t, "unique", c) for t, c in (("dim_date", "date_key"), ("dim_products", "product_key"), ("dim_products", "product_id"),
+                                          ("dim_stores", "store_key"), ("dim_stores", "store_id"), ("dim_customers", "customer_key"))),
+    _twice("dim_customers", "one_current", "customer_id", "is_current AND customer_id IS NOT NULL"),
+    *(_bad(t, f"not_null:{c}", f"{c} IS NULL", f"'{c}'") for t, cols in _PRESENT.items() for c in cols),
+    *(_bad("fct_sales", f"fk:{c}", f"{c} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {d} WHERE {d}.{c} = f.{c})", c, "fct_sales f")
+      for c, d in (("date_key", "dim_date"), ("product_key", "dim_products"), ("store_key", "dim_stores"), ("customer_key", "dim_customers"))),
+])
+
+
 ORACLE: dict[str, str] = {
     **{name: _q(f"SELECT {cols} FROM {name}") for name, cols in _STG_COLS.items()},
     "stg_transactions_csv": _q(f"SELECT {_STG_COLS['stg_transactions']} FROM stg_transactions"),
@@ -454,6 +509,9 @@ ORACLE: dict[str, str] = {
         "UNION ALL SELECT 'raw_check_summary.no_lines', CAST(COUNT(DISTINCT rtrim(s.check_id)) AS BIGINT) "
         "FROM raw_check_summary s "
         "WHERE NOT EXISTS (SELECT 1 FROM raw_check_details d WHERE rtrim(d.check_id) = rtrim(s.check_id))"),
+    "bad_rows_raw": _q(_BAD_RAW),
+    "bad_rows_staging": _q(_BAD_STAGING),
+    "bad_rows_mart": _q(_BAD_MART),
     "flagship_sales": _q(
         "SELECT dd.year, dp.category, dc.city, CAST(COUNT(*) AS BIGINT) AS n_lines, "
         "CAST(SUM(f.quantity) AS DECIMAL(38,4)) AS total_qty, "
@@ -463,3 +521,9 @@ ORACLE: dict[str, str] = {
         "LEFT JOIN dim_customers dc ON f.customer_key = dc.customer_key "
         "GROUP BY dd.year, dp.category, dc.city"),
 }
+#: The audits' own counts, which the counts of the bad rows must equal.
+ORACLE["bad_row_counts"] = _q("")[:-1] + ", " + ", ".join(
+    f"a{i} AS ({sql[len(_PREFIX):]})" if not sql[len(_PREFIX):].startswith(",") else
+    f"a{i} AS (WITH {sql[len(_PREFIX) + 1:].lstrip()})"
+    for i, sql in enumerate(ORACLE[k] for k in ORACLE if k.startswith("audit_"))) + "\n" + "\nUNION ALL ".join(
+    f"SELECT rule, n_bad FROM a{i}" for i in range(sum(k.startswith("audit_") for k in ORACLE)))

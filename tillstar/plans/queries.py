@@ -19,7 +19,7 @@ from ..functions import amounts as A
 from ..functions import clean as C
 from ..functions import dates as D
 from ..operators import audit as Q
-from ..operators import calendar, mart, scd2, staging, temporal
+from ..operators import calendar, mart, scd2, staging, temporal, violations
 from ..operators.keys import upsert
 from ..operators.sampling import hash_sample
 from ..session import shared_dir
@@ -366,6 +366,41 @@ def q_audit_orphans(spark, sf_dir):
     return Q.audit_orphans(w.raw["raw_check_summary"], w.raw["raw_check_details"])
 
 
+# --- the rows behind the audits ---------------------------------------------
+
+
+def _raw_feeds(w: Warehouse) -> dict[str, DataFrame]:
+    return {t: w.raw[t] for t in RAW_LENGTHS}
+
+
+def _staging(w: Warehouse) -> dict[str, DataFrame]:
+    return {"stg_pricing": w.stg["stg_pricing"], "stg_promo": w.stg["stg_promo"], "stg_transactions": w.txn}
+
+
+def q_bad_rows_raw(spark, sf_dir):
+    """Rows of the raw feeds that break a rule (Q4, Q5, Q7, Q8, Q11)."""
+    return violations.raw_bad_rows(_raw_feeds(Warehouse(spark, sf_dir)))
+
+
+def q_bad_rows_staging(spark, sf_dir):
+    """Staged rows that break a rule (Q1 of prices, Q6, Q9, Q10)."""
+    return violations.staging_bad_rows(_staging(Warehouse(spark, sf_dir)))
+
+
+def q_bad_rows_mart(spark, sf_dir):
+    """Rows of the dimensions and the fact that break a rule (Q1, Q2, Q3)."""
+    w = Warehouse(spark, sf_dir)
+    return violations.mart_bad_rows(w.mart() | {"fct_sales": w.fct_table})
+
+
+def q_bad_row_counts(spark, sf_dir):
+    """All rules' counts, derived from the bad rows; equal to the audits' own."""
+    w = Warehouse(spark, sf_dir)
+    found = [violations.raw_bad_rows(_raw_feeds(w)), violations.staging_bad_rows(_staging(w)),
+             violations.mart_bad_rows(w.mart() | {"fct_sales": w.fct_table})]
+    return violations.rule_counts(violations.union_all(found))
+
+
 def q_flagship_sales(spark, sf_dir):
     w = Warehouse(spark, sf_dir)
     return mart.sales_by_city_at_sale(w.fct_sales, w.dim_date, w.dim_products, w.dim_customers)
@@ -413,5 +448,9 @@ QUERIES = {
     "audit_promo": q_audit_promo,
     "audit_total": q_audit_total,
     "audit_orphans": q_audit_orphans,
+    "bad_rows_raw": q_bad_rows_raw,
+    "bad_rows_staging": q_bad_rows_staging,
+    "bad_rows_mart": q_bad_rows_mart,
+    "bad_row_counts": q_bad_row_counts,
     "flagship_sales": q_flagship_sales,
 }
