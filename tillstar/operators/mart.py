@@ -90,6 +90,15 @@ def fact_layout(fct: DataFrame, clustered: bool = False, num_partitions: int | N
     return fct.sortWithinPartitions(*order)
 
 
+def with_year(fct: DataFrame) -> DataFrame:
+    """The fact with its ``year``, to be written in folders by it; unparsed days have none.
+
+    Sorted so that a task writes one folder after another, each by date.
+    """
+    year = F.expr("cast(date_key div 10000 as int)")
+    return fct.withColumn("year", year).sortWithinPartitions("year", "date_key", "check_id")
+
+
 def sales_by_city_at_sale(fct: DataFrame, dim_date: DataFrame, dim_products: DataFrame,
                           dim_customers: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
                           customer_max_rows: int | None = None) -> DataFrame:

@@ -92,17 +92,6 @@ def stage_products(raw: DataFrame, stg_pricing: DataFrame) -> DataFrame:
     return with_current_price(typed, stg_pricing)
 
 
-def flatten_receipts(headers: DataFrame, lines: DataFrame) -> DataFrame:
-    """INNER join of receipt lines with their header on the raw check id.
-
-    Lines without a header and headers without lines drop (counted by
-    ``audit.audit_orphans``); a repeated header repeats its lines.
-    """
-    h = headers.select(F.rtrim("check_id").alias("_hid"), "store_id", "cashier_id",
-                       "datetime", "customer_id")
-    return lines.join(h, F.rtrim(lines.check_id) == h._hid, "inner")
-
-
 def stage_transactions(raw_summary: DataFrame, raw_details: DataFrame) -> DataFrame:
     """Typed receipt lines with their header (J1 + T1-T12).
 

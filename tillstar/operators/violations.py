@@ -73,8 +73,7 @@ def row_id(columns: list[str]) -> Column:
 def bad_rows(df: DataFrame, table: str, rules: list[Rule], id_columns: list[str] | None = None) -> DataFrame:
     """``rule, table, row_id, value`` of every rule that a row breaks, in one pass without a shuffle."""
     broken = F.array(*(F.when(r.bad, F.struct(F.lit(r.name).alias("rule"), r.value.cast("string").alias("value"))) for r in rules))
-    marked = df.select(row_id(id_columns or ROW_ID[table]).alias("row_id"), F.filter(broken, lambda x: x.isNotNull()).alias("broken"))
-    out = marked.where(F.size("broken") > 0).select("row_id", F.inline("broken"))
+    out = df.select(row_id(id_columns or ROW_ID[table]).alias("row_id"), F.inline(F.filter(broken, lambda x: x.isNotNull())))
     return out.select("rule", F.lit(table).alias("table"), "row_id", "value")
 
 

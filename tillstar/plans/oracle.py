@@ -406,6 +406,15 @@ ORACLE: dict[str, str] = {
     "hash_sample": _q("SELECT * FROM stg_customers WHERE customer_id IS NOT NULL "
                       f"AND CAST('0x' || substr(md5(CAST(customer_id AS VARCHAR)), 1, 15) AS BIGINT) < {int(0.3 * 2**60)}"),
     "hash_sample_all": _q("SELECT * FROM stg_customers WHERE customer_id IS NOT NULL"),
+    "exact_sample": _q(
+        "SELECT customer_id, name, city, birthday FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY "
+        "CAST('0x' || substr(md5(CAST(customer_id AS VARCHAR)), 1, 15) AS BIGINT), customer_id, name NULLS FIRST, city NULLS FIRST, "
+        "birthday NULLS FIRST) AS place, COUNT(*) OVER () AS n FROM stg_customers WHERE customer_id IS NOT NULL) "
+        "WHERE place <= floor(0.3 * n + 0.5)"),
+    "fact_by_year": _q("SELECT * FROM fct_sales"),
+    "append_batches": _q("SELECT customer_id, name, city, birthday, 'load' || CAST(COALESCE(customer_id % 3, 0) AS VARCHAR) AS batch "
+                         "FROM stg_customers"),
+    "contract_write": _q("SELECT * FROM dim_customers"),
     "scd2_changed": _q("SELECT * FROM scd2_changed"),
     "scd2_changed_ci": _q(
         "SELECT s.customer_id, s.name, s.city, s.birthday FROM stg_delta s "

@@ -16,11 +16,12 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import calendar, mart, scd2, staging
 from ..sources import sinks
 from ..sources.csv_source import load_all, read_csv, align_to_schema
-from ..sources.schemas import RAW_LENGTHS, SOURCE_FILES
+from ..sources.schemas import MART, RAW_LENGTHS, SOURCE_FILES
 from ..sources.sinks import latest_version, version_path, write_version
 
 STG_SOURCES = {
@@ -72,7 +73,7 @@ def land_feeds(spark: SparkSession, raw_dir: str, out_dir: str, res: RunResult)
 
     # The feeds are independent: their jobs run side by side.
     with ThreadPoolExecutor(len(SOURCE_FILES)) as pool:
-        landed = dict(zip(SOURCE_FILES, pool.map(land, SOURCE_FILES)))
+        landed = dict(zip(SOURCE_FILES, pool.map(sinks.within_scope(land), SOURCE_FILES)))
     return {name: table for name, table in landed.items() if table is not None}
 
 
@@ -114,56 +115,95 @@ class ConstraintViolation(RuntimeError):
 
 def run_pipeline(spark: SparkSession, raw_dir: str, out_dir: str, as_of,
                  changes: DataFrame | None = None, cluster_fact: bool = False,
-                 enforce: tuple[str, ...] = ()) -> RunResult:
+                 enforce: tuple[str, ...] = (), fact_by_year: bool = False) -> RunResult:
     """Full rebuild: staging, dimensions (customer version 1), fact.
 
     ``cluster_fact`` range-partitions the fact by date before writing (see
     ``mart.fact_layout``): one more shuffle, files that date filters skip.
-    ``enforce`` lists audit rule prefixes (e.g. ``"fct_sales.fk:"``) that
-    act like the source's table constraints: the audit report is written to
-    ``audit/report`` and the run fails if any enforced rule has bad rows.
+    ``fact_by_year`` writes it in folders by year, which ``rebuild_years``
+    can replace one by one.
+
+    The mart's tables are written beside their places, checked against their
+    contracts (columns, types, NOT NULL) as they are written, and put in
+    place together at the end.  ``enforce`` lists audit rule prefixes (e.g.
+    ``"fct_sales.fk:"``) that act like the source's table constraints: the
+    audit report is written to ``audit/report``, and if any enforced rule has
+    bad rows the run fails.  A run that fails leaves the mart as it was.
+    Intermediate tables are dropped when the run ends, also when it fails.
     """
     res = RunResult()
+    ready: dict[str, sinks.Prepared] = {}
+    with sinks.TableScope(spark):
+        try:
+            _build_mart(spark, raw_dir, out_dir, as_of, changes, cluster_fact, fact_by_year, enforce, res, ready)
+        except BaseException:
+            for table in ready.values():
+                sinks.drop_table(spark, table.written)
+            raise
+        for name, table in ready.items():
+            sinks.publish(spark, table)
+            res.tables[name], res.rows[name] = table.path, table.rows
+    return res
+
+
+def _build_mart(spark, raw_dir, out_dir, as_of, changes, cluster_fact, fact_by_year, enforce, res: RunResult,
+                ready: dict[str, sinks.Prepared]) -> None:
+    """Stage, prepare the mart's tables and check them."""
     stg = stage_layer(spark, raw_dir, out_dir, res)
     txn = stg["stg_transactions"]
-
     base = _p(out_dir, "mart", "dim_customers")
     v = (latest_version(base, spark) or 0) + 1
     builders = {
         "dim_date": lambda: calendar.build_dim_date(txn),
         "dim_products": lambda: mart.build_dim_products(stg["stg_products"]),
         "dim_stores": lambda: mart.build_dim_stores(stg["stg_stores"]),
+        "dim_customers": lambda: scd2.build_dim_customers(stg["stg_customers"], txn, as_of, changes),
     }
 
     def build(name: str) -> DataFrame:
-        if name == "dim_customers":
-            cust = scd2.build_dim_customers(stg["stg_customers"], txn, as_of, changes)
-            res.tables[name] = write_version(cust, base, v)
-            return spark.read.parquet(res.tables[name])
-        res.tables[name] = _p(out_dir, "mart", name)
-        return sinks.materialize(builders[name](), res.tables[name])
+        path = version_path(base, v) if name == "dim_customers" else _p(out_dir, "mart", name)
+        ready[name] = sinks.prepare(builders[name](), path, contract=MART[name])
+        return ready[name].table
 
     # The four dimensions are independent: build them as concurrent jobs.
-    names = [*builders, "dim_customers"]
-    with ThreadPoolExecutor(len(names)) as pool:
-        dims = dict(zip(names, pool.map(build, names)))
-
-    fct = mart.build_fct_sales(txn, dims["dim_date"], dims["dim_products"], dims["dim_stores"],
-                               dims["dim_customers"])
-    path = _p(out_dir, "mart", "fct_sales")
-    sinks.materialize(mart.fact_layout(fct, clustered=cluster_fact), path)
-    res.tables["fct_sales"] = path
+    with ThreadPoolExecutor(len(builders)) as pool:
+        dims = dict(zip(builders, pool.map(sinks.within_scope(build), builders)))
+
+    fct = mart.build_fct_sales(txn, dims["dim_date"], dims["dim_products"], dims["dim_stores"], dims["dim_customers"])
+    fct = mart.fact_layout(sinks.conform(fct, MART["fct_sales"]), clustered=cluster_fact)
+    if fact_by_year:
+        ready["fct_sales"] = sinks.prepare(mart.with_year(fct), _p(out_dir, "mart", "fct_sales"), partition_by=["year"])
+    else:
+        ready["fct_sales"] = sinks.prepare(fct, _p(out_dir, "mart", "fct_sales"), contract=MART["fct_sales"])
     if enforce:
         from ..operators.audit import warehouse_report
 
-        report = sinks.materialize(warehouse_report(read_warehouse(spark, out_dir)),
-                                   _p(out_dir, "audit", "report"))
+        tables = stg | {name: table.table for name, table in ready.items()}
+        report = sinks.materialize(warehouse_report(tables), _p(out_dir, "audit", "report"))
         res.tables["audit_report"] = _p(out_dir, "audit", "report")
         bad = {r.rule: r.n_bad for r in report.where("n_bad > 0").collect()
                if any(r.rule.startswith(e) for e in enforce)}
         if bad:
             raise ConstraintViolation(f"enforced rules violated: {bad}")
-    return res
+
+
+def rebuild_years(spark: SparkSession, out_dir: str, years: list[int]) -> str:
+    """Build the fact rows of some years again from the staged lines, and replace those years' folders only.
+
+    For a fact written with ``fact_by_year``.  Only lines of those days are
+    read from staging and looked up in the newest dimensions.
+    """
+    with sinks.TableScope(spark):
+        t = {n: spark.read.parquet(_p(out_dir, "stg", n)) for n in ("stg_transactions",)} | {
+            n: spark.read.parquet(_p(out_dir, "mart", n)) for n in ("dim_date", "dim_products", "dim_stores")}
+        base = _p(out_dir, "mart", "dim_customers")
+        dim = spark.read.parquet(version_path(base, latest_version(base, spark)))
+        lines = t["stg_transactions"].where(F.year("transaction_datetime").isin(*years))
+        fct = mart.build_fct_sales(lines, t["dim_date"], t["dim_products"], t["dim_stores"], dim)
+        path = _p(out_dir, "mart", "fct_sales")
+        fct = mart.with_year(mart.fact_layout(sinks.conform(fct, MART["fct_sales"])))
+        sinks.replace_partitions(fct.where(F.col("year").isin(*years)), path, ["year"])
+    return path
 
 
 def read_warehouse(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
@@ -190,8 +230,9 @@ def run_scd2_delta(spark: SparkSession, customers_csv: str, out_dir: str, as_of,
     if v is None:
         raise FileNotFoundError(f"no customer dimension under {base}")
     dim = spark.read.parquet(version_path(base, v))
-    return write_version(scd2.scd2_apply(dim, stg, as_of, tracked, collation), base, v + 1)
+    with sinks.TableScope(spark):
+        return write_version(sinks.conform(scd2.scd2_apply(dim, stg, as_of, tracked, collation), MART["dim_customers"]), base, v + 1)
 
 
-__all__ = ["run_pipeline", "run_scd2_delta", "read_warehouse", "stage_layer", "RunResult",
+__all__ = ["run_pipeline", "rebuild_years", "run_scd2_delta", "read_warehouse", "stage_layer", "RunResult",
            "ConstraintViolation", "SOURCE_FILES"]

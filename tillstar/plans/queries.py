@@ -21,12 +21,12 @@ from ..functions import dates as D
 from ..operators import audit as Q
 from ..operators import calendar, mart, scd2, staging, temporal, violations
 from ..operators.keys import upsert
-from ..operators.sampling import hash_sample
+from ..operators.sampling import exact_sample, hash_sample
 from ..session import shared_dir
 from ..sources import testdata as TD
 from ..sources.csv_source import align_to_schema, export_csv, read_csv
-from ..sources.schemas import NOT_NULL, RAW_LENGTHS, SOURCE_FILES, STG
-from ..sources.sinks import const_rows, stage_table
+from ..sources.schemas import MART, NOT_NULL, RAW_LENGTHS, SOURCE_FILES, STG
+from ..sources.sinks import append_batch, const_rows, materialize, replace_partitions, stage_table
 from .pipeline import RunResult, land_feeds, run_pipeline
 
 
@@ -233,6 +233,41 @@ def q_hash_sample_all(spark, sf_dir):
     return hash_sample(Warehouse(spark, sf_dir).stg["stg_customers"], "customer_id", 1.0)
 
 
+def q_exact_sample(spark, sf_dir):
+    return exact_sample(Warehouse(spark, sf_dir).stg["stg_customers"], "customer_id", 0.3)
+
+
+def _new_folder(spark, name: str) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/tillstar-out/{uuid.uuid4().hex}/{name}"
+
+
+def q_fact_by_year(spark, sf_dir):
+    """The fact written in folders by year, with a wrong year that is then
+    built again by itself (S9)."""
+    fct = Warehouse(spark, sf_dir).fct_table
+    path = _new_folder(spark, "fct_sales")
+    spoilt = fct.withColumn("quantity", F.when(F.expr("date_key div 10000 = 1995"), F.lit(0)).otherwise(F.col("quantity")).cast("decimal(18,4)"))
+    materialize(mart.with_year(spoilt), path, partition_by=["year"])
+    replace_partitions(mart.with_year(fct).where("year = 1995"), path, ["year"])
+    return spark.read.parquet(path).select(*MART["fct_sales"].fieldNames())
+
+
+def q_append_batches(spark, sf_dir):
+    """Customers inserted in three batches, the second of them twice."""
+    staged = stage_table(Warehouse(spark, sf_dir).stg["stg_customers"].select(*STG["stg_customers"].fieldNames()), "stg_customers")
+    path = _new_folder(spark, "customers")
+    for i in (0, 1, 1, 2):
+        batch = staged.where(F.coalesce(F.pmod("customer_id", F.lit(3)), F.lit(0)) == i)
+        table = append_batch(batch, path, f"load{i}")
+    return table
+
+
+def q_contract_write(spark, sf_dir):
+    """The customer dimension written under its contract: columns, types, NOT NULL."""
+    w = Warehouse(spark, sf_dir, reuse_txn=False)
+    return materialize(w.dim_customers, _new_folder(spark, "dim_customers"), contract=MART["dim_customers"])
+
+
 def q_scd2_changed(spark, sf_dir):
     w = Warehouse(spark, sf_dir, reuse_txn=False)
     return scd2.scd2_changed(w.stg_delta, w.dim_customers)
@@ -426,6 +461,10 @@ QUERIES = {
     "dim_customers": q_dim_customers,
     "hash_sample": q_hash_sample,
     "hash_sample_all": q_hash_sample_all,
+    "exact_sample": q_exact_sample,
+    "fact_by_year": q_fact_by_year,
+    "append_batches": q_append_batches,
+    "contract_write": q_contract_write,
     "scd2_changed": q_scd2_changed,
     "scd2_changed_ci": q_scd2_changed_ci,
     "scd2_close": q_scd2_close,
