@@ -121,6 +121,41 @@ def test_packing_round_trip(spark):
     assert len({(r.sequence_id, r.offset) for r in repeats}) == 3
 
 
+@pytest.mark.parametrize("filling", [" ", "\n", "a", "<|endoftext|>"])
+def test_packing_of_runs_of_two_million(spark, filling):
+    from tokenizers import Tokenizer
+    import public_tokenizers
+
+    text = filling * (2_000_000 // len(filling))
+    ids = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode(text, add_special_tokens=False).ids
+    got = sorted(packing.pack(docs(spark, [(1, text)]), with_ids=True).collect(), key=lambda r: r.start)
+    assert [i for r in got for i in r.ids] == [*ids, 0]
+
+
+def brute_assignment(sizes, capacity, linear, quadratic):
+    """Piece by piece, longest first, to the cheapest sequence with room, cut where none has."""
+    total = sum(sizes)
+    used, cost = [0] * -(-total // capacity), [0.0] * -(-total // capacity)
+    for i in sorted(range(len(sizes)), key=lambda i: (-sizes[i], i)):
+        at = 0
+        while at < sizes[i]:
+            left = sizes[i] - at
+            fits = [s for s in range(len(used)) if capacity - used[s] >= left] or [s for s in range(len(used)) if used[s] < capacity]
+            s = min(fits, key=lambda s: (cost[s], s))
+            n = min(left, capacity - used[s])
+            yield i, at, n, s, used[s]
+            used[s] += n
+            cost[s] += linear * n + quadratic * n * n
+            at += n
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_assignment_matches_brute_force(seed):
+    rng = random.Random(seed)
+    sizes = [rng.choice([1, 5, 16, 30, 31, 32, rng.randrange(1, 33)]) for _ in range(rng.randrange(1, 80))]
+    assert list(packing.sequences_for(sizes, 32, 1.0, 0.25)) == list(brute_assignment(sizes, 32, 1.0, 0.25))
+
+
 def test_costs_are_balanced():
     sizes = [random.Random(i).randrange(1, 400) for i in range(500)]
     cost = Counter()

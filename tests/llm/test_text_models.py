@@ -87,3 +87,13 @@ def test_quality_edges(spark):
     got = quality.score(frame, labels(spark, [(4, 1, 0), (7, 0, 0)])).collect()
     assert len(got) == len(EDGE) and all(0 <= r.score <= 1 for r in got)
     assert quality.score(docs(spark, []), labels(spark, [])).count() == 0
+
+
+def test_drop_toxic_keeps_columns_of_any_name(spark):
+    """Names that the operator could use itself, and rows as they were."""
+    rows = [(i, f"text {i} {'vile' * (i % 2)}", "t", 1.5, "r", 1, None) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _text string, _score double, `row` string, predicted int, `a b` string")
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(30)], "doc_id long, quality int, toxic int")
+    got = toxicity.drop_toxic(df, labels)
+    assert got.columns == df.columns and set(map(tuple, got.collect())) <= set(rows)
+    assert toxicity.drop_toxic(df.limit(0), labels).count() == 0

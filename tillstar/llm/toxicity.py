@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .linear import DIM, Adam, HashedWords, Rows, featurise, platt, sigmoid, telling, texts_in_steps, unlike
 
@@ -110,12 +111,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          threshold: float = 0.7, keep: list[str] | None = None, **bounds) -> DataFrame:
+          threshold: float = 0.7, whole_rows: bool = False, **bounds) -> DataFrame:
     """Score every whole text for toxicity.
 
     Returns one row per input row: ``doc_id, held_out, score`` (0 to 1),
     ``predicted`` (1 if the score is at least ``threshold``), or, with
-    ``keep``, those input columns and ``predicted``.  Nothing but the text
+    ``whole_rows``, the input rows of smaller scores as they are.  Nothing but the text
     enters a score: equal texts have equal scores, null and empty texts that
     of no words.  Null ids are scored, never learnt from.  Labels that are
     null, repeated (any toxic one counts) or of unknown ids do no harm; an
@@ -129,14 +130,15 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         for batch in batches:
             z = [float(w[make(x)].sum()) for _, part in texts_in_steps(batch, "_text") for x in part]
             s = sigmoid(slope * (np.array(z) + b) + shift)
-            names = [n for n in batch.schema.names if n != "_text" or keep]
+            names = [n for n in batch.schema.names if n != "_text"]
             arrays = [batch.column(batch.schema.get_field_index(n)) for n in names]
             yield pa.RecordBatch.from_arrays([*arrays, pa.array(s, pa.float64())], [*names, "_score"])
 
-    if keep:
-        wide = docs.select(*keep, F.col(text_col).alias("_text"))
-        out = wide.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in wide.schema) + ", _score double")
-        return out.select(*keep, (F.col("_score") >= threshold).cast("int").alias("predicted"))
+    if whole_rows:
+        # As one value: the columns' names can clash with none here.
+        wide = docs.select(F.struct("*").alias("row"), F.col(f"`{text_col}`").alias("_text"))
+        return wide.mapInArrow(run, T.StructType([wide.schema["row"], T.StructField("_score", T.DoubleType())])).where(
+            F.col("_score") < threshold).select("row.*")
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
     kind = narrow.schema["doc_id"].dataType.simpleString()
     out = narrow.mapInArrow(run, f"doc_id {kind}, _score double")
@@ -146,5 +148,4 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents that are not predicted toxic, with all their columns."""
-    columns = docs.columns
-    return score(docs, labels, keep=columns, **options).where("predicted = 0").select(*columns)
+    return score(docs, labels, whole_rows=True, **options)
