@@ -8,9 +8,7 @@ equal to their similarity.  Bins are banded; documents that agree in a band
 meet in a bucket, and a bucket contributes a star: one member paired with the
 others, not all pairs.  Links are confirmed on the full shingle sets.
 
-A star may miss a link between two members that its centre is not linked to,
-so buckets that still hold several components get another star, with its
-centre in their rarest component, until a whole round confirms nothing new.
+A star may miss a link between two members that its centre is not linked to.
 What the stars leave is settled exactly: members of buckets that still hold
 several components are joined on their rarest shingles, as many as two sets
 of that similarity must share one of.
@@ -205,7 +203,7 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85, bands: i
     sizes = 100 * F.least("n", "centre_n") >= percent * F.greatest("n", "centre_n")
     pairs = stage_table(member.where(F.col("node") != F.col("centre")).where(sizes).select("centre", "node").distinct(), "pairs")
     ends = pairs.select("node").unionByName(pairs.select(F.col("centre").alias("node")))
-    # Later stars join members that an unlike size kept out of the first ones.
+    # The exact step joins members that an unlike size kept out of the stars, too.
     ends = ends.unionByName(member.select("node")).distinct()
     sets = _full_sets(plain.join(ends.select(F.col("node").alias("doc_id")), "doc_id", "left_semi"), width)
     sets = stage_table(sets, "sets")
@@ -217,36 +215,15 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85, bands: i
         either = F.size("x") + F.size("y") - both
         return pairs.join(left, "node").join(right, "centre").where(100 * both >= percent * either).select("centre", "node")
 
-    tested = pairs
-
-    def untested(more: DataFrame) -> DataFrame:
-        done = tested.select(F.greatest("centre", "node").alias("node"), F.least("centre", "node").alias("centre"))
-        return stage_table(more.join(done, ["node", "centre"], "left_anti"), "pairs")
-
-    links = stage_table(confirmed(pairs), "links")
-    turn = 0
-    while True:
-        linked = stage_table(components(links, "centre", "node"), "components")
-        turn += 1
-        named = member.select("bucket", "node", "n").join(linked, "node", "left").withColumn(
-            "component", F.coalesce("component", "node"))
-        parts = named.groupBy("bucket", "component").agg(
-            F.count(F.lit(1)).alias("members"), F.min(F.struct(F.xxhash64("node", "bucket", F.lit(turn)).alias("h"), "node", "n")).alias("c"))
-        rare = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), F.min(F.struct(
-            "members", F.xxhash64("component", "bucket", F.lit(turn)).alias("h"), "c", "component")).alias("r")).where("parts > 1")
-        rare = rare.select("bucket", F.col("r.c.node").alias("centre"), F.col("r.c.n").alias("centre_n"), F.col("r.component").alias("own"))
-        more = _with_centre(named, rare).where(F.col("component") != F.col("own")).where(sizes)
-        more = untested(more.select(F.greatest("centre", "node").alias("node"), F.least("centre", "node").alias("centre")).distinct())
-        new = stage_table(confirmed(more), "links")
-        if new.isEmpty():
-            break
-        tested = tested.unionByName(more)
-        links = links.unionByName(new)
-
-    # The last round's names still hold: it confirmed nothing.
-    new = stage_table(confirmed(untested(_open_pairs(named, sets, percent))), "links")
+    linked = stage_table(components(stage_table(confirmed(pairs), "links"), "centre", "node"), "components")
+    named = member.select("bucket", "node", "n").join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    done = pairs.select(F.greatest("centre", "node").alias("node"), F.least("centre", "node").alias("centre"))
+    more = stage_table(_open_pairs(stage_table(named, "named"), sets, percent).join(done, ["node", "centre"], "left_anti"), "pairs")
+    new = stage_table(confirmed(more), "links")
     if not new.isEmpty():
-        linked = stage_table(components(links.unionByName(new), "centre", "node"), "components")
+        # Each component is a star by now: only the new links are to be followed.
+        new = new.unionByName(linked.select(F.col("component").alias("centre"), "node"))
+        linked = stage_table(components(new, "centre", "node"), "components")
 
     found = classes.select("set_key", F.col("node").alias("rep")).join(
         linked.withColumnRenamed("node", "rep"), "rep", "left").select(
