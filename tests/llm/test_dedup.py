@@ -190,3 +190,22 @@ def test_texts_that_share_an_id_are_dropped_apart(spark):
     left = [rows(minhash.drop_near_duplicates(docs(spark, x)), "doc_id", "text", "source") for x in (data, data[::-1])]
     assert [r[:2] for r in left[0]] == sorted([(1, first), (5, prose(2, 200)), (5, prose(3, 200)), (None, None)], key=repr)
     assert left[0] == left[1]
+
+
+def test_unlinked_texts_of_one_passage_make_few_pairs(spark, monkeypatch):
+    """2,000 texts share a passage and nothing else; some of them have near copies."""
+    passage, rng = prose(77, 40, 10_000), random.Random(9)
+    data = [(i, passage + " " + prose(5_000 + i, rng.randrange(20, 90), 100_000)) for i in range(2000)]
+    data += [(10_000 + i, data[i][1] + " more") for i in range(0, 2000, 100)]
+    tested, write = [], minhash.stage_table
+
+    def counted(df, name):
+        table = write(df, name)
+        if name == "pairs":
+            tested.append(table.count())
+        return table
+
+    monkeypatch.setattr(minhash, "stage_table", counted)
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs(spark, data)).collect()}
+    assert got == {d: d - 10_000 if d >= 10_000 else d for d, _ in data}
+    assert sum(tested) < 20 * len(data)
