@@ -78,6 +78,11 @@ def active_on(start: ColumnOrName, end: ColumnOrName, as_of) -> Column:
     return d.between(col(start), col(end))
 
 
+def days_between(start: ColumnOrName, end: ColumnOrName) -> Column:
+    """Days from one date to another, negative if it lies before."""
+    return F.date_diff(col(end), col(start))
+
+
 def as_date(v) -> Column:
     if isinstance(v, Column):
         return v.cast("date")

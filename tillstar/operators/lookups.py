@@ -17,9 +17,12 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``."""
-    n = df.count()
+def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, rows: int | None = None) -> DataFrame:
+    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``.
+
+    ``rows``: its number of rows where that is known (``catalog.table_stats``); else they are counted.
+    """
+    n = df.count() if rows is None else rows
     return F.broadcast(df) if n <= max_rows else df
 
 

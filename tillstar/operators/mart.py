@@ -101,7 +101,7 @@ def with_year(fct: DataFrame) -> DataFrame:
 
 def sales_by_city_at_sale(fct: DataFrame, dim_date: DataFrame, dim_products: DataFrame,
                           dim_customers: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                          customer_max_rows: int | None = None) -> DataFrame:
+                          customer_max_rows: int | None = None, rows: dict[str, int] | None = None) -> DataFrame:
     """Mart query (D17): lines, quantity and revenue by year, product
     category and the customer's city *at the time of the sale*.
 
@@ -110,12 +110,15 @@ def sales_by_city_at_sale(fct: DataFrame, dim_date: DataFrame, dim_products: Dat
     and one partial aggregate finishes the job; above it, the fact is
     first aggregated per (year, category, customer_key) - partial per task,
     then shuffled as aggregates - so the customer join shuffles sums, not
-    sales lines.
+    sales lines.  ``rows``: rows of the dimensions by name, where they are
+    known (``catalog.table_stats``); then nothing is counted.
     """
-    dd = sized_broadcast(dim_date.select("date_key", "year"), max_rows)
-    dp = sized_broadcast(dim_products.select("product_key", "category"), max_rows)
+    rows = rows or {}
+    dd = sized_broadcast(dim_date.select("date_key", "year"), max_rows, rows.get("dim_date"))
+    dp = sized_broadcast(dim_products.select("product_key", "category"), max_rows, rows.get("dim_products"))
     dc = dim_customers.select("customer_key", "city")
-    small = dc.count() <= (max_rows if customer_max_rows is None else customer_max_rows)
+    n_customers = rows["dim_customers"] if "dim_customers" in rows else dc.count()
+    small = n_customers <= (max_rows if customer_max_rows is None else customer_max_rows)
     x = fct.join(dd, "date_key", "left").join(dp, "product_key", "left")
     aggs = [F.count(F.lit(1)).alias("n_lines"), F.sum("quantity").alias("total_qty"),
             F.sum("total_amount").alias("total_amount")]

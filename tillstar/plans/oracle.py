@@ -426,6 +426,9 @@ ORACLE: dict[str, str] = {
     "warehouse_pipeline": _q("SELECT * FROM fct_sales"),
     "scd2_new": _q("SELECT * FROM scd2_new"),
     "scd2_apply": _q("SELECT * FROM scd2_apply"),
+    "scd2_apply_bucketed": _q("SELECT * FROM scd2_apply"),
+    "line_checks": "SELECT l_orderkey, l_linenumber, CAST(date_diff('day', CAST(l_shipdate AS DATE), DATE '1997-06-01') AS INTEGER) AS days, "
+                   "CASE WHEN l_discount <> 0 THEN l_tax / l_discount END AS tax_ratio FROM lineitem",
     "fct_sales": _q("SELECT * FROM fct_sales"),
     "lookup_scd2": _q(
         "SELECT t.check_id, t.customer_id, CAST(t.transaction_datetime AS DATE) AS sale_date, "
@@ -530,6 +533,7 @@ ORACLE: dict[str, str] = {
         "LEFT JOIN dim_customers dc ON f.customer_key = dc.customer_key "
         "GROUP BY dd.year, dp.category, dc.city"),
 }
+ORACLE["catalog_sales"] = ORACLE["flagship_sales"]
 #: The audits' own counts, which the counts of the bad rows must equal.
 ORACLE["bad_row_counts"] = _q("")[:-1] + ", " + ", ".join(
     f"a{i} AS ({sql[len(_PREFIX):]})" if not sql[len(_PREFIX):].startswith(",") else

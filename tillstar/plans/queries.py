@@ -24,6 +24,7 @@ from ..operators.keys import upsert
 from ..operators.sampling import exact_sample, hash_sample
 from ..session import shared_dir
 from ..sources import testdata as TD
+from ..sources.catalog import publish_table, table_stats
 from ..sources.csv_source import align_to_schema, export_csv, read_csv
 from ..sources.schemas import MART, NOT_NULL, RAW_LENGTHS, SOURCE_FILES, STG
 from ..sources.sinks import append_batch, const_rows, materialize, replace_partitions, stage_table
@@ -295,6 +296,34 @@ def q_scd2_apply(spark, sf_dir):
     return scd2.scd2_apply(w.dim_customers, w.stg_delta, TD.DELTA_AS_OF)
 
 
+def q_scd2_apply_bucketed(spark, sf_dir):
+    """The same delta as a full restage of a dimension stored in buckets."""
+    w = Warehouse(spark, sf_dir, reuse_txn=False)
+    name = f"dim_customers_{uuid.uuid4().hex}"
+    publish_table(w.dim_customers, name, bucket_by="customer_id", buckets=int(spark.conf.get("spark.sql.shuffle.partitions")),
+                  contract=MART["dim_customers"])
+    return scd2.scd2_apply_bucketed(name, w.stg_delta, TD.DELTA_AS_OF, max_rows=0)
+
+
+def q_catalog_sales(spark, sf_dir):
+    """The mart query over catalog tables, read by name, sized by their statistics."""
+    w = Warehouse(spark, sf_dir)
+    tables = w.mart() | {"fct_sales": w.fct_sales}
+    names = {t: f"{t}_{uuid.uuid4().hex}" for t in ("fct_sales", "dim_date", "dim_products", "dim_customers")}
+    for t, name in names.items():
+        publish_table(tables[t], name, contract=MART[t])
+    rows = {t: table_stats(spark, name).rows for t, name in names.items()}
+    return mart.sales_by_city_at_sale(*(spark.table(name) for name in names.values()), rows=rows)
+
+
+def q_line_checks(spark, sf_dir):
+    """Days from shipment to a fixed day (T20) and the tax per discount of every line, undefined quotients as NULL."""
+    lines = TD.table(spark, sf_dir, "lineitem")
+    ratio = F.when(F.col("l_discount") == 0, F.lit(float("nan"))).otherwise(F.try_divide("l_tax", "l_discount"))
+    return lines.select("l_orderkey", "l_linenumber", D.days_between(D.to_day("l_shipdate"), D.as_date(TD.PROMO_AS_OF)).alias("days"),
+                        C.nan_to_null(ratio).alias("tax_ratio"))
+
+
 def q_fct_sales(spark, sf_dir):
     return Warehouse(spark, sf_dir).fct_sales
 
@@ -470,6 +499,9 @@ QUERIES = {
     "scd2_close": q_scd2_close,
     "scd2_new": q_scd2_new,
     "scd2_apply": q_scd2_apply,
+    "scd2_apply_bucketed": q_scd2_apply_bucketed,
+    "catalog_sales": q_catalog_sales,
+    "line_checks": q_line_checks,
     "fct_sales": q_fct_sales,
     "lookup_scd2": q_lookup_scd2,
     "price_at": q_price_at,

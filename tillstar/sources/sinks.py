@@ -12,9 +12,11 @@ from __future__ import annotations
 import os
 import re
 import uuid
+from collections.abc import Callable
 from contextvars import ContextVar
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -116,6 +118,34 @@ def _checks(contract: T.StructType, lengths: dict[str, int]) -> dict[str, Column
     return nulls | {f"{c} is longer than {n}": F.length(F.col(c)) > n for c, n in lengths.items()}
 
 
+def watched(df: DataFrame, name: str, contract: T.StructType | None = None,
+            lengths: dict[str, int] | None = None) -> tuple[DataFrame, Callable[[DataFrame], int]]:
+    """``df`` made to conform, with its rows and what breaks the contract counted by the write itself.
+
+    The second result, called with the written table, returns its rows or
+    raises ``ContractViolation``.
+    """
+    if contract is not None:
+        df = conform(df, contract)
+    checks = _checks(contract, lengths or {}) if contract is not None else {}
+    observed = Observation(f"write {name}")
+    counts = [F.count(F.lit(1)).alias("rows"), *(F.count(F.when(bad, 1)).alias(what) for what, bad in checks.items())]
+    df = df.observe(observed, *counts)
+
+    def keeps(written: DataFrame) -> int:
+        try:
+            found = observed.get
+        except Py4JJavaError:
+            # Nothing is observed where the optimizer sees that there are no rows.
+            found = written.agg(*counts).first().asDict()
+        broken = {what: found[what] for what in checks if found[what]}
+        if broken:
+            raise ContractViolation(f"{name}: " + ", ".join(f"{what} in {n} rows" for what, n in broken.items()))
+        return found["rows"]
+
+    return df, keeps
+
+
 @dataclass
 class Prepared:
     """A table that is written and checked, and not yet in its place."""
@@ -137,11 +167,7 @@ def prepare(df: DataFrame, path: str, partition_by: list[str] | None = None, sor
     in place stays as it is.
     """
     spark = df.sparkSession
-    if contract is not None:
-        df = conform(df, contract)
-    checks = _checks(contract, lengths or {}) if contract is not None else {}
-    observed = Observation(f"write {os.path.basename(path)}")
-    df = df.observe(observed, F.count(F.lit(1)).alias("rows"), *(F.count(F.when(bad, 1)).alias(what) for what, bad in checks.items()))
+    df, keeps = watched(df, path, contract, lengths)
     if sort_within:
         df = df.sortWithinPartitions(*sort_within)
     target = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
@@ -150,14 +176,12 @@ def prepare(df: DataFrame, path: str, partition_by: list[str] | None = None, sor
         writer = writer.partitionBy(*partition_by)
     try:
         writer.parquet(target)
-        found = observed.get
-        broken = {what: found[what] for what in checks if found.get(what)}
-        if broken:
-            raise ContractViolation(f"{path}: " + ", ".join(f"{what} in {n} rows" for what, n in broken.items()))
+        table = spark.read.parquet(target)
+        rows = keeps(table)
     except BaseException:
         drop_table(spark, target)
         raise
-    return Prepared(path, target, spark.read.parquet(target), found.get("rows", 0))
+    return Prepared(path, target, table, rows)
 
 
 def publish(spark: SparkSession, ready: Prepared) -> DataFrame:
