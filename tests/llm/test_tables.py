@@ -3,6 +3,7 @@
 import random
 import zlib
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import public_tokenizers
@@ -203,6 +204,29 @@ def test_neighbours_edges(spark):
     assert ann.nearest(df.limit(0), df).count() == 0 and ann.nearest(df, df.limit(0)).count() == 0
 
 
+def test_no_pattern_of_changed_words_hides_an_item(spark):
+    data, want = [], set()
+    for n in range(9, 16):
+        for changed in combinations(range(n), n // 5):
+            words = [f"x{len(data)}" if i in changed else f"w{n}i{i}" for i in range(n)]
+            want.add((len(data), n, (n - len(changed)) / n))
+            data.append((len(data), f"a{len(data)} b{len(data)} " + " ".join(words) + f" c{len(data)}"))
+    far = {n: [f"w{n}i{i}" if i > n // 5 else "other" for i in range(n)] for n in range(9, 16)}
+    data += [(10_000 + n, " ".join(["start", *w, "end"])) for n, w in far.items()]
+    bench = spark.createDataFrame([(n, " ".join(f"w{n}i{i}" for i in range(n))) for n in range(9, 16)], "item_id long, text string")
+    assert set(rows(decontam.contaminated(docs(spark, data), bench), "doc_id", "item_id", "similarity")) == want
+
+
+def test_items_under_nine_words_are_found_as_they_are(spark):
+    items = [(n, " ".join(f"s{n}i{i}" for i in range(n))) for n in range(1, 9)] + [(20, "What is the capital of France?"), (21, "?!")]
+    data = [(n, f"before {t.upper()} after") for n, t in items if n < 9]
+    data += [(100 + n, " ".join(["x", *t.split()[:-1], "y"])) for n, t in items if n < 9]
+    data += [(200, "Tell: what is the capital of France"), (201, "what is the capital of Spain"), (202, "what is the"), (203, "")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = rows(decontam.contaminated(docs(spark, data), bench), "doc_id", "item_id", "similarity", "placed_words")
+    assert set(got) == {(n, n, 1.0, n) for n in range(1, 9)} | {(200, 20, 1.0, 6)}
+
+
 def test_leaks_are_found_with_changed_words(spark):
     items = [(i, prose(1000 + i, 30, 5000)) for i in range(20)]
     data, want = [], set()

@@ -10,14 +10,19 @@ placements before any text is fetched again.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.sinks import stage_table
 
-#: Word offsets that each mask looks at.
-MASKS = ((0, 1, 2, 4, 7, 8), (0, 2, 3, 5, 6, 8), (0, 1, 3, 4, 6, 8))
-SPAN = 9
+#: Word offsets that each mask looks at.  However a fifth of 9 to 15 words in a row is changed
+#: (one of 9, two of 10 to 14, three of 15), some mask at some position sees none of the changes.
+MASKS = ((0, 1, 2, 3, 7), (0, 2, 4, 5, 7), (0, 3, 4, 6, 7))
+SPAN = 8
+#: Items of fewer words are looked for as a whole.
+SHORT = 9
 
 
 def words(text: Column) -> Column:
@@ -25,18 +30,28 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), "[^\\p{L}\\p{N}]+"), lambda w: w != "")
 
 
-def _seeded(df: DataFrame, text: str, *keep: str) -> DataFrame:
-    """A row per mask and position: ``keep, pos`` (of the first word), ``seed``."""
+def _seeded(df: DataFrame, text: str, *keep: str, whole: Sequence[int] = (), short: bool = False) -> DataFrame:
+    """A row per mask and position: ``keep, n_words, pos`` (of the first word), ``seed``.
+
+    ``whole``: numbers of words of which all runs are seeds too.  With
+    ``short`` a text of fewer than ``SHORT`` words is one seed, its whole
+    sequence.
+    """
     df = df.select(*keep, F.transform(words(F.col(text)), lambda w: F.xxhash64(w)).alias("_w"))
-    df = df.withColumn("_n", F.size("_w") - (SPAN - 1)).where("_n > 0")
+    df = df.withColumn("n_words", F.size("_w"))
 
-    def seeds(number: int, mask: tuple[int, ...]) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.col("_n") - 1), lambda i: F.xxhash64(
-            F.lit(number), *(F.get("_w", i + o) for o in mask)))
+    def seeds(span: int, seed) -> Column:
+        every = F.transform(F.sequence(F.lit(0), F.greatest(F.col("n_words") - span, F.lit(0))),
+                            lambda i: F.struct(i.alias("pos"), seed(i).alias("seed")))
+        return F.when(F.col("n_words") >= span, every).otherwise(F.array().cast("array<struct<pos:int,seed:bigint>>"))
 
-    every = F.concat(*(seeds(k, m) for k, m in enumerate(MASKS)))
-    out = df.select(*keep, "_n", F.posexplode(every).alias("_at", "seed"))
-    return out.select(*keep, F.expr("_at % _n").alias("pos"), "seed")
+    found = [seeds(SPAN, lambda i, k=k, m=m: F.xxhash64(F.lit(k), *(F.get("_w", i + o) for o in m))) for k, m in enumerate(MASKS)]
+    found += [seeds(n, lambda i, n=n: F.xxhash64(F.lit(-n), F.slice("_w", i + 1, F.lit(n)))) for n in whole]
+    found = F.concat(*found)
+    if short:
+        one = F.array(F.struct(F.lit(0).alias("pos"), F.xxhash64(-F.col("n_words"), "_w").alias("seed")))
+        found = F.when(F.col("n_words").between(1, SHORT - 1), one).otherwise(found)
+    return df.select(*keep, "n_words", F.inline(found))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -50,8 +65,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     placed_words`` (along the whole of that placement), ``first_word`` (in the
     document, from 0).  A pair counts from ``similarity`` on.
 
-    Items of fewer words than a mask spans are too short to tell and match
-    nothing, like null and empty texts.  Rows with a null id, in either table,
+    From nine words on, no pair that counts is missed, whichever words are
+    changed (at 0.8 and 15).  Items of fewer words are found where their
+    whole sequence of words occurs unchanged, however short, so a one-word
+    item marks every document with that word; leave such items out if that
+    is not wanted.  Texts without words, null and empty ones among them,
+    match nothing.  Rows with a null id, in either table,
     are left out.  Repeated rows, and rows that share an id, are one document
     or item.  Empty tables give an empty result.
 
@@ -61,25 +80,31 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text")).where("doc_id is not null")
     items = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("_text")).where("item_id is not null")
     items = items.distinct()
-    seeds = stage_table(_seeded(items, "_text", "item_id").withColumnRenamed("pos", "item_pos").distinct(), "seeds")
+    seeds = _seeded(items, "_text", "item_id", short=True)
+    seeds = stage_table(seeds.withColumnsRenamed({"pos": "item_pos", "n_words": "item_words"}).distinct(), "seeds")
+    # Eight numbers at most.
+    whole = sorted(r[0] for r in seeds.where(F.col("item_words") < SHORT).select("item_words").distinct().collect())
     if seeds.count() <= broadcast_rows:
         seeds = F.broadcast(seeds)
-    hits = _seeded(plain, "_text", "doc_id").join(seeds, "seed")
-    hits = hits.select("doc_id", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift")).distinct()
+    hits = _seeded(plain, "_text", "doc_id", whole=whole).join(seeds, "seed")
+    shift = F.col("pos") - F.col("item_pos")
+    # A placement's words in both texts, and those it needs: a document's end can leave it too few.
+    fits = F.least("item_words", F.col("n_words") - shift) - F.greatest(-shift, F.lit(0)) >= F.least("item_words", F.lit(window))
+    hits = hits.where(fits).select("doc_id", "item_id", "item_words", shift.alias("shift")).distinct()
     hits = stage_table(hits, "placements")
     # A document's placements are no more than its own words times the items they hit.
-    per = hits.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "shift")).alias("hits"))
+    per = hits.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "item_words", "shift")).alias("hits"))
     # Merged at every size: how many documents are hit follows the corpus, so
     # their list is not for a broadcast.
     found = plain.join(per.hint("merge"), "doc_id").select("doc_id", words(F.col("_text")).alias("w"), "hits")
-    size = F.size("w")
-    longest = stage_table(items.select("item_id", words(F.col("_text")).alias("iw")), "items")
-    reach = longest.agg(F.max(F.size("iw"))).first()[0] or 0
+    whole_items = stage_table(items.select("item_id", words(F.col("_text")).alias("iw")), "items")
+    # Each placement takes its own item's number of words along.
     found = found.select("doc_id", F.explode(F.transform("hits", lambda h: F.struct(
-        h["item_id"].alias("item_id"), h["shift"].alias("shift"),
+        h["item_id"].alias("item_id"), h["item_words"].alias("item_words"), h["shift"].alias("shift"),
         F.greatest(h["shift"], F.lit(0)).alias("from"),
-        F.slice("w", F.greatest(h["shift"], F.lit(0)) + 1, F.lit(reach)).alias("dw")))).alias("h"))
-    pair = found.select("doc_id", "h.*").join(longest, "item_id")
+        F.slice("w", F.greatest(h["shift"], F.lit(0)) + 1,
+                h["item_words"] + F.least(h["shift"], F.lit(0))).alias("dw")))).alias("h"))
+    pair = found.select("doc_id", "h.*").join(whole_items, "item_id").where(F.size("iw") == F.col("item_words"))
     skip = F.greatest(-F.col("shift"), F.lit(0))
     pair = pair.withColumn("len", F.least(F.size("dw"), F.size("iw") - skip)).withColumn("need", F.least(F.size("iw"), F.lit(window)))
     pair = pair.where("len >= need")

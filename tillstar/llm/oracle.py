@@ -5,7 +5,7 @@ The values of the operators' parameters are those that ``queries.py`` uses.
 
 from __future__ import annotations
 
-from .decontam import MASKS, SPAN
+from .decontam import MASKS, SHORT, SPAN
 
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -88,7 +88,11 @@ def spaced_seeds(window: int = 15, similarity: float = 0.8) -> str:
         one = " UNION ALL ".join(
             f"SELECT {key}, {k} AS mask, unnest(range(len(w) - {SPAN - 1})) AS pos, unnest(list_transform("
             f"range(len(w) - {SPAN - 1}), lambda i: {' || chr(32) || '.join(f'w[i + {o + 1}]' for o in mask)})) AS seed "
-            f"FROM {table} WHERE len(w) >= {SPAN}" for k, mask in enumerate(MASKS))
+            f"FROM {table} WHERE len(w) >= {SPAN if table == 'd' else SHORT}" for k, mask in enumerate(MASKS))
+        one += "".join(
+            f" UNION ALL SELECT {key}, {-n} AS mask, unnest(range(len(w) - {n - 1})) AS pos, unnest(list_transform("
+            f"range(len(w) - {n - 1}), lambda i: array_to_string(w[i + 1:i + {n}], ' '))) AS seed FROM {table} WHERE len(w) "
+            + (f">= {n} AND EXISTS (SELECT 1 FROM i WHERE len(i.w) = {n})" if table == "d" else f"= {n}") for n in range(1, SHORT))
         return f"(SELECT {key}, mask, pos, md5_number(seed) AS seed FROM ({one}))"
 
     return f"""
