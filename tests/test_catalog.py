@@ -141,6 +141,10 @@ def test_rows_without_the_bucket_column_are_dealt_over_the_writing_tasks(spark):
     assert spark.table(name).count() == 3000
 
 
+def test_buckets_follow_the_rows():
+    assert [catalog.bucket_count(n) for n in (0, 8_000_000, 8_000_001, 10**11)] == [8, 8, 9, 100_000]
+
+
 def test_an_unbucketed_dimension_is_refused(spark):
     name = new_name("dim")
     catalog.publish_table(dimension(spark, 10), name)

@@ -24,7 +24,7 @@ from ..operators.keys import upsert
 from ..operators.sampling import exact_sample, hash_sample
 from ..session import shared_dir
 from ..sources import testdata as TD
-from ..sources.catalog import publish_table, table_stats
+from ..sources.catalog import bucket_count, publish_table, table_stats
 from ..sources.csv_source import align_to_schema, export_csv, read_csv
 from ..sources.schemas import MART, NOT_NULL, RAW_LENGTHS, SOURCE_FILES, STG
 from ..sources.sinks import append_batch, const_rows, materialize, replace_partitions, stage_table
@@ -300,7 +300,7 @@ def q_scd2_apply_bucketed(spark, sf_dir):
     """The same delta as a full restage of a dimension stored in buckets."""
     w = Warehouse(spark, sf_dir, reuse_txn=False)
     name = f"dim_customers_{uuid.uuid4().hex}"
-    publish_table(w.dim_customers, name, bucket_by="customer_id", buckets=int(spark.conf.get("spark.sql.shuffle.partitions")),
+    publish_table(w.dim_customers, name, bucket_by="customer_id", buckets=bucket_count(w.dim_customers.count()),
                   contract=MART["dim_customers"])
     return scd2.scd2_apply_bucketed(name, w.stg_delta, TD.DELTA_AS_OF, max_rows=0)
 

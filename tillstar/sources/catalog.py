@@ -31,6 +31,11 @@ class TableStats:
     location: str
 
 
+def bucket_count(rows: int, rows_per_bucket: int = 1_000_000) -> int:
+    """Buckets for a table of that many rows: 8 at least, so that small tables are read in parallel too."""
+    return max(8, -(-rows // rows_per_bucket))
+
+
 def publish_table(df: DataFrame, name: str, folder: str | None = None, bucket_by: str | None = None,
                   buckets: int = 0, stats_of: list[str] | None = None, contract: T.StructType | None = None,
                   lengths: dict[str, int] | None = None) -> DataFrame:
