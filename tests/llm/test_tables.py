@@ -194,6 +194,26 @@ def test_neighbours_recall_and_scores(spark, unit):
         assert [(-s, i) for _, i, s in found] == sorted((-s, i) for _, i, s in found)
 
 
+def test_scan_keeps_the_nearest_and_gathers_few(monkeypatch):
+    """Many pairs left: products of blocks, no columns gathered for each pair.  Few left: the same pairs as one by one."""
+    rng, gathered = np.random.default_rng(4), []
+    q, x = rng.standard_normal((40, 33)), rng.standard_normal((900, 33))
+    plain = np.einsum
+    monkeypatch.setattr(ann.np, "einsum", lambda what, *of: gathered.append(of[0].size) or plain(what, *of))
+    far = ((q[:, None] - x[None]) ** 2)
+    kth = np.sort(far.sum(2), 1)[:, 20]
+    for best in (np.full(40, np.inf), kth.copy(), np.full(40, 1e-3)):
+        want = np.ones((40, 900), bool)
+        for j in (16, 32, 33):
+            want &= far[:, :, :j].sum(2) <= (best * (1 if j == 33 else j / 33 * (1 + 2.1 / j ** 0.5) ** 2) + 1e-9)[:, None]
+        gathered.clear()
+        who, rows = ann.scan_block(q, x, best, 21, 16, 2.1)
+        assert list(zip(who.tolist(), rows.tolist(), strict=True)) == list(zip(*(k.tolist() for k in np.nonzero(want)), strict=True))
+        assert sum(gathered) < 40 * 900 * 4
+    who, rows = ann.scan_block(q, x, near := np.full(40, np.inf), 21, 16, 2.1)
+    assert len(who) == 40 * 900 and np.allclose(near, kth)
+
+
 def test_neighbours_edges(spark):
     nan, inf = float("nan"), float("inf")
     data = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, [0.0, 0.0]), (5, [nan, 1.0]), (6, [inf, 1.0]),

@@ -24,6 +24,11 @@ from pyspark.sql import functions as F
 
 from ..sources.sinks import stage_table
 
+#: A block of columns is gathered for single pairs when one in so many is left.
+FEW = 16
+#: Pairs whose scores are computed at once.
+PAIRS = 1 << 16
+
 
 def usable(vec: Column) -> Column:
     """Not null, not zero, every component a finite number."""
@@ -54,40 +59,42 @@ def _matrix(column: pa.Array, d: int) -> np.ndarray:
     return flat.reshape(-1, d)
 
 
-def scan_block(q: np.ndarray, x: np.ndarray, best: np.ndarray, k: int, width: int, sigma: float) -> list[np.ndarray]:
-    """Rows of ``x`` that may be among the ``k`` nearest, for each row of ``q``.
+def scan_block(q: np.ndarray, x: np.ndarray, best: np.ndarray, k: int, width: int, sigma: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a row of ``q`` and a row of ``x`` that may be among the ``k`` nearest of the first, ordered by both.
 
     ``best``: each query's current k-th squared distance, inf at first.  Columns are read in blocks of ``width``;
     after ``j`` of ``d`` columns a candidate is abandoned when its partial
     distance exceeds ``best * j / d * (1 + sigma / sqrt(j)) ** 2``, a bound
     that a nearer vector breaks with a probability falling in ``sigma``.
+    While more than one pair in ``FEW`` is left, a block is a matrix product of all pairs; then the pairs left are gathered.
     """
-    d = x.shape[1]
-    blocks = [np.ascontiguousarray(x[:, a:a + width]) for a in range(0, d, width)]
-    norms = [np.einsum("ij,ij->i", b, b) for b in blocks]
-    # The first block of all pairs is one matrix product; what is left is gathered.
-    q0 = q[:, :width]
-    first = norms[0][None] - 2 * (q0 @ blocks[0].T) + np.einsum("ij,ij->i", q0, q0)[:, None]
-    j = min(width, d)
-    with np.errstate(invalid="ignore"):
-        keep = first <= (best * j / d * (1 + sigma / math.sqrt(j)) ** 2 + 1e-9)[:, None]
-    out = []
-    for i in range(len(q)):
-        rows = np.nonzero(keep[i])[0]
-        part = first[i, rows]
-        for b, at in enumerate(range(width, d, width), 1):
-            if not len(rows):
-                break
-            gap = blocks[b][rows] - q[i, at:at + width]
+    d, pairs = x.shape[1], len(q) * len(x)
+    x2, q2 = np.einsum("ij,ij->i", x, x), np.einsum("ij,ij->i", q, q)
+    # A product's rounding grows with the vectors, not with their distance.
+    slack = 1e-9 + 1e-13 * float(x2.max(initial=0.0) + q2.max(initial=0.0))
+    part, left = np.zeros((len(q), len(x))), np.ones((len(q), len(x)), bool)
+    who = rows = None
+    for at in range(0, d, width):
+        j = min(at + width, d)
+        qb, xb = q[:, at:j], x[:, at:j]
+        bound = (best if j == d else best * j / d * (1 + sigma / math.sqrt(j)) ** 2) + slack
+        if who is not None:
+            gap = xb[rows] - qb[who]
             part = part + np.einsum("ij,ij->i", gap, gap)
-            j = min(at + width, d)
-            bound = best[i] if j == d else best[i] * j / d * (1 + sigma / math.sqrt(j)) ** 2
-            near = part <= bound + 1e-9
-            rows, part = rows[near], part[near]
-        out.append(rows)
-        if len(rows) >= k:
-            best[i] = min(best[i], float(np.partition(part, k - 1)[k - 1]))
-    return out
+            near = part <= bound[who]
+            who, rows, part = who[near], rows[near], part[near]
+            continue
+        with np.errstate(invalid="ignore"):
+            part += np.einsum("ij,ij->i", xb, xb) - 2 * (qb @ xb.T)
+            part += np.einsum("ij,ij->i", qb, qb)[:, None]
+            left &= part <= bound[:, None]
+        if j == d or np.count_nonzero(left) * FEW <= pairs:
+            who, rows = np.nonzero(left)
+            part = part[who, rows]
+    bounds = np.searchsorted(who, np.arange(len(q) + 1))
+    for i in np.nonzero(np.diff(bounds) >= k)[0]:
+        best[i] = min(best[i], float(np.partition(part[bounds[i]:bounds[i + 1]], k - 1)[k - 1]))
+    return who, rows
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding",
@@ -218,21 +225,27 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "
             probes = right.column("lists").combine_chunks()
             of = np.repeat(np.arange(len(qs)), np.diff(probes.offsets.to_numpy()))
             flat = probes.flatten().to_numpy()
-            rows_of = [[x * step] for x in first]
+            pairs = [np.arange(len(qs)).repeat(first.shape[1]) * len(y) + first.ravel() * step]
             for i, which_list in enumerate(lists):
                 who = of[flat == which_list]
                 for lo in range(0, len(who), 512):
                     some = who[lo:lo + 512]
                     limit = best[some]
-                    for a, rows in zip(some, scan_block(qy[some], y[start[i]:end[i]], limit, k + 1, width, sigma), strict=True):
-                        rows_of[a].append(rows + start[i])
+                    a, rows = scan_block(qy[some], y[start[i]:end[i]], limit, k + 1, width, sigma)
+                    pairs.append(some[a] * len(y) + rows + start[i])
                     best[some] = limit
-            for a in range(len(qs)):
-                rows = np.unique(np.concatenate(rows_of[a]))
-                rows = rows[ids[rows] != qids[a]]
-                s = (xs[rows] * qs[a]).sum(1)
-                top = np.lexsort((ids[rows], -s))[:k]
-                found.append((np.full(len(top), qids[a]), ids[rows][top], s[top]))
+            # By query, each pair once.
+            pairs = np.unique(np.concatenate(pairs))
+            who, rows = pairs // len(y), pairs % len(y)
+            other = ids[rows] != qids[who]
+            who, rows = who[other], rows[other]
+            s = np.empty(len(who))
+            for lo in range(0, len(who), PAIRS):
+                s[lo:lo + PAIRS] = (xs[rows[lo:lo + PAIRS]] * qs[who[lo:lo + PAIRS]]).sum(1)
+            order = np.lexsort((ids[rows], -s, who))
+            who, rows, s = who[order], rows[order], s[order]
+            top = np.arange(len(who)) - np.searchsorted(who, who) < k
+            found.append((qids[who[top]], ids[rows[top]], s[top]))
         cols = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)]
         return pa.table([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.float64()), strict=True)], ["query_id", "vec_id", "score"])
 
