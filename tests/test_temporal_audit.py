@@ -3,6 +3,7 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import text_df
@@ -68,6 +69,26 @@ def test_promo_at_first_loaded(spark):
     assert got == {1: (10, 20), 2: (11, 30), 3: (None, None)}
 
 
+@pytest.mark.parametrize("per_key", [64, 1])
+def test_pairs_are_resolved_in_tasks_of_few_rows(spark, monkeypatch, per_key):
+    """No task gets many pairs, however few bytes they are, in the plain range join and the bucketed one."""
+    day, tables = dt.date(2024, 1, 1), {}
+    real = temporal.stage_table
+    monkeypatch.setattr(temporal, "stage_table", lambda df, name: tables.setdefault(name, real(df, name)))
+    pricing = [(p, Decimal(p * 10 + k), day + dt.timedelta(40 * k), day + dt.timedelta(40 * k + 30), k) for p in range(50) for k in range(2)]
+    lines = [(i, i % 51, day + dt.timedelta(i // 51)) for i in range(51 * 40)]
+    price = spark.createDataFrame(pricing, "product_id int, price decimal(10,2), start_date date, end_date date, load_seq int")
+    out = temporal.price_at(spark.createDataFrame(lines, "line int, product_id int, d date"), price, "d", max_rows=0,
+                            max_intervals_per_key=per_key, task_rows=100)
+    got = {r.line: r.list_price for r in out.collect()}
+    for i, p, d in lines:
+        hits = [v for k, v, a, b, _ in pricing if k == p and a <= d <= b]
+        assert got[i] == (hits[0] if hits else Decimal(p * 10 + 1) if p < 50 else None)
+    files = tables["effective_pairs"].groupBy(F.input_file_name()).count().collect()
+    assert sum(r["count"] for r in files) == 51 * 40 and max(r["count"] for r in files) <= 400
+    assert "SortMergeJoin" in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_fact_defaults(spark):
     txn = spark.createDataFrame([
         (1, 100, 10, dt.datetime(2024, 4, 2, 9, 0), 5),

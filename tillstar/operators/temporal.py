@@ -9,10 +9,11 @@ broadcast they bypass the join, so that they are not shuffled at all.
 interval that covers the day, optionally falling back to the last listed
 row of the key.  It never needs a row id: it resolves the distinct
 ``(key, day)`` pairs of the facts first (a map-side reduced set, bounded by
-keys x days), picks the winner per pair with ``min_by`` on the load order,
-writes the resolved pairs, and then joins the facts to them with a plain
-equi-join that matches at most once - broadcast when their measured count
-is under the bound.  A hot key is spread over its days in both joins.
+keys x days), writes them, picks the winner per pair with ``min_by`` on the
+load order in tasks of a bounded number of rows, writes the resolved pairs,
+and then joins the facts to them with a plain equi-join that matches at most
+once - broadcast when their measured count is under the bound.  A hot key is
+spread over its days in both joins.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.clean import col
 from ..sources.sinks import stage_table
-from .lookups import BROADCAST_MAX_ROWS, sized_broadcast
+from .lookups import BROADCAST_MAX_ROWS
 
 
 def lookup_scd2(facts: DataFrame, dim: DataFrame, fact_id: str, at, key_col: str,
@@ -54,10 +55,24 @@ def lookup_scd2(facts: DataFrame, dim: DataFrame, fact_id: str, at, key_col: str
 # Above this many intervals on one key, the range join is bucketed by time.
 MAX_INTERVALS_PER_KEY = 64
 BUCKET_DAYS = 30
+# Probe days and intervals that a task of the range join sorts, about; the
+# shuffled bytes, by which partitions are merged at run time, say little of
+# the memory that the sorts of so many narrow rows take.
+ROWS_PER_TASK = 250_000
+
+
+def _sizes(probes: DataFrame, t: DataFrame, task_rows: int = ROWS_PER_TASK) -> tuple[int, int, int]:
+    """The most intervals on one key, the rows of both sides, and how many of them a task is dealt."""
+    worst, rows = t.groupBy("_tk").count().agg(F.max("count"), F.sum("count")).first()
+    return worst or 0, probes.count() + (rows or 0), task_rows
+
+
+def _tasks(rows: int, task_rows: int) -> int:
+    return max(1, -(-rows // task_rows))
 
 
 def _covering(probes: DataFrame, t: DataFrame, how: str, max_per_key: int,
-              bucket_days: int) -> DataFrame:
+              bucket_days: int, sizes: tuple[int, int, int] | None = None) -> DataFrame:
     """Join probe days ``(_k, _d)`` with the intervals ``[_s, _e]`` of their key.
 
     A plain equi-join on the key compares every probe day of a key with every
@@ -69,11 +84,16 @@ def _covering(probes: DataFrame, t: DataFrame, how: str, max_per_key: int,
     the probe's bucket, so each matching pair is produced exactly once.  A
     stray day adds one bucket, not all between it and the others.  The list
     of buckets is one row, of at most 10,000 years / ``bucket_days`` numbers.
+
+    Both sides are dealt so that a task has about ``ROWS_PER_TASK`` of them,
+    whatever the input: by key, or by key and bucket (``_pb``, a column of
+    the result then).  ``sizes`` is what ``_sizes`` gives.
     """
-    cover = probes["_d"].between(t["_s"], t["_e"])
-    worst = t.groupBy("_tk").count().agg(F.max("count")).first()[0] or 0
+    worst, rows, task_rows = sizes or _sizes(probes, t)
+    tasks = _tasks(rows, task_rows)
     if worst <= max_per_key:
-        return probes.join(t, (probes["_k"] == t["_tk"]) & cover, how)
+        probes, t = probes.repartition(tasks, "_k"), t.repartition(tasks, "_tk")
+        return probes.join(t, (probes["_k"] == t["_tk"]) & probes["_d"].between(t["_s"], t["_e"]), how)
 
     def bucket(d):
         return F.floor(F.unix_date(d) / bucket_days).cast("int")
@@ -81,9 +101,11 @@ def _covering(probes: DataFrame, t: DataFrame, how: str, max_per_key: int,
     present = probes.select(bucket(F.col("_d")).alias("_b")).distinct().agg(F.collect_set("_b").alias("_all"))
     tb = (t.join(F.broadcast(present)).withColumn("_b", F.explode(
         F.filter("_all", lambda b: b.between(bucket(F.col("_s")), bucket(F.col("_e")))))).drop("_all"))
-    pb = probes.withColumn("_pb", bucket(F.col("_d")))
+    tasks = _tasks(rows + tb.count(), task_rows)
+    tb = tb.repartition(tasks, "_tk", "_b")
+    pb = probes.withColumn("_pb", bucket(F.col("_d"))).repartition(tasks, "_k", "_pb")
     cond = (pb["_k"] == tb["_tk"]) & (pb["_pb"] == tb["_b"]) & pb["_d"].between(tb["_s"], tb["_e"])
-    return pb.join(tb, cond, how).drop("_pb", "_b")
+    return pb.join(tb, cond, how).drop("_b")
 
 
 def first_effective(facts: DataFrame, table: DataFrame, fact_key: str, at: Column | str,
@@ -92,12 +114,14 @@ def first_effective(facts: DataFrame, table: DataFrame, fact_key: str, at: Colum
                     fallback_last: bool = False, prefix: str = "",
                     max_rows: int = BROADCAST_MAX_ROWS,
                     max_intervals_per_key: int = MAX_INTERVALS_PER_KEY,
-                    bucket_days: int = BUCKET_DAYS) -> DataFrame:
+                    bucket_days: int = BUCKET_DAYS, task_rows: int = ROWS_PER_TASK) -> DataFrame:
     """Per fact row, the values of the first listed row of ``table`` whose
     ``[start, end]`` covers ``at``; NULL when none does, or, with
     ``fallback_last``, the values of the key's last listed row.
 
-    The resolved ``(key, day)`` pairs are written to the shared folder; their
+    The distinct ``(key, day)`` pairs are written to the shared folder; their
+    count sets the number of tasks that resolve them, about ``task_rows``
+    pairs and intervals in each.  The resolved pairs are written too; their
     exact row count then decides between a broadcast join (no shuffle of the
     facts) and a shuffle join on ``(key, day)``.
     """
@@ -105,18 +129,28 @@ def first_effective(facts: DataFrame, table: DataFrame, fact_key: str, at: Colum
     at_c = col(at)
     probes = (facts.select(F.col(fact_key).alias("_k"), at_c.alias("_d"))
               .where(F.col("_k").isNotNull() & F.col("_d").isNotNull()).distinct())
+    probes = stage_table(probes, "effective_probes")
     t = table.select(F.col(table_key).alias("_tk"), F.col(start).alias("_s"),
                      F.col(end).alias("_e"), F.col(seq).alias("_q"),
-                     F.struct(*[F.col(v) for v in values]).alias("_v"))
-    # min_by skips the NULL order of a probe without a covering row.
+                     F.struct(*[F.col(v) for v in values]).alias("_v")).where(F.col("_tk").isNotNull())
+    sizes = _sizes(probes, t, task_rows)
     pairs = _covering(probes, t, "left" if fallback_last else "inner",
-                      max_intervals_per_key, bucket_days)
-    resolved = pairs.groupBy("_k", "_d").agg(F.min_by("_v", "_q").alias("_v"))
+                      max_intervals_per_key, bucket_days, sizes)
+    # Grouped where the join left them.  min_by skips the NULL order of a
+    # probe without a covering row.
+    keys = [c for c in pairs.columns if c in ("_k", "_d", "_pb")]
+    resolved = pairs.groupBy(*keys).agg(F.min_by("_v", "_q").alias("_v"))
     if fallback_last:
-        last = t.groupBy("_tk").agg(F.max_by("_v", "_q").alias("_last"))
+        tasks = _tasks(*sizes[1:])
+        last = t.repartition(tasks, "_tk").groupBy("_tk").agg(F.max_by("_v", "_q").alias("_last"))
+        if "_pb" in keys:
+            resolved = resolved.repartition(tasks, "_k")
         resolved = (resolved.join(last, resolved["_k"] == last["_tk"], "left")
                     .select("_k", "_d", F.coalesce("_v", "_last").alias("_v")))
-    resolved = sized_broadcast(stage_table(resolved, "effective_pairs"), max_rows)
+    resolved = stage_table(resolved.select("_k", "_d", "_v"), "effective_pairs")
+    # Above the bound never by the files' size: sorted keys and days make
+    # files that are a small part of the pairs in memory.
+    resolved = F.broadcast(resolved) if resolved.count() <= max_rows else resolved.hint("merge")
     f = facts.withColumn("_at", at_c)
     out = f.join(resolved, (f[fact_key] == resolved["_k"]) & (f["_at"] == resolved["_d"]), "left")
     return out.select(*[F.col(c) for c in facts.columns],
