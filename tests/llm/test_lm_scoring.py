@@ -143,6 +143,24 @@ def test_tasks_that_train_apart_learn(spark):
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
 
 
+def test_all_rows_that_are_not_held_out_train_the_model(spark, monkeypatch):
+    """The model's counts of ids are those of every training text, whatever its hash, and of no other."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    plain_ = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    monkeypatch.setattr(lm_scoring, "ROW_IDS", 50)
+    data = [(i, prose(i, 1 + i % 70, 90) + f" rare{i}") for i in range(120)] + [(500, "twice seen"), (500, "twice seen"), (None, "no id"), (501, None)]
+    models, train = [], lm_scoring.train
+    monkeypatch.setattr(lm_scoring, "train", lambda *a, **k: models.append(train(*a, **k)) or models[-1])
+    scored(docs(spark, data).repartition(3)).count()
+    want = Counter()
+    for d, t in data:
+        if not fold(d):
+            want.update([*(i for w in (t or "").lower().split() for i in plain_.encode(" " + w, add_special_tokens=False).ids), 50256])
+    assert models[0].counts == want
+
+
 def test_words_have_the_ids_of_the_json_tokenizer():
     from tokenizers import Tokenizer
     import public_tokenizers

@@ -179,35 +179,46 @@ class Model:
         at = at[order]
         t, n = t[at], len(at)
         h, cls = hidden[at], self.cls[t]
-        p = h @ self.p["class"].T + self.p["class_bias"]
+        # With a column of ones, so that products add the biases and sum their gradients.
+        one, each = np.ones((n, 1), h.dtype), np.arange(n)
+        h1 = np.concatenate([h, one], axis=1)
+        p = h1 @ np.column_stack([self.p["class"], self.p["class_bias"]]).T
         np.exp(p, out=p)
-        p /= p.sum(1, keepdims=True)
-        loss = -np.log(p[np.arange(n), cls]).sum()
-        p[np.arange(n), cls] -= 1
-        g = {"class": p.T @ h / F32(n), "class_bias": p.sum(0) / F32(n),
-             "member": np.zeros_like(self.p["member"]), "member_bias": np.zeros_like(self.p["member_bias"])}
+        p /= p @ np.ones((p.shape[1], 1), p.dtype)
+        loss = -np.log(p[each, cls]).sum()
+        p[each, cls] -= 1
+        p *= F32(1 / n) if n else F32(0)
+        of_class = p.T @ h1
         dh = p @ self.p["class"]
+        member = np.column_stack([self.p["member"], self.p["member_bias"]])
+        of_member = np.zeros_like(member)
         bounds = np.searchsorted(t, self.first)
         for j in np.nonzero(np.diff(bounds))[0]:
             a, b, lo, hi = bounds[j], bounds[j + 1], self.first[j], self.first[j + 1]
             if hi - lo > 1:
-                q = h[a:b] @ self.p["member"][lo:hi].T + self.p["member_bias"][lo:hi]
+                q = h1[a:b] @ member[lo:hi].T
                 np.exp(q, out=q)
-                q /= q.sum(1, keepdims=True)
-                loss -= np.log(q[np.arange(b - a), t[a:b] - lo]).sum()
-                q[np.arange(b - a), t[a:b] - lo] -= 1
-                g["member"][lo:hi] = q.T @ h[a:b] / F32(n)
-                g["member_bias"][lo:hi] = q.sum(0) / F32(n)
+                q /= q @ np.ones((hi - lo, 1), q.dtype)
+                its = each[:b - a], t[a:b] - lo
+                loss -= np.log(q[its]).sum()
+                q[its] -= 1
+                q *= F32(1 / n)
+                of_member[lo:hi] = q.T @ h1[a:b]
                 dh[a:b] += q @ self.p["member"][lo:hi]
+        g = {"class": of_class[:, :w], "class_bias": of_class[:, w], "member": of_member[:, :w], "member_bias": of_member[:, w]}
         full = np.zeros_like(hidden)
-        full[at] = dh * (1 - np.abs(h)) ** 2 / F32(n)
+        slope = F32(1) - np.abs(h)
+        dh *= slope
+        dh *= slope
+        full[at] = dh
         full = full.reshape(len(x), -1, w)
         d = np.zeros_like(rows)
         key, value = rows[:, :, w + k:w + 2 * k], rows[:, :, w + 2 * k:]
         d[:, c:, :w] = full
         d[:, :, w + 2 * k:] = att.transpose(0, 2, 1) @ full
         da = full @ value.transpose(0, 2, 1)
-        ds = att * (da - (da * att).sum(2, keepdims=True))
+        da *= att
+        ds = da - att * (da @ np.ones((att.shape[2], 1), att.dtype))
         g["bias"] = np.bincount(self.far.ravel(), ds.sum(0).ravel(), len(self.p["bias"])).astype(F32)
         ds *= F32(1 / np.sqrt(k))
         d[:, c:, w:w + k] = ds @ key

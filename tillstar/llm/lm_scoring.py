@@ -1,10 +1,10 @@
 """Language-model scores of documents: causal self-attention on subword ids.
 
-Three passes.  The words of the training documents are counted, all of them.
-A share of the training documents, which grows with the corpus, trains the
-model (``attention.Model``): tasks start from the same parameters, train on
-their own documents, and the parameters' mean, weighted by tokens, starts the
-next round.  Then every text is scored in overlapping windows, and its words
+Three passes.  The words of the training documents are counted, and their
+subword ids are written, all of them.  All of those ids train the model
+(``attention.Model``), each once: tasks start from the same parameters, train
+on their own documents, and the parameters' mean, weighted by tokens, starts
+the next round.  Then every text is scored in overlapping windows, and its words
 are looked up in the counts: the frequent ones, a bounded number, in every
 task, the others by a join of word digests.
 """
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.sinks import stage_table
-from .attention import Model, Shape, one_thread
+from .attention import F32, Model, Shape, one_thread
 
 #: ASCII white space, which parts words.
 SPACE = re.compile(rb"[\x20\x09-\x0d]")
@@ -35,8 +35,10 @@ SPACE = re.compile(rb"[\x20\x09-\x0d]")
 PIECE = 1 << 20
 #: Words that a task counts, or remembers, before it starts anew.
 WORDS = 600_000
-#: Ids in a row of the training sample, and windows that are shuffled together.
+#: Ids in a row of the training texts, and windows that are shuffled together.
 ROW_IDS, POOL = 1 << 16, 8192
+#: Windows in a training step at most, and steps of a task's round that are worth more than larger ones.
+MOST_BATCH, STEPS = 512, 200
 STATE_BLOCK = 1 << 18
 LEVELS = 16
 #: Bytes of a long word.
@@ -119,6 +121,11 @@ class Encoder:
             starts = np.nonzero(self.opens[ids])[0]
             if len(starts) == len(texts):
                 return ids, np.diff(np.append(starts, len(ids)))
+        if len(words) > 8:
+            # The odd word keeps few others from going together.
+            half = len(words) // 2
+            (a, m), (b, n) = self._encoded(words[:half]), self._encoded(words[half:])
+            return np.concatenate([a, b]), np.concatenate([m, n])
         found = [(self.short if len(w) < LONG else self.long)(" " + t) for w, t in zip(words, texts, strict=True)]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         return np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum())), sizes
@@ -151,28 +158,67 @@ class Encoder:
         return self.ids.values[at]
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """``word`` (128-bit digest), ``c``: all words of ``text``, without the ends of texts."""
+class Counting(Encoder):
+    """An encoder that counts the words; ``full`` holds the digests and counts of those that it forgot."""
+
+    def forget(self) -> None:
+        self.full = getattr(self, "full", [])
+        if getattr(self, "number", None):
+            self.full.append(self.counts())
+        super().forget()
+        self.count = Grown(np.int64)
+
+    def learned(self, words) -> None:
+        self.count.add(np.zeros(len(words), np.int64))
+
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        found = super().numbers(words)
+        np.add.at(self.count.values, found, 1)
+        return found
+
+    def counts(self) -> tuple[list[bytes], np.ndarray]:
+        return [xxhash.xxh3_128_digest(w) for w in self.number], self.count.values[:self.count.used].copy()
+
+
+def _read(docs: DataFrame, path: str | None, end: int) -> DataFrame:
+    """What the training documents hold: rows ``word`` (128-bit digest), ``c``, and rows ``h, ids, n``.
+
+    The first count all words of ``text``, without the ends of texts; a word
+    may have several.  The second are the ids of the texts whose ``h`` is not
+    null, closed by ``end``, in rows of bounded size.
+    """
 
     def run(batches):
-        seen: Counter = Counter()
+        encoder = Counting(path)
 
-        def rows():
-            out = pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(w) for w in seen], pa.binary()),
-                                              pa.array(list(seen.values()), pa.int64())], ["word", "c"])
-            seen.clear()
-            return out
+        def table(h=(), ids=(), words=(), counts=()):
+            texts, none, n = len(h), len(words), len(h) + len(words)
+            cols = [pa.array([*h, *[None] * none], pa.int64()), pa.array([*(x.tobytes() for x in ids), *[None] * none], pa.binary()),
+                    pa.array([*map(len, ids), *[None] * none], pa.int64()), pa.array([*[None] * texts, *words], pa.binary()),
+                    pa.array([*[None] * texts, *counts], pa.int64())]
+            return [pa.RecordBatch.from_arrays(cols, ["h", "ids", "n", "word", "c"])] if n else []
 
         for batch in batches:
-            for _, texts in _texts(batch, "text"):
-                for text in texts:
+            keys = batch.column(batch.schema.get_field_index("h")).to_pylist()
+            for at, texts in _texts(batch, "text"):
+                out = []
+                for h, text in zip(keys[at:at + len(texts)], texts, strict=True):
+                    parts = []
                     for words in words_of(text):
-                        seen.update(words)
-                if len(seen) > WORDS:
-                    yield rows()
-        yield rows()
+                        numbers = encoder.numbers(words)
+                        if h is not None:
+                            parts.append(encoder.encode(numbers))
+                    if h is not None:
+                        ids = np.concatenate([*parts, [end]]).astype("<u2")
+                        out += [(h, ids[k:k + ROW_IDS]) for k in range(0, len(ids), ROW_IDS)]
+                yield from table([h for h, _ in out], [x for _, x in out])
+                while encoder.full:
+                    words, counts = encoder.full.pop()
+                    yield from table(words=words, counts=counts.tolist())
+        words, counts = encoder.counts()
+        yield from table(words=words, counts=counts.tolist())
 
-    return docs.select("text").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    return docs.select("h", "text").mapInArrow(run, "h long, ids binary, n long, word binary, c long")
 
 
 def _head(counts: DataFrame, most: int) -> tuple[int, np.ndarray, np.ndarray]:
@@ -196,59 +242,38 @@ def _leading(digests: np.ndarray) -> np.ndarray:
     return digests.view(">u8").reshape(-1, 2)[:, 0].astype(np.uint64)
 
 
-def _sample(docs: DataFrame, path: str | None, end: int) -> DataFrame:
-    """``h, ids, n``: the ids of texts, closed by ``end``, in rows of bounded size."""
-
-    def run(batches):
-        encoder = Encoder(path)
-        for batch in batches:
-            keys = batch.column(batch.schema.get_field_index("h")).to_pylist()
-            for at, texts in _texts(batch, "text"):
-                out = []
-                for h, text in zip(keys[at:at + len(texts)], texts, strict=True):
-                    parts = []
-                    for words in words_of(text):
-                        parts.append(encoder.encode(encoder.numbers(words)))
-                    ids = np.concatenate([*parts, [end]]).astype("<i4")
-                    out += [(h, ids[k:k + ROW_IDS]) for k in range(0, len(ids), ROW_IDS)]
-                yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in out], pa.int64()), pa.array([x.tobytes() for _, x in out], pa.binary()),
-                                                  pa.array([len(x) for _, x in out], pa.int64())], ["h", "ids", "n"])
-
-    return docs.select("h", "text").mapInArrow(run, "h long, ids binary, n long")
-
-
-def _id_counts(sample: DataFrame, ids: int) -> dict[int, int]:
+def _id_counts(texts: DataFrame, ids: int) -> dict[int, int]:
     def run(batches):
         seen = np.zeros(ids, np.int64)
         for batch in batches:
             for row in batch.column(0).to_pylist():
-                seen += np.bincount(np.frombuffer(row, "<i4"), minlength=ids)
+                seen += np.bincount(np.frombuffer(row, "<u2"), minlength=ids)
         at = np.nonzero(seen)[0]
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(seen[at], pa.int64())], ["id", "n"])
 
-    found = sample.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    found = texts.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     return {r.id: r.n for r in found.collect()}
 
 
-def train(docs: DataFrame, shape: Shape, path: str | None = None, rounds: int = 4, rate: float = 0.5, batch: int = 96,
-          task_tokens: int = 4_000_000) -> Model:
-    """Train on ``docs`` (``h``, a hash of the row, and ``text``), all of them, once.
+def train(texts: DataFrame, shape: Shape, rounds: int = 4, rate: float = 0.5, batch: int = 96,
+          task_tokens: int = 16_000_000) -> Model:
+    """Train on ``texts`` (``h``, a hash of the row, ``ids`` and their number ``n``), all of them, once.
 
     A task's share is about ``task_tokens``; with more text there are more
-    tasks, not larger ones.  The driver holds one set of parameters, whose
+    tasks, not larger ones.  A step takes ``batch`` windows, or more, up to
+    ``MOST_BATCH``, where a task still makes ``STEPS`` steps in a round.  The driver holds one set of parameters, whose
     size depends on the vocabulary alone.
     """
-    spark = docs.sparkSession
-    sample = stage_table(_sample(docs, path, shape.end), "sample")
-    counts = _id_counts(sample, shape.ids)
+    spark = texts.sparkSession
+    counts = _id_counts(texts, shape.ids)
     model = Model(counts, shape)
     tokens = sum(counts.values())
     if not tokens:
         return model
     tasks = -(-tokens // task_tokens)
-    dealt = sample.select("h", "ids", "n", F.pmod(F.xxhash64("h", F.lit(1)), F.lit(tasks)).alias("task"),
-                          F.pmod(F.xxhash64("h", F.lit(2)), F.lit(rounds)).alias("round"))
-    dealt = stage_table(dealt, "dealt")
+    batch = max(batch, min(MOST_BATCH, tokens // (tasks * rounds * shape.stride * STEPS)))
+    dealt = texts.select("h", "ids", "n", F.pmod(F.xxhash64("h", F.lit(1)), F.lit(tasks)).alias("task"),
+                         F.pmod(F.xxhash64("h", F.lit(2)), F.lit(rounds)).alias("round"))
 
     for turn in range(rounds):
         start = spark.sparkContext.broadcast((counts, astuple(shape), model.state()))
@@ -270,7 +295,7 @@ def train(docs: DataFrame, shape: Shape, path: str | None = None, rounds: int =
             for rows in batches:
                 own = own or Model(counts, Shape(*sizes)).load(state)
                 for ids in rows.column(0).to_pylist():
-                    held.append(np.frombuffer(ids, "<i4"))
+                    held.append(np.frombuffer(ids, "<u2"))
                     n_held += len(held[-1])
                     if n_held >= POOL * shape.stride:
                         learn()
@@ -279,23 +304,29 @@ def train(docs: DataFrame, shape: Shape, path: str | None = None, rounds: int =
                 learn()
                 trained += n_held
             if trained:
-                end = (own.state().astype(np.float64) * trained)
+                end = own.state()
                 blocks = [end[k:k + STATE_BLOCK].tobytes() for k in range(0, len(end), STATE_BLOCK)]
                 yield pa.RecordBatch.from_arrays([pa.array(range(len(blocks)), pa.int32()), pa.array([trained] * len(blocks), pa.int64()),
-                                                  pa.array(blocks, pa.binary())], ["block", "n", "sums"])
+                                                  pa.array(blocks, pa.binary())], ["block", "n", "state"])
+
+        def weigh(table: pa.Table) -> pa.Table:
+            total = 0.0
+            for x, n in zip(table["state"].to_pylist(), table["n"].to_pylist(), strict=True):
+                total = total + np.frombuffer(x, F32).astype(float) * n
+            return summed(table, total)
 
         def add(table: pa.Table) -> pa.Table:
-            total = None
-            for x in table["sums"].to_pylist():
-                total = np.frombuffer(x) + (0 if total is None else total)
+            return summed(table, sum(np.frombuffer(x) for x in table["sums"].to_pylist()))
+
+        def summed(table: pa.Table, total: np.ndarray) -> pa.Table:
             return pa.table({"block": table["block"].slice(0, 1), "n": pa.array([sum(table["n"].to_pylist())], pa.int64()),
                              "sums": pa.array([total.tobytes()], pa.binary())})
 
         mine = dealt.where(F.col("round") == turn).repartition(tasks, "task").sortWithinPartitions("task", "h", "n").select("ids")
-        sums = mine.mapInArrow(run, "block int, n long, sums binary")
+        sums = mine.mapInArrow(run, "block int, n long, state binary")
         # Added in two steps, so that no task gets the parameters of very many.
         sums = sums.withColumn("few", F.pmod(F.monotonically_increasing_id(), F.lit(31)))
-        sums = sums.groupBy("block", "few").applyInArrow(add, "block int, n long, sums binary")
+        sums = sums.groupBy("block", "few").applyInArrow(weigh, "block int, n long, sums binary")
         rows = sums.groupBy("block").applyInArrow(add, "block int, n long, sums binary").toArrow().sort_by("block")
         start.unpersist()
         if len(rows):
@@ -369,7 +400,7 @@ def _scored(docs: DataFrame, model: Model, head: tuple[int, np.ndarray, np.ndarr
 
 
 def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", shape: Shape | None = None,
-          train_every: int = 14, head_words: int = 1_500_000, vocabulary: str | None = None, **training) -> DataFrame:
+          train_every: int = 1, head_words: int = 1_500_000, vocabulary: str | None = None, **training) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row.
 
     Tokens are the words of a text, parted by ASCII white space, A-Z
@@ -378,9 +409,10 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     half a count added, ``n_known`` its tokens that occur there, and
     ``train_tokens`` how many there are.  ``score`` is the model's log10
     probability of the text: of the subword ids of its words, one after
-    another, and the end.  The model is trained on every ``train_every``-th
-    of the rows that are not held out, by hash; ``vocabulary`` is the rank
-    file of the tokenizer; ``training`` goes to ``train``.
+    another, and the end.  The model is trained on all rows that are not held
+    out, or, where ``train_every`` is more than 1, on every such one of them,
+    by hash; ``vocabulary`` is the rank file of the tokenizer; ``training``
+    goes to ``train``.
 
     Null and empty texts are an end alone.  A null ``held_out`` (that of a
     null id) is false.  Rows that repeat an id are scored one by one.  With
@@ -391,13 +423,15 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     plain = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"),
                         F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     learned = plain.where(~F.col("held_out"))
-    counts = stage_table(word_counts(learned), "words")
+    row_hash = F.xxhash64(F.col("doc_id").cast("string"), "text")
+    trains = F.pmod(row_hash, F.lit(train_every)) == 0
+    read = stage_table(_read(learned.withColumn("h", F.when(trains, row_hash)), vocabulary, shape.end), "read")
+    counts = stage_table(read.where("word is not null").groupBy("word").agg(F.sum("c").alias("c")), "words")
     ends = learned.count()
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     totals = (n + ends, v + (ends > 0), ends)
     head = _head(counts, head_words)
-    row_hash = F.xxhash64(F.col("doc_id").cast("string"), "text")
-    model = train(learned.withColumn("h", row_hash).where(F.pmod("h", F.lit(train_every)) == 0), shape, vocabulary, **training)
+    model = train(read.where("ids is not null").select("h", "ids", "n"), shape, **training)
 
     rows = stage_table(_scored(plain, model, head, totals, vocabulary), "scored")
     rest = rows.where(F.size("rest") > 0).select("rid", F.explode(F.arrays_zip("rest", "rest_n")).alias("x")).select(
