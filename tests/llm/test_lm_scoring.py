@@ -124,6 +124,29 @@ def test_long_texts_are_split_anywhere(spark, monkeypatch):
         assert r[:5] == want[r.doc_id][:5] and abs(r.base_score - want[r.doc_id].base_score) < 1e-6
 
 
+def test_words_of_short_texts_go_together(monkeypatch):
+    """One list of words for many short texts, several for a long one; every word with its text."""
+    texts = [(t or "").encode() for _, t in EDGE[:-2]] + [prose(i, i % 40).encode() for i in range(200)]
+    assert len(list(lm_scoring.together(texts))) == 1
+    for piece in (1 << 20, 50):
+        monkeypatch.setattr(lm_scoring, "PIECE", piece)
+        got = [[] for _ in texts]
+        for words_, whose, ends in lm_scoring.together(texts):
+            for i, at, end in zip(whose, [0, *ends[:-1]], ends, strict=True):
+                got[i] += words_[at:end]
+        assert got == [t.lower().split() for t in texts]
+    assert len(list(lm_scoring.together([b"a b " * 50]))) > 1
+    assert not list(lm_scoring.together([]))
+
+
+def test_counts_of_texts_that_go_over_several_lists(spark, monkeypatch):
+    data = [(i, prose(i, 60, 40) + f" own{i}") for i in range(30)]
+    want = {r.doc_id: r for r in scored(docs(spark, data), head_words=0).collect()}
+    monkeypatch.setattr(lm_scoring, "PIECE", 50)
+    for r in scored(docs(spark, data).repartition(3), head_words=20).collect():
+        assert r[:5] == want[r.doc_id][:5] and abs(r.base_score - want[r.doc_id].base_score) < 1e-6
+
+
 def test_one_word_and_white_space_of_a_million(spark):
     data = [(1, "a" * 1_000_000), (2, "\n" * 1_000_000), (3, "　" * 200_000)]
     got = {r.doc_id: r.n_tokens for r in scored(docs(spark, data), "false").collect()}

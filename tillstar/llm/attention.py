@@ -117,51 +117,64 @@ class Model:
         return inputs, target.reshape(-1, s), opens, padded // s
 
     def _forward(self, x: np.ndarray, opens: np.ndarray):
-        """Hidden states of the predicted positions of windows ``x``, and what the way back needs."""
+        """Table rows and attention of windows ``x``, and hidden states of the predicted positions with a one behind each.
+
+        The one lets products add the biases and sum their gradients.
+        """
         w, k, c = self.shape.width, self.shape.keys, self.shape.context
-        rows = self.p["token"][x]
-        own, query = rows[:, c:, :w], rows[:, c:, w:w + k]
+        rows = self.p["token"].take(x, axis=0)
+        query = rows[:, c:, w:w + k] * rows.dtype.type(1 / np.sqrt(k))
         key, value = rows[:, :, w + k:w + 2 * k], rows[:, :, w + 2 * k:]
         score = query @ key.transpose(0, 2, 1)
-        score *= F32(1 / np.sqrt(k))
         score += self.p["bias"][self.far] + self.later
         # Windows that open a text have nothing before it.
         score[opens, :, :c] = F32(-1e9)
         np.exp(score, out=score)
         score /= (score @ np.ones(score.shape[2], score.dtype))[:, :, None]
-        hidden = score @ value
-        hidden += own
-        hidden /= np.abs(hidden) + F32(1)
-        return rows, score, hidden.reshape(-1, w)
+        pre = score @ value
+        pre += rows[:, c:, :w]
+        hidden = np.ones((len(x) * self.shape.stride, w + 1), rows.dtype)
+        pre = pre.reshape(-1, w)
+        size = np.abs(pre)
+        size += F32(1)
+        np.divide(pre, size, out=hidden[:, :w])
+        return rows, score, hidden
+
+    def _targets(self, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where targets are, sorted by place, which is by class too; the targets; and where each class begins."""
+        t = target.ravel()
+        at = np.argsort(t.astype(np.uint16), kind="stable")
+        t = t.take(at)
+        # Padding, -1, comes last as the largest number of 16 bits.
+        n = len(t) - int(np.count_nonzero(t < 0))
+        return at[:n], t[:n], np.searchsorted(t[:n], self.first)
 
-    def score(self, inputs: np.ndarray, target: np.ndarray, opens: np.ndarray, batch: int = 1024) -> np.ndarray:
+    def score(self, inputs: np.ndarray, target: np.ndarray, opens: np.ndarray, batch: int = 512) -> np.ndarray:
         """Natural logarithm of the probability of every target, 0 for padding."""
         s, c, out = self.shape.stride, self.shape.context, np.zeros(target.size, F32)
+        of_class = np.column_stack([self.p["class"], self.p["class_bias"]])
+        member = np.column_stack([self.p["member"], self.p["member_bias"]])
         for lo in range(0, len(target), batch):
             hi = min(lo + batch, len(target))
             x = np.lib.stride_tricks.sliding_window_view(inputs[lo * s:hi * s + c], s + c)[::s]
-            _, _, hidden = self._forward(x, opens[lo:hi])
-            t = target[lo:hi].ravel()
-            at = np.nonzero(t >= 0)[0]
-            t = t[at]
-            # Sorted by place, which is by class too.
-            order = np.argsort(t.astype(np.uint16), kind="stable")
-            at, t = at[order], t[order]
-            h, cls = hidden[at], self.cls[t]
-            logits = h @ self.p["class"].T
-            logits += self.p["class_bias"]
-            got = logits[np.arange(len(t)), cls]
-            np.exp(logits, out=logits)
-            got -= np.log(logits @ np.ones(logits.shape[1], F32))
-            bounds = np.searchsorted(t, self.first)
+            hidden = self._forward(x, opens[lo:hi])[2]
+            at, t, bounds = self._targets(target[lo:hi])
+            h = hidden.take(at, axis=0)
+            logits = h @ of_class.T
+            got = np.empty(len(t), F32)
+            # The product of both sums, which needs the range of double precision.
+            divisor = np.ones(len(t))
             for k in np.nonzero(np.diff(bounds))[0]:
                 a, b, lo2, hi2 = bounds[k], bounds[k + 1], self.first[k], self.first[k + 1]
+                got[a:b] = logits[a:b, k]
                 if hi2 - lo2 > 1:
-                    inner = h[a:b] @ self.p["member"][lo2:hi2].T
-                    inner += self.p["member_bias"][lo2:hi2]
-                    got[a:b] += inner[np.arange(b - a), t[a:b] - lo2]
+                    inner = h[a:b] @ member[lo2:hi2].T
+                    got[a:b] += inner.reshape(-1).take(np.arange(0, inner.size, hi2 - lo2) + (t[a:b] - lo2))
                     np.exp(inner, out=inner)
-                    got[a:b] -= np.log(inner @ np.ones(hi2 - lo2, F32))
+                    divisor[a:b] = inner @ np.ones(hi2 - lo2, F32)
+            np.exp(logits, out=logits)
+            divisor *= logits @ np.ones(logits.shape[1], F32)
+            got -= np.log(divisor)
             got[t == self.size - 1] -= F32(np.log(self.unseen))
             out[lo * s + at] = got
         return out
@@ -173,61 +186,84 @@ class Model:
         """
         w, k, c = self.shape.width, self.shape.keys, self.shape.context
         rows, att, hidden = self._forward(x, opens)
-        t = target.ravel()
-        at = np.nonzero(t >= 0)[0]
-        order = np.argsort(t[at].astype(np.uint16), kind="stable")
-        at = at[order]
-        t, n = t[at], len(at)
-        h, cls = hidden[at], self.cls[t]
-        # With a column of ones, so that products add the biases and sum their gradients.
-        one, each = np.ones((n, 1), h.dtype), np.arange(n)
-        h1 = np.concatenate([h, one], axis=1)
-        p = h1 @ np.column_stack([self.p["class"], self.p["class_bias"]]).T
+        kind = rows.dtype
+        at, t, bounds = self._targets(target)
+        n = len(at)
+        h1 = hidden.take(at, axis=0)
+        share = kind.type(1 / max(n, 1))
+        of_class = np.column_stack([self.p["class"], self.p["class_bias"]])
+        p = h1 @ of_class.T
         np.exp(p, out=p)
-        p /= p @ np.ones((p.shape[1], 1), p.dtype)
-        loss = -np.log(p[each, cls]).sum()
-        p[each, cls] -= 1
-        p *= F32(1 / n) if n else F32(0)
-        of_class = p.T @ h1
-        dh = p @ self.p["class"]
+        total = p @ np.ones(p.shape[1], kind)
+        total /= share
+        p /= total[:, None]
+        # The probabilities of the targets' classes, and of their places there, times ``share``.
+        hit, place = np.empty(n, kind), np.full(n, share, kind)
         member = np.column_stack([self.p["member"], self.p["member_bias"]])
         of_member = np.zeros_like(member)
-        bounds = np.searchsorted(t, self.first)
+        inner = np.zeros((n, w + 1), kind)
         for j in np.nonzero(np.diff(bounds))[0]:
             a, b, lo, hi = bounds[j], bounds[j + 1], self.first[j], self.first[j + 1]
+            hit[a:b] = p[a:b, j]
+            p[a:b, j] -= share
             if hi - lo > 1:
                 q = h1[a:b] @ member[lo:hi].T
                 np.exp(q, out=q)
-                q /= q @ np.ones((hi - lo, 1), q.dtype)
-                its = each[:b - a], t[a:b] - lo
-                loss -= np.log(q[its]).sum()
-                q[its] -= 1
-                q *= F32(1 / n)
-                of_member[lo:hi] = q.T @ h1[a:b]
-                dh[a:b] += q @ self.p["member"][lo:hi]
+                total = q @ np.ones(hi - lo, kind)
+                total /= share
+                q /= total[:, None]
+                its = np.arange(0, q.size, hi - lo)
+                its += t[a:b] - lo
+                flat = q.reshape(-1)
+                own = flat.take(its)
+                place[a:b] = own
+                flat[its] = own - share
+                np.matmul(q.T, h1[a:b], out=of_member[lo:hi])
+                np.matmul(q, member[lo:hi], out=inner[a:b])
+        loss = -(np.log(hit / share).sum() + np.log(place / share).sum())
+        dh = p @ of_class
+        dh += inner
+        of_class = p.T @ h1
         g = {"class": of_class[:, :w], "class_bias": of_class[:, w], "member": of_member[:, :w], "member_bias": of_member[:, w]}
-        full = np.zeros_like(hidden)
-        slope = F32(1) - np.abs(h)
+        slope = np.abs(h1)
+        np.subtract(F32(1), slope, out=slope)
+        # The ones' column becomes 0.
         dh *= slope
         dh *= slope
-        full[at] = dh
-        full = full.reshape(len(x), -1, w)
-        d = np.zeros_like(rows)
-        key, value = rows[:, :, w + k:w + 2 * k], rows[:, :, w + 2 * k:]
+        if n == len(hidden):
+            back = np.empty(n, np.int64)
+            back[at] = np.arange(n)
+            full = dh.take(back, axis=0)
+        else:
+            full = np.zeros((len(hidden), w + 1), kind)
+            full[at] = dh
+        full = full.reshape(len(x), -1, w + 1)[:, :, :w]
+        table = np.empty((x.size + 1, rows.shape[2]), kind)
+        d = table[:-1].reshape(rows.shape)
+        query, key, value = rows[:, c:, w:w + k], rows[:, :, w + k:w + 2 * k], rows[:, :, w + 2 * k:]
+        d[:, :c, :w + k] = 0
         d[:, c:, :w] = full
-        d[:, :, w + 2 * k:] = att.transpose(0, 2, 1) @ full
-        da = full @ value.transpose(0, 2, 1)
-        da *= att
-        ds = da - att * (da @ np.ones((att.shape[2], 1), att.dtype))
-        g["bias"] = np.bincount(self.far.ravel(), ds.sum(0).ravel(), len(self.p["bias"])).astype(F32)
+        np.matmul(att.transpose(0, 2, 1), full, out=d[:, :, w + 2 * k:])
+        ds = full @ value.transpose(0, 2, 1)
+        ds -= np.einsum("bij,bij->bi", ds, att)[:, :, None]
+        ds *= att
+        g["bias"] = np.bincount(self.far.ravel(), np.ones(len(x), kind) @ ds.reshape(len(x), -1), len(self.p["bias"])).astype(F32)
         ds *= F32(1 / np.sqrt(k))
-        d[:, c:, w:w + k] = ds @ key
-        d[:, :, w + k:w + 2 * k] = ds.transpose(0, 2, 1) @ rows[:, c:, w:w + k]
+        np.matmul(ds, key, out=d[:, c:, w:w + k])
+        np.matmul(ds.transpose(0, 2, 1), query, out=d[:, :, w + k:w + 2 * k])
         flat = x.ravel()
         order = np.argsort(flat.astype(np.uint16), kind="stable")
-        flat = flat[order]
+        flat = flat.take(order)
         first = np.concatenate([[0], np.nonzero(np.diff(flat))[0] + 1])
-        g["token"] = (flat[first], np.add.reduceat(d.reshape(-1, d.shape[2])[order], first))
+        # A token's rows are added eight at a time by products, the last with rows of zeros, and then those sums.
+        table[-1] = 0
+        sizes = np.diff(first, append=len(flat))
+        eights = -(-sizes // 8)
+        begin = np.cumsum(eights) - eights
+        places = np.full(8 * int(eights.sum()), len(flat))
+        places[np.repeat(8 * begin - first, sizes) + np.arange(len(flat))] = order
+        sums = np.ones((1, 8), kind) @ table.take(places, axis=0).reshape(-1, 8, table.shape[1])
+        g["token"] = (flat[first], np.add.reduceat(sums[:, 0], begin))
         return float(loss) / max(n, 1), g
 
     def step(self, x: np.ndarray, target: np.ndarray, opens: np.ndarray, rate: float) -> float:
@@ -236,9 +272,14 @@ class Model:
             return 0.0
         loss, g = self.gradients(x, target, opens)
         for name, grad in g.items():
-            at, grad = grad if name == "token" else (slice(None), grad)
-            self.g[name][at] += grad * grad
-            self.p[name][at] -= F32(rate) * grad / np.sqrt(self.g[name][at])
+            at, grad = grad if name == "token" else (None, grad)
+            squares, now = (self.g[name], self.p[name]) if at is None else (self.g[name].take(at, axis=0), self.p[name].take(at, axis=0))
+            squares += grad * grad
+            move = F32(rate) * grad
+            move /= np.sqrt(squares)
+            now -= move
             limit = 20 if name.endswith("bias") else LIMIT
-            self.p[name][at] = np.clip(self.p[name][at], -limit, limit)
+            np.clip(now, -limit, limit, out=now)
+            if at is not None:
+                self.g[name][at], self.p[name][at] = squares, now
         return loss

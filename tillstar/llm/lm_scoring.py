@@ -14,7 +14,6 @@ from __future__ import annotations
 import base64
 import os
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import astuple
 from functools import cached_property
@@ -57,6 +56,22 @@ def words_of(text: bytes) -> Iterator[list[bytes]]:
     yield text[at:].lower().split()
 
 
+def together(texts: list[bytes]) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray]]:
+    """The words of texts, those of short ones in one list; the texts that they are of, and where each one's words end."""
+    words, whose, ends, size = [], [], [], 0
+    for i, text in enumerate(texts):
+        for piece in words_of(text):
+            words += piece
+            whose.append(i)
+            ends.append(len(words))
+            size += min(len(text), PIECE)
+            if size >= PIECE:
+                yield words, np.array(whose), np.array(ends)
+                words, whose, ends, size = [], [], [], 0
+    if whose:
+        yield words, np.array(whose), np.array(ends)
+
+
 def _texts(batch: pa.RecordBatch, column: str, step: int = 64) -> Iterator[tuple[int, list[bytes]]]:
     values = batch.column(batch.schema.get_field_index(column)).cast(pa.binary())
     for at in range(0, len(values), step):
@@ -135,27 +150,32 @@ class Encoder:
         if len(self.number) > WORDS:
             self.forget()
         out = np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
-        missing = np.nonzero(out < 0)[0].tolist()
-        if missing:
-            new = list({words[i] for i in missing})
+        missing = np.nonzero(out < 0)[0]
+        if len(missing):
+            unknown = [words[i] for i in missing.tolist()]
+            new = list(dict.fromkeys(unknown))
             ids, sizes = self._encoded(new)
             self.start.add(self.ids.used + np.cumsum(sizes) - sizes)
             self.size.add(sizes)
             self.ids.add(ids)
             self.number.update(zip(new, range(len(self.number), len(self.number) + len(new)), strict=True))
             self.learned(new)
-            out[missing] = [self.number[words[i]] for i in missing]
+            out[missing] = np.fromiter(map(self.number.__getitem__, unknown), np.int64, len(unknown))
         return out
 
     def learned(self, words: list[bytes]) -> None:
         """Called with new words, in the order of their numbers."""
 
     def encode(self, numbers: np.ndarray) -> np.ndarray:
-        sizes = self.size.values[numbers]
+        return self.parted(numbers, np.array([len(numbers)]))[0]
+
+    def parted(self, numbers: np.ndarray, word_ends: np.ndarray) -> list[np.ndarray]:
+        """The ids of the words, in parts that end after ``word_ends`` words."""
+        sizes = self.size.values.take(numbers)
         ends = np.cumsum(sizes)
-        at = np.repeat(self.start.values[numbers] - (ends - sizes), sizes)
+        at = np.repeat(self.start.values.take(numbers) - (ends - sizes), sizes)
         at += np.arange(len(at))
-        return self.ids.values[at]
+        return np.split(self.ids.values.take(at), np.append(0, ends)[word_ends])[:-1]
 
 
 class Counting(Encoder):
@@ -201,15 +221,14 @@ def _read(docs: DataFrame, path: str | None, end: int) -> DataFrame:
         for batch in batches:
             keys = batch.column(batch.schema.get_field_index("h")).to_pylist()
             for at, texts in _texts(batch, "text"):
-                out = []
-                for h, text in zip(keys[at:at + len(texts)], texts, strict=True):
-                    parts = []
-                    for words in words_of(text):
-                        numbers = encoder.numbers(words)
-                        if h is not None:
-                            parts.append(encoder.encode(numbers))
+                out, parts = [], [[] for _ in texts]
+                for words, whose, ends in together(texts):
+                    for i, ids in zip(whose.tolist(), encoder.parted(encoder.numbers(words), ends), strict=True):
+                        if keys[at + i] is not None:
+                            parts[i].append(ids)
+                for h, its in zip(keys[at:at + len(texts)], parts, strict=True):
                     if h is not None:
-                        ids = np.concatenate([*parts, [end]]).astype("<u2")
+                        ids = np.concatenate([*its, [end]]).astype("<u2")
                         out += [(h, ids[k:k + ROW_IDS]) for k in range(0, len(ids), ROW_IDS)]
                 yield from table([h for h, _ in out], [x for _, x in out])
                 while encoder.full:
@@ -368,30 +387,36 @@ def _scored(docs: DataFrame, model: Model, head: tuple[int, np.ndarray, np.ndarr
         for batch in batches:
             carried = [batch.column(batch.schema.get_field_index(c)) for c in CARRIED]
             for at, texts in _texts(batch, "text"):
-                ids, cols = [], []
-                for text in texts:
-                    n = known = 0
-                    base, parts, rest = end_log, [], Counter()
-                    for words in words_of(text):
-                        numbers = encoder.numbers(words)
-                        parts.append(encoder.encode(numbers))
-                        logs_ = encoder.log.values[numbers]
-                        other = np.isnan(logs_)
-                        n += len(words)
-                        known += len(words) - int(other.sum())
-                        base += float(np.nansum(logs_))
-                        which, k = np.unique(numbers[other], return_counts=True)
-                        # Zero bytes at the end of a digest are no part of an S16's value.
-                        rest.update(dict(zip((x.ljust(16, b"\0") for x in encoder.keys.values[which].tolist()), k.tolist(), strict=True)))
-                    ids.append(np.concatenate([*parts, [model.shape.end]]))
-                    cols.append((n + 1, known + (ends > 0), base, list(rest), list(rest.values())))
+                parts, rest = [[] for _ in texts], []
+                n, known, base = np.ones(len(texts), np.int64), np.full(len(texts), int(ends > 0)), [end_log] * len(texts)
+                for words, whose, word_ends in together(texts):
+                    numbers = encoder.numbers(words)
+                    logs_ = encoder.log.values.take(numbers)
+                    other = np.nonzero(np.isnan(logs_))[0]
+                    logs_[other] = 0
+                    sizes = np.diff(word_ends, prepend=0)
+                    for i, ids, own in zip(whose.tolist(), encoder.parted(numbers, word_ends), np.split(logs_, word_ends)[:-1], strict=True):
+                        parts[i].append(ids)
+                        base[i] += float(own.sum())
+                    np.add.at(n, whose, sizes)
+                    # A text's other words, each with how often it has it.
+                    its = np.repeat(whose, sizes)[other]
+                    np.add.at(known, whose, sizes)
+                    np.subtract.at(known, its, 1)
+                    pair, k = np.unique(its << 32 | numbers[other], return_counts=True)
+                    rest.append((pair >> 32, encoder.keys.values[pair & 0xffffffff], k))
+                ids = [np.concatenate([*x, [model.shape.end]]) for x in parts]
                 inputs, target, opens, windows = model.windows(ids)
                 per = model.score(inputs, target, opens).reshape(len(target), -1).sum(1, dtype=np.float64)
                 total = np.add.reduceat(per, np.cumsum(windows) - windows) / np.log(10)
-                n, known, base, rest, rest_n = zip(*cols, strict=True)
+                its, keys, k = map(np.concatenate, zip(*rest, strict=True))
+                order = np.argsort(its, kind="stable")
+                until = pa.array(np.searchsorted(its[order], np.arange(len(texts) + 1)), pa.int32())
+                keys = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(keys), [None, pa.py_buffer(keys[order].tobytes())])
+                rest, rest_n = (pa.ListArray.from_arrays(until, x) for x in (keys.cast(pa.binary()), pa.array(k[order], pa.int64())))
                 yield pa.RecordBatch.from_arrays(
                     [*(c.slice(at, len(texts)) for c in carried), pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()),
-                     pa.array(total, pa.float64()), pa.array(rest, pa.list_(pa.binary())), pa.array(rest_n, pa.list_(pa.int64()))],
+                     pa.array(total, pa.float64()), rest, rest_n],
                     [*CARRIED, "n_tokens", "n_known", "base_score", "score", "rest", "rest_n"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
